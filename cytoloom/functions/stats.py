@@ -2,9 +2,11 @@
 
 A group (one sample, one gene) may hold a third of all rows, so a plain window
 over it would sort that third in a single task. The functions here first collapse
-equal values, then cut every group into value ranges by a fixed monotone function
-of the value. Running totals over the ranges are small; only the rows of one range
-are ever sorted together.
+equal values and store the counts. When no group has more than SMALL_GROUP distinct
+values, which is counted and not assumed, one task per group is enough. Beyond that
+every group is cut into value ranges by a fixed monotone function of the value:
+running totals over the ranges are small, and only the rows of one range are ever
+sorted together. Both ways give the same exact numbers.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from pyspark.sql import functions as F
 
 from cytoloom.session import cut_lineage
 
+# Distinct values a single task may sort or hold for one group.
+SMALL_GROUP = 500_000
 # Scale that makes the median absolute deviation match a normal's sigma (fixed value).
 MAD_SCALE = 1.4826
 
@@ -57,15 +61,28 @@ def _range_totals(ranged: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def _stored(counts: DataFrame, keys: list[str]) -> tuple[DataFrame, bool]:
+    """The counts as a stored table, and whether all their groups are small."""
+    counts = cut_lineage(counts)
+    largest = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size")).agg(F.max("_size")).first()[0]
+    return counts, (largest or 0) <= SMALL_GROUP
+
+
 def ranked_values(counts: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Adds to ``value_counts`` the rows ``below`` a value and the ``total`` of its group."""
+    counts, small = _stored(counts, keys)
+    if small:
+        group = Window.partitionBy(*keys)
+        return counts.withColumn("below", F.sum("n").over(group.orderBy(value)) - F.col("n")).withColumn(
+            "total", F.sum("n").over(group)
+        )
     ranged = counts.withColumn("_range", value_range(value))
     w = Window.partitionBy(*keys, "_range").orderBy(value)
     inside = ranged.withColumn("_inside", F.sum("n").over(w) - F.col("n"))
     return (
         group_join(inside, _range_totals(ranged, keys), [*keys, "_range"])
         .withColumn("below", F.col("_start") + F.col("_inside"))
-        .drop("_inside", "_start", "_range_n")
+        .drop("_inside", "_start", "_range_n", "_range")
     )
 
 
@@ -74,10 +91,18 @@ def group_quantiles(
 ) -> DataFrame:
     """Exact interpolated quantiles per group, one column per entry of ``probs``."""
     if not keys:
-        df, keys, lone = df.withColumn("_all", F.lit(1)), ["_all"], True
-    else:
-        lone = False
-    ranged = value_counts(df, keys, value, weight).withColumn("_range", value_range(value))
+        return group_quantiles(df.withColumn("_all", F.lit(1)), ["_all"], value, probs, weight).drop("_all")
+    counts, small = _stored(value_counts(df, keys, value, weight), keys)
+    if small:
+        q = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(p) for p in probs.values()]), F.col("n"))
+        return counts.groupBy(*keys).agg(q.alias("_q")).select(
+            *keys, *[F.col("_q")[i].alias(name) for i, name in enumerate(probs)]
+        )
+    return _ranged_quantiles(counts, keys, value, probs)
+
+
+def _ranged_quantiles(counts: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
+    ranged = counts.withColumn("_range", value_range(value))
     wanted = F.array(
         *[
             F.struct(F.lit(name).alias("name"), F.lit(p).alias("p"), F.lit(up).alias("up"))
@@ -108,7 +133,7 @@ def group_quantiles(
     def pick(name: str, up: bool) -> Column:
         return F.max(F.when((F.col("_w.name") == name) & (F.col("_w.up") == F.lit(up)), v))
 
-    out = hit.groupBy(*keys).agg(
+    return hit.groupBy(*keys).agg(
         *[
             (
                 pick(n, False)
@@ -117,42 +142,55 @@ def group_quantiles(
             for n in probs
         ]
     )
-    return out.drop("_all") if lone else out
 
 
-def mad_outliers(df: DataFrame, keys: list[str], value: str, flag: str, nmads: float = 3.0) -> DataFrame:
-    """Adds ``flag``: value above median + nmads * scaled MAD of its group, and the limit."""
-    med = group_quantiles(df, keys, value, {"_median": 0.5})
-    near = group_join(df, med, keys, "left").withColumn("_dev", F.abs(F.col(value) - F.col("_median")))
-    mad = group_quantiles(near, keys, "_dev", {"_mad": 0.5})
+def mad_limits(df: DataFrame, keys: list[str], metrics: list[str], nmads: float = 3.0) -> DataFrame:
+    """median + nmads * scaled MAD per group, one column ``<metric>_limit`` per metric.
+
+    All metrics go through the two quantile passes together.
+    """
+    by = [*keys, "_metric"]
+    long = df.select(
+        *keys, F.inline(F.array(*[F.struct(F.lit(m).alias("_metric"), F.col(m).cast("double").alias("_x")) for m in metrics]))
+    )
+    med = group_quantiles(long, by, "_x", {"_median": 0.5})
+    dev = group_join(long, med, by).withColumn("_dev", F.abs(F.col("_x") - F.col("_median")))
+    mad = group_quantiles(dev, by, "_dev", {"_mad": 0.5})
     limit = F.col("_median") + nmads * MAD_SCALE * F.col("_mad")
     return (
-        group_join(near, mad, keys, "left")
-        .withColumn(f"{flag}_limit", limit)
-        .withColumn(flag, F.col(value) > F.col(f"{flag}_limit"))
-        .drop("_median", "_dev", "_mad")
+        group_join(med, mad, by)
+        .groupBy(*keys)
+        .agg(*[F.max(F.when(F.col("_metric") == m, limit)).alias(f"{m}_limit") for m in metrics])
     )
 
 
+def mad_outliers(df: DataFrame, keys: list[str], flags: dict[str, str], nmads: float = 3.0) -> DataFrame:
+    """Adds, per metric -> flag, the metric's limit and whether the value lies above it."""
+    out = group_join(df, mad_limits(df, keys, list(flags), nmads), keys, "left")
+    for metric, flag in flags.items():
+        out = out.withColumn(flag, F.col(metric) > F.col(f"{metric}_limit"))
+    return out
+
+
 def benjamini_hochberg(df: DataFrame, keys: list[str], p: str, out: str) -> DataFrame:
     """False discovery rate of every p value inside its group."""
-    lone = not keys
-    if lone:
-        df, keys = df.withColumn("_all", F.lit(1)), ["_all"]
-    ranked = ranked_values(value_counts(df, keys, p), keys, p).withColumn(
-        "_q", F.col(p) * F.col("total") / (F.col("below") + F.col("n"))
-    )
-    best = ranked.groupBy(*keys, "_range").agg(F.min("_q").alias("_range_best"))
-    later = Window.partitionBy(*keys).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
-    best = best.withColumn("_later_best", F.min("_range_best").over(later)).drop("_range_best")
-    inside = Window.partitionBy(*keys, "_range").orderBy(F.desc(p))
-    adjusted = (
-        group_join(ranked.withColumn("_q", F.min("_q").over(inside)), best, [*keys, "_range"])
-        .withColumn(out, F.least(F.lit(1.0), F.col("_q"), F.col("_later_best")))
-        .select(*keys, p, out)
-    )
-    joined = group_join(df, adjusted, [*keys, p], "left")
-    return joined.drop("_all") if lone else joined
+    if not keys:
+        return benjamini_hochberg(df.withColumn("_all", F.lit(1)), ["_all"], p, out).drop("_all")
+    counts, small = _stored(value_counts(df, keys, p), keys)
+    ranked = ranked_values(counts, keys, p).withColumn("_q", F.col(p) * F.col("total") / (F.col("below") + F.col("n")))
+    if small:
+        larger = Window.partitionBy(*keys).orderBy(F.desc(p))
+        adjusted = ranked.withColumn(out, F.least(F.lit(1.0), F.min("_q").over(larger)))
+    else:
+        ranked = ranked.withColumn("_range", value_range(p))
+        best = ranked.groupBy(*keys, "_range").agg(F.min("_q").alias("_range_best"))
+        later = Window.partitionBy(*keys).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
+        best = best.withColumn("_later_best", F.min("_range_best").over(later)).drop("_range_best")
+        inside = Window.partitionBy(*keys, "_range").orderBy(F.desc(p))
+        adjusted = group_join(ranked.withColumn("_q", F.min("_q").over(inside)), best, [*keys, "_range"]).withColumn(
+            out, F.least(F.lit(1.0), F.col("_q"), F.col("_later_best"))
+        )
+    return group_join(df, adjusted.select(*keys, p, out), [*keys, p], "left")
 
 
 def hash_order(*columns: str, seed: int = 42) -> Column:

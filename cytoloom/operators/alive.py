@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cytoloom.functions.stats import mad_outliers
 from cytoloom.schema import CELL
+from cytoloom.session import cut_lineage
 
 
 def cell_quality(counts: DataFrame, features: DataFrame) -> DataFrame:
@@ -42,8 +43,10 @@ def identify_alive(
     if group_column:
         quality = quality.join(cells.select(*CELL, F.col(group_column).alias("group")), CELL, "left")
         keys.append("group")
-    flagged = mad_outliers(quality, keys, "mito_percent", "high_mitochondrion", nmads)
-    flagged = mad_outliers(flagged, keys, "ribo_percent", "high_ribosome", nmads)
+    # one row per cell, read several times below: stored once instead of recomputed from the counts
+    flagged = mad_outliers(
+        cut_lineage(quality), keys, {"mito_percent": "high_mitochondrion", "ribo_percent": "high_ribosome"}, nmads
+    )
     return flagged.select(
         *CELL,
         *keys[1:],

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cytoloom.functions.stats import group_join, group_quantiles, ranked_values, value_counts
 from cytoloom.operators.normalize import log_normalise
 from cytoloom.schema import CELL
+from cytoloom.session import cut_lineage
 
 # Half-saturation of the binding curve, cells a type needs, p limit (fixed values).
 HALF_SATURATION = 0.5
@@ -109,16 +110,20 @@ def cell_communication(
         typed = typed.join(kept.select(*CELL), CELL, "left_semi")
     size = typed.groupBy("sample_id", "cell_type").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_cells)
     rich = size.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n_types")).where(F.col("n_types") >= 2)
-    members = typed.join(size, ["sample_id", "cell_type"], "left_semi").join(rich, "sample_id", "left_semi")
+    members = cut_lineage(
+        typed.join(size, ["sample_id", "cell_type"], "left_semi").join(rich, "sample_id", "left_semi")
+    )
     normal = log_normalise(counts.join(members.select(*CELL), CELL, "left_semi"))
     genes = pairs.select(F.explode(F.array("ligand", "receptor")).alias("feature")).distinct()
-    values = normal.join(genes, "feature", "left_semi").select(*CELL, "feature", "value")
+    # the counts of the paired genes only, read by the tests, the means and every relabelling
+    values = cut_lineage(normal.join(genes, "feature", "left_semi").select(*CELL, "feature", "value"))
     if only_over_expressed:
-        hits = over_expressed(values, members).select("sample_id", "feature").distinct()
+        hits = cut_lineage(over_expressed(values, members).select("sample_id", "feature").distinct())
         values = values.join(hits, ["sample_id", "feature"], "left_semi")
     observed = communication_probabilities(
         type_trimeans(values, members, ["sample_id", "cell_type"]), pairs, ["sample_id"]
     )
+    observed = cut_lineage(observed)
     if permutations <= 0:
         return observed.withColumn("p_value", F.lit(None).cast("double"))
     by_sample = Window.partitionBy("sample_id").orderBy("cell_type")

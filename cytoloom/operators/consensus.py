@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cytoloom.functions.labels import paste
-from cytoloom.functions.stats import group_join
+from cytoloom.session import cut_lineage
 
 # Children of each cell type.
 CHILDREN = {
@@ -80,7 +80,7 @@ def vote(
     overrides = OVERRIDES if overrides is None else overrides
     weights = weights or [1.0] * len(sources)
     share = [w / sum(weights) for w in weights]
-    tree = closure(edges)
+    tree = cut_lineage(closure(edges))
     nodes = tree.groupBy("ancestor").agg(F.max("distance").alias("_height"))
     parents = tree.groupBy("descendant").agg(F.max("distance").alias("_depth"))
     kind = nodes.join(parents, nodes.ancestor == parents.descendant).select(
@@ -136,7 +136,7 @@ def vote(
         .when(F.col("n_best") == 1, F.col("best"))
         .when(F.col("n_up") == 1, F.col("up"))
     )
-    return (
+    return cut_lineage(
         combos.select(key)
         .join(winners, key, "left")
         .join(up_best, key, "left")
@@ -173,7 +173,7 @@ def cell_type_consensus(
     if author_column:
         cols.append(author_column)
     unified = unified.withColumn("ensemble_joinid", paste(*[F.col(c) for c in cols]))
-    combos = unified.select("ensemble_joinid", *cols).distinct()
+    combos = cut_lineage(unified.select("ensemble_joinid", *cols).distinct())
     base = [f"{s}_unified" for s in sources]
     data_driven = vote(combos, "ensemble_joinid", base, "data_driven_ensemble", edges)
     if author_column:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cytoloom.functions.stats import benjamini_hochberg, first_per_group, group_join, hash_order
+from cytoloom.session import cut_lineage
 
 # Count filter, samples used for dispersions, values per task (fixed values).
 MIN_COUNTS = 10
@@ -225,7 +226,7 @@ def test_fixed_effects(
     values, designs = _gene_tasks(bulk, big, gene_dispersions(bulk, big, ["group_id"]))
     key = ["group_id", "chunk"]
     out = values.groupBy(*key).cogroup(designs.groupBy(*key)).applyInPandas(_fit_fixed(factors or [], interest), _FIXED)
-    return benjamini_hochberg(out, ["group_id", "contrast"], "p_value", "fdr")
+    return benjamini_hochberg(cut_lineage(out), ["group_id", "contrast"], "p_value", "fdr")
 
 
 test_fixed_effects.__test__ = False
@@ -292,7 +293,7 @@ def test_random_intercept(
     out = (
         values.groupBy(*key).cogroup(designs.groupBy(*key)).applyInPandas(_fit_random(factors or [], interest, unit), _RANDOM)
     )
-    return benjamini_hochberg(out, ["group_id", "contrast"], "p_value", "fdr")
+    return benjamini_hochberg(cut_lineage(out), ["group_id", "contrast"], "p_value", "fdr")
 
 
 test_random_intercept.__test__ = False

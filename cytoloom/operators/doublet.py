@@ -14,6 +14,7 @@ from cytoloom.functions.stats import group_join, hash_order, ranked_values, valu
 from cytoloom.operators.features import feature_vectors, principal_components, variable_features
 from cytoloom.operators.normalize import log_normalise
 from cytoloom.schema import CELL
+from cytoloom.session import cut_lineage
 
 CELLS_PER_BLOCK = 2000
 # Share of doublets expected per cell of a sample (fixed value: 1 % per thousand cells).
@@ -88,9 +89,11 @@ def classify_doublets(
     values = log_normalise(mixed.withColumn("assay", F.lit("RNA")))
     pcs, _ = principal_components(feature_vectors(values, chosen, CELL), 10)
     table = facts.join(pcs.select(*CELL, vector_to_array("pcs").alias("pcs")), CELL)
-    shares = table.groupBy("sample_id", "block").applyInPandas(
-        _doublet_neighbours(k),
-        "sample_id string, cell_id string, artificial int, n_count double, n_feature double, share double",
+    shares = cut_lineage(
+        table.groupBy("sample_id", "block").applyInPandas(
+            _doublet_neighbours(k),
+            "sample_id string, cell_id string, artificial int, n_count double, n_feature double, share double",
+        )
     )
     ready = VectorAssembler(inputCols=["share", "n_count", "n_feature"], outputCol="x").transform(shares)
     model = GBTClassifier(featuresCol="x", labelCol="artificial", maxIter=10, maxDepth=3, seed=seed).fit(ready)
@@ -99,6 +102,7 @@ def classify_doublets(
         .select(*CELL, vector_to_array("probability")[1].alias("score"))
         .withColumn("_score", F.round("score", 9))
     )
+    scored = cut_lineage(scored)
     size = cells.groupBy("sample_id").agg((F.count(F.lit(1)) * RATE_PER_CELL).alias("rate"))
     ranked = _share_above(scored)
     called = group_join(scored, ranked, ["sample_id", "_score"]).join(size, "sample_id")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -18,6 +16,7 @@ from cytoloom.functions.stats import (
     value_counts,
 )
 from cytoloom.schema import CELL
+from cytoloom.session import cut_lineage
 
 # Barcodes up to this total are ambient; a call needs this false discovery rate (fixed values).
 AMBIENT_LOWER = 100
@@ -227,13 +226,13 @@ def ambient_test(
     cells with the same draws, so the parts agree with the whole.
     """
     rna = without_mito_ribo(counts, features)
-    sizes = library_size(rna, cells)
+    sizes = cut_lineage(library_size(rna, cells))
     sample = sizes.groupBy("sample_id").agg(
         F.min("n_feature").alias("least_features"),
         F.sum(F.when(F.col("n_count") <= lower, F.col("n_count"))).alias("ambient_total"),
         F.count(F.lit(1)).alias("n_cells"),
     )
-    profile = ambient_profile(rna, sizes, lower)
+    profile = cut_lineage(ambient_profile(rna, sizes, lower))
     packed = profile.groupBy("sample_id").agg(F.array_sort(F.collect_list("prob")).alias("probs"))
     tested = sizes.where(F.col("n_count") > lower)
     fit = (
@@ -249,6 +248,7 @@ def ambient_test(
         .withColumn("_parts", F.ceil(F.col("n_cells") / cells_per_task).cast("int"))
         .withColumn("_part", F.pmod(F.xxhash64("cell_id"), F.col("_parts")).cast("int"))
     )
+    scored = cut_lineage(scored)
     open_cells = scored.where(F.col("n_count") < F.col("knee"))
     profiles = packed.join(sample.select("sample_id", "n_cells"), "sample_id").withColumn(
         "_part", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n_cells") / cells_per_task).cast("int") - 1))
@@ -264,6 +264,8 @@ def ambient_test(
         .join(p, CELL, "left")
         .withColumn("p_value", F.when(F.col("n_count") >= F.col("knee"), F.lit(0.0)).otherwise(F.col("p_value")))
     )
+    # the simulation must not run again for every pass of the adjustment
+    with_p = cut_lineage(with_p)
     adjusted = benjamini_hochberg(with_p.where(F.col("p_value").isNotNull()), ["sample_id"], "p_value", "fdr")
     plain = F.col("least_features") >= enough_features
     fallback = F.coalesce("ambient_total", F.lit(0.0)) <= 0

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cytoloom.functions.stats import first_per_group, group_join, hash_order
 from cytoloom.operators.normalize import log_normalise
 from cytoloom.schema import CELL
+from cytoloom.session import cut_lineage
 
 # Gene families that vary for technical or clonal reasons (fixed pattern).
 TECHNICAL_FAMILIES = "^MT|^RPL|^RPS|TRAV|TRBV|TRDV|TRGV"
@@ -57,7 +58,8 @@ def standardised_variance(counts: DataFrame, cells: DataFrame, keys: list[str])
     lone = not keys
     if lone:
         cells, keys = cells.withColumn("_all", F.lit(1)), ["_all"]
-    stats = variances(counts, cells, keys).where((F.col("variance") > 0) & (F.col("mean") > 0))
+    # one row per gene and group, read four times by the trend
+    stats = cut_lineage(variances(counts, cells, keys).where((F.col("variance") > 0) & (F.col("mean") > 0)))
     stats = stats.withColumn("x", F.log10("mean")).withColumn("y", F.log10("variance"))
     centre = stats.groupBy(*keys).agg(F.avg("x").alias("x_mean"))
     fitted = group_join(stats, centre, keys).withColumn("u", F.col("x") - F.col("x_mean")).withColumn("q", F.col("u") * F.col("u"))
@@ -179,12 +181,13 @@ def feature_vectors(values: DataFrame, chosen: DataFrame, keys: list[str]) -> Da
     rows = values.join(chosen.select("feature").distinct(), "feature", "left_semi")
     packed = rows.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("feature", "value"))).alias("_m"))
     order = F.array(*[F.lit(x) for x in names])
-    return packed.select(
+    # fitted and transformed in several passes
+    return cut_lineage(packed.select(
         *keys,
         array_to_vector(
             F.transform(order, lambda g: F.coalesce(F.element_at(F.col("_m"), g), F.lit(0.0)))
         ).alias("vector"),
-    )
+    ))
 
 
 def principal_components(vectors: DataFrame, k: int, column: str = "vector"):

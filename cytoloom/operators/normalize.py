@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cytoloom.functions.stats import first_per_group, group_join, group_quantiles, hash_order, ranked_values, value_counts
 from cytoloom.schema import CELL
+from cytoloom.session import cut_lineage
 
 # Cells looked at for model fits and matrix checks (fixed value).
 CHECK_CELLS = 5000
@@ -180,7 +181,7 @@ def stabilise_variance(
     count is not zero is added; only highly expressed genes can have one. Samples with
     one cell or none give no rows.
     """
-    totals = counts.groupBy(*CELL).agg(F.sum("value").alias("cell_total")).where(F.col("cell_total") > 0)
+    totals = cut_lineage(counts.groupBy(*CELL).agg(F.sum("value").alias("cell_total")).where(F.col("cell_total") > 0))
     size = totals.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n_cells")).where(F.col("n_cells") > 1)
     mid = group_quantiles(totals, ["sample_id"], "cell_total", {"mid_total": 0.5})
     totals = totals.join(size, "sample_id", "left_semi")
@@ -214,7 +215,9 @@ def stabilise_variance(
     genes = models.groupBy("sample_id").applyInPandas(
         _gene_models, "sample_id string, feature string, rate double, theta double, mean double"
     )
-    ready = genes.join(mid, "sample_id").join(size, "sample_id").withColumn("mu_mid", F.col("rate") * F.col("mid_total"))
+    ready = cut_lineage(
+        genes.join(mid, "sample_id").join(size, "sample_id").withColumn("mu_mid", F.col("rate") * F.col("mid_total"))
+    )
 
     def corrected(df: DataFrame) -> DataFrame:
         mu = F.col("rate") * F.col("cell_total")

@@ -46,15 +46,16 @@ def expand(df: DataFrame, column: str, levels: list) -> DataFrame:
     return df.withColumn(column, F.explode(F.array(*[F.lit(x) for x in levels])))
 
 
-def frequent_columns(tables: dict[str, list[str]], spark, more_than: float = 0.5) -> DataFrame:
-    """Columns found in more than the given share of the datasets' tables."""
-    rows = [(d, cs) for d, cs in tables.items()]
-    seen = spark.createDataFrame(rows, "dataset_id string, columns array<string>")
+def frequent_columns(seen: DataFrame, more_than: float = 0.5) -> DataFrame:
+    """Columns found in more than the given share of the datasets.
+
+    ``seen`` has one row or more per (dataset_id, column).
+    """
+    n_datasets = seen.select(F.count_distinct("dataset_id")).scalar()
     return (
-        seen.select("dataset_id", F.explode("columns").alias("column"))
-        .groupBy("column")
-        .agg(F.count_distinct("dataset_id").alias("n"))
-        .where(F.col("n") > len(tables) * more_than)
+        seen.groupBy("column")
+        .agg(F.count_distinct("dataset_id").alias("n_datasets"))
+        .where(F.col("n_datasets") > n_datasets * more_than)
     )
 
 

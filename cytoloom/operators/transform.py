@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cytoloom.functions.stats import first_per_group, group_join, group_quantiles, hash_order, ranked_values, value_counts
+from cytoloom.functions.stats import first_per_group, group_quantiles, hash_order, value_counts
 from cytoloom.operators.normalize import CHECK_CELLS
 from cytoloom.schema import CELL
+from cytoloom.session import cut_lineage
 
 # Inferred distribution -> transform and upper bound (fixed values).
 METHODS = {
@@ -73,7 +74,7 @@ def most_frequent_value(counts: DataFrame, sizes: DataFrame) -> DataFrame:
 def profile_values(counts: DataFrame, cells: DataFrame, features: DataFrame) -> DataFrame:
     """Value profile of every sample's dense matrix: the zeros count for min and median."""
     sizes = matrix_sizes(cells, features)
-    stored = value_counts(counts, ["sample_id"], "value").select("sample_id", "value", "n")
+    stored = cut_lineage(value_counts(counts, ["sample_id"], "value").select("sample_id", "value", "n"))
     dense = with_implicit_zeros(stored, sizes)
     median = group_quantiles(dense, ["sample_id"], "value", {"median_val": 0.5}, weight="n")
     positive = stored.where(F.col("value") > 0)

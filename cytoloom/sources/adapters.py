@@ -8,13 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cytoloom.operators import alive, empties
+from cytoloom.session import cut_lineage
 
 # Features a cell needs in these small cells (fixed value of the adapter).
 FEATURE_THRESHOLD = 25
 
 
 class Tables:
-    """Lazily read tables of one scale factor plus the core tables built from them."""
+    """Lazily read tables of one scale factor plus the core tables built from them.
+
+    Side tables have one row per cell and feed several later steps, so they are stored
+    once, as a study would keep them.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -72,13 +77,14 @@ class Tables:
 
     @cached_property
     def empty_tbl(self) -> DataFrame:
-        return empties.by_feature_threshold(
+        table = empties.by_feature_threshold(
             self.counts, self.cells, self.features, default_threshold=FEATURE_THRESHOLD
         )
+        return cut_lineage(table)
 
     @cached_property
     def alive_tbl(self) -> DataFrame:
-        return alive.identify_alive(self.counts, self.cells, self.features, self.empty_tbl)
+        return cut_lineage(alive.identify_alive(self.counts, self.cells, self.features, self.empty_tbl))
 
     @cached_property
     def doublet_tbl(self) -> DataFrame:
