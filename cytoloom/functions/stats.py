@@ -36,6 +36,11 @@ def group_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "i
     return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
+def fresh(df: DataFrame) -> DataFrame:
+    """The same columns under new identities, for pairing a table with a relative of itself."""
+    return df.select(*[F.col(c).alias(c) for c in df.columns])
+
+
 def value_range(value: str, per_octave: int = 256) -> Column:
     """Number of the value range of a finite number; larger values never get a smaller one."""
     v = F.col(value).cast("double")

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cytoloom.functions.stats import benjamini_hochberg, first_per_group, group_join, hash_order
+from cytoloom.functions.stats import benjamini_hochberg, first_per_group, fresh, group_join, hash_order
 from cytoloom.session import cut_lineage
 
 # Count filter, samples used for dispersions, values per task (fixed values).
@@ -225,7 +225,7 @@ def test_fixed_effects(
     big = with_libraries(bulk, samples).withColumn("_n", F.count(F.lit(1)).over(n)).where(F.col("_n") >= min_samples).drop("_n")
     values, designs = _gene_tasks(bulk, big, gene_dispersions(bulk, big, ["group_id"]))
     key = ["group_id", "chunk"]
-    out = values.groupBy(*key).cogroup(designs.groupBy(*key)).applyInPandas(_fit_fixed(factors or [], interest), _FIXED)
+    out = values.groupBy(*key).cogroup(fresh(designs).groupBy(*key)).applyInPandas(_fit_fixed(factors or [], interest), _FIXED)
     return benjamini_hochberg(cut_lineage(out), ["group_id", "contrast"], "p_value", "fdr")
 
 
@@ -291,7 +291,7 @@ def test_random_intercept(
     values, designs = _gene_tasks(bulk, ready, gene_dispersions(bulk, ready, ["group_id"]))
     key = ["group_id", "chunk"]
     out = (
-        values.groupBy(*key).cogroup(designs.groupBy(*key)).applyInPandas(_fit_random(factors or [], interest, unit), _RANDOM)
+        values.groupBy(*key).cogroup(fresh(designs).groupBy(*key)).applyInPandas(_fit_random(factors or [], interest, unit), _RANDOM)
     )
     return benjamini_hochberg(cut_lineage(out), ["group_id", "contrast"], "p_value", "fdr")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cytoloom.functions.stats import (
     benjamini_hochberg,
+    fresh,
     group_join,
     group_quantiles,
     log_factorial,
@@ -256,7 +257,7 @@ def ambient_test(
     p = (
         open_cells.select(*CELL, "n_count", "log_prob", "_part")
         .groupBy("sample_id", "_part")
-        .cogroup(profiles.groupBy("sample_id", "_part"))
+        .cogroup(fresh(profiles).groupBy("sample_id", "_part"))
         .applyInPandas(_simulated_p(iterations, seed), "sample_id string, cell_id string, p_value double")
     )
     with_p = (

@@ -178,8 +178,10 @@ def feature_vectors(values: DataFrame, chosen: DataFrame, keys: list[str]) -> Da
     names = [r[0] for r in chosen.select("feature").distinct().orderBy("feature").collect()]
     if len(names) > 5000:
         raise ValueError("choose at most 5000 genes for the coordinates")
-    rows = values.join(chosen.select("feature").distinct(), "feature", "left_semi")
-    packed = rows.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("feature", "value"))).alias("_m"))
+    rows = values.join(chosen.select("feature").distinct().withColumn("_chosen", F.lit(True)), "feature", "left")
+    # keys without a chosen gene stay, as zero vectors
+    entry = F.when(F.col("_chosen"), F.struct("feature", "value"))
+    packed = rows.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("_m"))
     order = F.array(*[F.lit(x) for x in names])
     # fitted and transformed in several passes
     return cut_lineage(packed.select(

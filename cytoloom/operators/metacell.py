@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cytoloom.functions.stats import group_join
+from cytoloom.functions.stats import fresh, group_join
 from cytoloom.operators.features import top_variance_features
 from cytoloom.operators.normalize import log_normalise
 from cytoloom.schema import CELL
@@ -131,7 +131,7 @@ def metacell_memberships(
         f"gamma{2 ** i} long" for i in range(1, max_gammas + 1)
     )
     key = ["sample_id", "cell_type", "block"]
-    return placed.groupBy(*key).cogroup(values.groupBy(*key)).applyInPandas(_memberships(max_gammas), schema)
+    return placed.groupBy(*key).cogroup(fresh(values).groupBy(*key)).applyInPandas(_memberships(max_gammas), schema)
 
 
 def assign_to_centroids(points: DataFrame, centroids: DataFrame) -> DataFrame:

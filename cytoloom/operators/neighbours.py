@@ -36,8 +36,8 @@ def _block_best(k: int, same: bool):
         if queries.empty or points.empty:
             return pd.DataFrame({"id": [], "neighbour": [], "distance": []})
         q = np.stack(queries["vec"].to_numpy()).astype(float)
-        p = np.stack(points["vec"].to_numpy()).astype(float)
-        qid, pid = queries["id"].to_numpy(), points["id"].to_numpy()
+        p = np.stack(points["other_vec"].to_numpy()).astype(float)
+        qid, pid = queries["id"].to_numpy(), points["other_id"].to_numpy()
         out = []
         step = max(1, 20_000_000 // (len(p) * max(q.shape[1], 1)))
         for lo in range(0, len(q), step):
@@ -108,11 +108,14 @@ def nearest_neighbours(points: DataFrame, k: int = 5, n_pivots: int = 64, block_
     )
     others = (
         blocked.join(plan, F.col("voronoi") == F.col("pv"))
-        .select("id", "vec", "qv", "pv", every_block("qv").alias("qb"), F.col("block").alias("pb"))
+        .select(
+            F.col("id").alias("other_id"), F.col("vec").alias("other_vec"), F.col("qv").alias("to_qv"),
+            F.col("pv").alias("to_pv"), every_block("qv").alias("to_qb"), F.col("block").alias("to_pb"),
+        )
     )
     best = (
         queries.groupBy("qv", "pv", "qb", "pb")
-        .cogroup(others.groupBy("qv", "pv", "qb", "pb"))
+        .cogroup(others.groupBy("to_qv", "to_pv", "to_qb", "to_pb"))
         .applyInPandas(_block_best(k, True), f"id {id_type}, neighbour {id_type}, distance double")
     )
     # a query meets at most k rows per visited block

@@ -27,4 +27,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from registry import atlas, cells, labels, population, relational, sources  # noqa: F401
+    from registry import sources, relational, cells, population, labels, atlas  # noqa: F401, I001
