@@ -212,7 +212,7 @@ def clean_cell_type(name: Column) -> Column:
 def harmonise_non_immune(name: Column) -> Column:
     """Later rules see earlier rewrites, so the rules run as one fold over a rule array."""
     rules = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(v).alias("v")) for p, v in NON_IMMUNE_RULES])
-    folded = F.aggregate(rules, name, lambda acc, r: F.when(acc.rlike(r["p"]), r["v"]).otherwise(acc))
+    folded = F.aggregate(rules, name, lambda acc, r: F.when(F.rlike(acc, r["p"]), r["v"]).otherwise(acc))
     return F.regexp_replace(folded, " ", "_")
 
 

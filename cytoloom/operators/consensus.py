@@ -51,7 +51,9 @@ def closure(edges: DataFrame) -> DataFrame:
 
 def roll_up(df: DataFrame, label: str, level: int, edges: DataFrame, out: str = "cell_type_level") -> DataFrame:
     """Replace a label by its ancestor at the given level (roots are level 1)."""
-    tree = closure(edges.where(F.col("edge_type") == "Hierarchy"))
+    own = F.col("edge_type") == "Hierarchy"
+    others = edges.where(~own).select(F.explode(F.array("parent", "child")).alias("parent"))
+    tree = cut_lineage(closure(edges.where(own).unionByName(others, allowMissingColumns=True)))
     depth = tree.groupBy("descendant").agg((F.max("distance") + 1).alias("depth"))
     levels = (
         tree.join(depth, "descendant")

@@ -231,6 +231,32 @@ def test_fixed_effects(
 
 test_fixed_effects.__test__ = False
 
+def _quasi_likelihood(
+    y: np.ndarray, both: np.ndarray, p: int, offset: np.ndarray, phi: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fixed and random coefficients, their variances and the intercept variance of many genes."""
+    g, width = len(y), both.shape[1]
+    q = width - p
+    sigma2, coef, eta = np.full(g, 0.1), np.zeros((g, width)), np.log(np.maximum(y, 0.5))
+    diagonal = np.arange(p, width)
+    cov = np.zeros((g, width))
+    for _ in range(60):
+        mu = np.exp(np.clip(eta, -30, 30))
+        w = mu / (1 + phi[:, None] * mu)
+        z = eta - offset + (y - mu) / mu
+        lhs = np.einsum("si,gs,sj->gij", both, w, both, optimize=True) + 1e-9 * np.eye(width)
+        lhs[:, diagonal, diagonal] += 1 / np.maximum(sigma2, 1e-8)[:, None]
+        inverse = np.linalg.inv(lhs)
+        new = np.einsum("gij,gj->gi", inverse, np.einsum("si,gs->gi", both, w * z))
+        cov = inverse[:, np.arange(width), np.arange(width)]
+        sigma2 = ((new[:, p:] ** 2).sum(1) + cov[:, p:].sum(1)) / q
+        moved = np.abs(new - coef).max()
+        coef, eta = new, np.clip(new @ both.T + offset, -30, 30)
+        if moved < 1e-6:
+            break
+    return coef, cov, sigma2
+
+
 _RANDOM = "group_id string, feature string, contrast string, log2_fold_change double, std_error double, sigma2 double, p_value double, error string"
 
 
@@ -252,33 +278,30 @@ def _fit_random(factors: list[str], interest: str, unit: str):
         zed = np.zeros((len(samples), q))
         zed[np.arange(len(samples)), codes] = 1
         both = np.hstack([x, zed])
-        rows = []
-        for g, gene in enumerate(genes):
-            try:
-                if not tested or np.linalg.matrix_rank(x) < p:
-                    raise ValueError("the design is confounded")
-                sigma2, coef, eta = 0.1, np.zeros(p + q), np.log(np.maximum(y[g], 0.5))
-                for _ in range(60):
-                    mu = np.exp(np.clip(eta, -30, 30))
-                    w = mu / (1 + phi[g] * mu)
-                    z = eta - offset + (y[g] - mu) / mu
-                    lhs = both.T @ (both * w[:, None])
-                    lhs[range(p, p + q), range(p, p + q)] += 1 / max(sigma2, 1e-8)
-                    inverse = np.linalg.inv(lhs + 1e-9 * np.eye(p + q))
-                    new = inverse @ (both.T @ (w * z))
-                    u = new[p:]
-                    sigma2 = float((u @ u + np.trace(inverse[p:, p:])) / q)
-                    done = np.abs(new - coef).max() < 1e-6
-                    coef, eta = new, both @ new + offset
-                    if done:
-                        break
-                for t in tested:
-                    se = math.sqrt(max(inverse[t, t], 0))
-                    pv = math.erfc(abs(coef[t]) / se / math.sqrt(2)) if se > 0 else np.nan
-                    rows.append((group, gene, terms[t], coef[t] / math.log(2), se / math.log(2), sigma2, pv, None))
-            except (ValueError, np.linalg.LinAlgError, FloatingPointError) as e:
-                rows.append((group, gene, None, np.nan, np.nan, np.nan, np.nan, str(e)))
-        return pd.DataFrame(rows, columns=names)
+        if not tested or np.linalg.matrix_rank(x) < p:
+            return pd.DataFrame(
+                {"group_id": group, "feature": genes, "contrast": None, "log2_fold_change": np.nan, "std_error": np.nan,
+                 "sigma2": np.nan, "p_value": np.nan, "error": "the design is confounded"}
+            )
+        out = []
+        step = max(1, 20_000_000 // (p + q) ** 2)
+        for lo in range(0, len(genes), step):
+            part = slice(lo, lo + step)
+            coef, cov, sigma2 = _quasi_likelihood(y[part], both, p, offset, phi[part])
+            for t in tested:
+                se = np.sqrt(np.maximum(cov[:, t], 0))
+                z = np.abs(coef[:, t]) / np.where(se > 0, se, np.nan) / math.sqrt(2)
+                ok = np.isfinite(z)
+                out.append(
+                    pd.DataFrame(
+                        {"group_id": group, "feature": genes[part], "contrast": terms[t],
+                         "log2_fold_change": np.where(ok, coef[:, t] / math.log(2), np.nan),
+                         "std_error": np.where(ok, se / math.log(2), np.nan), "sigma2": np.where(ok, sigma2, np.nan),
+                         "p_value": [math.erfc(v) if np.isfinite(v) else np.nan for v in z],
+                         "error": np.where(ok, None, "no convergence")}
+                    )
+                )
+        return pd.concat(out)
 
     return run
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 4000
+MAX_PIVOTS = 512
 
 
 def _nearest_pivot(pivots: np.ndarray):
@@ -58,12 +59,17 @@ def _block_best(k: int, same: bool):
     return run
 
 
-def nearest_neighbours(points: DataFrame, k: int = 5, n_pivots: int = 64, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def nearest_neighbours(
+    points: DataFrame, k: int = 5, n_pivots: int | None = None, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
     """(id, neighbour, distance, place) of the k nearest other points by euclidean distance.
 
-    ``points`` has a unique id and an array column vec.
+    ``points`` has a unique id and an array column vec. Without ``n_pivots`` there is one
+    pivot per thousand points, at most MAX_PIVOTS.
     """
     spark = points.sparkSession
+    if n_pivots is None:
+        n_pivots = min(MAX_PIVOTS, 1 + points.count() // 1000)
     # a fixed number of pivots, chosen by hash: small on the driver whatever the table
     chosen = points.orderBy(F.md5(F.col("id").cast("string")), "id").limit(n_pivots).select("vec").collect()
     if not chosen:
