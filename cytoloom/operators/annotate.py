@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cytoloom.schema import CELL
+from cytoloom.session import cut_lineage
 
 # Quantile of a label's profile correlations that scores the label; fine-tuning margin (fixed values).
 SCORE_QUANTILE = 0.8
 TUNE_MARGIN = 0.05
+# Numbers of a reference matrix that may travel to every executor (256 MB).
+MATRIX_LIMIT = 32_000_000
 
 
 def _dense_ranks(values: DataFrame, keys: list[str], n_genes: int) -> DataFrame:
@@ -32,68 +39,112 @@ def _dense_ranks(values: DataFrame, keys: list[str], n_genes: int) -> DataFrame:
     )
 
 
+def _centred_reference(reference: DataFrame, genes: DataFrame, n_genes: int) -> tuple[DataFrame, DataFrame]:
+    """(gene, profile, centred rank) of the expressed entries, and per profile its norm and zero rank."""
+    centre = (n_genes + 1) / 2.0
+    ranks = _dense_ranks(reference.select("profile", "feature", "value"), ["profile"], n_genes)
+    facts = ranks.groupBy("profile").agg(
+        F.first("zero_rank").alias("zero_rank"),
+        F.sum(F.pow(F.col("rank") - centre, 2)).alias("_ss"),
+        F.count(F.lit(1)).alias("_nnz"),
+    )
+    facts = facts.select(
+        "profile",
+        (F.col("zero_rank") - centre).alias("zero"),
+        F.sqrt(F.col("_ss") + (n_genes - F.col("_nnz")) * F.pow(F.col("zero_rank") - centre, 2)).alias("norm"),
+    )
+    return ranks.select("profile", "feature", (F.col("rank") - centre).alias("centred")), facts
+
+
+def _block_products(matrix, n_profiles: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ref = matrix.value
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            sizes = pdf["genes"].map(len).to_numpy()
+            genes = np.concatenate(pdf["genes"].to_numpy()).astype(int)
+            weights = np.concatenate(pdf["weights"].to_numpy()).astype(float)
+            ends = np.cumsum(sizes)
+            dots = np.empty((len(pdf), n_profiles))
+            lo = 0
+            # a few hundred cells at a time keep the gathered reference rows small
+            while lo < len(pdf):
+                hi = min(len(pdf), lo + max(1, int(4_000_000 // (sizes[lo : lo + 256].max() * n_profiles + 1))))
+                a, b = ends[lo] - sizes[lo], ends[hi - 1]
+                starts = ends[lo:hi] - sizes[lo:hi] - a
+                dots[lo:hi] = np.add.reduceat(ref[genes[a:b]] * weights[a:b, None], starts, axis=0)
+                lo = hi
+            yield pdf[[*CELL, "norm"]].assign(dots=list(dots))
+
+    return run
+
+
 def profile_correlations(counts: DataFrame, reference: DataFrame) -> DataFrame:
     """Spearman correlation of every cell with every reference profile: (cell, profile, cor).
 
-    Only genes of the reference count. The ranks of all profiles for one gene form one
-    vector, so the counts are joined once per gene and a cell's correlations are one
-    vector sum, formed map-side. The log transform keeps ranks, so it is not applied.
+    Only genes of the reference count; the log transform keeps ranks, so it is not
+    applied. With centred profile ranks the zeros of a cell cancel: the correlation is
+    the sum over its expressed genes of (rank - zero rank) * centred profile rank.
+
+    A reference of up to MATRIX_LIMIT numbers goes to the executors as one matrix and a
+    cell's row is formed where its ranks are, without another shuffle. A larger one is
+    joined gene by gene, the ranks of all profiles for one gene in one vector.
     """
+    spark = counts.sparkSession
     genes = reference.select("feature").distinct()
-    # the two sizes shape the vectors, so they are fetched: two numbers and the profile names
+    # the sizes shape the vectors, so they are fetched: two numbers and the profile names
     profiles = [r[0] for r in reference.select("profile").distinct().orderBy("profile").collect()]
     n_genes = genes.count()
-    ref = _dense_ranks(reference.select("profile", "feature", "value"), ["profile"], n_genes)
     centre = (n_genes + 1) / 2.0
-    zero = ref.groupBy("profile").agg(F.first("zero_rank").alias("zero_rank"))
-    norms = ref.groupBy("profile").agg(
-        F.sum(F.pow(F.col("rank") - centre, 2)).alias("_ss"),
-        F.count(F.lit(1)).alias("_nnz"),
-        F.first("zero_rank").alias("_zr"),
-    ).select(
-        "profile",
-        F.sqrt(F.col("_ss") + (n_genes - F.col("_nnz")) * F.pow(F.col("_zr") - centre, 2)).alias("norm"),
-    )
-    zero_of = {r["profile"]: r["zero_rank"] for r in zero.collect()}
-    norm_of = {r["profile"]: r["norm"] for r in norms.collect()}
-    by_gene = (
-        genes.join(ref.groupBy("feature").agg(F.map_from_entries(F.collect_list(F.struct("profile", "rank"))).alias("_m")), "feature", "left")
-        .select(
-            "feature",
-            array_to_vector(
-                F.array(
-                    *[
-                        F.coalesce(F.element_at(F.col("_m"), F.lit(p)), F.lit(float(zero_of.get(p, centre)))) - centre
-                        for p in profiles
-                    ]
-                )
-            ).alias("ranks"),
-        )
-    )
+    centred, facts = _centred_reference(reference, genes, n_genes)
+    facts = {r["profile"]: (r["zero"], r["norm"]) for r in facts.collect()}
+    zero = [float(facts[p][0]) if p in facts else 0.0 for p in profiles]
+    norm = [float(facts[p][1]) if p in facts else 0.0 for p in profiles]
     ranked = _dense_ranks(counts.select(*CELL, "feature", "value").join(genes, "feature", "left_semi"), CELL, n_genes)
-    # sum over genes of (rank - centre) * (profile rank - centre): the zeros' part cancels
-    # because the centred profile ranks sum to zero
-    sums = (
-        ranked.join(by_gene, "feature")
-        .groupBy(*CELL)
-        .agg(
-            Summarizer.sum(F.col("ranks"), F.col("rank") - F.col("zero_rank")).alias("_dot"),
-            F.sum(F.pow(F.col("rank") - centre, 2)).alias("_ss"),
-            F.count(F.lit(1)).alias("_nnz"),
-            F.first("zero_rank").alias("_zr"),
+    cell_norm = F.sqrt(
+        F.sum(F.pow(F.col("rank") - centre, 2))
+        + (n_genes - F.count(F.lit(1))) * F.pow(F.first("zero_rank") - centre, 2)
+    ).alias("norm")
+    if n_genes * len(profiles) <= MATRIX_LIMIT:
+        place = {p: i for i, p in enumerate(profiles)}
+        names = genes.orderBy("feature").toPandas()["feature"]
+        row = pd.Series(np.arange(n_genes), index=names)
+        matrix = np.tile(np.array(zero), (n_genes, 1))
+        entries = centred.toPandas()
+        matrix[row[entries["feature"]].to_numpy(), entries["profile"].map(place).to_numpy()] = entries["centred"]
+        numbered = spark.createDataFrame(pd.DataFrame({"feature": names, "gene": np.arange(n_genes)}))
+        per_cell = (
+            ranked.join(numbered, "feature")
+            .groupBy(*CELL)
+            .agg(
+                cell_norm,
+                F.collect_list("gene").alias("genes"),
+                F.collect_list(F.col("rank") - F.col("zero_rank")).alias("weights"),
+            )
         )
-        .withColumn(
-            "_norm", F.sqrt(F.col("_ss") + (n_genes - F.col("_nnz")) * F.pow(F.col("_zr") - centre, 2))
+        sums = per_cell.mapInPandas(
+            _block_products(spark.sparkContext.broadcast(matrix), len(profiles)),
+            "sample_id string, cell_id string, norm double, dots array<double>",
         )
-    )
-    names = F.array(*[F.struct(F.lit(p).alias("profile"), F.lit(float(norm_of.get(p, 0.0))).alias("norm")) for p in profiles])
-    return (
-        sums.select(*CELL, "_norm", F.explode(F.arrays_zip(names.alias("ref"), vector_to_array("_dot").alias("dot"))).alias("p"))
-        .select(
-            *CELL,
-            F.col("p.ref.profile").alias("profile"),
-            (F.col("p.dot") / (F.col("_norm") * F.col("p.ref.norm"))).alias("cor"),
+    else:
+        in_order = F.array(*[F.coalesce(F.element_at(F.col("_m"), F.lit(p)), F.lit(z)) for p, z in zip(profiles, zero)])
+        by_gene = genes.join(
+            centred.groupBy("feature").agg(F.map_from_entries(F.collect_list(F.struct("profile", "centred"))).alias("_m")),
+            "feature",
+            "left",
+        ).select("feature", array_to_vector(in_order).alias("ranks"))
+        sums = (
+            ranked.join(by_gene, "feature")
+            .groupBy(*CELL)
+            .agg(cell_norm, Summarizer.sum(F.col("ranks"), F.col("rank") - F.col("zero_rank")).alias("_dot"))
+            .select(*CELL, "norm", vector_to_array("_dot").alias("dots"))
         )
+    known = F.array(*[F.struct(F.lit(p).alias("profile"), F.lit(n).alias("norm")) for p, n in zip(profiles, norm)])
+    return sums.select(*CELL, "norm", F.explode(F.arrays_zip(known.alias("ref"), F.col("dots"))).alias("p")).select(
+        *CELL,
+        F.col("p.ref.profile").alias("profile"),
+        (F.col("p.dots") / (F.col("norm") * F.col("p.ref.norm"))).alias("cor"),
     )
 
 
@@ -114,7 +165,7 @@ def annotate_cells(
     Fine-tuning scores the labels within 0.05 of the best a second time on the genes
     that differ most between those labels' profiles.
     """
-    correlations = profile_correlations(counts, reference)
+    correlations = cut_lineage(profile_correlations(counts, reference))
     out = None
     for column in label_columns:
         labels = reference.select("profile", F.col(column).alias("label")).distinct()

@@ -8,22 +8,27 @@ from pyspark.sql import functions as F
 from cytoloom.functions.stats import hash_order
 from cytoloom.operators.normalize import log_normalise
 from cytoloom.schema import CELL
+from cytoloom.session import cut_lineage
 
 # Expression bins and control genes drawn per set gene (fixed values).
 BINS = 24
 CONTROLS = 100
 
 
-def control_features(
-    normalised: DataFrame, cells: DataFrame, features: DataFrame, gene_sets: DataFrame, bins: int = BINS, controls: int = CONTROLS
-) -> DataFrame:
+def mean_expression(normalised: DataFrame, cells: DataFrame) -> DataFrame:
+    """Mean of every gene over the cells of a sample, zeros counted."""
+    n_cells = cells.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n_cells"))
+    sums = normalised.groupBy("sample_id", "feature").agg(F.sum("value").alias("_sum"))
+    return sums.join(n_cells, "sample_id").select(
+        "sample_id", "feature", (F.col("_sum") / F.col("n_cells")).alias("mean")
+    )
+
+
+def control_features(means: DataFrame, gene_sets: DataFrame, bins: int = BINS, controls: int = CONTROLS) -> DataFrame:
     """Per sample and set: the genes drawn in hash order from the bins of the set's genes.
 
     Windows run over the genes of one sample, which the genome bounds.
     """
-    n_cells = cells.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n_cells"))
-    sums = normalised.groupBy("sample_id", "feature").agg(F.sum("value").alias("_sum"))
-    means = sums.join(n_cells, "sample_id").select("sample_id", "feature", (F.col("_sum") / F.col("n_cells")).alias("mean"))
     binned = means.withColumn(
         "bin", F.ntile(bins).over(Window.partitionBy("sample_id").orderBy(F.round("mean", 9), "feature"))
     )
@@ -41,7 +46,6 @@ def control_features(
 def score_cell_cycle(
     counts: DataFrame,
     cells: DataFrame,
-    features: DataFrame,
     gene_sets: DataFrame,
     kept: DataFrame | None = None,
     bins: int = BINS,
@@ -52,20 +56,21 @@ def score_cell_cycle(
         cells = cells.join(kept.select(*CELL), CELL, "left_semi")
         counts = counts.join(kept.select(*CELL), CELL, "left_semi")
     normalised = log_normalise(counts)
-    present = normalised.select("sample_id", "feature").distinct()
-    sets = present.join(gene_sets, "feature").select("sample_id", "set_name", "feature")
+    # one row per gene and sample; it says which genes there are as well
+    means = cut_lineage(mean_expression(normalised, cells))
+    sets = means.join(gene_sets, "feature").select("sample_id", "set_name", "feature")
     marked = sets.withColumn("role", F.lit("set")).unionByName(
-        control_features(normalised, cells, features, gene_sets, bins, controls).withColumn("role", F.lit("control"))
+        control_features(means, gene_sets, bins, controls).withColumn("role", F.lit("control"))
     )
     size = marked.groupBy("sample_id", "set_name", "role").agg(F.count(F.lit(1)).alias("n_genes"))
     weighted = marked.join(size, ["sample_id", "set_name", "role"]).withColumn(
         "w", F.when(F.col("role") == "set", 1.0).otherwise(-1.0) / F.col("n_genes")
     )
     # a gene's weight for both scores in one row: the counts are joined once
-    per_gene = weighted.groupBy("sample_id", "feature").agg(
+    per_gene = cut_lineage(weighted.groupBy("sample_id", "feature").agg(
         F.sum(F.when(F.col("set_name") == "S", F.col("w")).otherwise(0.0)).alias("w_s"),
         F.sum(F.when(F.col("set_name") == "G2M", F.col("w")).otherwise(0.0)).alias("w_g2m"),
-    )
+    ))
     scores = normalised.join(per_gene, ["sample_id", "feature"]).groupBy(*CELL).agg(
         F.sum(F.col("value") * F.col("w_s")).alias("s_score"), F.sum(F.col("value") * F.col("w_g2m")).alias("g2m_score")
     )

@@ -72,6 +72,7 @@ def vote(
     edges: DataFrame,
     weights: list[float] | None = None,
     overrides: list[str] | None = None,
+    tree: DataFrame | None = None,
 ) -> DataFrame:
     """One label per combination: (key, out).
 
@@ -82,7 +83,8 @@ def vote(
     overrides = OVERRIDES if overrides is None else overrides
     weights = weights or [1.0] * len(sources)
     share = [w / sum(weights) for w in weights]
-    tree = cut_lineage(closure(edges))
+    if tree is None:
+        tree = cut_lineage(closure(edges))
     nodes = tree.groupBy("ancestor").agg(F.max("distance").alias("_height"))
     parents = tree.groupBy("descendant").agg(F.max("distance").alias("_depth"))
     kind = nodes.join(parents, nodes.ancestor == parents.descendant).select(
@@ -177,13 +179,14 @@ def cell_type_consensus(
     unified = unified.withColumn("ensemble_joinid", paste(*[F.col(c) for c in cols]))
     combos = cut_lineage(unified.select("ensemble_joinid", *cols).distinct())
     base = [f"{s}_unified" for s in sources]
-    data_driven = vote(combos, "ensemble_joinid", base, "data_driven_ensemble", edges)
+    tree = cut_lineage(closure(edges))
+    data_driven = vote(combos, "ensemble_joinid", base, "data_driven_ensemble", edges, tree=tree)
     if author_column:
         combos = combos.withColumn(
             "_author", F.when(F.col(author_column).isin(non_immune_types), "non immune").otherwise(F.col(author_column))
         )
         full = vote(
-            combos, "ensemble_joinid", [*base, "_author"], "_vote", edges, weights=[*([1.0] * len(base)), 2.0]
+            combos, "ensemble_joinid", [*base, "_author"], "_vote", edges, weights=[*([1.0] * len(base)), 2.0], tree=tree
         )
     else:
         full = data_driven.withColumnRenamed("data_driven_ensemble", "_vote")

@@ -16,7 +16,7 @@ from cytoloom.session import cut_lineage
 MIN_COUNTS = 10
 MIN_PROPORTION = 0.7
 DISPERSION_SAMPLES = 2000
-VALUES_PER_TASK = 2_000_000
+VALUES_PER_TASK = 200_000
 
 
 def keep_abundant(
@@ -194,7 +194,7 @@ def _gene_tasks(bulk: DataFrame, samples: DataFrame, dispersions: DataFrame | No
     """Values and designs keyed by (group_id, chunk); a chunk's matrix stays bounded."""
     size = samples.groupBy("group_id").agg(F.count(F.lit(1)).alias("n"))
     genes = bulk.groupBy("group_id").agg(F.count_distinct("feature").alias("n_genes")).join(size, "group_id")
-    per = F.least(F.lit(100), F.greatest(F.lit(1), F.floor(F.lit(VALUES_PER_TASK) / F.col("n"))))
+    per = F.greatest(F.lit(1), F.floor(F.lit(VALUES_PER_TASK) / F.col("n")))
     shape = genes.withColumn("n_chunks", F.ceil(F.col("n_genes") / per).cast("int")).select("group_id", "n_chunks")
     values = bulk.join(shape, "group_id").withColumn("chunk", F.pmod(F.xxhash64("feature"), F.col("n_chunks")).cast("int"))
     if dispersions is not None:

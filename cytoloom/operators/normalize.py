@@ -162,11 +162,9 @@ def _gene_models(pdf: pd.DataFrame) -> pd.DataFrame:
     pick = order[np.unique(np.linspace(0, len(order) - 1, min(2000, len(order))).astype(int))]
     spread = mean.std() or 1.0
     width = max(3.0 * 1.06 * spread * len(pick) ** -0.2, 1e-6)
-    theta = np.empty(len(mean))
-    for lo in range(0, len(mean), 4000):
-        part = slice(lo, lo + 4000)
-        k = np.exp(-0.5 * ((mean[part, None] - mean[None, pick]) / width) ** 2)
-        theta[part] = (k * y[pick]).sum(1) / np.maximum(k.sum(1), 1e-300)
+    grid = np.linspace(mean.min(), mean.max(), 512)
+    k = np.exp(-0.5 * ((grid[:, None] - mean[None, pick]) / width) ** 2)
+    theta = np.interp(mean, grid, (k * y[pick]).sum(1) / np.maximum(k.sum(1), 1e-300))
     return pdf[["sample_id", "feature", "rate"]].assign(theta=10.0**theta, mean=mu)
 
 
@@ -212,7 +210,7 @@ def stabilise_variance(
         ((F.col("x2") - 2 * F.col("rate") * F.col("xt") + square - F.col("x1")) / square).alias("overdispersion"),
     )
     # one row per gene of one sample
-    genes = models.groupBy("sample_id").applyInPandas(
+    genes = models.repartition("sample_id").groupBy("sample_id").applyInPandas(
         _gene_models, "sample_id string, feature string, rate double, theta double, mean double"
     )
     ready = cut_lineage(

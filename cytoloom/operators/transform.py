@@ -167,7 +167,9 @@ def transform_assay(
     value, top, cap = F.col("value"), F.col("_top"), F.col("scale_max")
     method = F.col("method")
     tops = counts.groupBy("sample_id").agg(F.max("value").alias("_top"))
-    scaled = counts.join(tops.join(control, "sample_id"), "sample_id").withColumn(
+    # one row per sample from here on: the largest value, the shift and the mode
+    tops = cut_lineage(tops.join(control, "sample_id"))
+    scaled = counts.join(tops, "sample_id").withColumn(
         "value",
         F.when(method == "expm1", F.expm1(capped(value, top, cap)))
         .when(method == "identity_with_max_limit", capped(value, top, cap))
@@ -179,12 +181,14 @@ def transform_assay(
     looked_at = first_per_group(
         cells.select(*CELL), ["sample_id"], [hash_order(*CELL), F.col("cell_id")], check_cells
     )
+    looked_at = cut_lineage(looked_at)
     sizes = matrix_sizes(looked_at, features)
     if signed:
         light = scaled.join(looked_at, CELL, "left_semi")
         shift = _peaks(light, sizes).select(
             "sample_id", F.when(F.col("peak") < 0, -F.col("peak")).otherwise(0.0).alias("_shift")
         )
+        shift = cut_lineage(shift)
         scaled = scaled.join(shift, "sample_id", "left").withColumn(
             "value", F.round(F.col("value") + F.coalesce("_shift", F.lit(0.0)), 5)
         )
@@ -212,7 +216,9 @@ def transform_assay(
         modes = dense.join(best, "sample_id").where(F.col("n") == F.col("frequency")).select(
             "sample_id", F.col("value").alias("mode"), "frequency"
         )
-    mode = modes.groupBy("sample_id").agg(F.min_by("mode", F.struct(F.abs("mode"), "mode")).alias("_mode"))
+    mode = cut_lineage(
+        modes.groupBy("sample_id").agg(F.min_by("mode", F.struct(F.abs("mode"), "mode")).alias("_mode"))
+    )
     out = scaled.join(mode, "sample_id", "left").withColumn("_mode", F.coalesce("_mode", F.lit(0.0)))
     out = out.withColumn("value", F.greatest(F.lit(0.0), F.col("value") - F.col("_mode"))).select(*keep)
     if shift is not None:

@@ -53,7 +53,7 @@ class Study:
         empty = self.tables.get("empty_tbl")
         kept = empty.where(~F.col("empty_droplet")) if empty is not None else None
         return self._with(
-            cycle_tbl=cellcycle.score_cell_cycle(self.counts, self.cells, self.features, gene_sets, kept)
+            cycle_tbl=cellcycle.score_cell_cycle(self.counts, self.cells, gene_sets, kept)
         )
 
     def remove_doublets(self, **options) -> Study:

@@ -251,7 +251,7 @@ def _(t):
     sets = t.features.where(F.col("set_name").isin("PROMO", "ECONOMY")).select(
         F.when(F.col("set_name") == "PROMO", "S").otherwise("G2M").alias("set_name"), "feature"
     )
-    return rounded(cellcycle.score_cell_cycle(t.counts, t.cells, t.features, sets), "s_score", "g2m_score")
+    return rounded(cellcycle.score_cell_cycle(t.counts, t.cells, sets), "s_score", "g2m_score")
 
 
 # --- normalisation ----------------------------------------------------------------------------
