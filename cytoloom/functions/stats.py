@@ -260,6 +260,8 @@ def log_factorial(n: Column) -> Column:
         + 1.0 / (12.0 * z)
         - 1.0 / (360.0 * z * z * z)
         + 1.0 / (1260.0 * F.pow(z, F.lit(5.0)))
+        - 1.0 / (1680.0 * F.pow(z, F.lit(7.0)))
+        + 1.0 / (1188.0 * F.pow(z, F.lit(9.0)))
     )
     shift = reduce(Column.__add__, [F.log(n + float(i)) for i in range(1, 9)])
     return series - shift

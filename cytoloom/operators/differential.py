@@ -203,26 +203,32 @@ def _gene_tasks(bulk: DataFrame, samples: DataFrame, dispersions: DataFrame | No
     return values, designs
 
 
-def with_libraries(bulk: DataFrame, samples: DataFrame, factors: DataFrame | None = None) -> DataFrame:
+def with_libraries(bulk: DataFrame, samples: DataFrame, scaling: DataFrame | None = None) -> DataFrame:
     """Adds library size and scaling factor to the samples of every group."""
     lib = bulk.groupBy("group_id", "sample_id").agg(F.sum("value").alias("lib"))
     out = samples.join(lib, ["group_id", "sample_id"])
-    if factors is None:
+    if scaling is None:
         return out.withColumn("factor", F.lit(1.0))
-    return out.join(factors.select("sample_id", F.col("tmm").alias("factor")), "sample_id", "left").fillna(1.0, ["factor"])
+    return out.join(scaling.select("sample_id", F.col("tmm").alias("factor")), "sample_id", "left").fillna(1.0, ["factor"])
 
 
 def test_fixed_effects(
-    bulk: DataFrame, samples: DataFrame, interest: str, factors: list[str] | None = None, min_samples: int = 3
+    bulk: DataFrame,
+    samples: DataFrame,
+    interest: str,
+    factors: list[str] | None = None,
+    min_samples: int = 3,
+    scaling: DataFrame | None = None,
 ) -> DataFrame:
     """Likelihood-ratio test of a factor per gene in every group, with false discovery rates.
 
     ``bulk`` has (group_id, sample_id, feature, value), ``samples`` (group_id, sample_id,
-    factors …). Groups with fewer than three samples are left out; a model that cannot be
-    fitted says so in ``error``.
+    factors …). ``scaling`` may bring a library scaling factor ``tmm`` per sample. Groups
+    with fewer than three samples are left out; a model that cannot be fitted says so in
+    ``error``.
     """
     n = Window.partitionBy("group_id")
-    big = with_libraries(bulk, samples).withColumn("_n", F.count(F.lit(1)).over(n)).where(F.col("_n") >= min_samples).drop("_n")
+    big = with_libraries(bulk, samples, scaling).withColumn("_n", F.count(F.lit(1)).over(n)).where(F.col("_n") >= min_samples).drop("_n")
     values, designs = _gene_tasks(bulk, big, gene_dispersions(bulk, big, ["group_id"]))
     key = ["group_id", "chunk"]
     out = values.groupBy(*key).cogroup(fresh(designs).groupBy(*key)).applyInPandas(_fit_fixed(factors or [], interest), _FIXED)

@@ -176,10 +176,10 @@ def _simulated_p(iterations: int, seed: int):
         observed = cells["log_prob"].to_numpy()
         at = [observed[where == i] for i in range(len(totals))]
         below = [np.zeros(len(a)) for a in at]
-        top = int(totals[-1])
+        top = int(profile["top"].iloc[0])
         log_p = np.log(probs)
         log_t = np.cumsum(np.log(np.arange(1, top + 1)))
-        # the seed hangs on the sample alone: every part of a sample sees the same draws
+        # seed and length of the draws hang on the sample alone: all its parts see the same ones
         rng = np.random.default_rng([seed, *out["sample_id"].iloc[0].encode()])
         cut = np.cumsum(probs)
         block = max(1, min(iterations, 2_000_000 // max(top, 1)))
@@ -251,7 +251,8 @@ def ambient_test(
     )
     scored = cut_lineage(scored)
     open_cells = scored.where(F.col("n_count") < F.col("knee"))
-    profiles = packed.join(sample.select("sample_id", "n_cells"), "sample_id").withColumn(
+    longest = open_cells.groupBy("sample_id").agg(F.max("n_count").cast("long").alias("top"))
+    profiles = packed.join(sample.select("sample_id", "n_cells"), "sample_id").join(longest, "sample_id").withColumn(
         "_part", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n_cells") / cells_per_task).cast("int") - 1))
     )
     p = (

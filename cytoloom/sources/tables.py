@@ -73,7 +73,7 @@ def save_experiment(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("
     kept = drop_empty_columns(df)
     folders = [c for c in partition_by if c in kept.columns]
     kept.write.mode("overwrite").partitionBy(*folders).parquet(path)
-    return df.sparkSession.read.option("basePath", path).schema(kept.schema).parquet(path)
+    return df.sparkSession.read.schema(kept.schema).parquet(path).select(*kept.columns)
 
 
 def write_parquet(df: DataFrame, path: str, compression: str = "zstd") -> DataFrame:
@@ -96,7 +96,7 @@ def write_files(df: DataFrame, path: str, file_column: str = "file_id", max_rows
         .partitionBy(file_column)
         .parquet(path)
     )
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def write_table(df: DataFrame, name: str, path: str) -> DataFrame:
