@@ -80,8 +80,10 @@ def _block_products(matrix, n_profiles: int):
     return run
 
 
-def profile_correlations(counts: DataFrame, reference: DataFrame) -> DataFrame:
-    """Spearman correlation of every cell with every reference profile: (cell, profile, cor).
+def profile_correlations(counts: DataFrame, reference: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Spearman correlation of every cell with every reference profile.
+
+    One row per cell with the array ``cors``, and the profiles in the order of the array.
 
     Only genes of the reference count; the log transform keeps ranks, so it is not
     applied. With centred profile ranks the zeros of a cell cancel: the correlation is
@@ -93,9 +95,10 @@ def profile_correlations(counts: DataFrame, reference: DataFrame) -> DataFrame:
     """
     spark = counts.sparkSession
     genes = reference.select("feature").distinct()
-    # the sizes shape the vectors, so they are fetched: two numbers and the profile names
+    # the names shape the vectors, so they are fetched: one gene list, one list of profiles
     profiles = [r[0] for r in reference.select("profile").distinct().orderBy("profile").collect()]
-    n_genes = genes.count()
+    names = genes.orderBy("feature").toPandas()["feature"]
+    n_genes = len(names)
     centre = (n_genes + 1) / 2.0
     centred, facts = _centred_reference(reference, genes, n_genes)
     facts = {r["profile"]: (r["zero"], r["norm"]) for r in facts.collect()}
@@ -108,7 +111,6 @@ def profile_correlations(counts: DataFrame, reference: DataFrame) -> DataFrame:
     ).alias("norm")
     if n_genes * len(profiles) <= MATRIX_LIMIT:
         place = {p: i for i, p in enumerate(profiles)}
-        names = genes.orderBy("feature").toPandas()["feature"]
         row = pd.Series(np.arange(n_genes), index=names)
         matrix = np.tile(np.array(zero), (n_genes, 1))
         entries = centred.toPandas()
@@ -140,21 +142,42 @@ def profile_correlations(counts: DataFrame, reference: DataFrame) -> DataFrame:
             .agg(cell_norm, Summarizer.sum(F.col("ranks"), F.col("rank") - F.col("zero_rank")).alias("_dot"))
             .select(*CELL, "norm", vector_to_array("_dot").alias("dots"))
         )
-    known = F.array(*[F.struct(F.lit(p).alias("profile"), F.lit(n).alias("norm")) for p, n in zip(profiles, norm)])
-    return sums.select(*CELL, "norm", F.explode(F.arrays_zip(known.alias("ref"), F.col("dots"))).alias("p")).select(
-        *CELL,
-        F.col("p.ref.profile").alias("profile"),
-        (F.col("p.dots") / (F.col("norm") * F.col("p.ref.norm"))).alias("cor"),
-    )
+    norms = F.array(*[F.lit(n) for n in norm])
+    cors = F.zip_with("dots", norms, lambda d, n: d / (F.col("norm") * n))
+    return sums.select(*CELL, cors.alias("cors")), profiles
+
+
+def _labels_of(reference: DataFrame, column: str, profiles: list[str]) -> dict[str, list[int]]:
+    """Places of each label's profiles; a reference has few profiles."""
+    place = {p: i for i, p in enumerate(profiles)}
+    out: dict[str, list[int]] = {}
+    for r in reference.select("profile", column).distinct().orderBy(column, "profile").collect():
+        if r[1] is not None:
+            out.setdefault(r[1], []).append(place[r[0]])
+    return out
 
 
-def label_scores(correlations: DataFrame, labels: DataFrame) -> DataFrame:
-    """Score per cell and label: the 0.8 quantile of the correlations with its profiles."""
-    return (
-        correlations.join(labels.select("profile", "label").distinct(), "profile")
-        .groupBy(*CELL, "label")
-        .agg(F.percentile("cor", F.lit(SCORE_QUANTILE)).alias("score"))
-    )
+def _scored(first: list[list[int]], second: list[list[int]] | None, labels: list[str]):
+    """Scores per label and the best label for blocks of cells; equal scores go to the last label."""
+
+    def quantiles(cors: pd.Series, places: list[list[int]]) -> np.ndarray:
+        c = np.stack(cors.to_numpy()).astype(float)
+        return np.column_stack([np.quantile(c[:, own], SCORE_QUANTILE, axis=1) for own in places])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            scores = quantiles(pdf["cors"], first)
+            if second is not None:
+                again = pdf["tuned"].notna().to_numpy()
+                near = scores[again] >= scores[again].max(1, keepdims=True) - TUNE_MARGIN
+                scores[again] = np.where(near, quantiles(pdf.loc[again, "tuned"], second), scores[again] - 1.0)
+            flipped = np.nan_to_num(np.round(scores, 9), nan=-np.inf)[:, ::-1]
+            best = scores.shape[1] - 1 - flipped.argmax(1)
+            yield pdf.assign(label=np.array(labels, dtype=object)[best], scores=list(scores))
+
+    return run
 
 
 def annotate_cells(
@@ -162,48 +185,46 @@ def annotate_cells(
 ) -> DataFrame:
     """Best label per cell and column with all its scores as a map.
 
-    Fine-tuning scores the labels within 0.05 of the best a second time on the genes
-    that differ most between those labels' profiles.
+    A label's score is the 0.8 quantile of the cell's correlations with its profiles,
+    taken from the cell's own row, so nothing is exchanged after the correlations.
+    Fine-tuning scores the labels within 0.05 of the best a second time on the genes that
+    differ most between the labels' profiles.
     """
-    correlations = cut_lineage(profile_correlations(counts, reference))
-    out = None
+    # a reference is small next to the counts and read several times
+    reference = cut_lineage(reference.select("profile", *label_columns, "feature", "value"))
+    out, profiles = profile_correlations(counts, reference)
+    done: list[str] = []
     for column in label_columns:
-        labels = reference.select("profile", F.col(column).alias("label")).distinct()
-        scores = label_scores(correlations, labels)
+        labels = _labels_of(reference, column, profiles)
+        second = None
         if fine_tune:
-            scores = _tuned(counts, reference, labels, scores)
-        best = scores.groupBy(*CELL).agg(
-            F.max_by("label", F.struct(F.round("score", 9), F.col("label"))).alias(column),
-            F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "score")))).alias(f"{column}_scores"),
+            tuned, order = profile_correlations(counts, _markers(reference, column))
+            second = list(_labels_of(reference, column, order).values())
+            out = out.join(tuned.withColumnRenamed("cors", "tuned"), CELL, "left")
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)
+        out = out.mapInPandas(
+            _scored(list(labels.values()), second, list(labels)), f"{schema}, label string, scores array<double>"
         )
-        out = best if out is None else out.join(best, CELL)
-    return out
+        names = F.array(*[F.lit(x) for x in labels])
+        out = out.select(
+            *CELL, "cors", *done, F.col("label").alias(column), F.map_from_arrays(names, "scores").alias(f"{column}_scores")
+        )
+        done += [column, f"{column}_scores"]
+    return out.drop("cors")
 
 
-def _tuned(counts: DataFrame, reference: DataFrame, labels: DataFrame, scores: DataFrame) -> DataFrame:
-    """Second scoring on marker genes; labels outside the margin keep their first score less one."""
-    top = scores.groupBy(*CELL).agg(F.max("score").alias("_top"))
-    near = scores.join(top, CELL).withColumn("_near", F.col("score") >= F.col("_top") - TUNE_MARGIN)
+def _markers(reference: DataFrame, column: str) -> DataFrame:
+    """The reference on the half of its genes whose mean differs most between labels."""
     spread = (
-        reference.select("profile", "feature", "value")
-        .join(labels, "profile")
-        .groupBy("feature", "label")
+        reference.groupBy("feature", column)
         .agg(F.avg("value").alias("mean"))
         .groupBy("feature")
         .agg((F.max("mean") - F.min("mean")).alias("spread"))
     )
-    # a gene list is small: half of it, the most variable genes, carry the second pass
-    placed = spread.withColumn("_r", F.percent_rank().over(Window.partitionBy(F.lit(1)).orderBy(F.desc("spread"), "feature")))
-    markers = placed.where(F.col("_r") <= 0.5).select("feature")
-    again = label_scores(profile_correlations(counts, reference.join(markers, "feature", "left_semi")), labels)
-    return (
-        near.join(again.withColumnRenamed("score", "_again"), [*CELL, "label"], "left")
-        .withColumn(
-            "score",
-            F.when(F.col("_near"), F.coalesce("_again", "score")).otherwise(F.col("score") - 1.0),
-        )
-        .select(*CELL, "label", "score")
-    )
+    # one gene list
+    place = F.percent_rank().over(Window.partitionBy(F.lit(1)).orderBy(F.desc("spread"), "feature"))
+    markers = spread.withColumn("_place", place).where(F.col("_place") <= 0.5)
+    return cut_lineage(reference.join(markers.select("feature"), "feature", "left_semi"))
 
 
 def lighten(annotation: DataFrame, scores: str, keep: list[str]) -> DataFrame:

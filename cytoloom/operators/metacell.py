@@ -43,11 +43,12 @@ def _merge_to(coords: np.ndarray, label: np.ndarray, target: int) -> np.ndarray:
         centre = np.stack([np.bincount(label, weights=c, minlength=n) for c in coords.T], 1) / size[:, None]
         k = min(NEIGHBOURS, n - 1)
         near, dist = np.empty((n, k), int), np.empty((n, k))
-        for lo in range(0, n, 1000):
-            d = ((centre[lo : lo + 1000, None] - centre[None]) ** 2).sum(-1)
+        for lo in range(0, n, 250):
+            part = slice(lo, lo + 250)
+            d = ((centre[part, None] - centre[None]) ** 2).sum(-1)
             d[np.arange(len(d)), lo + np.arange(len(d))] = np.inf
-            near[lo : lo + 1000] = np.argsort(d, axis=1, kind="stable")[:, :k]
-            dist[lo : lo + 1000] = np.take_along_axis(d, near[lo : lo + 1000], 1)
+            near[part] = np.argsort(d, axis=1, kind="stable")[:, :k]
+            dist[part] = np.take_along_axis(d, near[part], 1)
         a = np.repeat(np.arange(n), k)
         order = np.lexsort((near.ravel(), a, dist.ravel()))
         free, into, left = np.ones(n, bool), np.arange(n), n

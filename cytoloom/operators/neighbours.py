@@ -25,9 +25,13 @@ def _nearest_pivot(pivots: np.ndarray):
             if pdf.empty:
                 continue
             x = np.stack(pdf["vec"].to_numpy()).astype(float)
-            d = np.sqrt(np.maximum(((x[:, None, :] - pivots[None]) ** 2).sum(-1), 0))
-            own = d.argmin(1)
-            yield pdf.assign(voronoi=own.astype("int32"), reach=d[np.arange(len(x)), own])
+            own, reach = np.empty(len(x), "int32"), np.empty(len(x))
+            step = max(1, 8_000_000 // pivots.size)
+            for lo in range(0, len(x), step):
+                d = np.sqrt(((x[lo : lo + step, None, :] - pivots[None]) ** 2).sum(-1))
+                own[lo : lo + step] = d.argmin(1)
+                reach[lo : lo + step] = d.min(1)
+            yield pdf.assign(voronoi=own, reach=reach)
 
     return run
 

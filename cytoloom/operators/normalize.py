@@ -237,13 +237,11 @@ def stabilise_variance(
         .groupBy("sample_id")
         .agg(F.collect_list(F.struct("feature", "rate", "theta", "mu_mid", "n_cells")).alias("_genes"))
     )
-    zeros = (
-        totals.join(high, "sample_id")
-        .select(*CELL, "cell_total", F.inline("_genes"))
-        .join(counts.select(*CELL, "feature"), [*CELL, "feature"], "left_anti")
-        .withColumn("value", F.lit(0.0))
-    )
-    lifted = corrected(zeros).where(F.col("corrected") > 0)
+    # most zeros fall away by the formula, before the stored counts are looked at
+    zeros = corrected(
+        totals.join(high, "sample_id").select(*CELL, "cell_total", F.inline("_genes")).withColumn("value", F.lit(0.0))
+    ).where(F.col("corrected") > 0)
+    lifted = zeros.join(counts.select(*CELL, "feature"), [*CELL, "feature"], "left_anti")
     cols = [*CELL, "feature", "value", "residual", "corrected"]
     return (
         stored.select(*cols)

@@ -1,4 +1,8 @@
-"""A study: samples, their side tables and the verbs that add them. Nothing runs before an action."""
+"""A study: samples, their side tables and the verbs that add them.
+
+Verbs build plans; the counts are not touched until a result is asked for, except where
+an operator needs a per-cell or per-gene table several times and stores it.
+"""
 
 from __future__ import annotations
 

@@ -177,11 +177,13 @@ def test_profile_correlation_is_spearman(spark, monkeypatch, limit):
     reference = spark.createDataFrame(
         [(f"p{j}", f"Gene{g + 1}", float(ref[g, j])) for g in range(40) for j in range(3)], "profile string, feature string, value double"
     )
-    got = annotate.profile_correlations(counts, reference).toPandas()
-    assert len(got) == 36
+    df, profiles = annotate.profile_correlations(counts, reference)
+    got = df.toPandas()
+    assert len(got) == 12 and profiles == ["p0", "p1", "p2"]
     for r in got.itertuples():
-        a, b = pd.Series(m[:, int(r.cell_id[4:]) - 1]).rank(), pd.Series(ref[:, int(r.profile[1:])]).rank()
-        assert math.isclose(r.cor, a.corr(b), abs_tol=1e-9)
+        for j in range(3):
+            a, b = pd.Series(m[:, int(r.cell_id[4:]) - 1]).rank(), pd.Series(ref[:, j]).rank()
+            assert math.isclose(r.cors[j], a.corr(b), abs_tol=1e-9)
 
 
 def test_neighbours_against_brute_force(spark):
