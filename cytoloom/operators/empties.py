@@ -103,8 +103,8 @@ def knee_and_inflection(sizes: DataFrame, lower: float = AMBIENT_LOWER) -> DataF
         )
     )
     return bent.groupBy("sample_id").agg(
-        F.max_by("n_count", F.struct("height", "n_count")).alias("knee"),
-        F.min_by("n_count", F.struct(F.coalesce("slope", F.lit(0.0)), "n_count")).alias("inflection"),
+        F.max_by("n_count", F.struct(F.round("height", 9), F.col("n_count"))).alias("knee"),
+        F.min_by("n_count", F.struct(F.round(F.coalesce("slope", F.lit(0.0)), 9), F.col("n_count"))).alias("inflection"),
     )
 
 

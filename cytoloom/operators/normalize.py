@@ -119,8 +119,9 @@ def tmm_factors(
     pairs = share.where(F.col("value") > 0).join(ref.where(F.col("y_ref") > 0), "feature").select(
         sample,
         "feature",
-        F.log2(F.col("q") / F.col("q_ref")).alias("m"),
-        ((F.log2("q") + F.log2("q_ref")) / 2).alias("a"),
+        # rounded, so that equal ratios tie whatever counts they come from
+        F.round(F.log2(F.col("q") / F.col("q_ref")), 9).alias("m"),
+        F.round((F.log2("q") + F.log2("q_ref")) / 2, 9).alias("a"),
         (
             (F.col("lib") - F.col("value")) / F.col("lib") / F.col("value")
             + (F.col("lib_ref") - F.col("y_ref")) / F.col("lib_ref") / F.col("y_ref")

@@ -171,6 +171,17 @@ def _(t):
 
 @query(
     "em4_knee_and_inflection",
+    with_(
+        CNT, LIB_SQL,
+        "tt AS (SELECT sample_id, n_count, COUNT(*) AS n FROM lib WHERE n_count > 100 GROUP BY 1, 2)",
+        "cv AS (SELECT sample_id, n_count, log10(SUM(n) OVER (PARTITION BY sample_id ORDER BY n_count DESC) - n + (n + 1) / 2.0) AS x, log10(n_count) AS y FROM tt)",
+        "en AS (SELECT sample_id, MIN(x) AS x0, MAX(x) AS x1, MAX(y) AS y0, MIN(y) AS y1 FROM cv GROUP BY 1)",
+        """bt AS (SELECT sample_id, n_count, round(COALESCE((y - lag(y) OVER w) / (x - lag(x) OVER w), 0), 9) AS slope,
+                  round((y - y0) * (x1 - x0) - (y1 - y0) * (x - x0), 9) AS height FROM cv JOIN en USING (sample_id) WINDOW w AS (PARTITION BY sample_id ORDER BY x))""",
+        body="""SELECT k.sample_id, knee, inflection FROM
+                (SELECT sample_id, n_count AS knee FROM bt QUALIFY row_number() OVER (PARTITION BY sample_id ORDER BY height DESC, n_count DESC) = 1) k
+                JOIN (SELECT sample_id, n_count AS inflection FROM bt QUALIFY row_number() OVER (PARTITION BY sample_id ORDER BY slope, n_count) = 1) i ON k.sample_id = i.sample_id""",
+    ),
 )
 def _(t):
     return empties.knee_and_inflection(empties.library_size(t.counts), 100)
@@ -321,9 +332,27 @@ def bulk_by_sample(t):
     return pseudobulk.pseudobulk(t.counts, t.cells, group_columns=()).select("sample_id", "feature", "value")
 
 
-@query("nm7_scaling_factors")
+@query(
+    "nm7_scaling_factors",
+    with_(
+        CNT, "b AS (SELECT sample_id, feature, SUM(value) AS y FROM cnt GROUP BY 1, 2)",
+        "lb AS (SELECT sample_id, SUM(y) AS lib FROM b GROUP BY 1)",
+        "sh AS (SELECT b.*, lib, y / lib AS q FROM b JOIN lb USING (sample_id))",
+        "uq AS (SELECT sample_id, quantile_cont(q, 0.75) AS q75 FROM sh GROUP BY 1)",
+        "rf AS (SELECT sample_id FROM uq ORDER BY abs(q75 - (SELECT AVG(q75) FROM uq)), sample_id LIMIT 1)",
+        "rs AS (SELECT feature, q AS qr, y AS yr, lib AS lr FROM sh WHERE sample_id IN (SELECT sample_id FROM rf))",
+        """pr AS (SELECT sample_id, feature, round(log2(q / qr), 9) AS m, round((log2(q) + log2(qr)) / 2, 9) AS a,
+                  (lib - y) / lib / y + (lr - yr) / lr / yr AS v FROM sh JOIN rs USING (feature))""",
+        """rk AS (SELECT *, COUNT(*) OVER (PARTITION BY sample_id) AS n, rank() OVER (PARTITION BY sample_id ORDER BY m) AS rm,
+                  rank() OVER (PARTITION BY sample_id ORDER BY a) AS ra FROM pr)""",
+        """fc AS (SELECT sample_id, SUM(m / v) / SUM(1 / v) AS f FROM rk WHERE rm BETWEEN floor(n * 0.3) + 1 AND n - floor(n * 0.3)
+                  AND ra BETWEEN floor(n * 0.05) + 1 AND n - floor(n * 0.05) GROUP BY 1)""",
+        "jf AS (SELECT sample_id, lib, COALESCE(f, 0) AS f FROM lb LEFT JOIN fc USING (sample_id))",
+        body=f"SELECT sample_id, lib, {r6('pow(2, f - (SELECT AVG(f) FROM jf))')} AS tmm FROM jf",
+    ),
+)
 def _(t):
-    return normalize.tmm_factors(bulk_by_sample(t))
+    return rounded(normalize.tmm_factors(bulk_by_sample(t)), "tmm")
 
 
 @query(

@@ -50,9 +50,25 @@ def _(t):
     return differential.keep_abundant(bulk, samples, "condition")
 
 
-@query("de2_gene_dispersions")
+@query(
+    "de2_gene_dispersions",
+    with_(
+        CNT, CELLS,
+        "b AS (SELECT cell_type AS group_id, sample_id, feature, SUM(value) AS value FROM cnt JOIN cells USING (sample_id, cell_id) GROUP BY 1, 2, 3)",
+        "lb AS (SELECT group_id, sample_id, SUM(value) AS lib FROM b GROUP BY 1, 2)",
+        "ml AS (SELECT group_id, AVG(lib) AS mean_lib, COUNT(*) AS n FROM lb GROUP BY 1)",
+        "mo AS (SELECT group_id, feature, n, SUM(value * mean_lib / lib) AS s1, SUM(pow(value * mean_lib / lib, 2)) AS s2 FROM b JOIN lb USING (group_id, sample_id) JOIN ml USING (group_id) GROUP BY 1, 2, 3)",
+        "ow AS (SELECT group_id, feature, n, s1 / n AS m, greatest(0, ((s2 - s1 * s1 / n) / (n - 1) - s1 / n) / pow(s1 / n, 2)) AS phi FROM mo WHERE n > 1 AND s1 > 0)",
+        "tr AS (SELECT group_id, regr_slope(phi, 1 / m) AS sl, regr_intercept(phi, 1 / m) AS ic FROM ow GROUP BY 1)",
+        body=f"""SELECT group_id, feature, {r6("m")} AS mean, {r6("greatest(1e-4, ic + sl / m)")} AS trended,
+                 {r6("((n - 1) * phi + 10 * greatest(1e-4, ic + sl / m)) / (n - 1 + 10)")} AS dispersion FROM ow JOIN tr USING (group_id)""",
+    ),
+)
 def _(t):
-    return differential.gene_dispersions(type_bulk(t), type_samples(t), ["group_id"])
+    out = differential.gene_dispersions(type_bulk(t), type_samples(t), ["group_id"])
+    for c in ("mean", "trended", "dispersion"):
+        out = out.withColumn(c, F.round(c, 6))
+    return out
 
 
 @query("de3_fixed_effects")
