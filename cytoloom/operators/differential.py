@@ -227,6 +227,8 @@ def test_fixed_effects(
     with fewer than three samples are left out; a model that cannot be fitted says so in
     ``error``.
     """
+    # sums per sample and gene: small next to the counts and read by every step below
+    bulk = cut_lineage(bulk.select("group_id", "sample_id", "feature", "value"))
     n = Window.partitionBy("group_id")
     big = with_libraries(bulk, samples, scaling).withColumn("_n", F.count(F.lit(1)).over(n)).where(F.col("_n") >= min_samples).drop("_n")
     values, designs = _gene_tasks(bulk, big, gene_dispersions(bulk, big, ["group_id"]))
@@ -316,6 +318,7 @@ def test_random_intercept(
     bulk: DataFrame, samples: DataFrame, interest: str, unit: str, factors: list[str] | None = None
 ) -> DataFrame:
     """Penalised quasi-likelihood with a random intercept per ``unit``, per gene and group."""
+    bulk = cut_lineage(bulk.select("group_id", "sample_id", "feature", "value"))
     ready = with_libraries(bulk, samples)
     values, designs = _gene_tasks(bulk, ready, gene_dispersions(bulk, ready, ["group_id"]))
     key = ["group_id", "chunk"]
