@@ -49,10 +49,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows are stored once and survive lost executors."""
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """The rows written once as Parquet below the shared folder and read back.
+
+    The table survives lost executors, keeps column pruning and pushdown, and has a
+    size the optimizer can read. Its files go when the session's JVM ends.
+    """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Store the rows once, so that later passes read them instead of computing them again."""
+    return stored(df, "cut")
