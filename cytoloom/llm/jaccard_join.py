@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cytoloom.llm.components import component_roots
-from cytoloom.llm.text import bounded_broadcast, map_batches, mix, shingle_sets
+from cytoloom.llm.text import bounded_broadcast, map_batches, mix, packed, shingle_sets
 from cytoloom.session import stored
 
 # Hash buckets of the document frequencies that give the rare-first order.
@@ -254,18 +254,17 @@ def drop_near_copies(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
     fate = stored(
         ids.agg(F.count(F.lit(1)).alias("rows"), F.max(F.col("component_id") < F.col("doc_id")).alias("gone")), "fate"
     )
-    gone = bounded_broadcast(stored(fate.where("gone").select(F.col("doc_id").alias("__id")), "gone"))
-    left = docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")
-    repeated = stored(fate.where("rows > 1 AND NOT gone").select(F.col("doc_id").alias("__id")), "repeated")
+    gone = bounded_broadcast(stored(fate.where("gone").select("doc_id"), "gone"))
+    rows = packed(docs)
+    left = rows.join(gone, F.col("row.doc_id") == gone["doc_id"], "left_anti")
+    repeated = stored(fate.where("rows > 1 AND NOT gone").select("doc_id"), "repeated")
     if repeated.isEmpty():
-        return left
+        return left.select("row.*")
     repeated = bounded_broadcast(repeated)
+    same = F.col("row.doc_id") == repeated["doc_id"]
     one = (
-        left.join(repeated, F.col("doc_id") == F.col("__id"), "left_semi")
-        .select("doc_id", F.struct(F.col("text"), *[c for c in docs.columns if c not in ("doc_id", "text")]).alias("__row"))
-        .groupBy("doc_id")
-        .agg(F.min("__row").alias("__row"))
-        .select("doc_id", "__row.*")
-        .select(*docs.columns)
+        left.join(repeated, same, "left_semi")
+        .groupBy("row.doc_id")
+        .agg(F.min_by("row", F.coalesce("row.text", F.lit(""))).alias("row"))
     )
-    return left.join(repeated, F.col("doc_id") == F.col("__id"), "left_anti").unionByName(one)
+    return left.join(repeated, same, "left_anti").union(one.select("row")).select("row.*")

@@ -18,6 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cytoloom.llm.text import packed
 from cytoloom.session import stored
 
 # Documents of a source that share one hash range, on average.
@@ -175,11 +176,13 @@ def mix_sources(docs: DataFrame, entropy: float | None = None, max_repetition: f
         .select("__source", F.col("epochs").alias("__epochs"), F.coalesce("cut", F.lit(-1.0)).alias("__cut")).coalesce(1),
         "cuts",
     )
-    keyed = docs.select("*", F.col("doc_id").cast("long").alias("__doc_id"), n_tokens(F.col("text")).alias("__tokens"), F.col("source").cast("string").alias("__of"))
-    bits = F.xxhash64("__doc_id", "__tokens", F.col("__epochs")).bitwiseAND(F.lit((1 << 52) - 1)).cast("double") / float(1 << 52)
-    copies = F.col("__epochs") + F.when((bits <= F.col("__cut")) & (F.col("__tokens") > 0), 1).otherwise(0)
+    keyed = packed(docs).select(
+        "row", F.col("row.doc_id").cast("long").alias("doc_id"), n_tokens(F.col("row.text")).alias("tokens"),
+        F.col("row.source").cast("string").alias("of"),
+    )
+    copies = F.col("__epochs") + F.when((_draw(F.col("__epochs")) <= F.col("__cut")) & (F.col("tokens") > 0), 1).otherwise(0)
     return (
-        keyed.join(plan, same_source("__of", "__source"))
-        .withColumn("__copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1).cast("long"), copies))))
-        .select(*[keyed[c] for c in docs.columns])
+        keyed.join(plan, same_source("of", "__source"))
+        .select("row", F.explode(F.when(copies > 0, F.sequence(F.lit(1).cast("long"), copies))))
+        .select("row.*")
     )

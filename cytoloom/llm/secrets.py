@@ -4,8 +4,8 @@ Base spans come from three patterns: assignments to a secret-like name, access k
 The battery then looks at every other token of 20 or more key characters. The narrowest alphabet that
 holds the token (digits, hex, base32, letters and digits, base64) is its inferred encoding. Three tests
 ask whether the token could be uniform draws from it: chi-squared uniformity of the alphabet, runs
-above and below the middle of the alphabet, and the correlation of neighbours. The smallest of their p values,
-times three, is the token's p value.
+above and below the middle of the alphabet, and the correlation of neighbours. The smallest of their three
+p values, corrected for being the smallest of three, is the token's p value.
 
 Random tokens have p values spread over 0 to 1, ordinary words pile up near 0. Short tokens give the tests
 little power, so the cut is made per encoding and length class: the p values over one half tell how many
@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cytoloom.llm.text import packed
 from cytoloom.session import stored
 
 # Base patterns: fixed values.
@@ -115,10 +116,10 @@ def _battery(token: Column) -> Column:
             spread = F.aggregate(v, F.lit(0.0), lambda s, c: s + (c - mean) * (c - mean))
             joint = F.aggregate(pairs, F.lit(0.0), lambda s, p: s + (p["x"] - mean) * (p["y"] - mean))
             z_serial = F.when(spread > 0, (joint / spread + 1 / n) * F.sqrt(n)).otherwise(F.lit(9.0))
-            # too even an alphabet is no evidence against randomness of a key
-            p_chi = F.when(z_chi > 0, _normal_tail(z_chi)).otherwise(F.lit(1.0))
+            # one-sided: too even an alphabet is no evidence against the randomness of a key
+            p_chi = F.when(z_chi > 0, _normal_tail(z_chi) / 2).otherwise(1 - _normal_tail(z_chi) / 2)
             least = F.least(p_chi, _normal_tail(z_runs), _normal_tail(z_serial))
-            return F.least(F.lit(1.0), 3 * least)
+            return 1 - F.pow(1 - least, F.lit(3.0))
 
         return F.transform(F.array(F.struct(codes.alias("codes"))), with_codes)[0]
 
@@ -129,12 +130,12 @@ def _battery(token: Column) -> Column:
 
 def _found(text: Column) -> Column:
     """All base spans and all tested tokens of a text."""
-    base = F.concat(
-        *[
-            F.transform(spans, lambda s, k=k: F.struct(s["start"].alias("start"), F.lit(k).alias("kind"), s["end"].alias("end")))
-            for k, spans in enumerate([F.filter(_spans(text, ASSIGN, 2), lambda s: s["size"] >= 8), _spans(text, ACCESS), _spans(text, HEX)])
-        ]
-    )
+
+    def of_kind(spans: Column, kind: int) -> Column:
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end")))
+
+    assign = F.filter(_spans(text, ASSIGN, 2), lambda s: s["size"] >= 8)
+    base = F.concat(of_kind(assign, 0), of_kind(_spans(text, ACCESS), 1), of_kind(_spans(text, HEX), 2))
     tokens = F.transform(
         _spans(text, TOKEN),
         lambda s: F.struct(
@@ -145,25 +146,24 @@ def _found(text: Column) -> Column:
     return F.struct(F.array_sort(base).alias("base"), tokens.alias("tokens"))
 
 
-def _scanned(docs: DataFrame) -> DataFrame:
-    """The rows with ``__found``: base spans, and tested tokens that overlap none of them."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.withColumn("__f", _found(text))
+def _scanned(rows: DataFrame) -> DataFrame:
+    """``rows(row)`` with ``found``: base spans, and tested tokens that overlap none of them."""
+    rows = rows.withColumn("all", _found(F.coalesce("row.text", F.lit(""))))
     free = F.filter(
-        F.col("__f.tokens"),
-        lambda t: ~F.exists(F.col("__f.base"), lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])),
+        F.col("all.tokens"),
+        lambda t: ~F.exists(F.col("all.base"), lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])),
     )
-    return rows.withColumn("__found", F.struct(F.col("__f.base").alias("base"), free.alias("tokens"))).drop("__f")
+    return rows.select("row", F.struct(F.col("all.base").alias("base"), free.alias("tokens")).alias("found"))
 
 
 def cuts(found: DataFrame) -> dict[int, float]:
     """The p value from which on a token of a stratum is reported, from the counts of all documents.
 
-    ``found`` has the tested tokens in ``__found.tokens``. A stratum is an encoding and a length class, 63 at most.
+    ``found`` has the tested tokens in ``found.tokens``. A stratum is an encoding and a length class, 63 at most.
     """
     p = F.col("t.test.p")
     counted = (
-        found.select(F.explode("__found.tokens").alias("t"))
+        found.select(F.explode("found.tokens").alias("t"))
         .groupBy(F.col("t.test.stratum").alias("stratum"))
         .agg(
             F.count(F.when(p > 0.5, 1)).alias("upper"),
@@ -188,7 +188,7 @@ def _random_spans(limits: dict[int, float]) -> Column:
         return F.array().cast("array<struct<start:int,kind:int,end:int>>")
     pairs = [F.lit(x) for s, c in limits.items() for x in (s, c)]
     limit = F.create_map(*pairs)
-    kept = F.filter(F.col("__found.tokens"), lambda t: F.coalesce(t["test"]["p"] >= limit[t["test"]["stratum"]], F.lit(False)))
+    kept = F.filter(F.col("found.tokens"), lambda t: F.coalesce(t["test"]["p"] >= limit[t["test"]["stratum"]], F.lit(False)))
     return F.transform(kept, lambda t: F.struct(t["start"].alias("start"), t["kind"].alias("kind"), t["end"].alias("end")))
 
 
@@ -208,12 +208,15 @@ def scan(docs: DataFrame) -> DataFrame:
     return a row each, other columns are ignored, an empty table gives an empty table.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = stored(_scanned(rows).select("doc_id", "__found"), "secrets")
+    found = stored(_scanned(packed(rows)).select("row.doc_id", "found"), "secrets")
     extra = _random_spans(cuts(found))
-    base = F.col("__found.base")
-    n = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
+    base = F.col("found.base")
+
+    def counted(kind: int) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{KINDS[kind]}")
+
     return found.select(
-        "doc_id", *n, F.sha2(_joined(base), 256).alias("base_sha256"),
+        "doc_id", *map(counted, range(3)), F.sha2(_joined(base), 256).alias("base_sha256"),
         _joined(F.array_sort(F.concat(base, extra))).alias("spans"),
         F.size(extra).cast("long").alias("n_random"),
     )
@@ -224,9 +227,8 @@ def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
 
     Overlapping spans are masked as one. All rows stay; texts without secrets, null among them, stay as they are.
     """
-    limits = cuts(stored(_scanned(docs.select("text")).select("__found"), "secrets"))
-    spans = F.array_sort(F.concat(F.col("__found.base"), _random_spans(limits)))
-    rows = _scanned(docs).withColumn("__spans", spans)
+    limits = cuts(stored(_scanned(packed(docs.select("text"))).select("found"), "secrets"))
+    spans = F.array_sort(F.concat(F.col("found.base"), _random_spans(limits)))
 
     def add(acc: Column, s: Column) -> Column:
         piece = F.struct(acc["at"].alias("from"), s["start"].alias("to"))
@@ -236,13 +238,13 @@ def redact(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
 
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<from:int,to:int>>").alias("gaps"))
     gaps = F.aggregate(
-        F.col("__spans"), start, add,
-        lambda acc: F.concat(acc["gaps"], F.array(F.struct(acc["at"].alias("from"), F.char_length("text").alias("to")))),
+        F.col("spans"), start, add,
+        lambda acc: F.concat(acc["gaps"], F.array(F.struct(acc["at"].alias("from"), F.char_length("row.text").alias("to")))),
     )
-    masked = F.array_join(F.transform(gaps, lambda g: F.substring(F.col("text"), g["from"] + 1, g["to"] - g["from"])), mask)
-    text = F.when(F.size("__spans") > 0, masked).otherwise(F.col("text"))
-    rows = rows.withColumn("text", text)
+    masked = F.array_join(F.transform(gaps, lambda g: F.substring(F.col("row.text"), g["from"] + 1, g["to"] - g["from"])), mask)
+    rows = _scanned(packed(docs)).select("row", spans.alias("spans"))
+    rows = rows.select("row", F.when(F.size("spans") > 0, masked).alias("masked"))
+    new = {"text": F.coalesce("masked", "row.text"), "n_chars": F.char_length("masked")}
     if "n_chars" in docs.columns:
-        n_chars = F.when(F.size("__spans") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
-        rows = rows.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+        new["n_chars"] = F.coalesce(new["n_chars"].cast(docs.schema["n_chars"].dataType), "row.n_chars")
+    return rows.select(*[new[c].alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns])

@@ -31,6 +31,11 @@ def map_batches(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Every row as one struct ``row``, so that no column of it can clash with a helper column."""
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+
+
 def bounded_broadcast(df: DataFrame) -> DataFrame:
     """Mark a stored table of ids for broadcast when it is small; a larger one is shuffled."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
@@ -116,9 +121,10 @@ def shingle_sets(batch: pa.RecordBatch, k: int, column: str = "text") -> Iterato
         data, offsets = utf8(block, column)
         hashes, rows = word_hashes(data, offsets)
         first = np.searchsorted(rows, np.arange(block.num_rows + 1))
-        rolled = np.zeros(max(0, len(hashes) - k + 1), np.uint64)
+        n = max(0, len(hashes) - k + 1)
+        rolled = np.zeros(n, np.uint64)
         for i in range(k):
-            rolled = mix(rolled * _ODD + hashes[i : len(hashes) - k + 1 + i] + np.uint64(i + 1))
+            rolled = mix(rolled * _ODD + hashes[i : i + n] + np.uint64(i + 1))
         for a, b in zip(first[:-1], first[1:]):
             if b - a >= k:
                 yield np.unique(rolled[a : b - k + 1])

@@ -52,7 +52,7 @@ def test_stage_equals_schedule(spark):
     assert have == want
     budget = mixing.mix_sources(docs, max_repetition=2.0, budget=4000)
     total = budget.select(mixing.n_tokens(F.col("text")).alias("tokens")).agg(F.sum("tokens")).first()[0]
-    assert 4000 <= total < 4000 + 3 * 7
+    assert 4000 - 3 <= total < 4000 + 3 * 7  # a source's budget is a whole number
 
 
 def test_odd_rows(spark):
