@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cytoloom.llm import jaccard_join, mixing, pieces, secrets, toxicity
+from cytoloom.llm import chat, jaccard_join, language, licenses, mixing, order_minhash, pieces, secrets, topk, toxicity
 
 QUERIES = {}
 ORACLES = {}
@@ -29,11 +30,87 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(_table(spark, sf_dir, "documents"), pieces.read_model())
 
 
-@query("op5_ngram_jaccard_join")
+@query("op2_language_id")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict(_table(spark, sf_dir, "documents"))
+
+
+@query("op3_license_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"), licenses.notices(spark))
+
+
+@query("op4_order_minhash")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.fingerprints(_table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op5_ngram_jaccard_join",
+    r"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+    ), sets AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+               ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM words
+    ), grams AS (SELECT doc_id, unnest(s) AS g FROM sets
+    ), links AS (
+        SELECT a.doc_id AS a, b.doc_id AS b FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+        JOIN sets x ON x.doc_id = a.doc_id JOIN sets y ON y.doc_id = b.doc_id
+        GROUP BY a.doc_id, b.doc_id, len(x.s), len(y.s) HAVING 100 * count(*) >= 90 * (len(x.s) + len(y.s) - count(*))
+    ), reach AS (SELECT doc_id AS a, doc_id AS b FROM sets UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+    SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.b) AS component_id
+    FROM sets s JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, len(s.s)
+    """,
+)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"), k=3, num=9, den=10)
 
 
+@query(
+    "op6_chat_format",
+    r"""
+    WITH rows AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+    ), sized AS (
+        SELECT *, length(text) + len(text) - len(replace(replace(replace(text, '\', ''), '#', ''), '<', '')) AS body,
+               length(role) + len(role) - len(replace(replace(replace(replace(role, '\', ''), '#', ''), '<', ''), ':', '')) AS head FROM rows
+    )
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(4 + head + 2 + body + 8) AS BIGINT) AS formatted_chars
+    FROM sized GROUP BY conv_id
+    """,
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = "\\### Assistant: </turn> ok"
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], rows.schema)
+    out = chat.read_back(chat.format_branches(chat.threads(rows.union(extra))))
+    return out.select(F.col("tree").alias("conv_id"), "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+@query(
+    "op7_exact_top_k",
+    """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+    )
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 20
+    """,
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 @query("op8_source_mixing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.schedule(_table(spark, sf_dir, "documents"), max_repetition=2.0)
