@@ -8,21 +8,21 @@ prefix shingles, every surviving pair verified once on the full sets.
    documents in 65 536 hash buckets; any fixed order is correct, a rare-first one is fast.
 3. Sets with Jaccard >= t share a shingle among the first n - ceil(t n) + 1 of each.
 4. Joining all members of a prefix shingle with each other would grow with the square of a group
-   of copies. So the first join pairs each member with the smallest class of its shingle only.
-   After verification most members of a shingle are in one component, and pairs inside a
-   component cannot change the result. The second join pairs what is left: members outside the
-   most frequent component of their shingle with members of other components.
+   of copies. So in each of two rounds two members of a shingle, the most central ones left, meet the members of other
+   components; after a round the links are verified and components joined, and a shingle whose members are in one
+   component is done: pairs inside a component cannot change the result. The last join pairs what is
+   left: members outside the most frequent component of their shingle with members of other components.
    No link between components is lost: two classes sharing a prefix shingle either meet in
    one of the joins or are connected already.
 5. The length filter and the positional filter are join conditions. The suffix filter bounds the
-   overlap by the counts of both sets in 32 hash parts.
+   overlap by the counts of both sets in 256 hash parts.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cytoloom.llm.components import component_roots
@@ -32,7 +32,9 @@ from cytoloom.session import stored
 # Hash buckets of the document frequencies that give the rare-first order.
 FREQUENCY_BITS = 16
 # Parts of the suffix filter.
-PARTS = 32
+PARTS = 256
+# Rounds in which two members of a shingle meet all others, before what is left meets fully.
+ROUNDS = 2
 
 
 def _digest(s: np.ndarray) -> tuple[int, int]:
@@ -120,9 +122,38 @@ def _may_link(a: str, b: str, num: int, den: int):
     return (least * den >= most * num) & (rest * (num + den) >= (F.col(f"{a}.n") + F.col(f"{b}.n")) * num)
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Links (u, v) among candidate pairs: suffix filter, then the exact overlap of the full sets."""
-    pairs = pairs.groupBy("u", "v").agg(F.first("nu").alias("nu"), F.first("nv").alias("nv"))
+def _unseen(met: DataFrame, seen: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (u, v, nu, nv) of ``met(a, b)`` in different components that pass the filters, each once and never again."""
+    a_first = F.col("a.node") < F.col("b.node")
+    pairs = met.where((F.col("a.root") != F.col("b.root")) & _may_link("a", "b", num, den)).select(
+        F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v"),
+        F.when(a_first, F.col("a.n")).otherwise(F.col("b.n")).alias("nu"), F.when(a_first, F.col("b.n")).otherwise(F.col("a.n")).alias("nv"),
+    )
+    return stored(pairs.distinct().join(seen, ["u", "v"], "left_anti"), "candidates")
+
+
+def _main_roots(placed: DataFrame) -> DataFrame:
+    """(shingle, main): the most frequent component of every shingle with members of several components."""
+    per_root = placed.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("members"))
+    found = per_root.groupBy("shingle").agg(F.max(F.struct("members", "root")).alias("most"), F.count(F.lit(1)).alias("roots"))
+    return found.where("roots > 1").select("shingle", F.col("most.root").alias("main"))
+
+
+def _placed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of shingles with their present root."""
+    members = members.select("shingle", "node", "n", "pos").join(roots, "node", "left")
+    return members.select("shingle", "node", "n", "pos", F.coalesce("root", "node").alias("root"))
+
+
+def _still_open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members of shingles that still join several components."""
+    placed = stored(_placed(members, roots), "placed")
+    return placed.join(_main_roots(placed).select("shingle"), "shingle")
+
+
+def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """The candidate pairs, and the links (u, v) among them: suffix filter, then the exact overlap of the full sets."""
+    candidates = pairs.select("u", "v")
     parts = classes.select("node", "parts")
     within = F.aggregate(F.zip_with("pu", "pv", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
     pairs = stored(
@@ -146,12 +177,13 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, num
     )
     sets = stored(sets, "sets")
     both = F.size(F.array_intersect("su", "sv"))
-    return (
+    links = (
         pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("su")), "u")
         .join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("sv")), "v")
         .where(both * den >= (F.col("nu") + F.col("nv") - both) * num)
         .select("u", "v")
     )
+    return candidates, links
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
@@ -184,54 +216,37 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5)
         "classes",
     )
     entries = classes.select("node", "n", F.posexplode("prefix").alias("pos", "shingle"))
-    shared = stored(
-        entries.groupBy("shingle")
-        .agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("node", "n", "pos")).alias("lead"))
-        .where("members > 1")
-        .select("shingle", "lead"),
-        "shared",
-    )
-    # entries of shingles that only one class has go here; with few left, they are stored
+    shared = stored(entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "shared")
+    # entries of shingles that only one class has go here; the few others are stored
     entries = stored(entries.join(shared, "shingle"), "entries")
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        return _verified(pairs, classes, docs, k, num, den)
-
-    first = entries.select("lead", F.struct("node", "n", "pos").alias("b")).where("lead.node <> b.node")
-    first = first.where(_may_link("lead", "b", num, den)).select(
-        F.col("lead.node").alias("u"), F.col("b.node").alias("v"), F.col("lead.n").alias("nu"), F.col("b.n").alias("nv")
-    )
-    links = stored(linked(first), "links")
-    roots = component_roots(links)
-    placed = stored(
-        entries.where("lead.node <> node")
-        .select("shingle", "node", "n", "pos")
-        .join(roots, "node", "left")
-        .withColumn("root", F.coalesce("root", "node")),
-        "placed",
-    )
-    per_root = placed.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("members"))
-    open_ = (
-        per_root.groupBy("shingle")
-        .agg(F.max_by("root", F.struct("members", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
-        .where("roots > 1")
-        .select("shingle", "main")
-    )
-    left = stored(placed.join(open_, "shingle"), "open")
-    a = left.where("root <> main").select("shingle", F.struct("node", "n", "pos", "root").alias("a"))
-    b = left.select("shingle", F.struct("node", "n", "pos", "root", (F.col("root") == F.col("main")).alias("main")).alias("b"))
-    second = (
-        a.join(b, "shingle")
-        .where((F.col("a.root") != F.col("b.root")) & (F.col("b.main") | (F.col("a.node") < F.col("b.node"))))
-        .where(_may_link("a", "b", num, den))
-        .select(
-            F.least("a.node", "b.node").alias("u"),
-            F.greatest("a.node", "b.node").alias("v"),
-            F.when(F.col("a.node") < F.col("b.node"), F.col("a.n")).otherwise(F.col("b.n")).alias("nu"),
-            F.when(F.col("a.node") < F.col("b.node"), F.col("b.n")).otherwise(F.col("a.n")).alias("nv"),
-        )
-    )
-    links = links.union(linked(second))
+    # An original shares all its shingles with its copies, a copy also has rare ones of its own. So members
+    # whose shingles are shared most lead; the limit by rank is applied in every task before the shuffle.
+    weights = entries.groupBy("node").agg(F.sum("members").alias("weight"))
+    by_weight = Window.partitionBy("shingle").orderBy(F.desc("weight"), "node")
+    leads = entries.join(weights, "node").withColumn("rank", F.row_number().over(by_weight)).where(F.col("rank") <= 2 * ROUNDS)
+    leads = stored(leads.select("shingle", "node", "n", "pos", "rank"), "leads")
+
+    nothing = entries.select(F.col("node").alias("u"), F.col("node").alias("v")).where("false")
+    links, seen, roots = nothing, nothing, nothing.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    open_ = _placed(entries, roots)
+    member = F.struct("node", "n", "pos", "root")
+    for turn in range(ROUNDS):
+        # two members of each shingle, others in every round, meet all members of other components
+        a = _placed(leads.where(f"rank IN ({2 * turn + 1}, {2 * turn + 2})"), roots).select("shingle", member.alias("a"))
+        met = open_.select("shingle", member.alias("b")).join(a, "shingle")
+        pairs, found = _linked(_unseen(met, seen, num, den), classes, docs, k, num, den)
+        links, seen = stored(links.union(found), "links"), seen.union(pairs)
+        roots = component_roots(links)
+        open_ = stored(_still_open(open_, roots), "open")
+        if open_.isEmpty():
+            break
+    main = _main_roots(open_)
+    rest = open_.join(main, "shingle").select("shingle", member.alias("m"), (F.col("root") == F.col("main")).alias("main"))
+    a = rest.where("NOT main").select("shingle", F.col("m").alias("a"))
+    b = rest.select("shingle", F.col("m").alias("b"), F.col("main"))
+    met = a.join(b, "shingle").where((F.col("a.root") != F.col("b.root")) & (F.col("main") | (F.col("a.node") < F.col("b.node"))))
+    _, found = _linked(_unseen(met.select("a", "b"), seen, num, den), classes, docs, k, num, den)
+    links = links.union(found)
     roots = component_roots(links)
     placed = classes.select("node", *key, "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
