@@ -141,16 +141,18 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         .join(order, "doc_id")
         .select(F.col("doc_id").alias("before"), F.col("next_id").alias("doc_id"), "need")
     )
-    # the start of every document, as long as the document before it needs it
+    # the start of every document, as long as the document before it needs it; both joins read one shuffle of the texts
+    known = rows.where("doc_id IS NOT NULL")
     starts = (
-        rows.join(needed, "doc_id")
+        known.join(needed, "doc_id")
         .select(F.col("before").alias("doc_id"), F.expr("substring(text, 1, need)").alias("start"))
         .groupBy("doc_id").agg(F.min("start").alias("start"))
     )
     n = F.char_length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - quarter), F.substring(F.coalesce("start", F.lit("")), F.lit(1), quarter))
-    both = rows.join(starts, "doc_id", "left").select("doc_id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
+    known = known.join(starts, "doc_id", "left").union(rows.where("doc_id IS NULL").withColumn("start", F.lit("")))
+    both = known.select("doc_id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
     signed = stored(
         both.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), signature(F.col("text")).alias("sig"), signature(F.col("edited")).alias("esig"), F.xxhash64("text").alias("hash")),
         "signed",
