@@ -8,25 +8,28 @@ from pyspark.sql import functions as F
 from cytoloom.session import stored
 
 
-def _towards_smaller(edges: DataFrame) -> DataFrame:
-    """Every edge as (u, v) with u > v, once."""
-    return (
-        edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
-    )
-
-
 def _large_star(edges: DataFrame) -> DataFrame:
+    """Every larger neighbour of a node is tied to the smallest of the node and its neighbours."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
+    """A node and its other smaller neighbours are tied to its smallest neighbour."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
     hops = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return hops.union(least.select("u", F.col("m").alias("v")))
 
 
+def _is_star(edges: DataFrame) -> bool:
+    """Whether every node has one edge to a root that has none itself."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("v", F.lit(0), F.lit(1))
+    )
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR (up > 0 AND down > 0)").isEmpty()
+
+
 def component_roots(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges(u, v)`` but the roots themselves.
 
@@ -35,11 +38,8 @@ def component_roots(edges: DataFrame) -> DataFrame:
     The groups of a round are pre-aggregated minima, and its joins are plain equi-joins that
     adaptive execution can split, so a node with very many links is no single task.
     """
-    edges = stored(_towards_smaller(edges), "links")
-    seen = None
-    while True:
-        edges = stored(_towards_smaller(_small_star(_towards_smaller(_large_star(edges)))), "links")
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen = state
+    edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
+    edges = stored(edges.distinct(), "links")
+    while not _is_star(edges):
+        edges = stored(_small_star(_large_star(edges)).where("u <> v").distinct(), "links")
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

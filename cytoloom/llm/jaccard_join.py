@@ -8,9 +8,9 @@ prefix shingles, every surviving pair verified once on the full sets.
    documents in 65 536 hash buckets; any fixed order is correct, a rare-first one is fast.
 3. Sets with Jaccard >= t share a shingle among the first n - ceil(t n) + 1 of each.
 4. Joining all members of a prefix shingle with each other would grow with the square of a group
-   of copies. So in each of two rounds two members of a shingle, the most central ones left, meet the members of other
-   components; after a round the links are verified and components joined, and a shingle whose members are in one
-   component is done: pairs inside a component cannot change the result. The last join pairs what is
+   of copies. So first the three most central members of a shingle meet all others. The links found are
+   verified and components joined; a shingle whose members are then in one
+   component is done: pairs inside a component cannot change the result. The second join pairs what is
    left: members outside the most frequent component of their shingle with members of other components.
    No link between components is lost: two classes sharing a prefix shingle either meet in
    one of the joins or are connected already.
@@ -33,8 +33,8 @@ from cytoloom.session import stored
 FREQUENCY_BITS = 16
 # Parts of the suffix filter.
 PARTS = 256
-# Rounds in which two members of a shingle meet all others, before what is left meets fully.
-ROUNDS = 2
+# Members of a shingle that meet all others, before what is left meets fully.
+LEADS = 3
 
 
 def _digest(s: np.ndarray) -> tuple[int, int]:
@@ -145,12 +145,6 @@ def _placed(members: DataFrame, roots: DataFrame) -> DataFrame:
     return members.select("shingle", "node", "n", "pos", F.coalesce("root", "node").alias("root"))
 
 
-def _still_open(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """The members of shingles that still join several components."""
-    placed = stored(_placed(members, roots), "placed")
-    return placed.join(_main_roots(placed).select("shingle"), "shingle")
-
-
 def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """The candidate pairs, and the links (u, v) among them: suffix filter, then the exact overlap of the full sets."""
     candidates = pairs.select("u", "v")
@@ -223,25 +217,21 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5)
     # whose shingles are shared most lead; the limit by rank is applied in every task before the shuffle.
     weights = entries.groupBy("node").agg(F.sum("members").alias("weight"))
     by_weight = Window.partitionBy("shingle").orderBy(F.desc("weight"), "node")
-    leads = entries.join(weights, "node").withColumn("rank", F.row_number().over(by_weight)).where(F.col("rank") <= 2 * ROUNDS)
-    leads = stored(leads.select("shingle", "node", "n", "pos", "rank"), "leads")
+    leads = entries.join(weights, "node").withColumn("rank", F.row_number().over(by_weight)).where(F.col("rank") <= LEADS)
+    leads = stored(leads.select("shingle", "node", "n", "pos"), "leads")
 
     nothing = entries.select(F.col("node").alias("u"), F.col("node").alias("v")).where("false")
-    links, seen, roots = nothing, nothing, nothing.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    open_ = _placed(entries, roots)
+    roots = nothing.select(F.col("u").alias("node"), F.col("v").alias("root"))
     member = F.struct("node", "n", "pos", "root")
-    for turn in range(ROUNDS):
-        # two members of each shingle, others in every round, meet all members of other components
-        a = _placed(leads.where(f"rank IN ({2 * turn + 1}, {2 * turn + 2})"), roots).select("shingle", member.alias("a"))
-        met = open_.select("shingle", member.alias("b")).join(a, "shingle")
-        pairs, found = _linked(_unseen(met, seen, num, den), classes, docs, k, num, den)
-        links, seen = stored(links.union(found), "links"), seen.union(pairs)
-        roots = component_roots(links)
-        open_ = stored(_still_open(open_, roots), "open")
-        if open_.isEmpty():
-            break
-    main = _main_roots(open_)
-    rest = open_.join(main, "shingle").select("shingle", member.alias("m"), (F.col("root") == F.col("main")).alias("main"))
+    # the leading members of a shingle meet all others
+    a = _placed(leads, roots).select("shingle", member.alias("a"))
+    met = _placed(entries, roots).select("shingle", member.alias("b")).join(a, "shingle")
+    seen, found = _linked(_unseen(met, nothing, num, den), classes, docs, k, num, den)
+    links = stored(found, "links")
+    # what is left: shingles whose members are still in several components
+    placed = stored(_placed(entries, component_roots(links)), "placed")
+    rest = placed.join(_main_roots(placed), "shingle").select("shingle", member.alias("m"), (F.col("root") == F.col("main")).alias("main"))
+    rest = stored(rest, "open")
     a = rest.where("NOT main").select("shingle", F.col("m").alias("a"))
     b = rest.select("shingle", F.col("m").alias("b"), F.col("main"))
     met = a.join(b, "shingle").where((F.col("a.root") != F.col("b.root")) & (F.col("main") | (F.col("a.node") < F.col("b.node"))))
