@@ -10,9 +10,18 @@ from cytoloom.schema import CELL
 from cytoloom.session import cut_lineage
 
 
+def with_flags(counts: DataFrame, features: DataFrame) -> DataFrame:
+    """All counts with the flags of their gene, false where none is known."""
+    flags = features.select("feature", "is_mito", "is_ribo")
+    return counts.join(flags, "feature", "left").na.fill(False, ["is_mito", "is_ribo"])
+
+
 def cell_quality(counts: DataFrame, features: DataFrame) -> DataFrame:
-    """Mitochondrial sum, detected genes and percent, ribosomal percent per cell."""
-    marked = counts.join(features.select("feature", "is_mito", "is_ribo"), "feature")
+    """Mitochondrial sum, detected genes and percent, ribosomal percent per cell.
+
+    The total is that of all counts: a gene without a row or flag in ``features`` counts as neither kind.
+    """
+    marked = with_flags(counts, features)
     mito = F.when(F.col("is_mito"), F.col("value")).otherwise(0.0)
     ribo = F.when(F.col("is_ribo"), F.col("value")).otherwise(0.0)
     return marked.groupBy(*CELL).agg(

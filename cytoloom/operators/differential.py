@@ -9,13 +9,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cytoloom.functions.stats import benjamini_hochberg, first_per_group, fresh, group_join, hash_order
+from cytoloom.functions.stats import benjamini_hochberg, fresh, group_join
 from cytoloom.session import cut_lineage
 
-# Count filter, samples used for dispersions, values per task (fixed values).
+# Count filter, values per task (fixed values).
 MIN_COUNTS = 10
 MIN_PROPORTION = 0.7
-DISPERSION_SAMPLES = 2000
 VALUES_PER_TASK = 200_000
 
 
@@ -41,17 +40,14 @@ def keep_abundant(
 def gene_dispersions(bulk: DataFrame, samples: DataFrame, keys: list[str] | None = None, prior: float = 10.0) -> DataFrame:
     """phi = (s² - m) / m² of depth-scaled counts per gene, drawn toward the trend over the mean.
 
-    At most 2000 samples per group, in hash order, are used. The trend a + b/m comes from
+    The moments are sums over all samples. The trend a + b/m comes from
     a weighted regression on 1/m; the gene's own value weighs with its degrees of freedom.
     """
     lone = not keys
     if lone:
         keys, bulk, samples = ["_all"], bulk.withColumn("_all", F.lit(1)), samples.withColumn("_all", F.lit(1))
-    used = first_per_group(
-        samples.select(*keys, "sample_id"), keys, [hash_order("sample_id"), F.col("sample_id")], DISPERSION_SAMPLES
-    )
     lib = bulk.groupBy(*keys, "sample_id").agg(F.sum("value").alias("lib"))
-    used = used.join(lib, [*keys, "sample_id"])
+    used = samples.select(*keys, "sample_id").distinct().join(lib, [*keys, "sample_id"])
     mean_lib = used.groupBy(*keys).agg(F.avg("lib").alias("mean_lib"), F.count(F.lit(1)).alias("n_samples"))
     scaled = group_join(bulk.join(used, [*keys, "sample_id"]), mean_lib, keys).withColumn(
         "y", F.col("value") * F.col("mean_lib") / F.col("lib")

@@ -40,10 +40,9 @@ def variances(counts: DataFrame, cells: DataFrame, keys: list[str]) -> DataFrame
     )
 
 
-def top_variance_features(counts: DataFrame, cells: DataFrame, n: int = 1000, max_cells: int = 50_000) -> DataFrame:
-    """The n genes of largest variance per sample, over at most ``max_cells`` hashed cells."""
-    looked_at = first_per_group(cells.select(*CELL), ["sample_id"], [hash_order(*CELL), F.col("cell_id")], max_cells)
-    ranked = variances(counts, looked_at, ["sample_id"]).withColumn(
+def top_variance_features(counts: DataFrame, cells: DataFrame, n: int = 1000) -> DataFrame:
+    """The n genes of largest variance per sample, over all its cells."""
+    ranked = variances(counts, cells.select(*CELL), ["sample_id"]).withColumn(
         "place",
         F.row_number().over(Window.partitionBy("sample_id").orderBy(F.desc(F.round("variance", 9)), "feature")),
     )

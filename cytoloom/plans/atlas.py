@@ -171,14 +171,20 @@ def assign_files(metadata: DataFrame, label: str = "cell_type", cells_per_file:
     )
 
 
+def with_files(metadata: DataFrame, files: DataFrame, how: str = "inner") -> DataFrame:
+    """Cells with the file their type goes to; a cell without a type goes to the file of ``UNKNOWN``."""
+    files = files.withColumnRenamed("cell_type", "__file_type")
+    named = metadata.withColumn("__file_type", F.coalesce(F.col("cell_type"), F.lit(UNKNOWN)))
+    return named.join(files, ["dataset_id", "sample_id", "__file_type"], how).drop("__file_type")
+
+
 def cells_with_files(
     metadata: DataFrame, results: DataFrame, files: DataFrame, transforms: DataFrame, excluded: list[str]
 ) -> DataFrame:
     """Star join of metadata, results per cell, file ids and transforms; missing alive is false."""
     return (
-        metadata.where(~F.col("dataset_id").isin(excluded) if excluded else F.lit(True))
+        with_files(metadata.where(~F.col("dataset_id").isin(excluded) if excluded else F.lit(True)), files, "left")
         .join(results, ["sample_id", "cell_id"], "left")
-        .join(files, ["dataset_id", "sample_id", "cell_type"], "left")
         .join(transforms, "sample_id", "left")
         .withColumn("alive", F.coalesce("alive", F.lit(False)))
     )

@@ -33,6 +33,15 @@ class Study:
         have = {k: self.tables.get(k) for k in ("empty_tbl", "alive_tbl", "doublet_tbl")}
         return alive.quality_cells(**have) if any(v is not None for v in have.values()) else None
 
+    def kept_counts(self) -> DataFrame:
+        """Counts of the cells no earlier step has removed."""
+        kept = self.kept()
+        return self.counts if kept is None else self.counts.join(kept.select(*CELL), CELL, "left_semi")
+
+    def kept_cells(self) -> DataFrame:
+        kept = self.kept()
+        return self.cells if kept is None else self.cells.join(kept.select(*CELL), CELL, "left_semi")
+
     def transform_assay(self, control: DataFrame, signed: bool = False) -> Study:
         return replace(
             self, counts=transform.transform_assay(self.counts, control, self.cells, self.features, signed)
@@ -66,19 +75,19 @@ class Study:
         return self._with(doublet_tbl=doublet.classify_doublets(self.counts, self.cells, kept, **options))
 
     def annotate_cell_type(self, reference: DataFrame, **options) -> Study:
-        return self._with(annotation_tbl=annotate.annotate_cells(self.counts, reference, **options))
+        return self._with(annotation_tbl=annotate.annotate_cells(self.kept_counts(), reference, **options))
 
     def cell_type_consensus(self, labels: DataFrame, label_map: DataFrame, edges: DataFrame, non_immune: list[str]) -> Study:
         return self._with(consensus_tbl=consensus.cell_type_consensus(labels, label_map, edges, non_immune))
 
     def normalise_abundance(self) -> Study:
-        return self._with(normalised_tbl=normalize.stabilise_variance(self.counts, self.cells))
+        return self._with(normalised_tbl=normalize.stabilise_variance(self.kept_counts(), self.kept_cells()))
 
     def cluster_metacells(self, **options) -> Study:
         return self._with(metacell_tbl=metacell.metacell_memberships(self.counts, self.cells, self.kept(), **options))
 
     def find_variable_features(self, n: int = 2000) -> Study:
-        return self._with(variable_tbl=features.variable_features(self.counts, self.cells, n))
+        return self._with(variable_tbl=features.variable_features(self.kept_counts(), self.kept_cells(), n))
 
     def communicate(self, pairs: DataFrame, **options) -> Study:
         return self._with(

@@ -1,4 +1,4 @@
-"""Growing sample sets: new deliveries are processed once, repeated ones replace."""
+"""Growing sample sets: a delivery may spread over any number of batches, a repeated one replaces."""
 
 from __future__ import annotations
 
@@ -7,10 +7,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from cytoloom.operators.pseudobulk import pseudobulk
-from cytoloom.schema import COUNTS
+from cytoloom.operators.alive import with_flags
+from cytoloom.schema import CELL, COUNTS
 
 
 def replace_samples(old: DataFrame, new: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -38,32 +39,23 @@ def manifest_rows(samples: DataFrame, step: str, parameters: dict) -> DataFrame:
     )
 
 
-def _write_samples(table: DataFrame, out_path: str) -> None:
-    """Overwrite the folders of the delivered samples and leave all others alone."""
-    (
-        table.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("sample_id")
-        .parquet(out_path)
-    )
-
-
 def counts_stream(spark: SparkSession, in_path: str, max_files: int = 100) -> DataFrame:
-    """Counts files as they arrive."""
-    return spark.readStream.schema(COUNTS).option("maxFilesPerTrigger", max_files).parquet(in_path)
+    """Counts files as they arrive, below one folder ``delivery=<number>`` per delivery."""
+    return spark.readStream.schema(T.StructType([*COUNTS.fields, T.StructField("delivery", T.LongType())])).option("maxFilesPerTrigger", max_files).parquet(in_path)
 
 
 def run_incremental(
-    stream: DataFrame, step: Callable[[DataFrame], DataFrame], out_path: str, checkpoint: str
+    stream: DataFrame, partial: Callable[[DataFrame], DataFrame], out_path: str, checkpoint: str
 ) -> StreamingQuery:
-    """Apply a per-sample batch operator to every delivery and store one folder per sample.
+    """Store what ``partial`` makes of every batch, in a folder of its own.
 
-    A repeated batch writes the same folders again, so a restart leaves no duplicates.
-    A sample must arrive in one delivery; a later delivery of it replaces the first.
+    ``partial`` keeps ``sample_id`` and ``delivery`` and returns sums, so the files of a sample may spread over any
+    number of batches; ``current_parts`` reads them together. A batch that is repeated after a
+    failure writes its own folder again.
     """
 
-    def handle(batch: DataFrame, _: int) -> None:
-        _write_samples(step(batch), out_path)
+    def handle(batch: DataFrame, number: int) -> None:
+        partial(batch).write.mode("overwrite").parquet(f"{out_path}/batch={number}")
 
     return (
         stream.writeStream.foreachBatch(handle)
@@ -73,15 +65,57 @@ def run_incremental(
     )
 
 
-def incremental_quality(
-    stream: DataFrame, quality: Callable[[DataFrame], DataFrame], out_path: str, checkpoint: str
-) -> StreamingQuery:
-    """Side tables of new samples."""
-    return run_incremental(stream, quality, out_path, checkpoint)
+def current_parts(spark: SparkSession, out_path: str, schema: str) -> DataFrame:
+    """The stored parts of the latest delivery of every sample; a later delivery replaces the ones before."""
+    parts = spark.read.schema(schema).parquet(out_path)
+    latest = parts.groupBy("sample_id").agg(F.max("delivery").alias("delivery"))
+    return parts.join(latest, ["sample_id", "delivery"])
+
+
+QUALITY_PARTS = "sample_id string, delivery long, cell_id string, mito_sum double, mito_detected long, ribo_sum double, total double"
+BULK_PARTS = "sample_id string, delivery long, cell_type string, feature string, value double"
+
+
+def incremental_quality(stream: DataFrame, features: DataFrame, out_path: str, checkpoint: str) -> StreamingQuery:
+    """Sums of the quality table of new samples."""
+    mito, ribo = (F.when(F.col(c), F.col("value")).otherwise(0.0) for c in ("is_mito", "is_ribo"))
+
+    def partial(batch: DataFrame) -> DataFrame:
+        return with_flags(batch, features).groupBy("sample_id", "delivery", "cell_id").agg(
+            F.sum(mito).alias("mito_sum"),
+            F.count(F.when(F.col("is_mito") & (F.col("value") > 0), 1)).alias("mito_detected"),
+            F.sum(ribo).alias("ribo_sum"),
+            F.sum("value").alias("total"),
+        )
+
+    return run_incremental(stream, partial, out_path, checkpoint)
+
+
+def current_quality(spark: SparkSession, out_path: str) -> DataFrame:
+    """The quality table of everything delivered so far."""
+    sums = current_parts(spark, out_path, QUALITY_PARTS).groupBy("sample_id", "cell_id").agg(
+        *[F.sum(c).alias(c) for c in ("mito_sum", "mito_detected", "ribo_sum", "total")]
+    )
+    return sums.select(
+        "sample_id", "cell_id", "mito_sum", "mito_detected",
+        (100.0 * F.col("mito_sum") / F.col("total")).alias("mito_percent"),
+        (100.0 * F.col("ribo_sum") / F.col("total")).alias("ribo_percent"),
+    )
 
 
 def incremental_pseudobulk(
     stream: DataFrame, cells: DataFrame, out_path: str, checkpoint: str
 ) -> StreamingQuery:
-    """Pseudobulk of new samples; a delivered sample replaces its earlier sums."""
-    return run_incremental(stream, lambda batch: pseudobulk(batch, cells), out_path, checkpoint)
+    """Sums of the pseudobulk of new samples."""
+    types = cells.select(*CELL, "cell_type")
+
+    def partial(batch: DataFrame) -> DataFrame:
+        return batch.join(types, CELL).groupBy("sample_id", "delivery", "cell_type", "feature").agg(F.sum("value").alias("value"))
+
+    return run_incremental(stream, partial, out_path, checkpoint)
+
+
+def current_pseudobulk(spark: SparkSession, out_path: str) -> DataFrame:
+    """The pseudobulk of everything delivered so far."""
+    parts = current_parts(spark, out_path, BULK_PARTS)
+    return parts.groupBy("sample_id", "cell_type", "feature").agg(F.sum("value").alias("value"))

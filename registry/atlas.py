@@ -125,7 +125,7 @@ INDEX_SQL = """idx AS (SELECT file_id, cell_id, sample_id, row_number() OVER (PA
 
 def filed_cells(t):
     files = atlas.assign_files(t.cell_metadata).select("dataset_id", "sample_id", "cell_type", "file_id")
-    return t.cell_metadata.join(files, ["dataset_id", "sample_id", "cell_type"])
+    return atlas.with_files(t.cell_metadata, files)
 
 
 @query("at9_rekeyed_cells", with_(META, CHUNK_SQL, FILES, INDEX_SQL, body="SELECT sample_id, cell_id, file_id || '___' || cell_index AS new_id FROM idx"))

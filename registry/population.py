@@ -172,9 +172,14 @@ def _(t):
 
 
 def delivered(t):
-    """Counts as one folder of files per sample, the way deliveries arrive."""
+    """Counts as files that each hold a part of every sample, and one sample delivered twice, half of it first."""
     path = scratch_path(t.spark, "deliveries")
-    t.counts.repartition("sample_id").write.parquet(path)
+    counts = t.counts.repartition(7)
+    first = counts.select("sample_id").distinct().agg(F.min("sample_id")).first()[0]
+    once = counts.where(F.col("sample_id") != first).withColumn("delivery", F.lit(1))
+    half = counts.where((F.col("sample_id") == first) & (F.xxhash64("cell_id") % 2 == 0)).withColumn("delivery", F.lit(1))
+    again = counts.where(F.col("sample_id") == first).withColumn("delivery", F.lit(2))
+    once.unionByName(half).unionByName(again).write.partitionBy("delivery").parquet(path)
     return path
 
 
@@ -187,13 +192,8 @@ def delivered(t):
 def _(t):
     out = scratch_path(t.spark, "quality")
     stream = incremental.counts_stream(t.spark, delivered(t), max_files=3)
-    run = incremental.incremental_quality(
-        stream, lambda batch: alive.cell_quality(batch, t.features), out, scratch_path(t.spark, "progress")
-    )
-    run.awaitTermination()
-    table = t.spark.read.schema(
-        "cell_id string, mito_sum double, mito_detected long, mito_percent double, ribo_percent double, sample_id string"
-    ).parquet(out)
+    incremental.incremental_quality(stream, t.features, out, scratch_path(t.spark, "progress")).awaitTermination()
+    table = incremental.current_quality(t.spark, out)
     return table.withColumn("mito_percent", F.round("mito_percent", 6)).withColumn("ribo_percent", F.round("ribo_percent", 6))
 
 
@@ -205,7 +205,7 @@ def _(t):
     out = scratch_path(t.spark, "bulk")
     stream = incremental.counts_stream(t.spark, delivered(t), max_files=3)
     incremental.incremental_pseudobulk(stream, t.cells, out, scratch_path(t.spark, "progress")).awaitTermination()
-    table = t.spark.read.schema("cell_type string, feature string, value double, sample_id string").parquet(out)
+    table = incremental.current_pseudobulk(t.spark, out)
     return table.select("sample_id", "cell_type", "feature", "value")
 
 
