@@ -8,7 +8,7 @@ prefix shingles, every surviving pair verified once on the full sets.
    documents in 65 536 hash buckets; any fixed order is correct, a rare-first one is fast.
 3. Sets with Jaccard >= t share a shingle among the first n - ceil(t n) + 1 of each.
 4. Joining all members of a prefix shingle with each other would grow with the square of a group
-   of copies. So first the three most central members of a shingle meet all others. The links found are
+   of copies. So first the five most central members of a shingle meet all others. The links found are
    verified and components joined; a shingle whose members are then in one
    component is done: pairs inside a component cannot change the result. The second join pairs what is
    left: members outside the most frequent component of their shingle with members of other components.
@@ -34,7 +34,7 @@ FREQUENCY_BITS = 16
 # Parts of the suffix filter.
 PARTS = 256
 # Members of a shingle that meet all others, before what is left meets fully.
-LEADS = 3
+LEADS = 5
 
 
 def _digest(s: np.ndarray) -> tuple[int, int]:
