@@ -130,7 +130,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
         .join(F.broadcast(chosen), "doc_id")
         .groupBy("doc_id")
         .agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
-        .repartitionByRange(1, "doc_id")
+        .repartition(1)
         .sortWithinPartitions("doc_id")
     )
 
