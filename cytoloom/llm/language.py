@@ -155,7 +155,7 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarra
             w, b, t = fit(texts, np.array(y), len(langs), idf)
             yield pa.RecordBatch.from_arrays([pa.array([w.astype(np.float32).tobytes()]), pa.array([b.tobytes()]), pa.array([t])], ["w", "b", "t"])
 
-    sample = sample.repartitionByRange(1, "doc_id", "lang").sortWithinPartitions("doc_id", "lang")
+    sample = sample.repartition(1).sortWithinPartitions("doc_id", "lang")
     w, b, t = map_batches(sample, run, "w binary, b binary, t double").first()  # one row of fixed size
     w = np.frombuffer(bytes(w), np.float32).reshape(BUCKETS, len(langs))
     return langs, idf, w, np.frombuffer(bytes(b)), t
