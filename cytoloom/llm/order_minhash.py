@@ -133,7 +133,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     doc_id has several rows, the smallest text counts. A row without doc_id has no next document: an empty text
     stands for it. Other columns are ignored, an empty table gives an empty table.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    # a cast that changes nothing leaves an alias on one side of the self-join, and its shuffle is then not reused
+    doc_id = F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("long").alias("doc_id")
+    rows = docs.select(doc_id, F.coalesce("text", F.lit("")).alias("text"))
     order = stored(successors(docs), "next")
     needed = (
         rows.select("doc_id", F.floor(F.char_length("text") / 4).cast("int").alias("need"))
