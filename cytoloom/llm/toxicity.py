@@ -64,18 +64,18 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """The text as weights of buckets that sum to one; empty without words."""
+    """The text as buckets (int32) and their weights (float32) that sum to one; empty without words."""
     words: dict[str, int] = {}
     for w in text.lower().split():
         words[w] = words.get(w, 0) + 1
     if not words:
-        return np.zeros(0, np.int64), np.zeros(0)
+        return np.zeros(0, np.int32), np.zeros(0, np.float32)
     buckets, owners = subwords(list(words))
     counts = np.fromiter(words.values(), np.float64, len(words))
     share = counts / counts.sum() / np.bincount(owners, minlength=len(words))
     weights = np.bincount(buckets, share[owners], 1 << BUCKET_BITS)
     at = np.flatnonzero(weights)
-    return at, weights[at]
+    return at.astype(np.int32), weights[at].astype(np.float32)
 
 
 def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float]:
@@ -86,11 +86,18 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> tuple[np.ndarray,
     share = np.clip((toxic.sum() + 0.5) / (len(toxic) + 1.0), 1e-6, 1 - 1e-6)
     bias = np.log(np.array([1 - share, share]))
     v2, l2, b2 = np.full(len(vectors), 1e-10), np.full(layer.shape, 1e-6), np.full(2, 1e-6)
-    bags = [bag(t) for t in texts]
+    # all bags in two growing buffers: thousands of small arrays would stay in the worker's heap
+    ends, buckets, shares = [0], bytearray(), bytearray()
+    for text in texts:
+        at, weights = bag(text)
+        buckets += at.tobytes()
+        shares += weights.tobytes()
+        ends.append(ends[-1] + len(at))
+    buckets, shares = np.frombuffer(buckets, np.int32), np.frombuffer(shares, np.float32)
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
-        for i in rng.permutation(len(bags)):
-            at, weights = bags[i]
+        for i in rng.permutation(len(texts)):
+            at, weights = buckets[ends[i] : ends[i + 1]], shares[ends[i] : ends[i + 1]]
             hidden = weights @ vectors[at] if len(at) else np.zeros(DIMENSIONS)
             z = hidden @ layer + bias
             p = np.exp(z - z.max())
