@@ -7,12 +7,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cytoloom.functions.stats import first_per_group, group_join, group_quantiles, hash_order, ranked_values, value_counts
+from cytoloom.functions.stats import group_join, group_quantiles, ranked_values, value_counts
 from cytoloom.schema import CELL
 from cytoloom.session import cut_lineage
 
-# Cells looked at for model fits and matrix checks (fixed value).
-CHECK_CELLS = 5000
 SCALE_FACTOR = 1e4
 SCT_SCALE_FACTOR = 2186
 
@@ -159,22 +157,22 @@ def _gene_models(pdf: pd.DataFrame) -> pd.DataFrame:
     mu = pdf["mean"].to_numpy()
     phi = np.maximum(pdf["overdispersion"].to_numpy(), 1e-4)
     y = np.log10(1.0 / phi)
-    order = np.argsort(mean, kind="stable")
-    pick = order[np.unique(np.linspace(0, len(order) - 1, min(2000, len(order))).astype(int))]
     spread = mean.std() or 1.0
-    width = max(3.0 * 1.06 * spread * len(pick) ** -0.2, 1e-6)
+    width = max(3.0 * 1.06 * spread * len(mean) ** -0.2, 1e-6)
     grid = np.linspace(mean.min(), mean.max(), 512)
-    k = np.exp(-0.5 * ((grid[:, None] - mean[None, pick]) / width) ** 2)
-    theta = np.interp(mean, grid, (k * y[pick]).sum(1) / np.maximum(k.sum(1), 1e-300))
+    level, weight = np.zeros(len(grid)), np.zeros(len(grid))
+    for at in range(0, len(mean), 2000):  # all genes, a slice of the kernel at a time
+        k = np.exp(-0.5 * ((grid[:, None] - mean[None, at : at + 2000]) / width) ** 2)
+        level += k @ y[at : at + 2000]
+        weight += k.sum(1)
+    theta = np.interp(mean, grid, level / np.maximum(weight, 1e-300))
     return pdf[["sample_id", "feature", "rate"]].assign(theta=10.0**theta, mean=mu)
 
 
-def stabilise_variance(
-    counts: DataFrame, cells: DataFrame | None = None, check_cells: int = CHECK_CELLS
-) -> DataFrame:
+def stabilise_variance(counts: DataFrame, cells: DataFrame | None = None) -> DataFrame:
     """Regularised negative-binomial residuals and depth-corrected counts.
 
-    Every gene gets a model x ~ NB(rate * total, theta) fitted on at most ``check_cells``
+    Every gene gets a model x ~ NB(rate * total, theta) fitted on all
     cells of its sample; theta is smoothed over the gene means. Output has the residual
     of every stored count and the corrected count with its log1p. A zero whose corrected
     count is not zero is added; only highly expressed genes can have one. Samples with
@@ -184,13 +182,12 @@ def stabilise_variance(
     size = totals.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n_cells")).where(F.col("n_cells") > 1)
     mid = group_quantiles(totals, ["sample_id"], "cell_total", {"mid_total": 0.5})
     totals = totals.join(size, "sample_id", "left_semi")
-    fitted = first_per_group(totals, ["sample_id"], [hash_order(*CELL), F.col("cell_id")], check_cells)
-    depth = fitted.groupBy("sample_id").agg(
+    depth = totals.groupBy("sample_id").agg(
         F.sum("cell_total").alias("s1"), F.sum(F.col("cell_total") * F.col("cell_total")).alias("s2"),
         F.count(F.lit(1)).alias("n_fit"),
     )
     moments = (
-        counts.join(fitted, CELL)
+        counts.join(totals, CELL)
         .groupBy("sample_id", "feature")
         .agg(
             F.sum("value").alias("x1"),

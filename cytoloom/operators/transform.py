@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cytoloom.functions.stats import first_per_group, group_quantiles, hash_order, value_counts
-from cytoloom.operators.normalize import CHECK_CELLS
+from cytoloom.functions.stats import group_quantiles, value_counts
 from cytoloom.schema import CELL
 from cytoloom.session import cut_lineage
 
@@ -153,13 +152,12 @@ def transform_assay(
     cells: DataFrame,
     features: DataFrame,
     signed: bool = False,
-    check_cells: int = CHECK_CELLS,
     assay_name: str = "X",
 ) -> DataFrame:
     """Apply each sample's transform, remove the most frequent value, clamp at zero.
 
     ``control`` has sample_id, method and scale_max. The most frequent value is read from
-    at most ``check_cells`` cells per sample. With ``signed`` input a negative peak of the
+    all listed cells of a sample. With ``signed`` input a negative peak of the
     values is shifted to zero first; if that leaves the absent entries of a sample above
     zero, they are written out for that sample. Cells without any count left disappear
     with their rows.
@@ -178,14 +176,10 @@ def transform_assay(
     )
     keep = [*CELL, "feature", "value"]
     scaled = scaled.select(*keep)
-    looked_at = first_per_group(
-        cells.select(*CELL), ["sample_id"], [hash_order(*CELL), F.col("cell_id")], check_cells
-    )
-    looked_at = cut_lineage(looked_at)
-    sizes = matrix_sizes(looked_at, features)
+    listed = cells.select(*CELL)
+    sizes = matrix_sizes(cells, features)
     if signed:
-        light = scaled.join(looked_at, CELL, "left_semi")
-        shift = _peaks(light, sizes).select(
+        shift = _peaks(scaled.join(listed, CELL, "left_semi"), sizes).select(
             "sample_id", F.when(F.col("peak") < 0, -F.col("peak")).otherwise(0.0).alias("_shift")
         )
         shift = cut_lineage(shift)
@@ -195,12 +189,12 @@ def transform_assay(
     else:
         shift = None
         scaled = scaled.withColumn("value", F.round("value", 5))
-    light = scaled.join(looked_at, CELL, "left_semi")
+    present = scaled.join(listed, CELL, "left_semi")
     if shift is None:
-        modes = most_frequent_value(light, sizes)
+        modes = most_frequent_value(present, sizes)
     else:
         # after a shift the absent entries stand at the shift instead of zero
-        hist = value_counts(light, ["sample_id"], "value").select("sample_id", "value", "n")
+        hist = value_counts(present, ["sample_id"], "value").select("sample_id", "value", "n")
         stored = hist.groupBy("sample_id").agg(F.sum("n").alias("_stored"))
         absent = (
             sizes.join(stored, "sample_id", "left")

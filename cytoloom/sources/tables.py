@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import re
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,20 +25,40 @@ def load_counts(spark: SparkSession, path: str, fmt: str = "parquet", **options:
 def load_samples(spark: SparkSession, files: dict[str, str] | list[str], fmt: str = "parquet") -> DataFrame:
     """Many files read as one scan, each row tagged with the name of its file.
 
-    A list is numbered from 1. Names are found again by the file's own name, so two
-    entries must not share it.
+    A list is numbered from 1. A sample is a file or a folder of any depth. A file belongs to the
+    sample with the longest path that contains it, so equal file names in different
+    folders are different samples; a file that belongs to none is an error. The names of
+    folders like ``assay=RNA`` below a sample become text columns.
     """
     named = files if isinstance(files, dict) else {str(i): f for i, f in enumerate(files, start=1)}
-    stems = {os.path.basename(f.rstrip("/")): n for n, f in named.items()}
-    if len(stems) != len(named):
-        raise ValueError("two samples share a file name")
-    df = spark.read.option("mergeSchema", "true").format(fmt).load(list(named.values()))
-    names = spark.createDataFrame(list(stems.items()), "_stem string, sample_id string")
-    parts = F.split(F.regexp_replace(F.input_file_name(), "[?#].*$", ""), "/")
-    # a sample may be one file or a folder of part files
-    tagged = df.withColumn("_last", F.element_at(parts, -1)).withColumn("_folder", F.element_at(parts, -2))
-    stem = F.when(F.col("_last").isin(list(stems)), F.col("_last")).otherwise(F.col("_folder"))
-    return tagged.withColumn("_stem", stem).join(names, "_stem").drop("_stem", "_last", "_folder")
+    roots = {_plain(f): n for n, f in named.items()}
+    if len(roots) != len(named):
+        raise ValueError("two samples share a path")
+    # a scan of several partitioned folders would not find out their columns by itself
+    df = spark.read.options(mergeSchema="true", recursiveFileLookup="true").format(fmt).load(list(named.values()))
+    by_length = sorted(roots, key=len, reverse=True)
+    owner, folders = {}, set()
+    for file in map(_plain, map(unquote, df.inputFiles())):  # the listing Spark made for the scan
+        root = next((r for r in by_length if f"{r}/" in f"{file}/"), None)
+        if root is None:
+            raise ValueError(f"{file} belongs to no sample")
+        owner[file] = roots[root]
+        folders.update(re.findall("(?<=/)([^/=]+)=", "/" + f"{file}/".split(f"{root}/", 1)[1]))
+    names = spark.createDataFrame(list(owner.items()), "_file string, sample_id string")
+    # file names are URIs: %20 is a space, a plus is a plus
+    file = F.url_decode(F.replace(F.input_file_name(), F.lit("+"), F.lit("%2B")))
+    file = F.concat(F.lit("/"), F.regexp_replace(file, "^[A-Za-z0-9+.-]+:/+|^/+", ""))
+    tagged = df.withColumn("_file", file)
+    for folder in sorted(folders - set(df.columns)):
+        held = F.regexp_extract("_file", f"/{re.escape(folder)}=([^/]*)/", 1)
+        held = F.url_decode(F.replace(held, F.lit("+"), F.lit("%2B")))
+        tagged = tagged.withColumn(folder, F.nullif(F.nullif(held, F.lit("")), F.lit("__HIVE_DEFAULT_PARTITION__")))
+    return tagged.join(names, "_file").drop("_file")
+
+
+def _plain(path: str) -> str:
+    """A path without scheme, with one slash in front and none behind."""
+    return "/" + re.sub("^[A-Za-z0-9+.-]+:/+|^/+", "", path).rstrip("/")
 
 
 def scan(spark: SparkSession, *paths: str, columns: list[str] | None = None, where=None, by_name: bool = False) -> DataFrame:

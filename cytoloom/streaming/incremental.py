@@ -40,8 +40,13 @@ def manifest_rows(samples: DataFrame, step: str, parameters: dict) -> DataFrame:
 
 
 def counts_stream(spark: SparkSession, in_path: str, max_files: int = 100) -> DataFrame:
-    """Counts files as they arrive, below one folder ``delivery=<number>`` per delivery."""
-    return spark.readStream.schema(T.StructType([*COUNTS.fields, T.StructField("delivery", T.LongType())])).option("maxFilesPerTrigger", max_files).parquet(in_path)
+    """Counts files as they arrive, below one folder ``delivery=<number>`` per delivery.
+
+    Files without such a folder are parts of delivery 0, which any numbered one replaces.
+    """
+    schema = T.StructType([*COUNTS.fields, T.StructField("delivery", T.LongType())])
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(in_path)
+    return stream.fillna(0, ["delivery"])
 
 
 def run_incremental(

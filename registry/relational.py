@@ -889,16 +889,16 @@ def _(t):
     return a.unionByName(b, allowMissingColumns=True)
 
 
-@query("se2_union_of_many", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('F', 'O')")
+@query("se2_union_of_many", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')")
 def _(t):
-    parts = [t.orders.where(F.col("o_orderstatus") == s).select("o_orderkey", "o_orderstatus") for s in ("F", "O")]
+    parts = [t.orders.where(F.col("o_orderstatus") == s).select("o_orderkey", "o_orderstatus") for s in ("F", "O", "P")]
     return reduce(lambda a, b: a.unionAll(b), parts)
 
 
-@query("se3_union_distinct", "SELECT l_partkey AS feature FROM lineitem WHERE l_returnflag = 'A' UNION SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R'")
+@query("se3_union_distinct", "SELECT l_partkey AS feature FROM lineitem WHERE l_returnflag = 'A' UNION SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' UNION SELECT l_partkey FROM lineitem WHERE l_returnflag = 'N'")
 def _(t):
-    parts = [t.lineitem.where(F.col("l_returnflag") == f).select(F.col("l_partkey").alias("feature")) for f in ("A", "R")]
-    return parts[0].union(parts[1]).distinct()
+    parts = [t.lineitem.where(F.col("l_returnflag") == f).select(F.col("l_partkey").alias("feature")) for f in ("A", "R", "N")]
+    return reduce(lambda a, b: a.union(b), parts).distinct()
 
 
 @query(

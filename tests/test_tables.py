@@ -26,6 +26,17 @@ def test_numbered_samples(spark, tmp_path):
     assert {tuple(r) for r in got.select("origin", "sample_id").collect()} == {("x", "1"), ("y", "2")}
 
 
+def test_samples_with_spaces_folders_and_equal_names(spark, tmp_path):
+    for root, value in (("lab one/counts", "a"), ("lab+two/counts", "b")):
+        rows = spark.createDataFrame([(value, "RNA"), (value, "ADT")], "origin string, assay string")
+        rows.write.partitionBy("assay").parquet(str(tmp_path / root))
+    files = {"one": str(tmp_path / "lab one/counts"), "two": str(tmp_path / "lab+two/counts")}
+    got = src.load_samples(spark, files).select("origin", "assay", "sample_id").collect()
+    assert sorted(map(tuple, got)) == [("a", "ADT", "one"), ("a", "RNA", "one"), ("b", "ADT", "two"), ("b", "RNA", "two")]
+    with pytest.raises(ValueError):
+        src.load_samples(spark, {"x": files["one"], "y": files["one"] + "/"})
+
+
 def test_filter_and_columns_reach_the_scan(spark):
     df = src.scan(spark, "/root/testdata/sf0.001/orders.parquet", columns=["o_orderkey"], where=F.col("o_totalprice") > 250000)
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -62,19 +73,28 @@ def test_delivered_twice_replaces(spark, tmp_path):
     _, counts, cells, _ = poisson_counts(spark, 20, 10, 1)
     both = cells.unionByName(cells.withColumn("sample_id", F.lit("s2")))
     inbox, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
-    counts.unionByName(counts.withColumn("sample_id", F.lit("s2"))).write.parquet(inbox)
+    counts.unionByName(counts.withColumn("sample_id", F.lit("s2"))).write.parquet(inbox + "/delivery=1")
 
     def run():
         stream = incremental.counts_stream(spark, inbox)
         incremental.incremental_pseudobulk(stream, both, out, progress).awaitTermination()
-        return spark.read.parquet(out).groupBy("sample_id").agg(F.sum("value")).collect()
+        return incremental.current_pseudobulk(spark, out).groupBy("sample_id").agg(F.sum("value")).collect()
 
     first = dict((r[0], r[1]) for r in run())
-    counts.withColumn("value", F.col("value") * 10).write.mode("append").parquet(inbox)
+    counts.withColumn("value", F.col("value") * 10).write.parquet(inbox + "/delivery=2")
     second = dict((r[0], r[1]) for r in run())
     assert second["s2"] == first["s2"] and second["s1"] == 10 * first["s1"]
 
 
+def test_files_without_delivery_are_kept(spark, tmp_path):
+    _, counts, cells, _ = poisson_counts(spark, 20, 10, 1)
+    inbox, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    counts.write.parquet(inbox)
+    stream = incremental.counts_stream(spark, inbox, max_files=1)
+    incremental.incremental_pseudobulk(stream, cells, out, progress).awaitTermination()
+    assert incremental.current_pseudobulk(spark, out).agg(F.sum("value")).first() == counts.agg(F.sum("value")).first()
+
+
 def test_manifest_skips_known_samples(spark):
     samples = spark.createDataFrame([("a",), ("b",)], "sample_id string")
     manifest = incremental.manifest_rows(samples.where("sample_id = 'a'"), "qc", {"nmads": 3})
