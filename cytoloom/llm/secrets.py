@@ -8,9 +8,12 @@ above and below the middle of the alphabet, and the correlation of neighbours. T
 p values, corrected for being the smallest of three, is the token's p value.
 
 Random tokens have p values spread over 0 to 1, ordinary words pile up near 0. Short tokens give the tests
-little power, so the cut is made per encoding and length class: the p values over one half tell how many
-random tokens a class holds, hence how many of those above any cut are not random, and the smallest
-cut with a false-discovery share of at most FDR is taken. The classes are counted over all documents.
+little power, so the cut is made per encoding and length class: the p values over LEVEL, which lies above every
+cut, tell how many random tokens a class holds, hence how many of those above any cut are not random, and
+the smallest cut with a false-discovery share of at most FDR is taken. One is added to the count over LEVEL: without it a
+class of few keys, none of which happens to lie there, would report nothing. A class of fewer than POOLED tokens takes
+the cut of its whole encoding where that is smaller. The classes are counted over all documents; the addition lets
+at most 1 / (1 - LEVEL) more ordinary tokens of a class pass, whatever the size of the corpus.
 
 Everything is DataFrame work without shuffling texts: the spans of a document are arrays in its row.
 """
@@ -31,6 +34,9 @@ HEX = "[0-9a-f]{32,}"
 TOKEN = "[A-Za-z0-9+/_=-]{20,}"
 FDR = 0.1
 CUTS = [i / 50 for i in range(1, 26)]
+LEVEL = 0.6
+# Strata with fewer tokens look at their encoding too.
+POOLED = 50
 SYMBOLS = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/"
 # name, pattern of a whole token, the alphabet in its own order
 ENCODINGS = [
@@ -166,22 +172,38 @@ def cuts(found: DataFrame) -> dict[int, float]:
         found.select(F.explode("found.tokens").alias("t"))
         .groupBy(F.col("t.test.stratum").alias("stratum"))
         .agg(
-            F.count(F.when(p > 0.5, 1)).alias("upper"),
+            F.count(F.lit(1)).alias("tokens"),
+            F.count(F.when(p > LEVEL, 1)).alias("upper"),
             *[F.count(F.when(p >= c, 1)).alias(f"n{i}") for i, c in enumerate(CUTS)],
         )
         .collect()
     )
+    own = {row["stratum"]: (row["tokens"], row["upper"], [row[f"n{i}"] for i in range(len(CUTS))]) for row in counted}
+    return stratum_cuts(own)
+
+
+def stratum_cuts(counts: dict[int, tuple[int, int, list[int]]]) -> dict[int, float]:
+    """The cut of every stratum from its tokens, those over LEVEL and those from every cut on; a stratum in which no
+    cut holds FDR has none."""
+    pools: dict[int, tuple[int, int, list[int]]] = {}
+    for stratum, (tokens, upper, above) in counts.items():
+        t, u, n = pools.get(stratum // 100, (0, 0, [0] * len(CUTS)))
+        pools[stratum // 100] = t + tokens, u + upper, [x + y for x, y in zip(n, above)]
     out = {}
-    for row in counted:
-        random = 2 * row["upper"]  # uniform p values: half of the random tokens lie over one half
-        for i, c in enumerate(CUTS):
-            above = row[f"n{i}"]
-            if above and above - random * (1 - c) <= FDR * above:
-                out[row["stratum"]] = c
-                break
+    for stratum, (tokens, upper, above) in counts.items():
+        found = [_cut(upper, above)]
+        if tokens < POOLED:
+            found.append(_cut(*pools[stratum // 100][1:]))
+        if any(c is not None for c in found):
+            out[stratum] = min(c for c in found if c is not None)
     return out
 
 
+def _cut(upper: int, above: list[int]) -> float | None:
+    random = (upper + 1) / (1 - LEVEL)  # uniform p values
+    return next((c for c, n in zip(CUTS, above) if n - random * (1 - c) <= FDR * n), None)
+
+
 def _random_spans(limits: dict[int, float]) -> Column:
     """The tokens over the cut of their stratum, as spans."""
     if not limits:

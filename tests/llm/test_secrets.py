@@ -66,3 +66,42 @@ def test_masking(spark):
                 out += text[at:a] + "[secret]"
             at = max(at, b)
         assert r.text == out + text[at:] and r.n_chars == len(r.text)
+
+
+def counts(ps):
+    return len(ps), sum(p > secrets.LEVEL for p in ps), [sum(p >= c for p in ps) for c in secrets.CUTS]
+
+
+def test_few_keys_of_a_stratum_are_kept():
+    rng = random.Random(3)
+    for n in (1, 2, 5, 20):
+        kept = 0
+        for _ in range(400):
+            ps = [rng.random() for _ in range(n)]
+            # a lone encoding, and the same among ordinary tokens of its own stratum
+            for others in ([], [rng.random() * 0.02 for _ in range(200)]):
+                cut = secrets.stratum_cuts({603: counts(ps + others)}).get(603, 2.0)
+                kept += sum(p >= cut for p in ps)
+        assert kept >= (0.9 if n <= 5 else 0.85) * 800 * n, (n, kept)
+
+
+def test_no_cut_is_taken_for_granted():
+    rng = random.Random(4)
+    # ordinary tokens up to 0.55 among few keys: no cut holds the share of false ones
+    ps = [rng.random() * 0.55 for _ in range(1000)] + [rng.random() for _ in range(10)]
+    assert secrets.stratum_cuts({600: counts(ps)}) == {}
+    # ordinary tokens up to 0.2 do not reach the cut, and most keys do
+    keys = [rng.random() for _ in range(300)]
+    words = [rng.random() * 0.2 for _ in range(1000)]
+    cut = secrets.stratum_cuts({600: counts(keys + words)})[600]
+    kept = sum(p >= cut for p in keys)
+    assert kept >= 220 and sum(p >= cut for p in words) <= 0.15 * (kept + 1)
+
+
+def test_a_lone_key_is_reported(spark):
+    lone = [base64.b64encode(random.Random(i).randbytes(48)).decode() for i in range(40)]
+    found = 0
+    for token in lone[:6]:
+        docs = spark.createDataFrame([(0, f"a {token} b")], "doc_id long, text string")
+        found += secrets.scan(docs).first().n_random
+    assert found >= 5
