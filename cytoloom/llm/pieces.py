@@ -120,7 +120,8 @@ class Pieces:
         """
         longest = max(map(len, words), default=0) + 1
         best = [0.0] * longest  # forward score of the prefix
-        ids: list[tuple] = [()] * longest  # its best segmentation
+        begin = [0] * longest  # where its last piece begins
+        ids: list[tuple] = [()] * longest  # the ids of its last piece, last first
         nodes = [self.root] * longest  # its longest suffix that begins a piece
         step, ending, low, out, last = self._step, self._ending, float("-inf"), {}, ""
         for word in sorted(words):
@@ -144,11 +145,18 @@ class Pieces:
                     spelled = self._letter(c)
                     score = best[at - 1] + BYTE_SCORE * len(spelled)
                     if score > most:
-                        most, found, start = score, spelled, at - 1
+                        most, found, start = score, spelled[::-1], at - 1
                 best[at] = most
-                ids[at] = ids[start] + found
+                begin[at] = start
+                ids[at] = found
                 nodes[at] = node
-            out[word] = ids[size]
+            # back from the end; what lies on the path belongs to this word
+            at, path = size, []
+            while at:
+                path += ids[at]
+                at = begin[at]
+            path.reverse()
+            out[word] = tuple(path)
             last = word
         return out
 

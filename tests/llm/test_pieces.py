@@ -1,6 +1,7 @@
 """Viterbi against the library's unigram search on the same pieces and scores, and exact round trips."""
 
 import random
+import tracemalloc
 
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2 as pb2
@@ -56,3 +57,19 @@ def test_round_trip(spark):
     texts = {r.doc_id: r.text for r in pieces.decode(out, model).collect()}
     assert all(texts[i * 10] == (t or "") for i, t in enumerate(ODD_TEXTS) if i != 12)
     assert pieces.encode(empty_docs(spark), model).count() == 0
+
+
+def test_memory_of_a_long_word():
+    own = pieces.Pieces(pieces.read_model())
+    rng = random.Random(8)
+    own.segment(["".join(rng.choice("acgt") for _ in range(200))])
+    peak = []
+    for size in (10_000, 40_000):
+        word = "".join(rng.choice("acgt") for _ in range(size))
+        tracemalloc.start()
+        ids = own.segment([word, word[: size // 2]])[word]
+        peak.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert "".join(own.text[i] for i in ids) == word
+    # four times the letters: in proportion, not by the square
+    assert peak[1] < 6 * peak[0] and peak[1] < 50e6
