@@ -8,12 +8,16 @@ template; the bands are many enough that a window which holds a whole template m
 below ``(1 - s / w) ** BANDS``, s and w being the numbers of shingles of template and window. Pairs that agree in a band are
 verified: the share of the template's shingles that occur in the window must reach the threshold.
 
-A window can only agree with a template if it holds a shingle of one, so texts without any are left before windows are
-made. Everything is DataFrame work; the template table is small and bounded.
+A window that holds CONTAINMENT of a template holds one of any few more than ``1 - CONTAINMENT`` of its shingles, the leads; texts
+without a lead are left before windows are made, and only windows with one are signed. Everything is DataFrame work;
+the template table is small and bounded.
 """
 
 from __future__ import annotations
 
+import math
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,10 +40,77 @@ NOTICES = [
 ]
 
 
+# Bodies and usual headers. BSD is what the licenses of two and three clauses share, BSD-3-Clause the third clause; a header that
+# names a version is short enough that another version or the lesser license falls below CONTAINMENT.
+TEXTS = [
+    (
+        "MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
+        "files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, "
+        "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is "
+        "furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included "
+        "in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR "
+        "IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN "
+        "NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+        "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    (
+        "BSD",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+        "following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+        "following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE "
+        "COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+        "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED "
+        "TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY "
+        "THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE "
+        "USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    ),
+    (
+        "BSD-3-Clause",
+        "nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior "
+        "written permission",
+    ),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+        "that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR "
+        "DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT "
+        "SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS "
+        "OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH "
+        "THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    (
+        "Apache-2.0",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. "
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in "
+        "writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, "
+        "either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+    ),
+    *[
+        (f"{short}-{version}{'' if '.' in version else '.0'}", f"the terms of the GNU {name} as published by the Free Software Foundation; either version {version} of the License")
+        for short, name, version in [
+            ("GPL", "General Public License", "2"), ("GPL", "General Public License", "3"),
+            ("LGPL", "Lesser General Public License", "2.1"), ("LGPL", "Lesser General Public License", "3"),
+        ]
+    ],
+]
+# The longer bodies, one file a license.
+BODIES = Path(__file__).with_name("license_texts")
+
+
 def notices(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(NOTICES, "license string, text string")
 
 
+def templates(spark: SparkSession) -> DataFrame:
+    """One-line notices, headers and whole licenses: a fixed table. The clause of NOTICES that all BSD licenses share says BSD."""
+    lines = [("BSD" if name == "BSD-3-Clause" else name, text) for name, text in NOTICES]
+    bodies = [(f.name.removesuffix(".txt"), f.read_text()) for f in sorted(BODIES.glob("*.txt"))]
+    return spark.createDataFrame(lines + TEXTS + bodies, "license string, text string")
+
+
 def _words(text: Column) -> Column:
     """Lower-cased words without punctuation at their ends; a word of punctuation alone is none."""
     trimmed = F.transform(F.split(F.lower(F.coalesce(text, F.lit(""))), WORD_SPLIT, -1), lambda w: F.regexp_replace(w, "^\\p{Punct}+|\\p{Punct}+$", ""))
@@ -58,9 +129,13 @@ def _shingles(words: Column) -> Column:
 
 
 def _signature(shingles: Column) -> Column:
-    """The smallest hash in every permutation, as (band, value)."""
+    """The shingle with the smallest hash in every permutation."""
     bands = F.array(*[F.lit(b) for b in range(BANDS)])
-    return F.transform(bands, lambda b: F.struct(b.alias("band"), F.array_min(F.transform(shingles, lambda h: F.xxhash64(h, b))).alias("value")))
+    return F.transform(bands, lambda b: F.array_min(F.transform(shingles, lambda h: F.struct(F.xxhash64(h, b).alias("value"), h.alias("h"))))["h"])
+
+
+def _hashes(values: set[int]) -> Column:
+    return F.array(*[F.lit(h).cast("long") for h in sorted(values)])
 
 
 def scan(docs: DataFrame, templates: DataFrame) -> DataFrame:
@@ -78,26 +153,33 @@ def scan(docs: DataFrame, templates: DataFrame) -> DataFrame:
     known = known.where(F.size("shingles") > 0).distinct()
     # a power of two at least the number of shingles: the length class
     known = known.withColumn("class", F.pow(F.lit(2.0), F.ceil(F.log2(F.size("shingles").cast("double")))).cast("int"))
-    classes = [r[0] for r in known.select("class").distinct().collect()]  # a few lengths
+    found = known.collect()  # MAX_TEMPLATES at most
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _shingles(_words(F.col("text"))).alias("shingles"))
-    if not classes:
+    if not found:
         return rows.select("doc_id", F.lit("").alias("license"), F.lit(0).cast("long").alias("n_windows"), F.lit(0).cast("long").alias("first_shingle"), F.lit(0.0).alias("containment")).where("false")
-    every = known.agg(F.array_distinct(F.flatten(F.collect_list("shingles"))).alias("every"))  # bounded by the templates
-    every = [h for h in every.first()[0]]
-    rows = rows.where(F.arrays_overlap("shingles", F.array(*[F.lit(h) for h in every])))
-    windows = rows.withColumn("class", F.explode(F.array(*[F.lit(c) for c in sorted(classes)])))
+    leads: dict[int, set[int]] = {}
+    for row in found:
+        missed = math.floor((1 - CONTAINMENT) * len(row["shingles"]) + 1e-6)
+        leads.setdefault(row["class"], set()).update(sorted(row["shingles"])[: missed + 1])
+    every = _hashes(set().union(*leads.values()))
+    rows = rows.where(F.arrays_overlap("shingles", every)).withColumn("hits", F.array_intersect("shingles", every))
+    held = [F.struct(F.lit(c).alias("class"), F.array_intersect("hits", _hashes(leads[c])).alias("hits")) for c in sorted(leads)]
+    windows = rows.select("doc_id", "shingles", F.explode(F.array(*held)).alias("held")).where(F.size("held.hits") > 0)
+    windows = windows.select("doc_id", "shingles", "held.*")
     starts = F.sequence(F.lit(0), F.greatest(F.size("shingles") - 1, F.lit(0)), F.col("class"))
-    windows = windows.select("doc_id", "class", "shingles", F.explode(starts).alias("start"))
-    windows = windows.select("doc_id", "class", "start", F.slice("shingles", F.col("start") + 1, F.col("class") * 2).alias("window"))
-    windows = windows.where(F.arrays_overlap("window", F.array(*[F.lit(h) for h in every])))
-    banded = windows.select("*", F.explode(_signature(F.col("window"))).alias("key"))
-    marks = known.select("license", "class", "shingles", F.explode("shingles").alias("h"))
-    # the window's smallest shingle of a band is looked up among all shingles of the templates
-    marks = marks.select("license", "class", "shingles", F.explode(F.array(*[F.lit(b) for b in range(BANDS)])).alias("band"), "h")
-    marks = marks.select("license", "class", "shingles", F.struct("band", F.xxhash64("h", "band").alias("value")).alias("key"))
+    windows = windows.select("doc_id", "class", "shingles", "hits", F.explode(starts).alias("start"))
+    windows = windows.select("doc_id", "class", "start", "hits", F.slice("shingles", F.col("start") + 1, F.col("class") * 2).alias("window"))
+    windows = windows.where(F.arrays_overlap("window", "hits"))
+    banded = windows.select("doc_id", "class", "start", "window", F.explode(F.array_distinct(_signature(F.col("window")))).alias("h"))
+    # the window's smallest shingles are looked up among all shingles of the templates, these then by number
+    spark = docs.sparkSession
+    numbered = [(i, *row) for i, row in enumerate(found)]
+    numbered = spark.createDataFrame(numbered, "template int, license string, shingles array<bigint>, class int")
+    marks = numbered.select("class", F.explode("shingles").alias("h"), "template")
     share = F.size(F.array_intersect("window", "shingles")) / F.size("shingles")
-    # at most MAX_TEMPLATES templates, so this side is small at any corpus size
-    pairs = banded.join(F.broadcast(marks), ["class", "key"]).select("doc_id", "license", "start", share.alias("share")).where(F.col("share") >= CONTAINMENT)
+    # at most MAX_TEMPLATES templates, so these sides are small at any corpus size
+    pairs = banded.join(F.broadcast(marks), ["class", "h"]).join(F.broadcast(numbered.select("template", "license", "shingles")), "template")
+    pairs = pairs.select("doc_id", "license", "start", share.alias("share")).where(F.col("share") >= CONTAINMENT)
     return pairs.groupBy("doc_id", "license").agg(
         F.count_distinct("start").alias("n_windows"), F.min("start").cast("long").alias("first_shingle"), F.max("share").alias("containment")
     )

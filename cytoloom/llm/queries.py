@@ -37,7 +37,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_license_scan")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(_table(spark, sf_dir, "documents"), licenses.notices(spark))
+    return licenses.scan(_table(spark, sf_dir, "documents"), licenses.templates(spark))
 
 
 @query("op4_order_minhash")

@@ -159,6 +159,40 @@ def test_licenses_equal_brute_force(spark):
     assert licenses.scan(docs, licenses.notices(spark).limit(0)).count() == 0
 
 
+def test_license_texts_in_long_documents(spark):
+    rng = random.Random(9)
+    known = {}
+    for r in licenses.templates(spark).collect():
+        if len(r.text) > len(known.get(r.license, "")):
+            known[r.license] = r.text
+    mit, bsd = known["MIT"], known["BSD"]
+    at = bsd.index("THIS SOFTWARE")
+    bodies = {
+        ("MIT",): mit, ("BSD",): bsd, ("BSD", "BSD-3-Clause"): bsd[:at] + "3. Neither the name of the owner " + known["BSD-3-Clause"] + ". " + bsd[at:],
+        **{(x,): known[x] for x in ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "ISC", "CC0-1.0")},
+        ("GPL-3.0",) * 2: "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        ("LGPL-2.1",) * 2: "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option)",
+    }
+    noise = lambda n: " ".join(f"w{rng.randrange(500)}" for _ in range(n))
+    rows, want = [], {}
+    for names, body in bodies.items():
+        words = body.split()
+        forms = [body, "\n".join("# " + " ".join(words[i : i + 9]) for i in range(0, len(words), 9)).upper()]
+        if len(words) > 100:
+            edits = {40, *range(100, len(words), 60)}
+            forms.append(" ".join("changed" if i in edits else w for i, w in enumerate(words)))
+        for form in forms:
+            want[len(rows)] = set(names)
+            rows.append((len(rows), f"{noise(3000)} {form} {noise(2000)}"))
+    rows.append((len(rows), noise(5000)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    found = {}
+    for r in licenses.scan(docs, licenses.templates(spark)).collect():
+        assert r.containment >= licenses.CONTAINMENT
+        found.setdefault(r.doc_id, set()).add(r.license)
+    assert found == want
+
+
 def test_language_is_learnt_from_training_rows_alone(spark):
     rng = random.Random(6)
     parts = {"en": ["the", "and", "ing", "tion", "er"], "de": ["sch", "und", "ung", "ö", "ei"], "fr": ["eau", "les", "oux", "é", "que"]}
