@@ -4,7 +4,8 @@ The elements of a text are its word k-mers, each numbered by its occurrence, so
 several elements. A fingerprint has 64 sketches: the hash of an element deals it to a sketch and ranks it there, the
 two smallest elements of a sketch are put back into text order, and the ordered pair is hashed. Two texts agree in a
 sketch only if they share both elements in the same order, so the share of equal sketches follows edit distance and not
-only the common content. Short texts leave sketches empty; likeness counts the sketches filled in either text.
+only the common content. A short text deals fewer than two elements to many sketches; such a sketch takes its pair from
+all elements, in a permutation of its own, so its two minima are put in text order as well.
 
 All of it is array work inside the row of a document: nothing is exploded or shuffled for a fingerprint.
 """
@@ -75,8 +76,9 @@ def _sketch_of(x: Column) -> Column:
     return F.shiftrightunsigned(x, 64 - SKETCH_BITS)
 
 
-def signature(text: Column) -> Column:
-    """Filled sketches as numbers: the sketch in the high digits, 16 bits of the hash of its ordered pair below."""
+def _dealt(elements: Column, alone: bool) -> Column:
+    """Sketches with two dealt elements, or ``alone`` with at least one, as numbers: the sketch in the high digits,
+    16 bits of the hash of its ordered pair below."""
 
     def smallest(s: Column) -> Column:
         return F.filter(s, lambda x, i: (i < 2) | F.coalesce(_sketch_of(F.get(s, i - 2)) != _sketch_of(x), F.lit(True)))
@@ -89,11 +91,42 @@ def signature(text: Column) -> Column:
             a, b = F.shiftright(x, PLACE_BITS), F.shiftright(nxt, PLACE_BITS)
             h = F.when(~paired, F.xxhash64(a)).when(in_order, F.xxhash64(a, b)).otherwise(F.xxhash64(b, a))
             first = (i == 0) | F.coalesce(_sketch_of(F.get(s, i - 1)) != _sketch_of(x), F.lit(True))
-            return F.when(first, _sketch_of(x) * 65536 + F.pmod(h, F.lit(65536)))
+            return F.when(first if alone else first & paired, _sketch_of(x) * 65536 + F.pmod(h, F.lit(65536)))
 
         return F.filter(F.transform(s, sketch), lambda x: x.isNotNull())
 
-    return _with(_with(_elements(_kmers(text)), smallest), pairs)
+    return _with(_with(elements, smallest), pairs)
+
+
+def signature(text: Column) -> Column:
+    """The sketches that got an element; one that got a single element says nothing about order."""
+    return _dealt(_elements(_kmers(text)), True)
+
+
+def filled_signature(text: Column) -> Column:
+    """All sketches of a text with words: those with fewer than two dealt elements are filled from all of them."""
+
+    def fill(elements: Column) -> Column:
+        def own(b: Column) -> Column:
+            ranks = F.transform(elements, lambda x: F.xxhash64(F.shiftright(x, PLACE_BITS), b).bitwiseAND(F.lit(~PLACES)).bitwiseOR(x.bitwiseAND(F.lit(PLACES))))
+
+            def pair(two: Column) -> Column:
+                x, y = F.get(two, F.lit(0)), F.get(two, F.lit(1))
+                a, c = F.shiftright(x, PLACE_BITS), F.shiftright(y, PLACE_BITS)
+                in_order = x.bitwiseAND(F.lit(PLACES)) <= y.bitwiseAND(F.lit(PLACES))
+                h = F.when(y.isNull(), F.xxhash64(a)).when(in_order, F.xxhash64(a, c)).otherwise(F.xxhash64(c, a))
+                return b * 65536 + F.pmod(h, F.lit(65536))
+
+            return _with(F.slice(F.sort_array(ranks), 1, 2), pair)
+
+        def rest(dealt: Column) -> Column:
+            every = F.array(*[F.lit(b).cast("long") for b in range(1 << SKETCH_BITS)])
+            missing = F.array_except(every, F.transform(dealt, lambda x: F.shiftright(x, 16)))
+            return F.when(F.size(elements) == 0, dealt).otherwise(F.sort_array(F.concat(dealt, F.transform(missing, own))))
+
+        return _with(_dealt(elements, False), rest)
+
+    return _with(_elements(_kmers(text)), fill)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -156,7 +189,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     known = known.join(starts, "doc_id", "left").union(rows.where("doc_id IS NULL").withColumn("start", F.lit("")))
     both = known.select("doc_id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
     signed = stored(
-        both.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), signature(F.col("text")).alias("sig"), signature(F.col("edited")).alias("esig"), F.xxhash64("text").alias("hash")),
+        both.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), filled_signature(F.col("text")).alias("sig"), filled_signature(F.col("edited")).alias("esig"), F.xxhash64("text").alias("hash")),
         "signed",
     )
     following = (

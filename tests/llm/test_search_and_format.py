@@ -119,6 +119,24 @@ def test_fingerprints_follow_order_and_edits(spark):
     assert same == 1.0 and none < 0.1 and few > 0.75 and none < block < few
 
 
+def test_short_texts_keep_order(spark):
+    rng = random.Random(6)
+    rows = []
+    for n in (10, 30, 120, 600):
+        for _ in range(20):
+            words = [f"w{rng.randrange(5000)}" for _ in range(n)]
+            rows.append((n, " ".join(words), " ".join(words[n // 2 :] + words[: n // 2])))
+    df = spark.createDataFrame(rows + [(0, "", ""), (1, "one", "one"), (2, "", "one"), (3, "a b c", "a b c")], "n int, a string, b string")
+    out = order_minhash.fingerprints(df.selectExpr("n AS doc_id", "a AS text")).collect()
+    assert {len(r.fingerprint.split(".")) for r in out if r.n_chars} == {64}
+    sig = lambda c: order_minhash.filled_signature(F.col(c))
+    old = lambda c: order_minhash.signature(F.col(c))
+    df = df.select("n", order_minhash.likeness(sig("a"), sig("b")).alias("x"), order_minhash.likeness(old("a"), old("b")).alias("y"))
+    like = {r.n: (r.x, r.y) for r in df.groupBy("n").agg(F.avg("x").alias("x"), F.avg("y").alias("y")).collect()}
+    assert like[0][0] == 1.0 and like[1][0] == 1.0 and like[2][0] == 0.0 and like[3][0] == 1.0
+    assert like[10][0] < 0.45 and like[30][0] < 0.55 and like[120][0] < 0.58 and 0.4 < like[600][0] < 0.6
+
+
 def test_edited_texts(spark):
     docs = odd_docs(spark)
     out = order_minhash.fingerprints(docs).collect()
