@@ -19,7 +19,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard_join.drop_near_copies(docs, SHINGLE_WORDS, *SIMILARITY)
+    return jaccard_join.drop_near_copy_rows(docs, SHINGLE_WORDS, *SIMILARITY)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

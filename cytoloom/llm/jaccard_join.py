@@ -22,8 +22,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from cytoloom.llm.components import component_roots
 from cytoloom.llm.text import bounded_broadcast, map_batches, mix, packed, shingle_sets
@@ -191,6 +193,16 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5)
     takes part and gets the smallest id of its component, null when it has none. Other columns
     of ``docs`` are ignored, whatever their names; an empty table gives an empty table.
     """
+    return _components(docs, k, num, den).select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+    )
+
+
+def _components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(doc_id, n, d1, d2, root, component_id) per row: its shingle count and digest, a number of its component and the
+    smallest doc_id there; both are null without words."""
     signature = stored(_signature(docs, k), "signature")
     rows = signature.where("kind = 0").select("doc_id", "n", "d1", "d2")
     counts = signature.where("kind = 1").groupBy("doc_id").agg(F.sum("n")).collect()  # 65 536 rows at most
@@ -240,12 +252,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5)
     roots = component_roots(links)
     placed = classes.select("node", *key, "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    found = placed.join(least, "root").select(*key, "component_id")
-    return rows.join(found, key, "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-    )
+    found = placed.join(least, "root").select(*key, "root", "component_id")
+    return rows.join(found, key, "left").select("doc_id", *key, "root", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
@@ -273,3 +281,46 @@ def drop_near_copies(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) ->
         .agg(F.min_by("row", F.coalesce("row.text", F.lit(""))).alias("row"))
     )
     return left.join(repeated, same, "left_anti").union(one.select("row")).select("row.*")
+
+
+def _digested(rows: DataFrame, k: int) -> DataFrame:
+    """``rows(row)`` with shingle count and digest of the text of every row."""
+
+    def run(batches):
+        for batch in batches:
+            found = pa.record_batch({"text": pc.struct_field(batch.column("row"), "text")})
+            keys = [(len(s), *_digest(s)) for s in shingle_sets(found, k)]
+            columns = [pa.array([x[i] for x in keys], pa.int64()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *columns], ["row", "n", "d1", "d2"])
+
+    return map_batches(rows, run, StructType([rows.schema["row"], *[StructField(c, LongType()) for c in ("n", "d1", "d2")]]))
+
+
+def drop_near_copy_rows(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
+    """The rows with one of each component left, all columns kept.
+
+    Every row is judged by its own text, whatever its doc_id: rows that share a doc_id with unlike texts all stay, and of
+    near copies without a doc_id one stays. The row with the smallest doc_id stays, a null one last; of its rows with
+    the same shingles that with the smallest text. Rows without words have no copies and stay.
+    """
+    key = ["n", "d1", "d2"]
+    found = stored(_components(docs, k, num, den), "components")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", *key)
+    kept = found.where("root IS NOT NULL").groupBy("root").agg(F.min(order).alias("kept"))
+    kept = stored(kept.select("root", "kept.*"), "kept")
+    many = stored(found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id"), "repeated")
+    plain = found.where("doc_id IS NOT NULL").join(many, "doc_id", "left_anti")
+    lost = plain.join(kept.select("root", F.col("doc_id").alias("kept_id")), "root").where("NOT doc_id <=> kept_id")
+    lost = bounded_broadcast(stored(lost.select("doc_id"), "gone"))
+    rows, doc_id = packed(docs), F.col("row.doc_id").cast("long")
+    left = rows.join(lost, doc_id == lost["doc_id"], "left_anti")
+    if many.isEmpty() and found.where("doc_id IS NULL").isEmpty():
+        return left.select("row.*")
+    many = bounded_broadcast(many)
+    single = left.where(doc_id.isNotNull()).join(many, doc_id == many["doc_id"], "left_anti")
+    unsure = rows.where(doc_id.isNull()).union(rows.join(many, doc_id == many["doc_id"], "left_semi"))
+    # a repeated or missing id does not name a row: these are told apart by id and digest
+    unsure = stored(_digested(unsure, k), "unsure")
+    same = [doc_id.eqNullSafe(kept["doc_id"]), *[unsure[c] == kept[c] for c in key]]
+    one = unsure.join(kept, same).groupBy("root").agg(F.min_by("row", F.coalesce("row.text", F.lit(""))).alias("row"))
+    return single.union(unsure.where("n = 0").select("row")).union(one.select("row")).select("row.*")

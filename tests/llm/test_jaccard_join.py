@@ -4,7 +4,7 @@ import random
 import re
 from itertools import combinations
 
-from cytoloom.llm.jaccard_join import drop_near_copies, jaccard_components
+from cytoloom.llm.jaccard_join import drop_near_copies, drop_near_copy_rows, jaccard_components
 from tests.llm.cases import empty_docs, odd_docs
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -80,3 +80,24 @@ def test_one_of_each_group_stays(spark):
     assert len(kept) == len(set(kept)) and 60 in kept and 70 not in kept and 120 in kept and 130 not in kept
     assert ids.count(None) == 2
     assert drop_near_copies(empty_docs(spark)).count() == 0
+
+
+def test_rows_are_judged_by_their_text(spark):
+    text = lambda a: " ".join(f"{a}{i}" for i in range(40))
+    rows = [
+        (1, text("a")), (2, text("a")), (2, text("b")), (2, text("c")), (2, text("c") + " more"),
+        (None, text("d")), (None, text("d") + " more"), (None, text("e")), (None, text("a")), (3, text("e")),
+        (None, None), (None, ""), (4, None), (4, ""), (5, text("f")), (5, text("f")), (6, text("f")), (7, text("g")),
+    ]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, root long")
+    left = drop_near_copy_rows(docs)
+    assert left.columns == docs.columns
+    found = sorted(r.root for r in left.collect() if r.root not in (3, 4, 5, 6, 14, 15))
+    # of 3 and 4, of 5 and 6, and of 14 and 15 one row stays
+    assert found == [0, 2, 9, 10, 11, 12, 13, 17]
+    assert left.count() == 11
+    named = docs.where("root IN (0, 2, 7, 9, 16, 17)")
+    assert sorted(r.root for r in drop_near_copy_rows(named.where("doc_id IS NOT NULL")).collect()) == [0, 2, 9, 16, 17]
+    assert drop_near_copy_rows(empty_docs(spark)).count() == 0
+    assert drop_near_copy_rows(odd_docs(spark)).columns == odd_docs(spark).columns
+    assert drop_near_copy_rows(odd_docs(spark)).where("doc_id = 120").count() == 2
