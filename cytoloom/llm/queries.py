@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytoloom.llm import chat, jaccard_join, language, licenses, mixing, order_minhash, pieces, secrets, topk, toxicity
+from cytoloom.llm import (
+    chat, jaccard_join, language, licenses, mixing, order_minhash, pieces, quality, secrets, topk, toxicity,
+)
 
 QUERIES = {}
 ORACLES = {}
@@ -124,3 +126,47 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_toxicity")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@query(
+    "op11_quality_rules",
+    r"""
+    WITH t AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents
+    ), cut AS (
+        SELECT doc_id, lang, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+               list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM t
+    ), windows AS (
+        SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM cut)
+    ), twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS n FROM windows) WHERE n > 1
+    ), repeats AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY doc_id
+    ), m AS (
+        SELECT cut.doc_id, len(w) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+               length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+               len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, len(ls) AS n_lines,
+               len(list_filter(w, lambda x: regexp_matches(x, '\p{L}'))) AS n_letter_words,
+               length(t) - length(regexp_replace(t, '\p{Lu}', '', 'g')) AS n_capitals,
+               len(list_filter(w, lambda x: lower(translate(x, '.,;:!?"''()', '')) IN (
+                   'the','of','and','to','a','in','is','that','for','it','was','on','with','be','as','by','this','are','at','from','or','an','have','not','he',
+                   'de','la','le','et','les','des','en','un','du','une','que','pour','est','qui','dans','par','pas','au','sur','avec','ce','il','se','ne','plus',
+                   'der','die','und','den','von','zu','das','sich','mit','auf','für','ist','nicht','im','dem','ein','eine','als','auch','es','er',
+                   'el','y','los','del','las','por','no','con','su','una','para','al','lo','como','más','o','pero','sus'))) AS n_stop_words,
+               CASE WHEN coalesce(lang IN ('en', 'fr', 'de', 'es'), true) THEN len(w) ELSE 0 END AS n_stop_base,
+               len(list_filter(ls, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS n_cut_lines,
+               len(list_filter(ls, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]'))) AS n_bullets
+        FROM cut LEFT JOIN repeats r ON r.doc_id = cut.doc_id
+    ), judged AS (
+        SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, array_to_string(list_filter([
+            CASE WHEN n_words > 0 AND (100 * word_chars < 250 * n_words OR 100 * word_chars > 1500 * n_words) THEN 'word_length' END,
+            CASE WHEN n_words > 0 AND 100 * n_symbols > 10 * n_words THEN 'symbols' END,
+            CASE WHEN n_words > 0 AND 100 * n_letter_words < 70 * n_words THEN 'letters' END,
+            CASE WHEN word_chars > 0 AND 100 * n_capitals > 50 * word_chars THEN 'capitals' END,
+            CASE WHEN n_stop_base > 0 AND 100 * n_stop_words < 2 * n_stop_base THEN 'stop_words' END,
+            CASE WHEN n_lines > 0 AND 100 * n_dup_lines > 30 * n_lines THEN 'duplicate_lines' END,
+            CASE WHEN n_lines > 0 AND 100 * n_cut_lines > 30 * n_lines THEN 'cut_lines' END,
+            CASE WHEN n_lines > 0 AND 100 * n_bullets > 90 * n_lines THEN 'bullets' END], lambda x: x IS NOT NULL), ',') AS broken FROM m
+    )
+    SELECT *, NOT base_failed AND broken = '' AS kept FROM judged
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(_table(spark, sf_dir, "documents"))
