@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cytoloom.llm import (
-    chat, jaccard_join, language, licenses, mixing, order_minhash, pieces, quality, secrets, topk, toxicity,
+    chat, collocations, jaccard_join, language, licenses, mixing, order_minhash, pieces, quality, secrets, topk, toxicity, trie,
 )
 
 QUERIES = {}
@@ -170,3 +170,82 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(_table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op12_phrase_collocations",
+    r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents
+    ), words AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+    ), grams AS (
+        SELECT lang, 1 AS k, unnest(w) AS g FROM words
+        UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words
+        UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM words
+    ), f AS (SELECT lang, k, g, CAST(count(*) AS BIGINT) AS f FROM grams GROUP BY lang, k, g
+    ), n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+    ), cand AS (SELECT lang, k, g, f AS a, string_split(g, ' ') AS w FROM f WHERE k > 1 AND f >= 10
+    ), cuts AS (
+        SELECT lang, k, g, a, c, array_to_string(w[1:c], ' ') AS first, array_to_string(w[c + 1:], ' ') AS rest
+        FROM (SELECT *, unnest(range(1, k)) AS c FROM cand)
+    ), scored AS (
+        SELECT c.*, x.f AS l, y.f AS r, CAST((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+        FROM cuts c JOIN f x ON x.lang = c.lang AND x.g = c.first JOIN f y ON y.lang = c.lang AND y.g = c.rest
+    ), least AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, c) AS place FROM scored) WHERE place = 1
+    ), inside AS (
+        SELECT lang, g, max(a) AS cover FROM (
+            SELECT lang, a, w[1] || ' ' || w[2] AS g FROM cand WHERE k = 3 UNION ALL SELECT lang, a, w[2] || ' ' || w[3] FROM cand WHERE k = 3)
+        GROUP BY lang, g
+    ), kept AS (
+        SELECT s.lang, s.g, s.a, s.l, s.r, s.score, row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, s.g) AS rank
+        FROM least s LEFT JOIN inside i ON i.lang = s.lang AND i.g = s.g AND s.k = 2 WHERE i.cover IS NULL OR 100 * i.cover < 50 * s.a
+    )
+    SELECT kept.lang, rank, g AS phrase, a, l, r, n, score FROM kept JOIN n ON n.lang = kept.lang WHERE rank <= 2000
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(_table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op13_conversation_trie",
+    r"""
+    WITH RECURSIVE raw AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+    ), turns AS (
+        SELECT conv_id, length(role) || ':' || role || text AS key, len(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS tokens,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text)) - 1 AS pos FROM raw
+    ), tab AS (
+        SELECT CAST(range AS UBIGINT) AS i, 0 AS k, CAST(range AS UBIGINT) AS c FROM range(256)
+        UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END FROM tab WHERE k < 8
+    ), crc AS (
+        SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS s, 0 AS p, 4294967295::UBIGINT AS c FROM turns
+        UNION ALL SELECT crc.conv_id, s, p + 1, xor(crc.c >> 8, t.c) FROM crc
+        JOIN tab t ON t.k = 8 AND t.i = xor(crc.c, CAST(ascii(s[p + 1]) AS UBIGINT)) & 255 WHERE p < length(s)
+    ), convs AS (
+        SELECT conv_id, CAST(xor(c, 4294967295::UBIGINT) % 4 AS BIGINT) AS h, conv_id - conv_id % 20 AS leader FROM crc WHERE p = length(s)
+    ), rebuilt AS (
+        SELECT c.conv_id, t.pos, t.key, t.tokens FROM convs c JOIN turns t ON t.conv_id = c.leader AND t.pos < c.h
+        UNION ALL SELECT c.conv_id, t.pos, t.key, t.tokens FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos >= c.h
+    ), steps AS (
+        SELECT conv_id, row_number() OVER w AS depth, list(key) OVER w AS path, tokens FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY pos)
+        UNION ALL SELECT conv_id, 0, [], 0 FROM convs
+    ), nodes AS (
+        SELECT path, min(conv_id) AS conv_id, max(depth) AS depth, count(*) AS n_convs, max(tokens) AS tokens FROM steps GROUP BY path
+    ), kids AS (SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY path[1:depth - 1]
+    ), below AS (
+        SELECT s.path, count(*) FILTER (k.n IS NULL) AS n_leaves, CAST(sum((y.n_convs - 1) * y.tokens) AS BIGINT) AS saved_tokens
+        FROM nodes y JOIN steps s ON s.conv_id = y.conv_id AND s.depth <= y.depth LEFT JOIN kids k ON k.path = y.path GROUP BY s.path
+    ), ended AS (
+        SELECT path, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS hash FROM steps s
+        WHERE depth = (SELECT max(z.depth) FROM steps z WHERE z.conv_id = s.conv_id) GROUP BY path
+    )
+    SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children, b.n_leaves, b.saved_tokens,
+           coalesce(e.hash, sha256('')) AS ends_sha256
+    FROM nodes n JOIN below b ON b.path = n.path LEFT JOIN kids k ON k.path = n.path LEFT JOIN ended e ON e.path = n.path
+    LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(trie.shared_heads(trie.numbered(_table(spark, sf_dir, "conversations"))))

@@ -41,14 +41,14 @@ def bounded_broadcast(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def blocks(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about BLOCK_BYTES of text each."""
+def blocks(batch: pa.RecordBatch, column: str = "text", size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``size`` bytes of text each."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes)
     at = 0
     while at < batch.num_rows:
         before = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, before + BLOCK_BYTES, "right")))
+        to = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
         yield batch.slice(at, to - at)
         at = to
 
