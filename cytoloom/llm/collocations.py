@@ -34,6 +34,8 @@ PIECE_ENDS = r"[.,;:!?\x0A-\x0D]+"
 # Parts of a language that choose their best phrases apart before the language does.
 SALTS = 32
 SCALE = 1_000_000
+# Bytes of text whose nodes are made in one step; a step holds some fifty times as much.
+STEP_BYTES = 2 << 20
 
 BLANK = pa.scalar(" ", pa.large_string())
 BREAK = [pa.scalar("\n", pa.large_string()), BLANK]
@@ -113,7 +115,7 @@ def phrase_counts(docs: DataFrame, max_words: int, min_count: int) -> DataFrame:
 
     def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch, size=8 << 20):
+            for block in blocks(batch, size=STEP_BYTES):
                 if not pc.all(pc.equal(pc.fill_null(pc.binary_length(block.column("text")), 0), 0)).as_py():
                     yield from _sliced(_node_rows(block, max_words))
 
