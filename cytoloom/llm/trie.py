@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from cytoloom.session import stored
 
 # Most members of a subtree that is kept in one shard.
-SHARD_CONVS = 1_000
+SHARD_CONVS = 100
 # Growth of that number from one level of shards to the next.
 FANOUT = 1_000
 # Messages a priority queue holds in memory before it writes a run.
