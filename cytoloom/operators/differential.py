@@ -8,14 +8,20 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
+from cytoloom.functions.special import digamma, f_tail, t_tail, trigamma, trigamma_inverse
 from cytoloom.functions.stats import benjamini_hochberg, fresh, group_join
+from cytoloom.operators import glm
+from cytoloom.operators.glm import chi2_tail as _chi2_tail
 from cytoloom.session import cut_lineage
 
 # Count filter, values per task (fixed values).
 MIN_COUNTS = 10
 MIN_PROPORTION = 0.7
 VALUES_PER_TASK = 200_000
+# Numbers of one step of a random-intercept fit.
+BLOCK_VALUES = 4_000_000
 
 
 def keep_abundant(
@@ -75,118 +81,162 @@ def gene_dispersions(bulk: DataFrame, samples: DataFrame, keys: list[str] | None
     )
 
 
-def _chi2_tail(x: np.ndarray, df: int) -> np.ndarray:
-    """Upper tail of the chi-square law for a whole number of degrees of freedom."""
-    x = np.maximum(x, 0)
-    half = x / 2
-    if df % 2:
-        tail = np.array([math.erfc(math.sqrt(h)) for h in half])
-        term, start = np.sqrt(half) * np.exp(-half) / math.gamma(1.5), 1
-    else:
-        tail = np.exp(-half)
-        term, start = half * np.exp(-half), 2
-    for k in range(start, df - 1, 2):
-        tail = tail + term
-        term = term * half / (k / 2 + 1)
-    return np.minimum(tail, 1.0)
-
-
-def _design(samples: pd.DataFrame, factors: list[str], interest: str) -> tuple[np.ndarray, list[str], list[int]]:
-    """Intercept and treatment contrasts; factors with one level drop out."""
-    columns, names, tested = [np.ones(len(samples))], ["intercept"], []
-    for f in dict.fromkeys([*factors, interest]):
-        if pd.api.types.is_numeric_dtype(samples[f]):
-            if samples[f].nunique() > 1:
-                columns.append(samples[f].to_numpy(float))
-                names.append(f)
-                tested += [len(names) - 1] if f == interest else []
-            continue
-        for level in sorted(samples[f].astype(str).unique())[1:]:
-            columns.append((samples[f].astype(str) == level).to_numpy(float))
-            names.append(f"{f}{level}")
-            tested += [len(names) - 1] if f == interest else []
-    return np.stack(columns, 1), names, tested
-
-
-def _irls(y: np.ndarray, x: np.ndarray, offset: np.ndarray, phi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Negative-binomial regression of many genes at once: coefficients, information, deviance."""
-    mu = np.maximum(y, 0.1) * 0.5 + 0.5 * np.maximum(y.mean(1, keepdims=True), 0.1)
-    eta = np.log(mu)
-    ridge = 1e-8 * np.eye(x.shape[1])
-    beta = np.zeros((len(y), x.shape[1]))
-    for _ in range(50):
-        w = mu / (1 + phi[:, None] * mu)
-        z = eta - offset + (y - mu) / mu
-        info = np.einsum("si,gs,sj->gij", x, w, x) + ridge
-        new = np.linalg.solve(info, np.einsum("si,gs->gi", x, w * z)[..., None])[..., 0]
-        step = np.abs(new - beta).max() if len(y) else 0.0
-        beta = new
-        eta = np.clip(beta @ x.T + offset, -30, 30)
-        mu = np.exp(eta)
-        if step < 1e-8:
-            break
-    part = np.where(y > 0, y * np.log(np.where(y > 0, y, 1) / mu), 0.0)
-    inv = 1 / phi[:, None]
-    deviance = 2 * (part - (y + inv) * np.log((y + inv) / (mu + inv))).sum(1)
-    return beta, info, deviance
+_FIXED = (
+    "group_id string, feature string, contrast string, log2_fold_change double, lr double, df int, "
+    "residual_deviance double, df_residual int, near double, far double, error string"
+)
+_PROFILE = "group_id string, feature string, abundance double, df_residual int, profile array<double>"
+# Genes of this many neighbouring abundance bins, half a doubling each, shape a gene's trend.
+TREND_REACH = 3
+# Groups with at least so many samples take trended dispersions from about MOST_SAMPLES of them (fixed values).
+LARGE_GROUP, MOST_SAMPLES = 1_000, 2_000
+
+Formulas = dict[str, tuple[str, list[str]]]
+
+
+def _offset(samples: pd.DataFrame) -> np.ndarray:
+    return np.log(np.maximum(samples["lib"].to_numpy(float), 1) * samples["factor"].to_numpy(float))
+
+
+def _chosen(formulas: Formulas, group: str) -> tuple[str, list[str]]:
+    return formulas[group] if group in formulas else formulas["*"]
+
+
+def _empty(schema: str) -> pd.DataFrame:
+    return pd.DataFrame({c.split()[0]: pd.Series([], dtype=object) for c in schema.split(", ")})
+
+
+def _checked_design(samples: pd.DataFrame, factors: list[str], interest: str, intercept: bool):
+    x, terms, tested = glm.design(samples, factors, interest, intercept)
+    if not tested or (not intercept and len(tested) < 2):
+        raise ValueError("the factor of interest has one level")
+    if np.linalg.matrix_rank(x) < x.shape[1]:
+        raise ValueError("the design is confounded")
+    if len(samples) <= x.shape[1]:
+        raise ValueError("too few samples for the design")
+    return x, terms, tested
 
 
-def _matrix(values: pd.DataFrame, samples: pd.DataFrame) -> tuple[list[str], np.ndarray]:
-    genes = sorted(values["feature"].unique())
-    row = {g: i for i, g in enumerate(genes)}
-    column = {s: i for i, s in enumerate(samples["sample_id"])}
-    values = values[values["sample_id"].isin(column)]
-    y = np.zeros((len(genes), len(samples)))
-    y[values["feature"].map(row).to_numpy(int), values["sample_id"].map(column).to_numpy(int)] = values["value"]
-    return genes, y
+def _profile_chunk(formulas: Formulas):
+    def run(values: pd.DataFrame, samples: pd.DataFrame) -> pd.DataFrame:
+        if values.empty or samples.empty:
+            return _empty(_PROFILE)
+        samples = samples.sort_values("sample_id").reset_index(drop=True)
+        group = values["group_id"].iloc[0]
+        interest, factors = _chosen(formulas, group)
+        genes, y = glm.matrix(values, samples)
+        try:
+            x, _, _ = _checked_design(samples, factors, interest, True)
+            found = glm.adjusted_profile(y, x, _offset(samples))
+        except (ValueError, np.linalg.LinAlgError):
+            return _empty(_PROFILE)
+        abundance = np.log2((y.sum(1) + 0.5) / samples["lib"].sum() * 1e6)
+        return pd.DataFrame(
+            {"group_id": group, "feature": genes, "abundance": abundance, "df_residual": len(samples) - x.shape[1], "profile": list(found)}
+        )
 
+    return run
+
+
+def _peak(profile: str) -> str:
+    """SQL for the dispersion at the top of the parabola through the three highest neighbours of a profile."""
+    low, n = glm.GRID_POWERS[0], len(glm.GRID_POWERS)
+    at = f"CAST(array_position({profile}, array_max({profile})) AS INT)"
+    side = lambda k: f"element_at({profile}, {at} + {k})"
+    bend = f"({side(-1)} - 2 * {side(0)} + {side(1)})"
+    shift = f"CASE WHEN {at} IN (1, {n}) OR {bend} = 0 THEN 0 ELSE 0.5 * ({side(-1)} - {side(1)}) / {bend} END"
+    return f"CASE WHEN {at} = 0 THEN NULL ELSE 0.1D * pow(2D, {at} - 1 + {low} + {shift}) END"
 
-_FIXED = "group_id string, feature string, contrast string, log2_fold_change double, lr double, df int, p_value double, error string"
+
+def design_dispersions(bulk: DataFrame, samples: DataFrame, formulas: Formulas, prior: float = 10.0) -> DataFrame:
+    """(group_id, feature, abundance, trended, dispersion) from adjusted profile likelihoods under the group's design.
+
+    Every gene has its profile over a grid of dispersions. Profiles averaged over genes of like
+    abundance peak at the trend; a gene's own profile plus the average one, weighted by ``prior`` over
+    the residual degrees of freedom, peaks at its dispersion. ``samples`` carries ``lib`` and
+    ``factor``; ``formulas`` maps a group (or ``*``) to its factor of interest and the others. Groups whose
+    design cannot be fitted have no rows. A group of LARGE_GROUP samples or more
+    is profiled on about MOST_SAMPLES of them, chosen by hash, and its genes get the trend.
+    """
+    sizes = samples.groupBy("group_id").agg(F.count(F.lit(1)).alias("_n"))
+    share = F.pmod(F.xxhash64("sample_id"), F.lit(1_000_000)) / 1e6
+    used = samples.join(sizes, "group_id").where((F.col("_n") < LARGE_GROUP) | (share * F.col("_n") < MOST_SAMPLES))
+    large = sizes.select("group_id", (F.col("_n") >= LARGE_GROUP).alias("_large"))
+    used = used.drop("_n")
+    values, designs = _gene_tasks(bulk.join(used.select("group_id", "sample_id"), ["group_id", "sample_id"], "left_semi"), used)
+    key = ["group_id", "chunk"]
+    profiles = cut_lineage(
+        values.groupBy(*key).cogroup(fresh(designs).groupBy(*key)).applyInPandas(_profile_chunk(formulas), _PROFILE)
+    ).withColumn("bin", F.floor(F.col("abundance") * 2))
+    bins = profiles.select("group_id", "bin", F.posexplode("profile").alias("at", "value")).groupBy("group_id", "bin", "at").agg(
+        F.sum("value").alias("value"), F.count(F.lit(1)).alias("n"))
+    reach = F.explode(F.sequence(F.lit(-TREND_REACH), F.lit(TREND_REACH))).alias("step")
+    weight = F.pow(1 - F.pow(F.abs("step") / (TREND_REACH + 1), 3), 3)
+    near = bins.select("*", reach).groupBy("group_id", (F.col("bin") + F.col("step")).alias("bin"), "at").agg(
+        (F.sum(weight * F.col("value")) / F.sum(weight * F.col("n"))).alias("value"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda s: s["value"])
+    shared = near.groupBy("group_id", "bin").agg(ordered.alias("shared"))
+    both = profiles.join(shared, ["group_id", "bin"]).withColumn(
+        "total", F.zip_with("profile", "shared", lambda a, s: a + s * prior / F.col("df_residual"))
+    )
+    peaks = both.join(large, "group_id").selectExpr(
+        "group_id", "feature", "abundance", f"{_peak('shared')} AS trended", f"{_peak('total')} AS own", "_large"
+    )
+    return peaks.selectExpr("group_id", "feature", "abundance", "trended", "if(_large, trended, own) AS dispersion")
 
 
-def _fit_fixed(factors: list[str], interest: str):
-    names = [c.split()[0] for c in _FIXED.split(", ")]
+def _fit_chunk(formulas: Formulas, contrasts: dict[str, dict[str, float]] | None, threshold: float):
+    def tests(terms: list[str], tested: list[int]):
+        """(names and coefficients reported, weights of the contrast or None for the tested columns together)"""
+        if contrasts is None:
+            eye = np.eye(len(terms))
+            yield [(terms[t], eye[t]) for t in tested], eye[tested[0]] if threshold and len(tested) == 1 else None
+            return
+        for name, parts in contrasts.items():
+            if set(parts) <= set(terms):
+                w = np.array([float(parts.get(t, 0)) for t in terms])
+                yield [(name, w)], w
 
     def run(values: pd.DataFrame, samples: pd.DataFrame) -> pd.DataFrame:
         if values.empty or samples.empty:
-            return pd.DataFrame({c: [] for c in names})
+            return _empty(_FIXED)
         samples = samples.sort_values("sample_id").reset_index(drop=True)
         group = values["group_id"].iloc[0]
-        genes, y = _matrix(values, samples)
+        interest, factors = _chosen(formulas, group)
+        genes, y = glm.matrix(values, samples)
         phi = values.groupby("feature")["dispersion"].first().reindex(genes).to_numpy(float)
-        phi = np.maximum(np.nan_to_num(phi, nan=0.1), 1e-6)
-        x, terms, tested = _design(samples, factors, interest)
+        phi = np.nan_to_num(phi, nan=0.1)
+        failed = {"group_id": group, "feature": genes, "contrast": None, "log2_fold_change": np.nan, "lr": np.nan, "df": 0,
+                  "residual_deviance": np.nan, "df_residual": 0, "near": np.nan, "far": np.nan}
+        out = []
         try:
-            if not tested:
-                raise ValueError("the factor of interest has one level")
-            if np.linalg.matrix_rank(x) < x.shape[1]:
-                raise ValueError("the design is confounded")
-            if len(samples) <= x.shape[1]:
-                raise ValueError("too few samples for the design")
-            offset = np.log(np.maximum(samples["lib"].to_numpy(float), 1) * samples["factor"].to_numpy(float))
-            full, _, dev = _irls(y, x, offset, phi)
-            _, _, null = _irls(y, np.delete(x, tested, 1), offset, phi)
-            lr = null - dev
-            p = _chi2_tail(lr, len(tested))
+            x, terms, tested = _checked_design(samples, factors, interest, contrasts is None)
+            offset = _offset(samples)
+            full, _, dev, _ = glm.irls(y, x, offset, phi)
+            for named, weights in tests(terms, tested):
+                reduced, carrier = glm.without(x, tested, weights)
+                lr = np.maximum(glm.irls(y, reduced, offset, phi)[2] - dev, 0)
+                sides = [np.full(len(genes), np.nan)] * 2
+                if threshold and carrier is not None:
+                    shift = threshold * math.log(2) * carrier
+                    up, down = (np.sqrt(np.maximum(glm.irls(y, reduced, offset + s * shift, phi)[2] - dev, 0)) for s in (1, -1))
+                    # signed distances to the nearer and the farther end of the interval that counts as no change
+                    inside = np.abs(full @ named[0][1]) <= threshold * math.log(2)
+                    sides = [np.where(inside, -1, 1) * np.minimum(up, down), np.maximum(up, down)]
+                for name, w in named:
+                    out.append(pd.DataFrame(failed | {
+                        "contrast": name, "log2_fold_change": full @ w / math.log(2), "lr": lr, "df": 1 if weights is not None else len(tested),
+                        "residual_deviance": dev, "df_residual": len(samples) - x.shape[1], "near": sides[0], "far": sides[1], "error": None}))
+            if not out:
+                raise ValueError("no contrast fits the design")
         except (ValueError, np.linalg.LinAlgError) as e:
-            return pd.DataFrame(
-                {"group_id": group, "feature": genes, "contrast": None, "log2_fold_change": np.nan, "lr": np.nan,
-                 "df": 0, "p_value": np.nan, "error": str(e)}
-            )
-        return pd.concat(
-            [
-                pd.DataFrame(
-                    {"group_id": group, "feature": genes, "contrast": terms[t], "log2_fold_change": full[:, t] / np.log(2),
-                     "lr": lr, "df": len(tested), "p_value": p, "error": None}
-                )
-                for t in tested
-            ]
-        )
+            return pd.DataFrame(failed | {"error": str(e)})
+        return pd.concat(out)
 
     return run
 
 
-def _gene_tasks(bulk: DataFrame, samples: DataFrame, dispersions: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+def _gene_tasks(bulk: DataFrame, samples: DataFrame, dispersions: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Values and designs keyed by (group_id, chunk); a chunk's matrix stays bounded."""
     size = samples.groupBy("group_id").agg(F.count(F.lit(1)).alias("n"))
     genes = bulk.groupBy("group_id").agg(F.count_distinct("feature").alias("n_genes")).join(size, "group_id")
@@ -208,90 +258,167 @@ def with_libraries(bulk: DataFrame, samples: DataFrame, scaling: DataFrame | Non
     return out.join(scaling.select("sample_id", F.col("tmm").alias("factor")), "sample_id", "left").fillna(1.0, ["factor"])
 
 
+@F.pandas_udf(StructType([StructField("df_prior", DoubleType()), StructField("s2_prior", DoubleType())]))
+def _prior_law(mean: pd.Series, variance: pd.Series, df: pd.Series) -> pd.DataFrame:
+    """Scaled chi-square prior whose log has these moments beyond the sampling of ``df`` degrees of freedom."""
+    half = df.to_numpy(float) / 2
+    centre = mean.to_numpy(float) - digamma(half) + np.log(half)
+    spread = np.nan_to_num(variance.to_numpy(float)) - trigamma(half)
+    finite = spread > 1e-10
+    prior = np.where(finite, 2 * trigamma_inverse(np.where(finite, spread, 1.0)), np.inf)
+    at = np.where(finite, prior, 2.0) / 2
+    return pd.DataFrame({"df_prior": prior, "s2_prior": np.exp(np.where(finite, centre + digamma(at) - np.log(at), centre))})
+
+
+@F.pandas_udf(DoubleType())
+def _p_value(f: pd.Series, df: pd.Series, df_total: pd.Series, near: pd.Series, far: pd.Series, scale: pd.Series) -> pd.Series:
+    """Tail of the F law, or, beyond a least change, of Student's law at both ends of its interval."""
+    ok = np.isfinite(f.to_numpy(float))
+    values = [np.where(ok, s.to_numpy(float), 1.0) for s in (f, df, df_total)]
+    p = f_tail(*values)
+    if far.notna().any():
+        sides = [np.nan_to_num(s.to_numpy(float)) / np.sqrt(scale.to_numpy(float)) for s in (near, far)]
+        both = np.minimum(t_tail(np.where(ok, sides[0], 0), values[2]) + t_tail(np.where(ok, sides[1], 0), values[2]), 1)
+        p = np.where(far.notna(), both, p)
+    return pd.Series(np.where(ok, p, np.nan))
+
+
+def squeezed(fits: DataFrame, shrink: bool = True) -> DataFrame:
+    """Adds s2_post and df_total: residual variances drawn toward their common law in the group."""
+    own = F.col("residual_deviance") / F.col("df_residual")
+    if not shrink:
+        return fits.withColumn("s2_post", own).withColumn("df_total", F.col("df_residual").cast("double"))
+    genes = fits.where("df_residual > 0").select("group_id", "feature", "df_residual", F.greatest(own, F.lit(1e-5)).alias("s2")).distinct()
+    moments = genes.groupBy("group_id", "df_residual").agg(
+        F.avg(F.ln("s2")).alias("m"), F.var_samp(F.ln("s2")).alias("v"), F.count(F.lit(1)).alias("n_genes"))
+    law = moments.select("group_id", "n_genes", _prior_law("m", "v", F.col("df_residual").cast("double")).alias("law"))
+    joined = fits.join(law.select("group_id", "n_genes", "law.*"), "group_id", "left")
+    post = F.when(F.col("df_prior") == float("inf"), F.col("s2_prior")).otherwise(
+        (F.col("df_prior") * F.col("s2_prior") + F.col("residual_deviance")) / (F.col("df_prior") + F.col("df_residual"))
+    )
+    total = F.least(F.col("df_prior") + F.col("df_residual"), (F.col("n_genes") * F.col("df_residual")).cast("double"))
+    return joined.withColumn("s2_post", post).withColumn("df_total", total).drop("n_genes", "df_prior", "s2_prior")
+
+
 def test_fixed_effects(
     bulk: DataFrame,
     samples: DataFrame,
-    interest: str,
+    interest: str | Formulas,
     factors: list[str] | None = None,
     min_samples: int = 3,
     scaling: DataFrame | None = None,
+    method: str = "likelihood_ratio",
+    contrasts: dict[str, dict[str, float]] | None = None,
+    min_log2_fold_change: float = 0.0,
+    dispersion: float | None = None,
+    shrink: bool = True,
 ) -> DataFrame:
-    """Likelihood-ratio test of a factor per gene in every group, with false discovery rates.
+    """Test of a factor per gene in every group, with false discovery rates.
 
     ``bulk`` has (group_id, sample_id, feature, value), ``samples`` (group_id, sample_id,
-    factors …). ``scaling`` may bring a library scaling factor ``tmm`` per sample. Groups
-    with fewer than three samples are left out; a model that cannot be fitted says so in
-    ``error``.
+    factors …). ``interest`` names the factor, or maps every group (``*``: all others) to its factor and the
+    other factors, so that all groups are one job. ``scaling`` may bring a library scaling factor ``tmm`` per sample. Groups
+    with fewer than three samples are left out; a model that cannot be fitted says so in ``error``.
+
+    ``method``: ``likelihood_ratio`` with each gene's dispersion, or ``quasi_likelihood``: trended
+    dispersions, residual variances squeezed toward their law in the group (unless ``shrink`` is off), and an F test.
+    ``contrasts`` maps a name to weights of design columns (``<factor><level>``, every level of the factor of interest has one);
+    without it all levels are tested together against the first. ``min_log2_fold_change`` tests
+    for a change beyond it (one coefficient or contrast). ``dispersion`` fixes it for all genes.
     """
+    if method not in ("likelihood_ratio", "quasi_likelihood"):
+        raise ValueError(f"unknown method {method}")
+    formulas = interest if isinstance(interest, dict) else {"*": (interest, factors or [])}
     # sums per sample and gene: small next to the counts and read by every step below
     bulk = cut_lineage(bulk.select("group_id", "sample_id", "feature", "value"))
-    n = Window.partitionBy("group_id")
-    big = with_libraries(bulk, samples, scaling).withColumn("_n", F.count(F.lit(1)).over(n)).where(F.col("_n") >= min_samples).drop("_n")
-    values, designs = _gene_tasks(bulk, big, gene_dispersions(bulk, big, ["group_id"]))
+    if "*" not in formulas:
+        samples = samples.where(F.col("group_id").isin(list(formulas)))
+    ready = with_libraries(bulk, samples, scaling)
+    enough = ready.groupBy("group_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_samples)
+    big = cut_lineage(ready.join(enough.select("group_id"), "group_id", "left_semi"))
+    if dispersion is None:
+        column = "dispersion" if method == "likelihood_ratio" else "trended"
+        phi = design_dispersions(bulk, big, formulas).select("group_id", "feature", F.col(column).alias("dispersion"))
+    else:
+        phi = bulk.select("group_id", "feature").distinct().withColumn("dispersion", F.lit(float(dispersion)))
+    values, designs = _gene_tasks(bulk, big, phi)
     key = ["group_id", "chunk"]
-    out = values.groupBy(*key).cogroup(fresh(designs).groupBy(*key)).applyInPandas(_fit_fixed(factors or [], interest), _FIXED)
-    return benjamini_hochberg(cut_lineage(out), ["group_id", "contrast"], "p_value", "fdr")
+    run = _fit_chunk(formulas, contrasts, min_log2_fold_change)
+    fits = cut_lineage(values.groupBy(*key).cogroup(fresh(designs).groupBy(*key)).applyInPandas(run, _FIXED))
+    if method == "likelihood_ratio":
+        scored = fits.withColumn("s2_post", F.lit(1.0)).withColumn("df_total", F.lit(float("inf")))
+    else:
+        scored = squeezed(fits, shrink)
+    scored = scored.withColumn("f_value", F.col("lr") / F.col("df") / F.col("s2_post"))
+    p = _p_value(*[F.col(c).cast("double") for c in ("f_value", "df", "df_total", "near", "far", "s2_post")])
+    scored = scored.withColumn("p_value", p).withColumn("p_value", F.expr("if(isnan(p_value), null, p_value)")).drop("near", "far")
+    return benjamini_hochberg(cut_lineage(scored), ["group_id", "contrast"], "p_value", "fdr")
 
 
 test_fixed_effects.__test__ = False
 
-def _quasi_likelihood(
-    y: np.ndarray, both: np.ndarray, p: int, offset: np.ndarray, phi: np.ndarray
+
+def _penalised_fit(
+    y: np.ndarray, x: np.ndarray, unit: np.ndarray, n_units: int, offset: np.ndarray, phi: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Fixed and random coefficients, their variances and the intercept variance of many genes."""
-    g, width = len(y), both.shape[1]
-    q = width - p
-    sigma2, coef, eta = np.full(g, 0.1), np.zeros((g, width)), np.log(np.maximum(y, 0.5))
-    diagonal = np.arange(p, width)
-    cov = np.zeros((g, width))
+    """Fixed coefficients, their variances and the variance of the units' intercepts, for many genes.
+
+    Samples are ordered by ``unit``. The units' block of the normal equations is diagonal, so it is
+    eliminated first (Schur complement): a gene costs samples x columns², and nothing of size units² exists.
+    """
+    g, p = len(y), x.shape[1]
+    starts = np.searchsorted(unit, np.arange(n_units))
+    per_unit = lambda a: np.add.reduceat(a, starts, axis=1)
+    pairs = (x[:, :, None] * x[:, None, :]).reshape(len(x), -1)
+    sigma2, eta = np.full(g, 0.1), np.log(np.maximum(y, 0.5))
+    beta, effect, cov = np.zeros((g, p)), np.zeros((g, n_units)), np.zeros((g, p))
     for _ in range(60):
         mu = np.exp(np.clip(eta, -30, 30))
         w = mu / (1 + phi[:, None] * mu)
-        z = eta - offset + (y - mu) / mu
-        lhs = np.einsum("si,gs,sj->gij", both, w, both, optimize=True) + 1e-9 * np.eye(width)
-        lhs[:, diagonal, diagonal] += 1 / np.maximum(sigma2, 1e-8)[:, None]
-        inverse = np.linalg.inv(lhs)
-        new = np.einsum("gij,gj->gi", inverse, np.einsum("si,gs->gi", both, w * z))
-        cov = inverse[:, np.arange(width), np.arange(width)]
-        sigma2 = ((new[:, p:] ** 2).sum(1) + cov[:, p:].sum(1)) / q
-        moved = np.abs(new - coef).max()
-        coef, eta = new, np.clip(new @ both.T + offset, -30, 30)
+        wz = w * (eta - offset + (y - mu) / mu)
+        block = per_unit(w) + 1e-9 + 1 / np.maximum(sigma2, 1e-8)[:, None]
+        cross = np.stack([per_unit(w * x[:, j]) for j in range(p)], 1)
+        scaled = cross / block[:, None, :]
+        fixed = (w @ pairs).reshape(g, p, p) + 1e-9 * np.eye(p) - scaled @ cross.transpose(0, 2, 1)
+        inverse = np.linalg.inv(fixed)
+        right = per_unit(wz)
+        new = (inverse @ (wz @ x - (scaled @ right[..., None])[..., 0])[..., None])[..., 0]
+        shift = (right - (new[:, None, :] @ cross)[:, 0]) / block
+        cov = np.diagonal(inverse, axis1=1, axis2=2)
+        spread = 1 / block + np.einsum("gpq,gpr,grq->gq", scaled, inverse, scaled, optimize=True)
+        sigma2 = ((shift**2) + spread).sum(1) / n_units
+        moved = max(np.abs(new - beta).max(), np.abs(shift - effect).max())
+        beta, effect = new, shift
+        eta = np.clip(beta @ x.T + effect[:, unit] + offset, -30, 30)
         if moved < 1e-6:
             break
-    return coef, cov, sigma2
+    return beta, cov, sigma2
 
 
 _RANDOM = "group_id string, feature string, contrast string, log2_fold_change double, std_error double, sigma2 double, p_value double, error string"
 
 
 def _fit_random(factors: list[str], interest: str, unit: str):
-    names = [c.split()[0] for c in _RANDOM.split(", ")]
-
     def run(values: pd.DataFrame, samples: pd.DataFrame) -> pd.DataFrame:
         if values.empty or samples.empty:
-            return pd.DataFrame({c: [] for c in names})
-        samples = samples.sort_values("sample_id").reset_index(drop=True)
+            return _empty(_RANDOM)
+        samples = samples.sort_values([unit, "sample_id"]).reset_index(drop=True)
         group = values["group_id"].iloc[0]
-        genes, y = _matrix(values, samples)
+        genes, y = glm.matrix(values, samples)
         phi = values.groupby("feature")["dispersion"].first().reindex(genes).to_numpy(float)
         phi = np.maximum(np.nan_to_num(phi, nan=0.1), 1e-6)
-        x, terms, tested = _design(samples, factors, interest)
-        offset = np.log(np.maximum(samples["lib"].to_numpy(float), 1))
-        codes, _ = pd.factorize(samples[unit], sort=True)
-        q, p = codes.max() + 1, x.shape[1]
-        zed = np.zeros((len(samples), q))
-        zed[np.arange(len(samples)), codes] = 1
-        both = np.hstack([x, zed])
-        if not tested or np.linalg.matrix_rank(x) < p:
+        x, terms, tested = glm.design(samples, factors, interest)
+        if not tested or np.linalg.matrix_rank(x) < x.shape[1]:
             return pd.DataFrame(
                 {"group_id": group, "feature": genes, "contrast": None, "log2_fold_change": np.nan, "std_error": np.nan,
                  "sigma2": np.nan, "p_value": np.nan, "error": "the design is confounded"}
             )
+        codes, names = pd.factorize(samples[unit].fillna("").astype(str), sort=False)
         out = []
-        step = max(1, 20_000_000 // (p + q) ** 2)
+        step = max(1, BLOCK_VALUES // (len(samples) * (x.shape[1] + 1)))
         for lo in range(0, len(genes), step):
             part = slice(lo, lo + step)
-            coef, cov, sigma2 = _quasi_likelihood(y[part], both, p, offset, phi[part])
+            coef, cov, sigma2 = _penalised_fit(y[part], x, codes, len(names), _offset(samples), phi[part])
             for t in tested:
                 se = np.sqrt(np.maximum(cov[:, t], 0))
                 z = np.abs(coef[:, t]) / np.where(se > 0, se, np.nan) / math.sqrt(2)
@@ -313,10 +440,13 @@ def _fit_random(factors: list[str], interest: str, unit: str):
 def test_random_intercept(
     bulk: DataFrame, samples: DataFrame, interest: str, unit: str, factors: list[str] | None = None
 ) -> DataFrame:
-    """Penalised quasi-likelihood with a random intercept per ``unit``, per gene and group."""
+    """Penalised quasi-likelihood with a random intercept per ``unit``, per gene and group.
+
+    Dispersions come from the fixed part of the design. The work of a gene grows with the samples, whatever the number of units.
+    """
     bulk = cut_lineage(bulk.select("group_id", "sample_id", "feature", "value"))
-    ready = with_libraries(bulk, samples)
-    values, designs = _gene_tasks(bulk, ready, gene_dispersions(bulk, ready, ["group_id"]))
+    ready = cut_lineage(with_libraries(bulk, samples))
+    values, designs = _gene_tasks(bulk, ready, design_dispersions(bulk, ready, {"*": (interest, factors or [])}))
     key = ["group_id", "chunk"]
     out = (
         values.groupBy(*key).cogroup(fresh(designs).groupBy(*key)).applyInPandas(_fit_random(factors or [], interest, unit), _RANDOM)
@@ -327,15 +457,9 @@ def test_random_intercept(
 test_random_intercept.__test__ = False
 
 
-def test_datasets(bulk: DataFrame, samples: DataFrame, genes: DataFrame, formulas: dict[str, tuple[str, list[str]]]) -> DataFrame:
-    """One model per dataset (factor of interest, other factors); results joined to gene facts by name."""
-    out = None
-    for dataset, (interest, factors) in formulas.items():
-        part = test_fixed_effects(
-            bulk.where(F.col("group_id") == dataset), samples.where(F.col("group_id") == dataset), interest, factors
-        )
-        out = part if out is None else out.unionByName(part)
-    return genes.join(out, "feature")
+def test_datasets(bulk: DataFrame, samples: DataFrame, genes: DataFrame, formulas: Formulas) -> DataFrame:
+    """One model per dataset (factor of interest, other factors), all in one job; results joined to gene facts by name."""
+    return genes.join(test_fixed_effects(bulk, samples, formulas), "feature")
 
 
 test_datasets.__test__ = False

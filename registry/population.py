@@ -71,11 +71,54 @@ def _(t):
     return out
 
 
+@query("de2_design_dispersions")
+def _(t):
+    bulk, samples = type_bulk(t), differential.with_libraries(type_bulk(t), type_samples(t))
+    return differential.design_dispersions(bulk, samples, {"*": ("condition", ["batch"])})
+
+
 @query("de3_fixed_effects")
 def _(t):
     return differential.test_fixed_effects(type_bulk(t), type_samples(t), "condition", ["batch"])
 
 
+@query("de3_quasi_likelihood")
+def _(t):
+    """Both directions of a contrast between cell-means coefficients, and changes beyond a tenth of a doubling."""
+    contrast = {"treated - control": {"conditiontreated": 1, "conditioncontrol": -1}, "control - treated": {"conditioncontrol": 1, "conditiontreated": -1}}
+    return differential.test_fixed_effects(
+        type_bulk(t), type_samples(t), "condition", ["batch"], method="quasi_likelihood", contrasts=contrast, min_log2_fold_change=0.1
+    )
+
+
+@query(
+    "de3_quasi_likelihood_two_groups",
+    with_(
+        CNT, CELLS,
+        "b AS (SELECT cell_type AS group_id, sample_id, feature, SUM(value) AS y FROM cnt JOIN cells USING (sample_id, cell_id) GROUP BY 1, 2, 3)",
+        f"lb AS (SELECT group_id, sample_id, {SAMPLE_NO} % 2 AS c, SUM(y) AS lib FROM b GROUP BY 1, 2, 3)",
+        "li AS (SELECT group_id, c, SUM(lib) AS lib FROM lb GROUP BY 1, 2)",
+        "al AS (SELECT group_id, SUM(lib) AS lib, COUNT(*) AS n FROM lb GROUP BY 1 HAVING COUNT(*) >= 3 AND COUNT(DISTINCT c) = 2)",
+        "gs AS (SELECT group_id, feature, c, SUM(y) AS y FROM b JOIN lb USING (group_id, sample_id) GROUP BY 1, 2, 3)",
+        "ge AS (SELECT group_id, feature, SUM(y) AS y FROM gs GROUP BY 1, 2 HAVING COUNT(*) = 2)",
+        """de AS (SELECT b.group_id, b.feature, n, 2 * SUM(b.y * ln(b.y / (lb.lib * ge.y / al.lib))) AS d0, 2 * SUM(b.y * ln(b.y / (lb.lib * gs.y / li.lib))) AS d1
+           FROM b JOIN lb USING (group_id, sample_id) JOIN ge USING (group_id, feature) JOIN al USING (group_id)
+           JOIN gs ON gs.group_id = b.group_id AND gs.feature = b.feature AND gs.c = lb.c JOIN li ON li.group_id = b.group_id AND li.c = lb.c GROUP BY 1, 2, 3)""",
+        "fc AS (SELECT group_id, feature, SUM(CASE WHEN c = 0 THEN 1 ELSE -1 END * log2(y / lib)) AS fc FROM gs JOIN li USING (group_id, c) GROUP BY 1, 2)",
+        body=f"""SELECT group_id, feature, 'conditiontreated' AS contrast, {r6("fc")} AS log2_fold_change, round(d0 - d1, 4) AS lr, round(d1, 4) AS residual_deviance,
+                 CAST(n - 2 AS INTEGER) AS df_residual, round((d0 - d1) / (d1 / (n - 2)), 3) AS f_value FROM de JOIN fc USING (group_id, feature) WHERE d1 > 0.01""",
+    ),
+)
+def _(t):
+    """Without dispersion and shrinkage the two-group model has a closed form: group rates and their deviances."""
+    bulk, samples = type_bulk(t), type_samples(t)
+    fits = differential.test_fixed_effects(bulk, samples, "condition", method="quasi_likelihood", dispersion=0.0, shrink=False)
+    sums = bulk.join(samples, ["group_id", "sample_id"]).groupBy("group_id", "feature").agg(F.count_distinct("condition").alias("n"))
+    kept = fits.where("residual_deviance > 0.01").join(sums.where("n = 2"), ["group_id", "feature"], "left_semi")
+    return kept.select("group_id", "feature", "contrast", F.round("log2_fold_change", 6).alias("log2_fold_change"), F.round("lr", 4).alias("lr"),
+                       F.round("residual_deviance", 4).alias("residual_deviance"), "df_residual", F.round("f_value", 3).alias("f_value"))
+
+
 @query("de4_random_intercept")
 def _(t):
     return differential.test_random_intercept(type_bulk(t), type_samples(t), "condition", "site")
@@ -84,7 +127,7 @@ def _(t):
 @query("de5_datasets_and_formulas")
 def _(t):
     genes = t.features.select("feature", "symbol", "ensembl_id")
-    formulas = {"MACHINERY": ("condition", ["batch"]), "BUILDING": ("condition", [])}
+    formulas = {"MACHINERY": ("condition", ["batch"]), "BUILDING": ("condition", []), "*": ("batch", ["condition"])}
     return differential.test_datasets(type_bulk(t), type_samples(t), genes, formulas)
 
 
