@@ -47,7 +47,8 @@ def _tokens(block: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray, np
 
     A piece end is a token that is no word; it has 0 words left.
     """
-    text = pc.fill_null(block.column("text"), "").cast(pa.large_string())
+    # rows are copied out: ascii_lower of pyarrow 23 reads a cast slice from its start
+    text = pc.fill_null(block.column("text"), "").take(pa.array(np.arange(block.num_rows))).cast(pa.large_string())
     text = pc.replace_substring_regex(pc.ascii_lower(text), PIECE_ENDS, " \n ")
     text = pc.replace_substring(pc.binary_join_element_wise(text, *BREAK), "\t", " ")
     parts = pc.split_pattern(text, " ")

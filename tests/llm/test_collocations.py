@@ -4,9 +4,11 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from cytoloom.llm import collocations
+from cytoloom.llm.text import blocks
 from tests.llm.cases import empty_docs, odd_docs
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -71,7 +73,22 @@ def test_report_equals_plain_python(spark, max_words, min_count, share, top):
     assert have == plain_report(rows, max_words, min_count, share, top)
 
 
-def test_counts_come_from_flows(spark):
+@pytest.mark.parametrize("step", [1, 300, 5000])
+def test_blocks_of_a_batch_add_up(step):
+    rows = [(f"é{t}", lang) for t, lang in prose(11)] + [(None, "en"), ("", None)]
+    batch = pa.RecordBatch.from_pylist([{"text": t, "lang": lang} for t, lang in rows]).slice(3)
+    f, n = plain_counts(rows[3:], 3)
+    have = Counter()
+    for block in blocks(batch, size=step):
+        for r in collocations._node_rows(block, 3).to_pylist():
+            have[r["lang"], r["gram"]] += r["total"]
+            for word, count in zip(r["lasts"], r["counts"]):
+                have[r["lang"], f"{r['gram']} {word}"] += count
+    assert +have == f + Counter({(lang, ""): c for lang, c in n.items()})
+
+
+def test_counts_come_from_flows(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "STEP_BYTES", 100)
     rows = prose(5)
     for max_words in (2, 3, 5):
         f, n = plain_counts(rows, max_words)
