@@ -236,7 +236,13 @@ def mine(docs: DataFrame, max_words: int = 3, min_count: int = 10, share: int =
     found = found.where(F.coalesce(100 * F.col("cover") < share * F.col("a"), F.lit(True)))
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
     salted = found.withColumn("__salt", F.abs(F.hash("phrase")) % SALTS)
-    parts = salted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "__salt").orderBy(*order))).where(F.col("rank") <= top)
-    best = parts.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
+    place = F.row_number().over(Window.partitionBy("lang", "__salt").orderBy(*order))
+    parts = stored(salted.withColumn("__place", place).where(F.col("__place") <= top), "parts")
+    # when all parts have this many phrases, the worst of these scores is reached by ``top`` phrases at least
+    enough = -(-top // SALTS)
+    floor = parts.where(F.col("__place") == enough).groupBy("lang").agg(F.min("score").alias("__floor"), F.count(F.lit(1)).alias("__parts"))
+    near = parts.join(floor.where(F.col("__parts") == SALTS).select("lang", "__floor"), "lang", "left")
+    near = near.where("__floor IS NULL OR score >= __floor")
+    best = near.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
     words = counts.where("k = 0").select("lang", "n")
     return best.join(words, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
