@@ -4,8 +4,10 @@ Method: rare-first prefix filtering with length, positional and suffix filters,
 prefix shingles, every surviving pair verified once on the full sets.
 
 1. Texts with the same shingle set form one class; everything below works on classes.
-2. Shingles are ordered by document frequency, rarest first. Frequencies are counted over all
-   documents in 65 536 hash buckets; any fixed order is correct, a rare-first one is fast.
+2. Shingles are ordered by document frequency, rarest first. Every task counts the shingles of some
+   thousands of documents at a time and reports those that come more than once; of the sums, the most frequent ones
+   (MOST_FREQUENT at most) are ranked, all others count as rare. So a passage that many documents share comes last
+   in each of them. Any fixed order is correct, a rare-first one is fast.
 3. Sets with Jaccard >= t share a shingle among the first n - ceil(t n) + 1 of each.
 4. Joining all members of a prefix shingle with each other would grow with the square of a group
    of copies. So first the five most central members of a shingle meet all others. The links found are
@@ -31,8 +33,9 @@ from cytoloom.llm.components import component_roots
 from cytoloom.llm.text import bounded_broadcast, map_batches, mix, packed, shingle_sets
 from cytoloom.session import stored
 
-# Hash buckets of the document frequencies that give the rare-first order.
-FREQUENCY_BITS = 16
+# Shingles whose occurrences a task counts together, and shingles ranked by frequency (16 bytes each on the driver).
+COUNTED = 1 << 22
+MOST_FREQUENT = 1 << 19
 # Parts of the suffix filter.
 PARTS = 256
 # Members of a shingle that meet all others, before what is left meets fully.
@@ -46,35 +49,72 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(np.uint64(b).astype(np.int64))
 
 
+def _repeated(shingles: list[np.ndarray]) -> pa.RecordBatch:
+    """Shingles of more than one of these documents, with the number of documents."""
+    values, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *shingles]), return_counts=True)
+    values, counts = values[counts > 1].astype(np.int64), counts[counts > 1]
+    zeros = pa.array(np.zeros(len(values), np.int64))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.ones(len(values), np.int32)), pa.array(values), pa.array(counts.astype(np.int64)), zeros, zeros],
+        ["kind", "doc_id", "n", "d1", "d2"],
+    )
+
+
 def _signature(docs: DataFrame, k: int) -> DataFrame:
-    """Rows of kind 0: (doc_id, set size, digest); of kind 1: (bucket, its number of shingles)."""
+    """Rows of kind 0: (doc_id, set size, digest); of kind 1: (shingle, documents of a part of a task that have it)."""
 
     def run(batches):
-        counts = np.zeros(1 << FREQUENCY_BITS, np.int64)
+        held, size = [], 0
         for batch in batches:
-            n, d1, d2, buckets = [], [], [], [np.zeros(0, np.uint64)]
+            n, d1, d2 = [], [], []
             for s in shingle_sets(batch, k):
-                buckets.append(s >> np.uint64(64 - FREQUENCY_BITS))
+                held.append(s)
+                size += len(s)
                 a, b = _digest(s)
                 n.append(len(s)), d1.append(a), d2.append(b)
-            counts += np.bincount(np.concatenate(buckets).astype(np.int64), minlength=len(counts))
+                if size >= COUNTED:
+                    yield _repeated(held)
+                    held, size = [], 0
             kind = pa.array(np.zeros(len(n), np.int32))
             yield pa.RecordBatch.from_arrays(
                 [kind, batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64())],
                 ["kind", "doc_id", "n", "d1", "d2"],
             )
-        at = np.flatnonzero(counts)
-        zeros = pa.array(np.zeros(len(at), np.int64))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.ones(len(at), np.int32)), pa.array(at), pa.array(counts[at]), zeros, zeros],
-            ["kind", "doc_id", "n", "d1", "d2"],
-        )
+        yield _repeated(held)
 
     return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), run, "kind int, doc_id long, n long, d1 long, d2 long")
 
 
-def _prefixes(docs: DataFrame, k: int, num: int, den: int, frequency: np.ndarray) -> DataFrame:
+def _frequent(signature: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles, ascending, with their counts.
+
+    Whole classes of like counts are taken, from the top, while they are at most MOST_FREQUENT in number.
+    """
+    counts = signature.where("kind = 1").groupBy(F.col("doc_id").alias("shingle")).agg(F.sum("n").alias("n"))
+    counts = stored(counts.select("shingle", "n", F.floor(F.log2("n") * 8).alias("class")), "frequent")
+    total, floor = 0, None
+    for row in counts.groupBy("class").count().orderBy(F.desc("class")).collect():  # 500 rows at most
+        total += row["count"]
+        if total > MOST_FREQUENT:
+            break
+        floor = row["class"]
+    if floor is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    found = counts.where(F.col("class") >= floor).select("shingle", "n").toArrow()
+    shingles = found["shingle"].to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(shingles)
+    return shingles[order], found["n"].to_numpy().astype(np.int64)[order]
+
+
+def _prefixes(docs: DataFrame, k: int, num: int, den: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """Per text with words: set size, digest, its prefix in rare-first order, its counts in PARTS hash parts."""
+    known, counts = frequent
+
+    def frequency(s):
+        if not len(known):
+            return np.zeros(len(s), np.int64)
+        at = np.minimum(np.searchsorted(known, s), len(known) - 1)
+        return np.where(known[at] == s, counts[at], 0)
 
     def run(batches):
         for batch in batches:
@@ -82,7 +122,7 @@ def _prefixes(docs: DataFrame, k: int, num: int, den: int, frequency: np.ndarray
             for s in shingle_sets(batch, k):
                 if not len(s):
                     continue
-                order = np.lexsort((s, frequency[(s >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)]))
+                order = np.lexsort((s, frequency(s)))
                 a, b = _digest(s)
                 n.append(len(s)), d1.append(a), d2.append(b)
                 prefix.append(s[order[: len(s) + (-num * len(s)) // den + 1]].astype(np.int64))
@@ -205,16 +245,11 @@ def _components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     smallest doc_id there; both are null without words."""
     signature = stored(_signature(docs, k), "signature")
     rows = signature.where("kind = 0").select("doc_id", "n", "d1", "d2")
-    counts = signature.where("kind = 1").groupBy("doc_id").agg(F.sum("n")).collect()  # 65 536 rows at most
-    frequency = np.zeros(1 << FREQUENCY_BITS, np.int64)
-    for bucket, n in counts:
-        frequency[bucket] = n
-
     key = ["n", "d1", "d2"]
     ids = rows.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("doc_id"))
     # one text per class is enough; all its texts have the same prefix
     classes = stored(
-        _prefixes(docs, k, num, den, frequency)
+        _prefixes(docs, k, num, den, _frequent(signature))
         .groupBy(*key)
         .agg(F.first("prefix").alias("prefix"), F.first("parts").alias("parts"))
         .join(ids, key)

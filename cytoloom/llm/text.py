@@ -20,9 +20,9 @@ BROADCAST_ROWS = 500_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
-_BASE = 0xD6E8FEB86659FD93
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers: dict[int, np.ndarray] = {}
+# Primes below 2^31 with a base each: a word is a polynomial over both fields, so that products fit 64 bits (fixed values).
+_FIELDS = ((2147483647, 1566083941), (2147483629, 1812433253))
+_powers: dict[tuple[int, int], np.ndarray] = {}
 
 
 def map_batches(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
@@ -74,15 +74,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power(base: int, n: int) -> np.ndarray:
-    if base not in _powers or len(_powers[base]) < n:
-        step = np.full(max(n, BLOCK_BYTES), base, np.uint64)
-        step[0] = 1
-        _powers[base] = np.cumprod(step)
-    return _powers[base][:n]
+def _power(base: int, prime: int, n: int) -> np.ndarray:
+    """The first n powers of a base in its field."""
+    known = _powers.get((base, prime), np.ones(1, np.uint64))
+    while len(known) < n:  # every round doubles the table
+        step = np.uint64(pow(base, len(known), prime))
+        known = np.concatenate([known, known * step % np.uint64(prime)])
+    if len(known) <= 4 * BLOCK_BYTES:
+        _powers[base, prime] = known
+    return known[:n]
 
 
-_LETTER = mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _ODD)
+_LETTER = mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _ODD) >> np.uint64(34)
 _LETTER[65:91] = _LETTER[97:123]  # A-Z as a-z
 _WORD = np.ones(256, bool)
 _WORD[[32, 9, 10, 11, 12, 13]] = False
@@ -91,7 +94,7 @@ _WORD[[32, 9, 10, 11, 12, 13]] = False
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of every word, A-Z lower-cased, and the row of each word.
 
-    Words are maximal runs of other bytes than space and \\t \\n \\v \\f \\r.
+    The hash is taken in two prime fields: modulo a power of two, words that differ by a Thue-Morse pattern would meet. Words are maximal runs of other bytes than space and \\t \\n \\v \\f \\r.
     """
     word = _WORD[data]
     inner = offsets[(offsets > 0) & (offsets < len(data))]
@@ -105,11 +108,15 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     after[inner - 1] = False
     starts = np.flatnonzero(word & ~before)
     ends = np.flatnonzero(word & ~after) + 1
-    sums = np.empty(len(data) + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(_LETTER[data] * _power(_BASE, len(data)), out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * _power(_BASE_INVERSE, len(data) + 1)[starts]
-    return mix(hashes + (ends - starts).astype(np.uint64)), np.searchsorted(offsets, starts, "right") - 1
+    parts = []
+    for prime, base in _FIELDS:
+        p = np.uint64(prime)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_LETTER[data] * _power(base, prime, len(data)) % p, out=sums[1:])
+        back = _power(pow(base, -1, prime), prime, len(data) + 1)[starts]
+        parts.append((sums[ends] - sums[starts]) % p * back % p)
+    hashes = parts[0] << np.uint64(32) | parts[1]
+    return mix(mix(hashes) + (ends - starts).astype(np.uint64)), np.searchsorted(offsets, starts, "right") - 1
 
 
 def shingle_sets(batch: pa.RecordBatch, k: int, column: str = "text") -> Iterator[np.ndarray]:

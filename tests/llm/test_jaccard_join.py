@@ -4,7 +4,9 @@ import random
 import re
 from itertools import combinations
 
+from cytoloom.llm import jaccard_join
 from cytoloom.llm.jaccard_join import drop_near_copies, drop_near_copy_rows, jaccard_components
+from cytoloom.session import stored
 from tests.llm.cases import empty_docs, odd_docs
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -101,3 +103,35 @@ def test_rows_are_judged_by_their_text(spark):
     assert drop_near_copy_rows(empty_docs(spark)).count() == 0
     assert drop_near_copy_rows(odd_docs(spark)).columns == odd_docs(spark).columns
     assert drop_near_copy_rows(odd_docs(spark)).where("doc_id = 120").count() == 2
+
+
+def test_unlike_words_of_a_thue_morse_pattern(spark):
+    """Words of two letters in the Thue-Morse order and its mirror meet in any polynomial modulo a power of two."""
+    word = "a"
+    for _ in range(13):
+        word += word.translate(str.maketrans("ab", "ba"))
+    mirror = word.translate(str.maketrans("ab", "ba"))
+    same(spark, [(1, word[:1024]), (2, mirror[:1024]), (3, word), (4, mirror), (5, word)], 3, 9, 10)
+
+
+def test_a_passage_of_many_documents_makes_no_candidates(spark, monkeypatch):
+    """Documents that share a passage, and nothing else, are told apart before pairs are written."""
+    rng = random.Random(8)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = []
+    for d in range(400):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(25, 60))]
+        words.insert(rng.randrange(len(words)), passage)
+        rows.append((d, " ".join(words)))
+    rows += [(1000 + d, t + " end") for d, t in rows[:20]]
+    seen = []
+
+    def counted(df, name="stored"):
+        out = stored(df, name)
+        if name == "candidates":
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", counted)
+    same(spark, rows, 5, 4, 5)
+    assert sum(seen) < 200
