@@ -7,7 +7,7 @@ its last ones. Nothing shorter is ever counted: what flows out of a node along i
 that end in it, is the count of the node's phrase, and the counts of still shorter phrases follow
 from the flows of the nodes that start with them, again with a correction for piece ends. Flows
 are sums, so they are taken per block of text and added up in the same shuffle that adds up the
-edges; a row of that shuffle is a node with its out-edges, which spells a node's words only once.
+edges, in which a row holds many nodes with their out-edges.
 
 Edges that reach the least count make up a much smaller graph. Its unary paths are compacted by pointer
 doubling: an inner node of a path has one edge in and one out, so its longer phrases are
@@ -22,24 +22,28 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cytoloom.llm.text import blocks
+from cytoloom.llm.text import blocks, mix
 from cytoloom.session import stored
 
 PIECE_ENDS = r"[.,;:!?\x0A-\x0D]+"
 # Parts of a language that choose their best phrases apart before the language does.
 SALTS = 32
 SCALE = 1_000_000
-# Bytes of text whose nodes are made in one step; a step holds some fifty times as much.
+# Bytes of text whose edges are made in one step; a step holds some fifty times as much.
 STEP_BYTES = 2 << 20
+# Buckets per shuffle partition. A bucket's phrases of one step travel as one row, sorted, which spells
+# their common starts once when the shuffle is compressed.
+BUCKETS_PER_PARTITION = 2
 
 BLANK = pa.scalar(" ", pa.large_string())
 BREAK = [pa.scalar("\n", pa.large_string()), BLANK]
-NODES = "lang string, gram string, lasts array<string>, counts array<bigint>, total bigint"
+PHRASES = "lang string, bucket int, phrases array<string>, counts array<int>"
 
 
 def _tokens(block: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
@@ -65,9 +69,18 @@ def _tokens(block: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray, np
     return coded.dictionary, ids, lang, left, langs.dictionary
 
 
-def _node_rows(block: pa.RecordBatch, n: int) -> pa.RecordBatch:
-    """The nodes of a block with their out-edges, and the flow of every shorter phrase."""
+def _phrase_rows(block: pa.RecordBatch, n: int, buckets: int) -> pa.RecordBatch:
+    """The edges of a block and the flow of every shorter phrase, packed by language and bucket.
+
+    A bucket holds whole nodes: a phrase of ``n`` words goes with its first ``n - 1``.
+    """
     vocabulary, ids, lang, left, langs = _tokens(block)
+    # codes in the order of the words, so that phrases with the same start lie next to each other
+    order = pc.sort_indices(vocabulary).to_numpy()
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    vocabulary, ids = vocabulary.take(pa.array(order)), rank[ids]
+    hashes = pd.util.hash_array(vocabulary.to_numpy(zero_copy_only=False)).astype(np.uint64)
     v = len(vocabulary)
     at = np.flatnonzero(left > 0)
     levels = []  # per length: the phrase of one word less, the last word, and how many pieces end there
@@ -82,30 +95,28 @@ def _node_rows(block: pa.RecordBatch, n: int) -> pa.RecordBatch:
     for k in range(n - 2, 0, -1):
         into = np.bincount(levels[k][0], flows[0], len(levels[k - 1][0])).astype(np.int64)
         flows.insert(0, into + levels[k - 1][2])
-    out, grams, of_lang = [], None, None
-    for k, (prefix, last, _) in enumerate(levels):
-        words = vocabulary.take(pa.array(last))
-        grams = words if grams is None else pc.binary_join_element_wise(grams.take(pa.array(prefix)), words, BLANK)
-        of_lang = prefix if of_lang is None else of_lang[prefix]
-        if k < n - 2:
-            starts, lasts, counts = np.zeros(len(last) + 1, np.int32), vocabulary.slice(0, 0), weight[:0]
-        else:
-            starts = np.searchsorted(edges // v, np.arange(len(last) + 1)).astype(np.int32)
-            lasts, counts = vocabulary.take(pa.array(edges % v)), weight
-        out.append((langs.take(pa.array(of_lang)), grams, starts, lasts, counts, flows[k]))
     # the empty phrase: all words of a language
-    total = np.bincount(levels[0][0], flows[0], len(langs)).astype(np.int64)
-    none = np.zeros(len(langs) + 1, np.int32)
-    out.append((langs, pa.array([""] * len(langs), pa.large_string()), none, vocabulary.slice(0, 0), weight[:0], total))
-    made = []
-    for tongue, gram, starts, lasts, counts, flow in out:
-        columns = [
-            tongue.cast(pa.string()), gram.cast(pa.string()),
-            pa.ListArray.from_arrays(pa.array(starts), lasts.cast(pa.string())),
-            pa.ListArray.from_arrays(pa.array(starts), pa.array(counts.astype(np.int64))), pa.array(flow),
-        ]
-        made.append(pa.RecordBatch.from_arrays(columns, ["lang", "gram", "lasts", "counts", "total"]))
-    return pa.Table.from_batches(made).combine_chunks().to_batches()[0]
+    found = [(np.arange(len(langs)), np.zeros(len(langs), np.int64), pa.array([""] * len(langs), pa.large_string()),
+              np.bincount(levels[0][0], flows[0], len(langs)).astype(np.int64))]
+    of_lang, bucket, phrases = np.arange(len(langs)), np.zeros(len(langs), np.uint64), None
+    for k, (prefix, last) in enumerate([*[x[:2] for x in levels], (edges // v, edges % v)], start=1):
+        words = vocabulary.take(pa.array(last))
+        phrases = words if phrases is None else pc.binary_join_element_wise(phrases.take(pa.array(prefix)), words, BLANK)
+        of_lang = of_lang[prefix]
+        bucket = mix(bucket[prefix] + hashes[last]) if k < n else bucket[prefix]
+        found.append((of_lang, (bucket % np.uint64(buckets)).astype(np.int64), phrases, flows[k - 1] if k < n else weight))
+    place = np.concatenate([x[0] * buckets + x[1] for x in found])
+    sort = np.argsort(place, kind="stable")
+    starts = np.flatnonzero(np.diff(place[sort], prepend=-1))
+    offsets = pa.array(np.append(starts, len(sort)).astype(np.int32))
+    text = pa.concat_arrays([x[2].cast(pa.string()) for x in found]).take(pa.array(sort))
+    counts = np.concatenate([x[3] for x in found])[sort].astype(np.int32)
+    head = place[sort][starts]
+    return pa.RecordBatch.from_arrays(
+        [langs.take(pa.array(head // buckets)).cast(pa.string()), pa.array((head % buckets).astype(np.int32)),
+         pa.ListArray.from_arrays(offsets, text), pa.ListArray.from_arrays(offsets, pa.array(counts))],
+        ["lang", "bucket", "phrases", "counts"],
+    )
 
 
 def phrase_counts(docs: DataFrame, max_words: int, min_count: int) -> DataFrame:
@@ -113,27 +124,20 @@ def phrase_counts(docs: DataFrame, max_words: int, min_count: int) -> DataFrame:
 
     The phrase without words (k = 0) holds the number of all words of its language. The table is stored.
     """
+    buckets = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch, size=STEP_BYTES):
                 if not pc.all(pc.equal(pc.fill_null(pc.binary_length(block.column("text")), 0), 0)).as_py():
-                    yield from _sliced(_node_rows(block, max_words))
-
-    rows = docs.select("text", "lang").mapInArrow(nodes, NODES)
-    # one shuffle: the edges of a node are where its flow is, so the sums below need no other one
-    edges = F.arrays_zip(F.col("lasts").alias("last"), F.col("counts").alias("n"))
-    flow = F.array(F.struct(F.lit(None).cast("string").alias("last"), F.col("total").alias("n")))
-    each = rows.repartition("lang", "gram").select("lang", "gram", F.explode(F.concat(edges, flow)).alias("e"))
-    summed = each.groupBy("lang", "gram", "e.last").agg(F.sum("e.n").alias("n")).where((F.col("n") >= min_count) | (F.col("gram") == ""))
-    phrase = F.concat_ws(" ", "gram", "last")
-    words = F.when(F.col("gram") == "", 0).otherwise(F.size(F.split(phrase, " ")))
-    return stored(summed.select("lang", phrase.alias("phrase"), words.alias("k"), "n"), "phrases")
-
-
-def _sliced(batch: pa.RecordBatch, rows: int = 50_000) -> Iterator[pa.RecordBatch]:
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
+                    yield _phrase_rows(block, max_words, buckets)
+
+    # one shuffle of packed rows; sums are taken inside a bucket
+    rows = docs.select("text", "lang").mapInArrow(phrases, PHRASES).repartition("lang", "bucket")
+    each = rows.select("lang", "bucket", F.explode(F.arrays_zip(F.col("phrases").alias("phrase"), F.col("counts").alias("n"))).alias("e"))
+    summed = each.groupBy("lang", "bucket", "e.phrase").agg(F.sum("e.n").alias("n")).where((F.col("n") >= min_count) | (F.col("phrase") == ""))
+    words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+    return stored(summed.select("lang", "phrase", words.alias("k"), "n"), "phrases")
 
 
 def _without(phrase: str, last: bool) -> Column:

@@ -78,13 +78,14 @@ def test_blocks_of_a_batch_add_up(step):
     rows = [(f"é{t}", lang) for t, lang in prose(11)] + [(None, "en"), ("", None)]
     batch = pa.RecordBatch.from_pylist([{"text": t, "lang": lang} for t, lang in rows]).slice(3)
     f, n = plain_counts(rows[3:], 3)
-    have = Counter()
+    have, places = Counter(), defaultdict(set)
     for block in blocks(batch, size=step):
-        for r in collocations._node_rows(block, 3).to_pylist():
-            have[r["lang"], r["gram"]] += r["total"]
-            for word, count in zip(r["lasts"], r["counts"]):
-                have[r["lang"], f"{r['gram']} {word}"] += count
+        for r in collocations._phrase_rows(block, 3, 7).to_pylist():
+            for phrase, count in zip(r["phrases"], r["counts"]):
+                have[r["lang"], phrase] += count
+                places[r["lang"], " ".join(phrase.split(" ")[:2])].add(r["bucket"])
     assert +have == f + Counter({(lang, ""): c for lang, c in n.items()})
+    assert all(len(p) == 1 for p in places.values()) and len(set.union(*places.values())) == 7
 
 
 def test_counts_come_from_flows(spark, monkeypatch):
