@@ -7,12 +7,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cytoloom.functions.stats import fresh, group_join
+from cytoloom.functions.stats import dense_index, fresh
+from cytoloom.operators.components import group_components
 from cytoloom.operators.features import top_variance_features
+from cytoloom.operators.merging import nested_clusters
 from cytoloom.operators.normalize import log_normalise
 from cytoloom.schema import CELL
+from cytoloom.session import cut_lineage
 
-# Cells clustered in one task, components and neighbours used (fixed values).
+# Cells of a group that one task may hold, components and neighbours used (fixed values).
 CELLS_PER_BLOCK = 5000
 COMPONENTS = 10
 NEIGHBOURS = 5
@@ -35,64 +38,66 @@ def _components(matrix: np.ndarray, k: int) -> np.ndarray:
     return u[:, :k] * s[:k]
 
 
-def _merge_to(coords: np.ndarray, label: np.ndarray, target: int) -> np.ndarray:
-    """Merge nearest centroids in disjoint pairs until ``target`` clusters are left."""
-    while label.max() + 1 > target:
-        n = label.max() + 1
-        size = np.bincount(label, minlength=n).astype(float)
-        centre = np.stack([np.bincount(label, weights=c, minlength=n) for c in coords.T], 1) / size[:, None]
-        k = min(NEIGHBOURS, n - 1)
-        near, dist = np.empty((n, k), int), np.empty((n, k))
-        for lo in range(0, n, 250):
-            part = slice(lo, lo + 250)
-            d = ((centre[part, None] - centre[None]) ** 2).sum(-1)
-            d[np.arange(len(d)), lo + np.arange(len(d))] = np.inf
-            near[part] = np.argsort(d, axis=1, kind="stable")[:, :k]
-            dist[part] = np.take_along_axis(d, near[part], 1)
-        a = np.repeat(np.arange(n), k)
-        order = np.lexsort((near.ravel(), a, dist.ravel()))
-        free, into, left = np.ones(n, bool), np.arange(n), n
-        for e in order:
-            i, j = a[e], near.ravel()[e]
-            if free[i] and free[j] and left > target:
-                free[i] = free[j] = False
-                into[max(i, j)] = min(i, j)
-                left -= 1
-        label = np.unique(into[label], return_inverse=True)[1]
-    return label
-
-
-def _memberships(max_gammas: int):
-    columns = [f"gamma{2 ** i}" for i in range(1, max_gammas + 1)]
-
-    def run(cells: pd.DataFrame, values: pd.DataFrame) -> pd.DataFrame:
-        cells = cells.sort_values("cell_id").reset_index(drop=True)
-        n = len(cells)
-        out = cells[["sample_id", "cell_type", "cell_id"]].copy()
-        for c in columns:
-            out[c] = pd.array([pd.NA] * n, dtype="Int64")
-        if n == 0:
-            return out
-        blocks, block = int(cells["n_blocks"].iloc[0]), int(cells["block"].iloc[0])
-        if n <= 2:
-            out["gamma2"] = block + 1
-            return out
-        genes = {g: i for i, g in enumerate(sorted(values["feature"].unique()))}
-        matrix = np.zeros((n, max(len(genes), 1)))
-        row = dict(zip(cells["cell_id"], range(n)))
-        matrix[values["cell_id"].map(row).to_numpy(int), values["feature"].map(genes).to_numpy(int)] = values["value"]
-        coords = _components(matrix, COMPONENTS)
-        label = np.arange(n)
-        for i, c in enumerate(columns, start=1):
-            target = int(round(n / 2**i))
-            if target < 1:
-                break
-            label = _merge_to(coords, label, target)
-            # numbers of different blocks interleave, so they never meet
-            out[c] = label * blocks + block + 1
-        return out
-
-    return run
+def _small_components(cells: pd.DataFrame, values: pd.DataFrame) -> pd.DataFrame:
+    """Coordinates of a group that fits one task, by a singular value decomposition."""
+    cells = cells.sort_values("id").reset_index(drop=True)
+    genes = {g: i for i, g in enumerate(sorted(values["feature"].unique()))}
+    matrix = np.zeros((len(cells), max(len(genes), 1)))
+    row = dict(zip(cells["id"], range(len(cells))))
+    matrix[values["id"].map(row).to_numpy(int), values["feature"].map(genes).to_numpy(int)] = values["value"]
+    found = _components(matrix, COMPONENTS)
+    coords = np.zeros((len(cells), COMPONENTS))
+    coords[:, : found.shape[1]] = found
+    return pd.DataFrame({"group_id": cells["group_id"], "id": cells["id"], "vec": list(coords)})
+
+
+def coordinates(values: DataFrame, members: DataFrame, cells_per_block: int = CELLS_PER_BLOCK) -> DataFrame:
+    """(group_id, id, vec): leading components of every group, of one length whatever the group's rank.
+
+    Groups of up to ``cells_per_block`` cells are decomposed in one task, larger ones by block power
+    iteration over all tasks; both give the same components up to the precision of the iteration.
+    """
+    members = cut_lineage(members)
+    sizes = members.groupBy("group_id").agg(F.count(F.lit(1)).alias("n"))
+    large = cut_lineage(sizes.where(F.col("n") > cells_per_block).select("group_id"))
+    schema = "group_id string, id string, vec array<double>"
+    small = members.join(large, "group_id", "left_anti")
+    own = values.join(large, "group_id", "left_anti")
+    found = small.groupBy("group_id").cogroup(fresh(own).groupBy("group_id")).applyInPandas(_small_components, schema)
+    if large.isEmpty():
+        return found
+    many = members.join(large, "group_id", "left_semi")
+    pcs, _ = group_components(values.join(large, "group_id", "left_semi"), many, COMPONENTS)
+    flat = F.array(*[F.lit(0.0)] * COMPONENTS)
+    rest = many.join(pcs, ["group_id", "id"], "left").select("group_id", "id", F.coalesce("pcs", flat).alias("vec"))
+    return found.unionByName(rest)
+
+
+def membership_rows(
+    counts: DataFrame, cells: DataFrame, kept: DataFrame | None = None, n_features: int = 1000, cells_per_block: int = CELLS_PER_BLOCK
+) -> DataFrame:
+    """(sample_id, cell_type, cell_id, gamma, metacell) of every quality cell, for 2, 4, 8 … cells a metacell.
+
+    Metacells form inside a whole (sample, cell type); a missing cell type is ``NA``. A group of n cells has round(n / gamma)
+    metacells while gamma <= n, numbered by their smallest cell; up to two cells are one metacell of gamma 2. Merging goes
+    on from one size to the next, so memberships nest. ``cells_per_block`` is what one task may hold; larger
+    groups are decomposed and merged by several tasks.
+    """
+    if kept is not None:
+        cells = cells.join(kept.select(*CELL), CELL, "left_semi")
+        counts = counts.join(kept.select(*CELL), CELL, "left_semi")
+    group_id = F.concat_ws("\u001f", "sample_id", "cell_type").alias("group_id")
+    placed = cells.select(*CELL, F.coalesce("cell_type", F.lit("NA")).alias("cell_type")).select("*", group_id)
+    placed = cut_lineage(placed)
+    chosen = top_variance_features(counts, cells, n_features).select("sample_id", "feature")
+    values = log_normalise(counts).join(chosen, ["sample_id", "feature"], "left_semi").join(placed, CELL)
+    values = cut_lineage(values.select("group_id", F.col("cell_id").alias("id"), "feature", "value"))
+    members = placed.select("group_id", F.col("cell_id").alias("id"))
+    nested = cut_lineage(nested_clusters(coordinates(values, members, cells_per_block), NEIGHBOURS, cells_per_block))
+    key = ["group_id", "gamma", "cluster"]
+    numbers = dense_index(nested.select(*key).distinct(), key[:2], key[2:], "metacell")
+    rows = nested.join(numbers, key).select("group_id", F.col("id").alias("cell_id"), "gamma", "metacell")
+    return placed.join(rows, ["group_id", "cell_id"]).select("sample_id", "cell_type", "cell_id", "gamma", "metacell")
 
 
 def metacell_memberships(
@@ -100,39 +105,29 @@ def metacell_memberships(
     cells: DataFrame,
     kept: DataFrame | None = None,
     n_features: int = 1000,
-    max_gammas: int = 10,
+    max_gammas: int | None = None,
     cells_per_block: int = CELLS_PER_BLOCK,
 ) -> DataFrame:
-    """Metacell number of every quality cell per (sample, cell type), for 2, 4, 8 … cells each.
+    """``membership_rows`` with one column per gamma (all of them, or the first ``max_gammas``)."""
+    rows = cut_lineage(membership_rows(counts, cells, kept, n_features, cells_per_block))
+    largest = rows.agg(F.max("gamma")).first()[0] or 2
+    gammas = [2**i for i in range(1, largest.bit_length())][:max_gammas]
+    wide = rows.groupBy("sample_id", "cell_type", "cell_id").pivot("gamma", gammas).agg(F.first("metacell"))
+    return wide.select("sample_id", "cell_type", "cell_id", *[F.col(str(g)).alias(f"gamma{g}") for g in gammas])
+
+
+def split_metacells(rows: DataFrame, cells: DataFrame, columns: list[str]) -> DataFrame:
+    """Metacells cut where their cells differ in an annotation or a condition, numbered anew.
 
-    Merging goes on from one size to the next, so memberships nest. A group beyond
-    ``cells_per_block`` is split by hash into blocks of about that size; every cell stays
-    and each block keeps its own share of the metacells.
+    ``rows`` as of ``membership_rows``, ``cells`` with the columns. New numbers follow (metacell, columns…); a missing
+    value is a value of its own.
     """
-    if kept is not None:
-        cells = cells.join(kept.select(*CELL), CELL, "left_semi")
-        counts = counts.join(kept.select(*CELL), CELL, "left_semi")
-    group = ["sample_id", "cell_type"]
-    size = cells.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    placed = (
-        group_join(cells.select(*CELL, "cell_type"), size, group)
-        .withColumn("n_blocks", F.ceil(F.col("n") / cells_per_block).cast("int"))
-        .withColumn("block", F.pmod(F.xxhash64("cell_id"), F.col("n_blocks")).cast("int"))
-        .drop("n")
-        .withColumn("cell_type", F.coalesce("cell_type", F.lit("NA")))
-    )
-    chosen = top_variance_features(counts, cells, n_features).select("sample_id", "feature")
-    values = (
-        log_normalise(counts)
-        .join(chosen, ["sample_id", "feature"], "left_semi")
-        .join(placed.select(*CELL, "cell_type", "block"), CELL)
-        .select("sample_id", "cell_type", "block", "cell_id", "feature", "value")
-    )
-    schema = "sample_id string, cell_type string, cell_id string, " + ", ".join(
-        f"gamma{2 ** i} long" for i in range(1, max_gammas + 1)
-    )
-    key = ["sample_id", "cell_type", "block"]
-    return placed.groupBy(*key).cogroup(fresh(values).groupBy(*key)).applyInPandas(_memberships(max_gammas), schema)
+    marked = rows.join(cells.select(*CELL, *[F.coalesce(F.col(c).cast("string"), F.lit("NA")).alias(f"_{c}") for c in columns]), CELL)
+    group = ["sample_id", "cell_type", "gamma"]
+    key = [*group, "metacell", *[f"_{c}" for c in columns]]
+    marked = cut_lineage(marked)
+    numbers = dense_index(marked.select(*key).distinct(), group, key[len(group) :], "part")
+    return marked.join(numbers, key).select(*rows.columns[:-1], F.col("part").alias("metacell"))
 
 
 def assign_to_centroids(points: DataFrame, centroids: DataFrame) -> DataFrame:

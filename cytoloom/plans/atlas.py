@@ -264,13 +264,16 @@ def final_metadata(cells: DataFrame, imputed: DataFrame, version: str) -> DataFr
 
 
 def metacell_table(counts: DataFrame, memberships: DataFrame, kept: DataFrame) -> DataFrame:
-    """All gamma columns at once: counts per (gamma, sample, cell type, metacell, gene)."""
-    gammas = [c for c in memberships.columns if c.startswith("gamma")]
-    long = (
-        memberships.join(kept.select(*CELL), CELL, "left_semi")
-        .unpivot([*CELL, "cell_type"], gammas, "gamma", "metacell")
-        .where(F.col("metacell").isNotNull())
-    )
+    """All gammas at once: counts per (gamma, sample, cell type, metacell, gene).
+
+    ``memberships`` holds a row per cell and gamma, or one column per gamma.
+    """
+    long = memberships.join(kept.select(*CELL), CELL, "left_semi")
+    if "gamma" in memberships.columns:
+        long = long.withColumn("gamma", F.concat(F.lit("gamma"), F.col("gamma").cast("string")))
+    else:
+        gammas = [c for c in memberships.columns if c.startswith("gamma")]
+        long = long.unpivot([*CELL, "cell_type"], gammas, "gamma", "metacell").where(F.col("metacell").isNotNull())
     return counts.join(long, CELL).groupBy("gamma", "sample_id", "cell_type", "metacell", "feature").agg(
         F.sum("value").alias("value")
     )

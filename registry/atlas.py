@@ -247,7 +247,7 @@ def _(t):
 @query("at15_computed_metacell_tables")
 def _(t):
     kept = alive.quality_cells(t.empty_tbl, t.alive_tbl, t.doublet_tbl)
-    members = metacell.metacell_memberships(t.counts, t.cells, kept, n_features=200, max_gammas=3)
+    members = metacell.membership_rows(t.counts, t.cells, kept, n_features=200)
     return atlas.metacell_table(t.counts, members, kept)
 
 

@@ -11,6 +11,7 @@ from cytoloom.operators import (
     annotate,
     cellcycle,
     communication,
+    components,
     differential,
     doublet,
     empties,
@@ -22,6 +23,7 @@ from cytoloom.operators import (
     transform,
 )
 from cytoloom.plans import assemble
+from cytoloom.session import cut_lineage
 from registry import query
 from registry.relational import LIB_SQL, RANK_SQL, n_rows
 from registry.sqltext import ALIVE, CELLS, CNT, DOUBLET, EMPTY, FEATS, QUALITY, r6, with_
@@ -487,7 +489,65 @@ def _(t):
 
 @query("mc4_metacell_memberships")
 def _(t):
-    return metacell.metacell_memberships(t.counts, t.cells, n_features=200)
+    return metacell.membership_rows(t.counts, t.cells, n_features=200)
+
+
+@query(
+    "mc4_metacell_sizes",
+    with_(
+        CELLS, "g AS (SELECT sample_id, coalesce(cell_type, 'NA') AS cell_type, COUNT(*) AS n FROM cells GROUP BY 1, 2)",
+        "s AS (SELECT *, unnest(range(1, greatest(1, CAST(floor(log2(n)) AS BIGINT)) + 1)) AS i FROM g)",
+        body="""SELECT sample_id, cell_type, CAST(pow(2, i) AS INTEGER) AS gamma, n AS n_cells,
+                CASE WHEN n <= 2 THEN 1 ELSE CAST(round_even(n / pow(2, i), 0) AS BIGINT) END AS n_metacells, true AS nested FROM s""",
+    ),
+)
+def _(t):
+    """Every size of metacell, how many there are, and whether each lies in one of the next size."""
+    rows = cut_lineage(metacell.membership_rows(t.counts, t.cells, n_features=200))
+    group = ["sample_id", "cell_type", "gamma"]
+    coarser = rows.select("sample_id", "cell_type", "cell_id", (F.col("gamma") / 2).cast("int").alias("gamma"), F.col("metacell").alias("outer"))
+    outer = rows.join(coarser, [*group, "cell_id"], "left").groupBy(*group, "metacell").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("outer").alias("outers"))
+    return outer.groupBy(*group).agg(
+        F.sum("n").alias("n_cells"), F.count(F.lit(1)).alias("n_metacells"), (F.max("outers") <= 1).alias("nested"))
+
+
+@query(
+    "mc4_split_metacells",
+    with_(
+        CELLS, "m AS (SELECT sample_id, cell_type, cell_id, CAST(2 AS INTEGER) AS gamma, CAST(cell_id AS BIGINT) % 5 AS metacell, CAST(cell_id AS BIGINT) % 3 AS c FROM cells)",
+        body="""SELECT sample_id, cell_type, cell_id, gamma, dense_rank() OVER (PARTITION BY sample_id, cell_type, gamma ORDER BY metacell, dataset_id, CAST(c AS VARCHAR)) AS metacell
+                FROM m JOIN cells USING (sample_id, cell_id, cell_type)""",
+    ),
+)
+def _(t):
+    number = F.col("cell_id").cast("long")
+    rows = t.cells.select("sample_id", "cell_type", "cell_id", F.lit(2).alias("gamma"), F.pmod(number, F.lit(5)).alias("metacell"))
+    marked = t.cells.select(*CELL, "dataset_id", F.pmod(number, F.lit(3)).alias("c"))
+    return metacell.split_metacells(rows, marked, ["dataset_id", "c"])
+
+
+@query(
+    "mc1_group_component_norms",
+    with_(
+        CNT, CELLS,
+        "f AS (SELECT feature FROM (SELECT DISTINCT feature FROM cnt) ORDER BY CAST(feature AS BIGINT) LIMIT 8)",
+        "n AS (SELECT cell_type, COUNT(*) AS n FROM cells GROUP BY 1)",
+        "e AS (SELECT cell_type, sample_id, cell_id, feature, SUM(value) AS value FROM cnt JOIN cells USING (sample_id, cell_id) JOIN f USING (feature) GROUP BY 1, 2, 3, 4)",
+        "m AS (SELECT cell_type, feature, SUM(value) / n AS mean, sqrt(SUM(value * value) / n - pow(SUM(value) / n, 2)) AS sd FROM e JOIN n USING (cell_type) GROUP BY cell_type, feature, n)",
+        body=f"""SELECT c.sample_id, c.cell_id, {r6("SUM(pow((coalesce(e.value, 0) - m.mean) / m.sd, 2))")} AS norm2
+                 FROM cells c JOIN m ON m.cell_type = c.cell_type LEFT JOIN e ON e.sample_id = c.sample_id AND e.cell_id = c.cell_id AND e.feature = m.feature GROUP BY 1, 2""",
+    ),
+)
+def _(t):
+    """With as many components as genes nothing is lost: a cell's coordinates keep the length of its scaled values."""
+    few = t.counts.select("feature").distinct().orderBy(F.col("feature").cast("long")).limit(8)
+    row = F.concat_ws("\u001f", *CELL).alias("id")
+    members = t.cells.select(F.col("cell_type").alias("group_id"), row, *CELL)
+    entries = t.counts.join(few, "feature").join(t.cells.select(*CELL, "cell_type"), CELL).groupBy(
+        F.col("cell_type").alias("group_id"), row, "feature").agg(F.sum("value").alias("value"))
+    pcs, _ = components.group_components(entries, members, 8, rounds=2)
+    norm2 = F.aggregate("pcs", F.lit(0.0), lambda s, x: s + x * x)
+    return pcs.join(members, ["group_id", "id"]).select(*CELL, F.round(norm2, 6).alias("norm2"))
 
 
 @query(

@@ -1,12 +1,14 @@
 import math
+import random
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cytoloom.operators import alive, annotate, cellcycle, doublet, empties, metacell, neighbours, normalize, pseudobulk, transform
+from cytoloom.operators import alive, annotate, cellcycle, components, doublet, empties, merging, metacell, neighbours, normalize, pseudobulk, transform
 from cytoloom.plans import study
+from cytoloom.session import cut_lineage
 from tests.helpers import poisson_counts
 
 CELL = ["sample_id", "cell_id"]
@@ -234,3 +236,90 @@ def test_study_verbs_chain(spark):
     assert 0 < final.count() <= 80 and "mito_percent" in final.columns
     assert s.calculate_pseudobulk().count() > 0
     assert set(s.report_tables()) == {"composition", "empties", "quality"}
+
+
+def blobs(n, seed=4, width=10, groups=("a", "b")):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(0, 4, (max(2, n // 25), width))
+    rows = []
+    for g in groups:
+        for i in range(n):
+            rows.append((g, f"c{i:05d}", [float(v) for v in centres[rng.integers(len(centres))] + rng.normal(0, 1, width)]))
+    # copies of a point are ties of every distance
+    return rows + [(groups[0], f"d{i}", rows[0][2]) for i in range(5)]
+
+
+def test_merging_in_rounds_equals_merging_in_one_task(spark):
+    rows = blobs(60)
+    points = spark.createDataFrame(rows, "group_id string, id string, vec array<double>")
+    one = merging.nested_clusters(points, 5, local=1000)
+    many = merging.nested_clusters(points.repartition(7), 5, local=8)
+    key = lambda r: (r.group_id, r.id, r.gamma)
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
+    got = sorted(one.collect(), key=key)
+    for g, n in (("a", 65), ("b", 60)):
+        for i in range(1, int(math.log2(n)) + 1):
+            part = [r for r in got if r.group_id == g and r.gamma == 2**i]
+            assert len(part) == n and len({r.cluster for r in part}) == round(n / 2**i)
+    finer = {(r.group_id, r.id, r.gamma): r.cluster for r in got}
+    outer = {}
+    for (g, i, gamma), c in finer.items():
+        if (g, i, 2 * gamma) in finer:
+            assert outer.setdefault((g, gamma, c), finer[g, i, 2 * gamma]) == finer[g, i, 2 * gamma]
+
+
+def test_greedy_matching(spark):
+    rng = random.Random(2)
+    edges = [("g", f"n{min(a, b):02d}", f"n{max(a, b):02d}", float(rng.randrange(6))) for a, b in (rng.sample(range(40), 2) for _ in range(150))]
+    edges += [("h", f"n{i:02d}", f"n{i + 1:02d}", float(-i)) for i in range(30)]
+    frame = spark.createDataFrame(edges, "group_id string, a string, b string, distance double")
+    used, want = set(), set()
+    for g, a, b, d in sorted(set(edges), key=lambda e: (e[0], e[3], e[1], e[2])):
+        if (g, a) not in used and (g, b) not in used:
+            used |= {(g, a), (g, b)}
+            want.add((g, a, b, d))
+    assert {(r.group_id, r.a, r.b, r.distance) for r in merging.matching(frame).collect()} == want
+
+
+def test_recall_of_neighbours_beyond_a_leaf(spark):
+    rows = blobs(1200, groups=("a",))
+    points = cut_lineage(spark.createDataFrame(rows, "group_id string, id string, vec array<double>"))
+    found = {(r.id, r.other) for r in merging.group_neighbours(points, 5, leaf=100).collect()}
+    exact = {(r.id, r.other) for r in merging.group_neighbours(points, 5, leaf=10_000).collect()}
+    assert len(found) == len(exact) == 5 * len(rows)
+    assert len(found & exact) / len(exact) >= 0.95
+
+
+def test_components_of_a_large_group_equal_its_decomposition(spark):
+    rng = np.random.default_rng(6)
+    strength = rng.normal(size=(3, 150)) * np.array([[3.0], [2.0], [1.2]])
+    m = np.maximum(2 + rng.normal(size=(40, 3)) @ strength + rng.normal(0, 0.3, (40, 150)), 0)  # many zeros
+    rows = [("g", f"Cell{c + 1}", f"Gene{g + 1}", float(m[g, c])) for g, c in zip(*np.nonzero(m))]
+    entries = spark.createDataFrame(rows, "group_id string, id string, feature string, value double")
+    members = spark.createDataFrame([("g", f"Cell{c + 1}") for c in range(150)] + [("flat", "x"), ("flat", "y")], "group_id string, id string")
+    pcs, explained = components.group_components(entries, members, 3, rounds=12)
+    got = {r.id: r.pcs for r in pcs.collect()}
+    assert len(got) == 150
+    kept = m[m.std(1) > 0].T
+    u, s, _ = np.linalg.svd((kept - kept.mean(0)) / kept.std(0), full_matrices=False)
+    want = u[:, :3] * s[:3]
+    have = np.array([got[f"Cell{c + 1}"] for c in range(150)])
+    assert np.allclose(np.abs(have), np.abs(want), atol=1e-3)
+    shares = [r.explained for r in explained.orderBy("component").collect()]
+    assert np.allclose(shares, s[:3] ** 2 / (s**2).sum(), rtol=1e-3)
+
+
+def test_metacells_of_split_groups_and_tiny_groups(spark):
+    _, counts, cells, _ = poisson_counts(spark, 60, 50, 1)
+    tiny = cells.where("cell_id IN ('Cell1', 'Cell2', 'Cell3')").withColumn("cell_type", F.lit(None).cast("string"))
+    cells = cells.where("cell_id NOT IN ('Cell1', 'Cell2', 'Cell3')").unionByName(tiny)
+    rows = metacell.membership_rows(counts, cells, n_features=30).collect()
+    by = {}
+    for r in rows:
+        by.setdefault((r.cell_type, r.gamma), {})[r.cell_id] = r.metacell
+    assert {g for t, g in by if t == "NA"} == {2} and len(set(by["NA", 2].values())) == round(3 / 2)
+    for (t, gamma), part in by.items():
+        n = len(by[t, 2])
+        assert len(part) == n and sorted(set(part.values())) == list(range(1, round(n / gamma) + 1))
+    wide = metacell.metacell_memberships(counts, cells, n_features=30)
+    assert wide.columns == ["sample_id", "cell_type", "cell_id"] + [f"gamma{2**i}" for i in range(1, 5)]
