@@ -1,8 +1,9 @@
 """Chat formatting of reply trees.
 
-Messages point to the message they reply to. Every path from a root to a leaf is a branch; iterative
-self-joins with doubled jumps enumerate all of them, so a thread of n messages takes about log2(n)
-joins. The branches of a tree are ranked by score and each chosen one becomes one formatted conversation.
+Messages point to the message they reply to. Every path from a root to a leaf is a branch. Iterative self-joins with
+doubled jumps first carry the score of the way to the root on one row per message, so that the
+branches of a tree are ranked, and then enumerate the chosen ones; a thread of n messages takes about log2(n)
+joins. Each chosen branch becomes one formatted conversation.
 
 The template is ``### role: text</turn>`` and a line end per turn. Inside roles and texts the characters
 the control strings are made of are escaped, ``\\`` as ``\\\\``, ``#`` as ``\\h``, ``<`` as ``\\l`` (and ``:`` in a role
@@ -36,14 +37,39 @@ def unescape(text: Column) -> Column:
     return F.array_join(F.transform(F.split(text, r"\\\\", -1), plain), "\\")
 
 
-def branches(messages: DataFrame) -> DataFrame:
-    """(leaf, node, back) of ``messages(node, parent)``: every node of the path that ends at a leaf, ``back`` steps
-    before it. A parent that is missing makes a root; messages in a reply cycle have no root and no leaf of a
-    finite path, and are left out."""
-    nodes = messages.select("node", "parent")
+def rooted(messages: DataFrame) -> DataFrame:
+    """(node, total, n_turns) of every message that a root is above: the sum of the scores and the number of messages
+    from the root down to it.
+
+    Pointers are doubled on one row per message. A round in which no message arrives at a root leaves only
+    those whose way up runs into a reply cycle; they belong to no conversation and are left out.
+    """
+    nodes = messages.select("node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("total"))
+    known = nodes.select(F.col("node").alias("parent"), F.lit(True).alias("known")).distinct()
+    state = nodes.join(known, "parent", "left").select("node", F.when(F.col("known"), F.col("parent")).alias("up"), "total", F.lit(1).cast("long").alias("n_turns"))
+    state, before = stored(state, "roots"), None
+    while (waiting := state.where("up IS NOT NULL").count()) not in (0, before):
+        above = state.select(F.col("node").alias("up"), F.col("up").alias("top"), F.col("total").alias("more"), F.col("n_turns").alias("turns"))
+        moved = state.where("up IS NOT NULL").join(above, "up").select(
+            "node", F.col("top").alias("up"), (F.col("total") + F.col("more")).alias("total"), (F.col("n_turns") + F.col("turns")).alias("n_turns"))
+        state, before = stored(state.where("up IS NULL").unionByName(moved), "roots"), waiting
+    return state.where("up IS NULL").select("node", "total", "n_turns")
+
+
+def _leaves(messages: DataFrame, found: DataFrame) -> DataFrame:
+    """The rooted messages that nobody replies to."""
+    return found.join(messages.select(F.col("parent").alias("node")).where("node IS NOT NULL").distinct(), "node", "left_anti")
+
+
+def branches(messages: DataFrame, leaves: DataFrame | None = None, found: DataFrame | None = None) -> DataFrame:
+    """(leaf, node, back) of ``messages(node, parent, score)``: every node of the path that ends at a leaf, ``back`` steps
+    before it, for all leaves or those of ``leaves(node)``. A parent that is missing makes a root; messages that reply
+    into a cycle have no root and are left out."""
+    found = rooted(messages) if found is None else found
+    nodes = messages.select("node", "parent").join(found.select("node"), "node", "left_semi")
     known = nodes.select(F.col("node").alias("parent")).distinct()
     jumps = stored(nodes.where("parent IS NOT NULL").join(known, "parent", "left_semi").select("node", F.col("parent").alias("up")), "jumps")
-    leaves = nodes.join(jumps.select(F.col("up").alias("node")).distinct(), "node", "left_anti")
+    leaves = _leaves(messages, found) if leaves is None else leaves
     paths = leaves.select(F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("back")).distinct()
     paths, step = stored(paths, "paths"), 1
     while not jumps.isEmpty():
@@ -54,24 +80,21 @@ def branches(messages: DataFrame) -> DataFrame:
         # a jump is only needed while a path still ends below its target
         jumps = stored(jumps.join(ahead, "up").select("node", F.col("top").alias("up")), "jumps")
         step *= 2
-        if step > 1 << 40:
-            break
     return paths
 
 
 def select_branches(messages: DataFrame, per_tree: int = 1) -> DataFrame:
     """(leaf, score, n_turns, rank) of the best ``per_tree`` branches per tree of
-    ``messages(tree, node, parent, score)``: the mean score of the messages, ties to the smaller leaf."""
-    paths = branches(messages)
-    scored = (
-        paths.join(messages.select("node", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score")), "node")
-        .groupBy("leaf")
-        .agg(F.avg("score").alias("score"), F.count(F.lit(1)).alias("n_turns"))
-        .join(messages.select("tree", F.col("node").alias("leaf")), "leaf")
-    )
+    ``messages(tree, node, parent, score)``: the mean score of the messages, ties to the smaller leaf.
+
+    Leaves are ranked on one row each; only the chosen paths are written out."""
+    found = rooted(messages)
+    scored = _leaves(messages, found).join(messages.select("tree", "node"), "node").select(
+        "tree", F.col("node").alias("leaf"), (F.col("total") / F.col("n_turns")).alias("score"), "n_turns")
     over = Window.partitionBy("tree").orderBy(F.desc("score"), "leaf")
     # row_number() <= n is limited per task before the shuffle, so a huge tree is no single group
-    ranked = scored.withColumn("rank", F.row_number().over(over)).where(F.col("rank") <= per_tree)
+    ranked = stored(scored.withColumn("rank", F.row_number().over(over)).where(F.col("rank") <= per_tree), "ranked")
+    paths = branches(messages, ranked.select(F.col("leaf").alias("node")), found)
     return paths.join(ranked, "leaf").select("tree", "leaf", "node", "back", "score", "n_turns", "rank")
 
 

@@ -49,6 +49,32 @@ def test_reply_tree_paths_and_ranks(spark):
     assert best == ["### user: m7</turn>\n### assistant: m8</turn>\n", "### user: m1</turn>\n### assistant: m6</turn>\n"]
 
 
+def test_a_reply_into_a_cycle_ends(spark):
+    rows = [(0, 1, 2), (0, 2, 1), (0, 3, 1), (0, 4, 3), (1, 10, None), (1, 11, 10), (2, 20, 20), (2, 21, 20)]
+    m = spark.createDataFrame([(*r, "user", f"m{r[1]}", 1.0) for r in rows], "tree long, node long, parent long, role string, text string, score double")
+    assert {(r.leaf, r.node, r.back) for r in chat.branches(m).collect()} == {(11, 11, 0), (11, 10, 1)}
+    assert [r.formatted for r in chat.format_branches(m).collect()] == ["### user: m10</turn>\n### user: m11</turn>\n"]
+
+
+def test_only_chosen_branches_of_a_long_thread_are_written(spark, monkeypatch):
+    """3 000 messages, each with a side reply of its own: some four million path rows in all, of which one branch is chosen."""
+    n = 3000
+    rows = [(0, i, i - 1 if i else None, "assistant", "t", 1.0) for i in range(n)]
+    rows += [(0, n + i, i, "user", "side", 2.0 if i == n - 1 else 0.0) for i in range(n)]
+    m = spark.createDataFrame(rows, "tree long, node long, parent long, role string, text string, score double")
+    sizes, keep = [], chat.stored
+
+    def counted(df, name="stored"):
+        out = keep(df, name)
+        sizes.append(out.count() if name == "paths" else 0)
+        return out
+
+    monkeypatch.setattr(chat, "stored", counted)
+    best = chat.format_branches(m).collect()
+    assert len(best) == 1 and best[0].formatted == "### assistant: t</turn>\n" * n + "### user: side</turn>\n"
+    assert abs(best[0].score - (n + 2.0) / (n + 1)) < 1e-9 and max(sizes) == n + 1
+
+
 def test_chat_is_read_back(spark):
     rows = [(c, i, ["user", "assistant", None, "a:b#<\\c"][i % 4], t) for c in (1, 2) for i, t in enumerate(ODD_TEXTS)]
     rows += [(1, 1, "assistant", "same turn"), (1, 1, "assistant", "same turn"), (None, None, None, None), (3, 0, "user", "\\h\\\\l\\c: x")]
