@@ -2,68 +2,46 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cytoloom.functions.stats import group_join, hash_order, ranked_values, value_counts
-from cytoloom.operators.features import feature_vectors, principal_components, variable_features
+from cytoloom.functions.stats import dense_index, group_join, hash_order, ranked_values, value_counts
+from cytoloom.operators.features import sparse_components, variable_features
+from cytoloom.operators.merging import group_neighbours
 from cytoloom.operators.normalize import log_normalise
 from cytoloom.schema import CELL
 from cytoloom.session import cut_lineage
 
-CELLS_PER_BLOCK = 2000
+# Principal components that place a cell (fixed value).
+COMPONENTS = 10
 # Share of doublets expected per cell of a sample (fixed value: 1 % per thousand cells).
 RATE_PER_CELL = 1e-5
 
 
-def _blocked(cells: DataFrame) -> DataFrame:
-    """Hash blocks of about CELLS_PER_BLOCK cells inside each sample."""
-    size = cells.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n_sample"))
-    return (
-        cells.select(*CELL)
-        .join(size, "sample_id")
-        .withColumn(
-            "block", F.pmod(F.xxhash64("cell_id"), F.ceil(F.col("n_sample") / CELLS_PER_BLOCK).cast("int")).cast("int")
-        )
-    )
-
-
-def artificial_doublets(counts: DataFrame, blocked: DataFrame, seed: int = 123) -> DataFrame:
-    """Each cell summed with the next one of its block in hash order."""
-    w = Window.partitionBy("sample_id", "block").orderBy(hash_order(*CELL, seed=seed), "cell_id")
-    pairs = blocked.withColumn("partner", F.lead("cell_id").over(w)).where(F.col("partner").isNotNull())
+def artificial_doublets(counts: DataFrame, cells: DataFrame, seed: int = 123) -> DataFrame:
+    """Each cell summed with the next one of its sample in hash order, whatever the size of the sample."""
+    hashed = cells.select(*CELL, hash_order(*CELL, seed=seed).alias("_hash"))
+    placed = cut_lineage(dense_index(hashed, ["sample_id"], ["_hash", "cell_id"], "place").select(*CELL, "place"))
+    following = placed.select("sample_id", F.col("cell_id").alias("partner"), (F.col("place") - 1).alias("place"))
+    pairs = placed.join(following, ["sample_id", "place"])
     both = pairs.select(
-        "sample_id",
-        "block",
-        F.concat_ws("+", "cell_id", "partner").alias("pair"),
-        F.explode(F.array("cell_id", "partner")).alias("cell_id"),
+        "sample_id", F.concat_ws("+", "cell_id", "partner").alias("pair"), F.explode(F.array("cell_id", "partner")).alias("cell_id")
     )
-    return (
-        counts.join(both, CELL)
-        .groupBy("sample_id", "block", F.col("pair").alias("cell_id"), "feature")
-        .agg(F.sum("value").alias("value"))
-    )
-
+    return counts.join(both, CELL).groupBy("sample_id", F.col("pair").alias("cell_id"), "feature").agg(F.sum("value").alias("value"))
 
-def _doublet_neighbours(k: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack(pdf["pcs"].to_numpy()).astype(float)
-        fake = pdf["artificial"].to_numpy(dtype=float)
-        share = np.zeros(len(x))
-        take = min(k, len(x) - 1)
-        if take > 0:
-            for lo in range(0, len(x), 500):
-                d = ((x[lo : lo + 500, None] - x[None]) ** 2).sum(-1)
-                d[np.arange(len(d)), lo + np.arange(len(d))] = np.inf
-                share[lo : lo + 500] = fake[np.argpartition(d, take - 1, axis=1)[:, :take]].mean(1)
-        return pdf[["sample_id", "cell_id", "artificial", "n_count", "n_feature"]].assign(share=share)
 
-    return run
+def artificial_share(pcs: DataFrame, k: int) -> DataFrame:
+    """(sample_id, cell_id, artificial, share): artificial cells among the k nearest of the same sample."""
+    mark = F.when(F.col("artificial") == 1, "d").otherwise("c")
+    points = cut_lineage(pcs.select(
+        "*", F.col("sample_id").alias("group_id"), F.concat(mark, F.col("cell_id")).alias("id"), F.col("pcs").alias("vec")))
+    found = group_neighbours(points.select("group_id", "id", "vec"), k)
+    shares = found.groupBy("group_id", "id").agg(F.avg(F.col("other").startswith("d").cast("double")).alias("share"))
+    known = points.join(shares, ["group_id", "id"], "left")
+    return known.select(*CELL, "artificial", F.coalesce("share", F.lit(0.0)).alias("share"))
 
 
 def classify_doublets(
@@ -77,24 +55,21 @@ def classify_doublets(
     if kept is not None:
         cells = cells.join(kept.select(*CELL), CELL, "left_semi")
         counts = counts.join(kept.select(*CELL), CELL, "left_semi")
-    blocked = _blocked(cells)
-    real = counts.join(blocked.select(*CELL, "block"), CELL).select("sample_id", "block", "cell_id", "feature", "value")
-    mixed = real.withColumn("artificial", F.lit(0)).unionByName(
-        artificial_doublets(counts, blocked, seed).withColumn("artificial", F.lit(1))
-    )
+    members = cells.select(*CELL)
+    real = counts.join(members, CELL, "left_semi").select(*CELL, "feature", "value")
+    mixed = cut_lineage(real.withColumn("artificial", F.lit(0)).unionByName(
+        artificial_doublets(counts, members, seed).withColumn("artificial", F.lit(1))))
     chosen = variable_features(log_normalise(counts), cells, n_features)
-    facts = mixed.groupBy(*CELL, "block", "artificial").agg(
+    facts = mixed.groupBy(*CELL, "artificial").agg(
         F.log1p(F.sum("value")).alias("n_count"), F.count(F.lit(1)).cast("double").alias("n_feature")
     )
-    values = log_normalise(mixed.withColumn("assay", F.lit("RNA")))
-    pcs, _ = principal_components(feature_vectors(values, chosen, CELL), 10)
-    table = facts.join(pcs.select(*CELL, vector_to_array("pcs").alias("pcs")), CELL)
-    shares = cut_lineage(
-        table.groupBy("sample_id", "block").applyInPandas(
-            _doublet_neighbours(k),
-            "sample_id string, cell_id string, artificial int, n_count double, n_feature double, share double",
-        )
+    # an artificial cell may be named like a real one
+    named = mixed.withColumn("cell_id", F.concat(F.when(F.col("artificial") == 1, "d").otherwise("c"), F.col("cell_id")))
+    pcs, _ = sparse_components(log_normalise(named.withColumn("assay", F.lit("RNA"))), chosen, CELL, COMPONENTS)
+    marked = pcs.select(
+        "sample_id", F.expr("substring(cell_id, 2)").alias("cell_id"), F.col("cell_id").startswith("d").cast("int").alias("artificial"), "pcs"
     )
+    shares = cut_lineage(artificial_share(marked, k).join(facts, [*CELL, "artificial"]))
     ready = VectorAssembler(inputCols=["share", "n_count", "n_feature"], outputCol="x").transform(shares)
     model = GBTClassifier(featuresCol="x", labelCol="artificial", maxIter=10, maxDepth=3, seed=seed).fit(ready)
     scored = (

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, StandardScaler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cytoloom.functions.stats import first_per_group, group_join, hash_order
+from cytoloom.operators.components import group_components
 from cytoloom.operators.normalize import log_normalise
 from cytoloom.schema import CELL
 from cytoloom.session import cut_lineage
@@ -172,31 +172,17 @@ def rank_features_across_batches(
     return n.withColumn("place", F.row_number().over(w)).where(F.col("place") <= n_within)
 
 
-def feature_vectors(values: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:
-    """One sparse-built dense vector per key over the chosen genes, in gene order."""
-    names = [r[0] for r in chosen.select("feature").distinct().orderBy("feature").collect()]
-    if len(names) > 5000:
-        raise ValueError("choose at most 5000 genes for the coordinates")
-    rows = values.join(chosen.select("feature").distinct().withColumn("_chosen", F.lit(True)), "feature", "left")
-    # keys without a chosen gene stay, as zero vectors
-    entry = F.when(F.col("_chosen"), F.struct("feature", "value"))
-    packed = rows.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("_m"))
-    order = F.array(*[F.lit(x) for x in names])
-    # fitted and transformed in several passes
-    return cut_lineage(packed.select(
-        *keys,
-        array_to_vector(
-            F.transform(order, lambda g: F.coalesce(F.element_at(F.col("_m"), g), F.lit(0.0)))
-        ).alias("vector"),
-    ))
-
+def sparse_components(values: DataFrame, chosen: DataFrame, keys: list[str], k: int) -> tuple[DataFrame, DataFrame]:
+    """(keys…, pcs) of every key of ``values``, and (component, explained), over the chosen genes scaled to unit variance.
 
-def principal_components(vectors: DataFrame, k: int, column: str = "vector"):
-    """(rows with ``pcs``, explained variance per component) on scaled vectors."""
-    scaler = StandardScaler(inputCol=column, outputCol="_scaled", withMean=True, withStd=True).fit(vectors)
-    scaled = scaler.transform(vectors)
-    model = PCA(k=k, inputCol="_scaled", outputCol="pcs").fit(scaled)
-    return model.transform(scaled).drop("_scaled", column), model.explainedVariance.toArray().tolist()
+    Values stay in long form whatever the number of genes; keys without a chosen gene have a row too.
+    """
+    name = F.concat_ws("\u001f", *[F.col(c).cast("string") for c in keys])
+    members = cut_lineage(values.select(*keys).distinct().select(*keys, F.lit("all").alias("group_id"), name.alias("id")))
+    entries = values.join(chosen.select("feature").distinct(), "feature", "left_semi").groupBy(
+        F.lit("all").alias("group_id"), name.alias("id"), "feature").agg(F.sum("value").alias("value"))
+    pcs, explained = group_components(cut_lineage(entries), members, k)
+    return members.join(pcs, ["group_id", "id"]).select(*keys, "pcs"), explained.select("component", "explained")
 
 
 def cluster_cells(
@@ -204,22 +190,21 @@ def cluster_cells(
 ) -> DataFrame:
     """Principal coordinates and a k-means label per cell."""
     chosen = variable_features(values, cells, n_features)
-    vectors = feature_vectors(values, chosen, CELL)
-    pcs, _ = principal_components(vectors, n_components)
-    model = KMeans(k=n_clusters, seed=seed, featuresCol="pcs", predictionCol="cluster").fit(pcs)
-    out = model.transform(pcs)
-    return out.select(*CELL, vector_to_array("pcs").alias("pcs"), "cluster")
+    pcs, _ = sparse_components(values, chosen, CELL, n_components)
+    ready = cut_lineage(pcs).withColumn("vector", array_to_vector("pcs"))
+    model = KMeans(k=n_clusters, seed=seed, featuresCol="vector", predictionCol="cluster").fit(ready)
+    return model.transform(ready).select(*CELL, "pcs", "cluster")
 
 
-def pseudobulk_components(bulk: DataFrame, abundant: DataFrame, n_features: int = 500, k: int = 10):
-    """Principal components of pseudobulk samples on their most variable abundant genes."""
+def pseudobulk_components(bulk: DataFrame, abundant: DataFrame, n_features: int = 500, k: int = 10) -> tuple[DataFrame, DataFrame]:
+    """Principal components of pseudobulk samples on their most variable abundant genes, and what each explains."""
     logged = bulk.join(abundant.select("feature"), "feature", "left_semi").withColumn("value", F.log1p("value"))
     n = bulk.select(F.count_distinct("pseudobulk_sample")).scalar()
     var = logged.groupBy("feature").agg(
         ((F.sum(F.col("value") * F.col("value")) - F.sum("value") * F.sum("value") / n) / (n - 1)).alias("variance")
     )
     chosen = var.orderBy(F.desc(F.round("variance", 9)), "feature").limit(n_features)
-    return principal_components(feature_vectors(logged, chosen, ["pseudobulk_sample"]), k)
+    return sparse_components(logged, chosen, ["pseudobulk_sample"], k)
 
 
 def components_for_share(explained: DataFrame, share: float = 0.9) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cytoloom.functions.stats import benjamini_hochberg
@@ -455,8 +454,8 @@ def _(t):
 def _(t):
     values = normalize.log_normalise(t.counts)
     chosen = features.variable_features(values, t.cells, 100)
-    pcs, _ = features.principal_components(features.feature_vectors(values, chosen, CELL), 10)
-    return pcs.select(*CELL, F.transform(vector_to_array("pcs"), lambda x: F.round(x, 4)).alias("pcs"))
+    pcs, _ = features.sparse_components(values, chosen, CELL, 10)
+    return pcs.select(*CELL, F.transform("pcs", lambda x: F.round(x, 4)).alias("pcs"))
 
 
 @query(
@@ -667,11 +666,9 @@ def _(t):
     samples = t.cells.select("sample_id", "cell_type").distinct()
     abundant = differential.keep_abundant(bulk_by_sample(t), samples.select("sample_id").distinct().withColumn("all", F.lit(1)), "all", 5, 0.2)
     pcs, explained = features.pseudobulk_components(bulk, abundant, 200, 5)
-    return pcs.select(
-        "pseudobulk_sample",
-        F.transform(vector_to_array("pcs"), lambda x: F.round(x, 4)).alias("pcs"),
-        F.lit(round(sum(explained), 6)).alias("explained"),
-    )
+    share = explained.agg(F.round(F.sum("explained"), 6).alias("explained"))
+    rounded_pcs = F.transform("pcs", lambda x: F.round(x, 4)).alias("pcs")
+    return pcs.select("pseudobulk_sample", rounded_pcs).withColumn("explained", share.scalar())
 
 
 @query("dr2_clusters_and_coordinates")

@@ -323,3 +323,17 @@ def test_metacells_of_split_groups_and_tiny_groups(spark):
         assert len(part) == n and sorted(set(part.values())) == list(range(1, round(n / gamma) + 1))
     wide = metacell.metacell_memberships(counts, cells, n_features=30)
     assert wide.columns == ["sample_id", "cell_type", "cell_id"] + [f"gamma{2**i}" for i in range(1, 5)]
+
+
+def test_artificial_doublets_pair_the_whole_sample(spark):
+    m, counts, cells, _ = poisson_counts(spark, 20, 30, 2)
+    fake = doublet.artificial_doublets(counts.repartition(5), cells).groupBy("cell_id").agg(F.sum("value").alias("n")).collect()
+    total = {f"Cell{c + 1}": m[:, c].sum() for c in range(30)}
+    pairs = [r.cell_id.split("+") for r in fake]
+    assert len(pairs) == 29 and all(r.n == sum(total[x] for x in r.cell_id.split("+")) for r in fake)
+    # every cell but the ends of the order is once a first and once a second half
+    assert len({a for a, _ in pairs}) == len({b for _, b in pairs}) == 29
+    spots = [("s1", f"c{i}", int(i % 4 == 0), [float(i // 4), 0.0]) for i in range(40)]
+    frame = spark.createDataFrame(spots, "sample_id string, cell_id string, artificial int, pcs array<double>")
+    shares = {r.cell_id: r.share for r in doublet.artificial_share(frame, 3).collect()}
+    assert all(shares[f"c{i}"] == (0.0 if i % 4 == 0 else 1 / 3) for i in range(40))
