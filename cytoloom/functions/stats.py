@@ -204,19 +204,19 @@ def hash_order(*columns: str, seed: int = 42) -> Column:
 
 
 def first_per_group(df: DataFrame, keys: list[str], order: list[Column], k: int | Column, salts: int = 64) -> DataFrame:
-    """The first k rows of every group, whittled down in salted parts before the group meets."""
+    """The first k rows of every group, whatever k and the size of the group.
+
+    Salted parts keep their first k rows; what is left is numbered over range partitions, so no task
+    holds a group.
+    """
     limit = F.lit(k) if isinstance(k, int) else k
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if _hashable(df, c)]), F.lit(salts))
     part = Window.partitionBy(*keys, "_salt").orderBy(*order)
-    whole = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        df.withColumn("_salt", salt)
-        .withColumn("_place", F.row_number().over(part))
-        .where(F.col("_place") <= limit)
-        .withColumn("_place", F.row_number().over(whole))
-        .where(F.col("_place") <= limit)
-        .drop("_salt", "_place")
-    )
+    few = df.withColumn("_salt", salt).withColumn("_place", F.row_number().over(part)).where(F.col("_place") <= limit)
+    few = few.drop("_salt", "_place")
+    names = [f"_order{i}" for i in range(len(order))]
+    numbered = dense_index(few.withColumns(dict(zip(names, order))), keys, names, "_place")
+    return numbered.where(F.col("_place") <= limit).drop("_place", *names)
 
 
 def _hashable(df: DataFrame, column: str) -> bool:

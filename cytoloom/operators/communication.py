@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from cytoloom.functions.stats import group_join, group_quantiles, ranked_values, value_counts
+from cytoloom.functions.stats import dense_index, group_join, group_quantiles, ranked_values, value_counts
 from cytoloom.operators.normalize import log_normalise
 from cytoloom.schema import CELL
 from cytoloom.session import cut_lineage
@@ -14,8 +17,8 @@ from cytoloom.session import cut_lineage
 HALF_SATURATION = 0.5
 MIN_CELLS = 10
 P_LIMIT = 0.05
-# Adjacent values of a hash prefix used as a random number (fixed value: 13 hex digits).
-HASH_SPAN = float(16**13)
+# Rounds of the keyed permutation of a sample's cells.
+FEISTEL_ROUNDS = 6
 
 
 def type_trimeans(values: DataFrame, members: DataFrame, keys: list[str]) -> DataFrame:
@@ -88,6 +91,56 @@ def communication_probabilities(trimeans: DataFrame, pairs: DataFrame, keys: lis
     )
 
 
+def permuted(place: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """A keyed bijection of 0 … n - 1 at every place: Feistel rounds on a grid of just over n cells.
+
+    A place that lands beyond n walks on until it is inside, which keeps the map one to one.
+    """
+    a = np.ceil(np.sqrt(n)).astype(np.int64)
+    b = -(-n // a)
+    out, walking = place.astype(np.int64), np.arange(len(place))
+    while len(walking):
+        x, rows, columns = out[walking], a[walking], b[walking]
+        high, low = x // columns, x % columns
+        for step in range(FEISTEL_ROUNDS):
+            k = _scrambled(key[walking] + np.uint64(step + 1))
+            if step % 2:
+                low = (low + (_scrambled(high.astype(np.uint64) + k) % columns.astype(np.uint64)).astype(np.int64)) % columns
+            else:
+                high = (high + (_scrambled(low.astype(np.uint64) + k) % rows.astype(np.uint64)).astype(np.int64)) % rows
+        out[walking] = high * columns + low
+        walking = walking[out[walking] >= n[walking]]
+    return out
+
+
+def _scrambled(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+@F.pandas_udf(LongType())
+def _new_place(place: pd.Series, n: pd.Series, key: pd.Series) -> pd.Series:
+    return pd.Series(permuted(place.to_numpy(np.int64), n.to_numpy(np.int64), key.to_numpy(np.int64).view(np.uint64)))
+
+
+def relabel(members: DataFrame, permutations: int, seed: int = 1) -> DataFrame:
+    """(sample_id, cell_id, permutation, cell_type): the types of a sample permuted among its cells.
+
+    Cells have places in the order of their types; in every permutation a cell takes the type of its new
+    place, so each type keeps its number of cells exactly.
+    """
+    placed = dense_index(members.select(*CELL, "cell_type"), ["sample_id"], ["cell_type", "cell_id"], "place").select(*CELL, "place")
+    size = members.groupBy("sample_id", "cell_type").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("sample_id").orderBy("cell_type"))  # a row per type
+    ladder = size.select("sample_id", "cell_type", "n", upto.alias("upto")).groupBy("sample_id").agg(
+        F.array_sort(F.collect_list(F.struct("upto", "cell_type"))).alias("_ladder"), F.sum("n").alias("_n"))
+    every = placed.join(ladder, "sample_id").withColumn("permutation", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
+    key = F.xxhash64(F.lit(seed), "sample_id", "permutation")
+    every = every.withColumn("_new", _new_place(F.col("place") - 1, "_n", key))
+    return every.select(*CELL, "permutation", F.filter("_ladder", lambda s: s["upto"] > F.col("_new"))[0]["cell_type"].alias("cell_type"))
+
+
 def cell_communication(
     counts: DataFrame,
     cells: DataFrame,
@@ -102,8 +155,7 @@ def cell_communication(
 
     ``pairs`` has interaction, ligand, receptor, pathway. Types with few cells and samples
     with one type drop out; a pair needs ligand and receptor over-expressed somewhere. The
-    p value is the share of relabelled samples with at least the observed probability; a
-    relabelling draws each cell's type from its sample's types by hash.
+    p value is the share of relabelled samples with at least the observed probability.
     """
     typed = cells.where(F.col("cell_type").isNotNull()).select(*CELL, "cell_type")
     if kept is not None:
@@ -126,21 +178,7 @@ def cell_communication(
     observed = cut_lineage(observed)
     if permutations <= 0:
         return observed.withColumn("p_value", F.lit(None).cast("double"))
-    by_sample = Window.partitionBy("sample_id").orderBy("cell_type")
-    shares = size.join(rich, "sample_id", "left_semi").withColumn(
-        "_upto", F.sum("n").over(by_sample) / F.sum("n").over(Window.partitionBy("sample_id"))
-    )
-    ladder = shares.groupBy("sample_id").agg(F.array_sort(F.collect_list(F.struct("_upto", "cell_type"))).alias("_ladder"))
-    draw = F.conv(
-        F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.col("permutation"), F.col("sample_id"), F.col("cell_id"))), 1, 13), 16, 10
-    ).cast("double") / HASH_SPAN
-    relabelled = (
-        members.join(ladder, "sample_id")
-        .withColumn("permutation", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
-        .withColumn("_draw", draw)
-        .withColumn("cell_type", F.filter("_ladder", lambda s: s["_upto"] > F.col("_draw"))[0]["cell_type"])
-        .select(*CELL, "permutation", "cell_type")
-    )
+    relabelled = relabel(members, permutations, seed)
     shuffled = communication_probabilities(
         type_trimeans(values, relabelled, ["sample_id", "permutation", "cell_type"]), pairs, ["sample_id", "permutation"]
     ).withColumnRenamed("prob", "prob_drawn")

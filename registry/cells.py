@@ -727,6 +727,17 @@ def tested_communication(t):
     return plain_communication(t).withColumn("p_value", F.when(F.col("prob") < 0.97, 0.5).otherwise(0.0))
 
 
+@query(
+    "cm1_relabelled_type_sizes",
+    with_(CELLS, body="""SELECT sample_id, CAST(permutation AS INTEGER) AS permutation, cell_type, COUNT(*) AS n FROM cells, range(1, 101) r(permutation)
+          WHERE cell_type IS NOT NULL GROUP BY 1, 2, 3"""),
+)
+def _(t):
+    """A hundred relabellings: every type keeps its number of cells in each."""
+    members = t.cells.where(F.col("cell_type").isNotNull()).select(*CELL, "cell_type")
+    return communication.relabel(members, 100).groupBy("sample_id", "permutation", "cell_type").agg(n_rows().alias("n"))
+
+
 @query(
     "cm1_communication_probability",
     with_(CNT, CELLS, FEATS, LR_SQL, body=f"SELECT sample_id, source, target, interaction, pathway, {r6('prob')} AS prob FROM com"),

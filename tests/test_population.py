@@ -125,3 +125,35 @@ def test_communication_p_values(spark):
     assert len(got) == 40 and got.p_value.between(0, 1).all() and got.prob.between(0, 1).all()
     one = communication.cell_communication(counts, cells.withColumn("cell_type", F.lit("x")), pairs, permutations=2)
     assert one.count() == 0
+
+
+def test_permutations_are_bijections_that_differ():
+    for n in (1, 2, 3, 10, 97, 1000):
+        seen = set()
+        for key in range(30):
+            got = communication.permuted(np.arange(n), np.full(n, n), np.full(n, key * 7919, np.uint64))
+            assert sorted(got) == list(range(n))
+            seen.add(tuple(got[:4]))
+        assert n < 10 or len(seen) > 25
+    # every cell meets every place about equally often
+    hits = np.zeros((10, 10))
+    for key in range(2000):
+        hits[np.arange(10), communication.permuted(np.arange(10), np.full(10, 10), np.full(10, key, np.uint64))] += 1
+    assert np.abs(hits / 2000 - 0.1).max() < 0.04
+
+
+def test_relabelling_keeps_the_size_of_every_type(spark):
+    cells = [("s", f"c{i}", "abc"[i % 5 % 3]) for i in range(101)] + [("t", f"c{i}", "ab"[i % 2]) for i in range(20)]
+    members = spark.createDataFrame(cells, "sample_id string, cell_id string, cell_type string")
+    rows = communication.relabel(members.repartition(5), 15).collect()
+    want = {}
+    for s, _, t in cells:
+        want[s, t] = want.get((s, t), 0) + 1
+    for p in range(1, 16):
+        have = {}
+        for r in rows:
+            if r.permutation == p:
+                have[r.sample_id, r.cell_type] = have.get((r.sample_id, r.cell_type), 0) + 1
+        assert have == want
+    old = {(s, c): t for s, c, t in cells}
+    assert all(sum(old[r.sample_id, r.cell_id] != r.cell_type for r in rows if r.permutation == p) > 20 for p in range(1, 16))
