@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from cytoloom.functions.special import digamma, f_tail, t_tail, trigamma, trigamma_inverse
-from cytoloom.functions.stats import benjamini_hochberg, fresh, group_join
+from cytoloom.functions.stats import benjamini_hochberg, dense_index, fresh, group_join, hash_order
 from cytoloom.operators import glm
 from cytoloom.operators.glm import chi2_tail as _chi2_tail
 from cytoloom.session import cut_lineage
@@ -20,6 +20,8 @@ from cytoloom.session import cut_lineage
 MIN_COUNTS = 10
 MIN_PROPORTION = 0.7
 VALUES_PER_TASK = 200_000
+# Started number of cells that asks for ten chunks of genes (fixed value).
+CELLS_PER_CHUNKS = 4763
 # Numbers of one step of a random-intercept fit.
 BLOCK_VALUES = 4_000_000
 
@@ -466,16 +468,31 @@ test_datasets.__test__ = False
 
 
 def feature_chunks(features: DataFrame, chunk_size: int = 100) -> DataFrame:
-    """(feature, chunk) with ``chunk_size`` genes each; the input is one gene list."""
-    w = Window.partitionBy(F.lit(1)).orderBy("feature")
-    return features.select(
-        "feature", (F.floor((F.row_number().over(w) - 1) / chunk_size) + 1).cast("int").alias("chunk")
-    )
+    """(feature, chunk) with ``chunk_size`` genes each, in the order of their names."""
+    numbered = dense_index(features.select("feature"), [], ["feature"], "_n")
+    return numbered.select("feature", (F.floor((F.col("_n") - 1) / chunk_size) + 1).cast("int").alias("chunk"))
+
+
+def random_chunks(features: DataFrame, n_chunks: int, seed: int = 42) -> DataFrame:
+    """(feature, chunk): genes dealt in hash order to ``n_chunks`` chunks, whose sizes differ by one at most."""
+    hashed = features.select("feature", hash_order("feature", seed=seed).alias("_hash"))
+    numbered = dense_index(hashed, [], ["_hash", "feature"], "_n")
+    return numbered.select("feature", (F.pmod(F.col("_n") - 1, F.lit(max(1, n_chunks))) + 1).cast("int").alias("chunk"))
+
+
+def chunks_by_cells(features: DataFrame, cells: DataFrame, group: str) -> DataFrame:
+    """(group, feature, chunk): the genes of every group dealt to as many chunks as its number of cells asks for."""
+    wanted = cells.groupBy(group).agg((F.ceil(F.count(F.lit(1)) / CELLS_PER_CHUNKS) * 10).cast("int").alias("n_chunks"))
+    hashed = features.select("feature", hash_order("feature").alias("_hash"))
+    numbered = cut_lineage(dense_index(hashed, [], ["_hash", "feature"], "_n").select("feature", "_n"))
+    # a row per group and gene: the groups come as one array, so that genes stay where they are
+    every = numbered.withColumn("_g", F.explode(wanted.select(F.collect_list(F.struct(group, "n_chunks"))).scalar()))
+    return every.select(f"_g.{group}", "feature", (F.pmod(F.col("_n") - 1, F.col("_g.n_chunks")) + 1).cast("int").alias("chunk"))
 
 
 def chunks_for_cells(n_cells: int) -> int:
     """Gene chunks for a matrix of so many cells: ten per started 4763 cells (fixed values)."""
-    return -(-n_cells // 4763) * 10
+    return -(-n_cells // CELLS_PER_CHUNKS) * 10
 
 
 def complete_confounders(samples: DataFrame, first: str, second: str) -> DataFrame:

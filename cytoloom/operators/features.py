@@ -22,6 +22,18 @@ def drop_technical_families(df: DataFrame, column: str = "feature") -> DataFrame
     return df.where(~F.col(column).rlike(TECHNICAL_FAMILIES))
 
 
+def convert_gene_names(genes: DataFrame, ids: DataFrame, nomenclature: str) -> DataFrame:
+    """(id, gene_id, gene_name, gene_biotype) of ``ids(id)``, which are ``symbol`` or ``ensembl`` names.
+
+    ``genes`` is the annotation with ensembl_id, symbol and biotype. A symbol of several genes gives a row each; an
+    unknown id gives none.
+    """
+    column = {"symbol": "symbol", "ensembl": "ensembl_id"}[nomenclature]
+    named = genes.select(
+        F.col(column).alias("id"), F.col("ensembl_id").alias("gene_id"), F.col("symbol").alias("gene_name"), F.col("biotype").alias("gene_biotype"))
+    return ids.select("id").distinct().join(named, "id")
+
+
 def variances(counts: DataFrame, cells: DataFrame, keys: list[str]) -> DataFrame:
     """Mean and variance of every gene over all cells of a group, zeros counted."""
     n = cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_cells")) if keys else cells.agg(F.count(F.lit(1)).alias("n_cells"))

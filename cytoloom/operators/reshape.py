@@ -59,6 +59,12 @@ def frequent_columns(seen: DataFrame, more_than: float = 0.5) -> DataFrame:
     )
 
 
+def common_columns(seen: DataFrame) -> DataFrame:
+    """Columns found in as many datasets as any column is; input as for ``frequent_columns``."""
+    counted = seen.groupBy("column").agg(F.count_distinct("dataset_id").alias("n_datasets"))
+    return counted.where(F.col("n_datasets") == counted.select(F.max("n_datasets")).scalar())
+
+
 # Columns that describe a cell, not its sample (fixed values).
 CELL_COLUMNS = ["observation_joinid", "cell_", "cell_id"]
 CELL_PREFIXES = ["cell_type", "X_pca", "X_umap"]

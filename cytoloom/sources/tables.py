@@ -93,7 +93,10 @@ def save_experiment(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("
     """Write without empty columns, one folder per assay and sample, and read back lazily."""
     kept = drop_empty_columns(df)
     folders = [c for c in partition_by if c in kept.columns]
-    kept.write.mode("overwrite").partitionBy(*folders).parquet(path)
+    # as in write_files: a hot sample spreads over several tasks, small ones share one
+    salted = kept.withColumn("_salt", F.xxhash64(*[c for c in kept.columns if c not in folders]))
+    placed = salted.repartitionByRange(*folders, "_salt").drop("_salt") if folders else kept
+    placed.write.mode("overwrite").partitionBy(*folders).parquet(path)
     return df.sparkSession.read.schema(kept.schema).parquet(path).select(*kept.columns)
 
 

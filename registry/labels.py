@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cytoloom.functions import labels, rules
-from cytoloom.operators import consensus, differential, transform
+from cytoloom.operators import consensus, differential, features, transform
 from cytoloom.plans import atlas
 from cytoloom.sources.adapters import AZIMUTH_LABELS, BLUEPRINT_LABELS, MONACO_LABELS
 from registry import query
@@ -333,6 +333,22 @@ def _(t):
     return t.counts.join(t.features.select("feature", "ensembl_id"), "feature").select(*CELL, "ensembl_id", "value")
 
 
+@query(
+    "sc21_convert_gene_names",
+    with_(FEATS, body="""SELECT 'symbol' AS nomenclature, symbol AS id, ensembl_id AS gene_id, symbol AS gene_name, set_name AS gene_biotype FROM feats
+          WHERE symbol IN (SELECT symbol FROM feats WHERE CAST(feature AS BIGINT) % 3 = 0)
+          UNION ALL SELECT 'ensembl', ensembl_id, ensembl_id, symbol, set_name FROM feats WHERE CAST(feature AS BIGINT) % 3 = 1"""),
+)
+def _(t):
+    genes = t.features.select("feature", "symbol", "ensembl_id", F.col("set_name").alias("biotype"))
+    number = F.pmod(F.col("feature").cast("long"), F.lit(3))
+    symbols = genes.where(number == 0).select(F.col("symbol").alias("id"))
+    ids = genes.where(number == 1).select(F.col("ensembl_id").alias("id"))
+    both = [("symbol", symbols), ("ensembl", ids)]
+    found = [features.convert_gene_names(genes, i, n).select(F.lit(n).alias("nomenclature"), "*") for n, i in both]
+    return found[0].unionByName(found[1])
+
+
 @query("sc22_gene_sets", with_(FEATS, body="SELECT feature, chromosome = 'MT' AS is_mito, is_ribo FROM feats WHERE is_mito OR is_ribo"))
 def _(t):
     return t.features.where(F.col("is_mito") | F.col("is_ribo")).select(

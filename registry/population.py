@@ -139,6 +139,26 @@ def _(t):
     return differential.feature_chunks(t.features)
 
 
+@query(
+    "de6_random_chunks",
+    """SELECT CAST(p_partkey AS VARCHAR) AS feature, CAST((row_number() OVER (ORDER BY md5('42|' || p_partkey), CAST(p_partkey AS VARCHAR)) - 1) % 7 + 1 AS INTEGER) AS chunk FROM part""",
+)
+def _(t):
+    return differential.random_chunks(t.features, 7)
+
+
+@query(
+    "de6_chunks_by_cells",
+    with_(
+        CELLS, "w AS (SELECT cell_type, CAST(ceil(COUNT(*) / 4763.0) * 10 AS BIGINT) AS k FROM cells GROUP BY 1)",
+        "g AS (SELECT CAST(p_partkey AS VARCHAR) AS feature, row_number() OVER (ORDER BY md5('42|' || p_partkey), CAST(p_partkey AS VARCHAR)) - 1 AS n FROM part)",
+        body="SELECT cell_type, feature, CAST(n % k + 1 AS INTEGER) AS chunk FROM w, g",
+    ),
+)
+def _(t):
+    return differential.chunks_by_cells(t.features, t.cells, "cell_type")
+
+
 CONF_SQL = """
 s AS (SELECT DISTINCT o_custkey % 40 AS a, CASE WHEN o_custkey % 40 < 5 THEN 'x' || (o_custkey % 40) ELSE o_orderpriority END AS b, o_custkey AS sample_id FROM orders),
 p AS (SELECT DISTINCT a, b FROM s), n1 AS (SELECT a, COUNT(DISTINCT b) AS n1 FROM p GROUP BY 1), n2 AS (SELECT b, COUNT(DISTINCT a) AS n2 FROM p GROUP BY 1)"""

@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cytoloom.functions.rules import AZIMUTH, dictionary_value
-from cytoloom.functions.stats import first_per_group, group_quantiles, hash_order, mad_outliers
+from cytoloom.functions.stats import dense_index, first_per_group, group_quantiles, hash_order, mad_outliers
 from cytoloom.operators import alive, empties, features, metacell, normalize, pseudobulk, reshape, transform
 from cytoloom.plans import atlas
 from cytoloom.session import scratch_path
@@ -78,6 +78,21 @@ def _(t):
     return reshape.frequent_columns(seen)
 
 
+@query(
+    "prj6_common_columns",
+    """WITH s AS (SELECT p_brand AS "column", COUNT(DISTINCT c_nationkey) AS n_datasets
+       FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+       JOIN part ON l_partkey = p_partkey WHERE p_size > 20 OR c_nationkey % 3 = 0 GROUP BY 1)
+       SELECT * FROM s WHERE n_datasets = (SELECT MAX(n_datasets) FROM s)""",
+)
+def _(t):
+    seen = t.counts.join(t.features.select("feature", "brand"), "feature").select(
+        F.col("sample_id").alias("dataset_id"), F.col("brand").alias("column"), F.col("feature").cast("long").alias("p_partkey"))
+    size = t.part.select("p_partkey", "p_size")
+    kept = seen.join(size, "p_partkey").where((F.col("p_size") > 20) | (F.col("dataset_id").cast("int") % 3 == 0))
+    return reshape.common_columns(kept)
+
+
 @query("prj7_sample_columns", with_(META, body="SELECT DISTINCT dataset_id, sample_id, donor_id, tissue, disease, is_primary_data FROM meta"))
 def _(t):
     return reshape.sample_columns(t.cell_metadata)
@@ -716,9 +731,8 @@ def _(t):
     members = t.cells.select(
         "sample_id", "cell_type", (F.pmod(F.col("cell_id").cast("long"), F.lit(3)) + 1).alias("metacell"), "cell_id"
     )
-    # a metacell is a small group by construction
-    w = Window.partitionBy("sample_id", "cell_type", "metacell").orderBy("cell_id")
-    return members.withColumn("member_id", F.concat_ws("_", F.col("metacell").cast("string"), F.row_number().over(w).cast("string")))
+    numbered = dense_index(members, ["sample_id", "cell_type", "metacell"], ["cell_id"], "_n")
+    return numbered.withColumn("member_id", F.concat_ws("_", F.col("metacell").cast("string"), F.col("_n").cast("string"))).drop("_n")
 
 
 @query(
