@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -124,3 +126,109 @@ def current_pseudobulk(spark: SparkSession, out_path: str) -> DataFrame:
     """The pseudobulk of everything delivered so far."""
     parts = current_parts(spark, out_path, BULK_PARTS)
     return parts.groupBy("sample_id", "cell_type", "feature").agg(F.sum("value").alias("value"))
+
+
+# --- steps with a manifest ----------------------------------------------------------------------------
+
+
+class Step:
+    """One incremental step under ``root``, with a home of its own for every set of parameters.
+
+    A batch writes its sums and then its manifest rows (sample_id, delivery), which commit it. Another set of
+    parameters has another home and another streaming checkpoint, so changed parameters run this step again from the first
+    file, and no other step; unchanged ones read only new files. ``compact`` folds committed batches and the generation
+    before into one table without superseded deliveries; readers take the last generation and the batches after it.
+    """
+
+    def __init__(self, root: str, name: str, parameters: dict, partial: Callable[[DataFrame], DataFrame], keys: list[str], sums: list[str]):
+        self.name, self.parameters, self.partial, self.keys, self.sums = name, parameters, partial, keys, sums
+        self.param_md5 = hashlib.md5(parameter_hash(parameters).encode()).hexdigest()
+        self.home = f"{root}/{name}/{self.param_md5}"
+
+    def run(self, stream: DataFrame) -> StreamingQuery:
+        """Process what is new in ``counts_stream``."""
+
+        def handle(batch: DataFrame, number: int) -> None:
+            self.partial(batch).write.mode("overwrite").parquet(f"{self.home}/parts/batch={number}")
+            seen = batch.select("sample_id", "delivery").distinct()
+            seen.write.mode("overwrite").parquet(f"{self.home}/manifest/batch={number}")
+
+        writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", f"{self.home}/checkpoint")
+        return writer.trigger(availableNow=True).start()
+
+    def manifest(self, spark: SparkSession) -> DataFrame:
+        """(sample_id, delivery, batch) of everything processed under these parameters."""
+        schema = "sample_id string, delivery long, batch long"
+        return _read_or_empty(spark, f"{self.home}/manifest", schema)
+
+    def pending(self, samples: DataFrame) -> DataFrame:
+        """Samples without a processed delivery under these parameters."""
+        done = self.manifest(samples.sparkSession).select("sample_id")
+        return samples.select("sample_id").distinct().join(done, "sample_id", "left_anti")
+
+    def _sources(self, spark: SparkSession) -> tuple[int, list[str]]:
+        """Number of the last generation, and the paths that hold what is current."""
+        folds = _read_or_empty(spark, f"{self.home}/folds", "batch long, generation long")
+        generation = folds.agg(F.max("generation")).first()[0]
+        fresh = self.manifest(spark).select("batch").distinct()
+        if generation is not None:
+            fresh = fresh.join(folds.select("batch").distinct(), "batch", "left_anti")
+        paths = [f"{self.home}/parts/batch={b}" for (b,) in fresh.orderBy("batch").collect()]
+        return generation or 0, paths + ([f"{self.home}/compacted/generation={generation}"] if generation else [])
+
+    def current(self, spark: SparkSession) -> DataFrame:
+        """The sums of the latest delivery of every sample: keys…, sums…, delivery."""
+        _, paths = self._sources(spark)
+        if not paths:
+            raise ValueError(f"{self.name} has not run with these parameters")
+        # a delivery without rows to sum replaces the ones before as well
+        latest = self.manifest(spark).groupBy("sample_id").agg(F.max("delivery").alias("delivery"))
+        parts = spark.read.parquet(*paths).join(latest, ["sample_id", "delivery"])
+        return parts.groupBy(*self.keys, "delivery").agg(*[F.sum(c).alias(c) for c in self.sums])
+
+    def compact(self, spark: SparkSession) -> None:
+        """Fold all committed batches into a new generation; it counts once its list of batches is written."""
+        generation, paths = self._sources(spark)
+        if len(paths) < 2:
+            return
+        made = self.current(spark)
+        batches = self.manifest(spark).select("batch").distinct()
+        made.write.mode("overwrite").parquet(f"{self.home}/compacted/generation={generation + 1}")
+        batches.write.mode("overwrite").parquet(f"{self.home}/folds/generation={generation + 1}")
+
+
+def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table at a path, or no rows when nothing has been written there yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def quality_step(root: str, features: DataFrame, parameters: dict) -> Step:
+    """Sums of the quality table as a step; ``parameters`` may set ``min_value``, the least count that is looked at."""
+    mito, ribo = (F.when(F.col(c), F.col("value")).otherwise(0.0) for c in ("is_mito", "is_ribo"))
+
+    def partial(batch: DataFrame) -> DataFrame:
+        kept = batch.where(F.col("value") >= parameters.get("min_value", 0))
+        return with_flags(kept, features).groupBy("sample_id", "delivery", "cell_id").agg(
+            F.sum(mito).alias("mito_sum"),
+            F.count(F.when(F.col("is_mito") & (F.col("value") > 0), 1)).alias("mito_detected"),
+            F.sum(ribo).alias("ribo_sum"),
+            F.sum("value").alias("total"),
+        )
+
+    return Step(root, "quality", parameters, partial, ["sample_id", "cell_id"], ["mito_sum", "mito_detected", "ribo_sum", "total"])
+
+
+def pseudobulk_step(root: str, cells: DataFrame, parameters: dict) -> Step:
+    """Sums of the pseudobulk as a step."""
+    types = cells.select(*CELL, "cell_type")
+
+    def partial(batch: DataFrame) -> DataFrame:
+        kept = batch.where(F.col("value") >= parameters.get("min_value", 0)).join(types, CELL)
+        return kept.groupBy("sample_id", "delivery", "cell_type", "feature").agg(F.sum("value").alias("value"))
+
+    return Step(root, "pseudobulk", parameters, partial, ["sample_id", "cell_type", "feature"], ["value"])

@@ -286,6 +286,27 @@ def _(t):
     return incremental.pending_samples(samples, manifest, "quality", {"nmads": 3})
 
 
+@query(
+    "st3_steps_by_parameters",
+    with_(
+        CNT, FEATS,
+        """q AS (SELECT k AS min_value, sample_id, cell_id, SUM(CASE WHEN is_mito THEN value ELSE 0 END)::DOUBLE AS mito_sum, SUM(value)::DOUBLE AS total
+           FROM cnt JOIN feats USING (feature), (VALUES (0), (10)) v(k) WHERE value >= k GROUP BY 1, 2, 3)""",
+        body="SELECT CAST(min_value AS INTEGER) AS min_value, sample_id, cell_id, mito_sum, total FROM q",
+    ),
+)
+def _(t):
+    """One step under two sets of parameters, compacted between its runs; a third run finds nothing new."""
+    root, inbox, out = scratch_path(t.spark, "steps"), delivered(t), []
+    for least in (0, 10):
+        step = incremental.quality_step(root, t.features, {"min_value": least})
+        for _ in range(2):
+            step.run(incremental.counts_stream(t.spark, inbox, max_files=5)).awaitTermination()
+            step.compact(t.spark)
+        out.append(step.current(t.spark).select(F.lit(least).alias("min_value"), "sample_id", "cell_id", "mito_sum", "total"))
+    return out[0].unionByName(out[1])
+
+
 # --- user functions ------------------------------------------------------------------------
 
 

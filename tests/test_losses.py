@@ -76,3 +76,42 @@ def test_dispersions_use_every_sample(spark):
     own = differential.gene_dispersions(bulk, samples, prior=0.0).where("feature = 'g'").first()
     m, v = y.mean(), y.var(ddof=1)
     assert abs(own["dispersion"] - (v - m) / m**2) < 1e-6
+
+
+def test_steps_rerun_only_for_new_files_or_parameters(spark, tmp_path):
+    schema = "sample_id string, cell_id string, feature string, assay string, value double"
+    inbox, root = str(tmp_path / "in"), str(tmp_path / "steps")
+    features = spark.createDataFrame([("m", True, False), ("g", False, False)], "feature string, is_mito boolean, is_ribo boolean")
+    cells = spark.createDataFrame([(s, "c", "t") for s in ("a", "b")], "sample_id string, cell_id string, cell_type string")
+
+    def deliver(number, rows):
+        spark.createDataFrame([(s, "c", f, "RNA", float(v)) for s, f, v in rows], schema).coalesce(1).write.mode("append").parquet(f"{inbox}/delivery={number}")
+
+    def run(step):
+        step.run(incremental.counts_stream(spark, inbox, 1)).awaitTermination()
+        return {r.sample_id: r.total for r in step.current(spark).collect()}
+
+    quality = incremental.quality_step(root, features, {"min_value": 0})
+    strict = incremental.quality_step(root, features, {"min_value": 5})
+    bulk = incremental.pseudobulk_step(root, cells, {})
+    samples = spark.createDataFrame([("a",), ("b",), ("z",)], "sample_id string")
+    assert sorted(r.sample_id for r in quality.pending(samples).collect()) == ["a", "b", "z"]
+    deliver(1, [("a", "m", 1), ("a", "g", 7)])
+    deliver(1, [("a", "g", 2), ("b", "g", 9)])
+    assert run(quality) == {"a": 10.0, "b": 9.0}
+    assert [r.sample_id for r in quality.pending(samples).collect()] == ["z"]
+    assert sorted(r.sample_id for r in strict.pending(samples).collect()) == ["a", "b", "z"]
+    batches = quality.manifest(spark).select("batch").distinct().count()
+    assert run(quality) == {"a": 10.0, "b": 9.0} and quality.manifest(spark).select("batch").distinct().count() == batches == 2
+    quality.compact(spark)
+    assert len(quality._sources(spark)[1]) == 1 and run(quality) == {"a": 10.0, "b": 9.0}
+    deliver(1, [("b", "m", 1)])  # a late part of the delivery that was folded
+    deliver(2, [("a", "m", 3)])  # replaces sample a
+    assert run(quality) == {"a": 3.0, "b": 10.0} and len(quality._sources(spark)[1]) == 3
+    quality.compact(spark)
+    deliver(1, [("a", "m", 50)])  # too late
+    assert run(quality) == {"a": 3.0, "b": 10.0}
+    # other parameters start from the first file; a delivery that they leave without rows still replaces
+    assert run(strict) == {"b": 9.0}
+    bulk.run(incremental.counts_stream(spark, inbox, 10)).awaitTermination()
+    assert {(r.sample_id, r.feature): r.value for r in bulk.current(spark).collect()} == {("a", "m"): 3.0, ("b", "g"): 9.0, ("b", "m"): 1.0}
