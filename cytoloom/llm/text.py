@@ -75,12 +75,12 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power(base: int, prime: int, n: int) -> np.ndarray:
-    """The first n powers of a base in its field."""
-    known = _powers.get((base, prime), np.ones(1, np.uint64))
+    """The first n powers of a base in its field; those of a usual block are kept, in 32 bits each."""
+    known = _powers.get((base, prime), np.ones(1, np.uint32))
     while len(known) < n:  # every round doubles the table
         step = np.uint64(pow(base, len(known), prime))
-        known = np.concatenate([known, known * step % np.uint64(prime)])
-    if len(known) <= 4 * BLOCK_BYTES:
+        known = np.concatenate([known, (known[: n - len(known)] * step % np.uint64(prime)).astype(np.uint32)])
+    if len(known) <= BLOCK_BYTES + 1:
         _powers[base, prime] = known
     return known[:n]
 
