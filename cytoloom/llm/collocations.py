@@ -239,7 +239,7 @@ def mine(docs: DataFrame, max_words: int = 3, min_count: int = 10, share: int =
     found = scored(phrases).join(_cover(phrases, max_words), ["lang", "phrase"], "left")
     found = found.where(F.coalesce(100 * F.col("cover") < share * F.col("a"), F.lit(True)))
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
-    salted = found.withColumn("__salt", F.abs(F.hash("phrase")) % SALTS)
+    salted = found.withColumn("__salt", F.pmod(F.hash("phrase"), F.lit(SALTS)))
     place = F.row_number().over(Window.partitionBy("lang", "__salt").orderBy(*order))
     parts = stored(salted.withColumn("__place", place).where(F.col("__place") <= top), "parts")
     # when all parts have this many phrases, the worst of these scores is reached by ``top`` phrases at least
