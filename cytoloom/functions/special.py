@@ -12,12 +12,13 @@ _SHIFT = 8
 def _raised(x: np.ndarray, term) -> tuple[np.ndarray, np.ndarray]:
     """x moved up to where the series holds, and the sum of ``term`` over the steps."""
     x = np.asarray(x, float)
-    moved, total = x.copy(), np.zeros_like(x)
-    for _ in range(_SHIFT):
-        low = moved < _SHIFT
-        total = total + np.where(low, term(np.where(low, moved, 1.0)), 0.0)
-        moved = np.where(low, moved + 1, moved)
-    return moved, total
+    moved, total = x.ravel().copy(), np.zeros(x.size)
+    low = np.flatnonzero(moved < _SHIFT)
+    while len(low):
+        total[low] += term(moved[low])
+        moved[low] += 1
+        low = low[moved[low] < _SHIFT]
+    return moved.reshape(x.shape), total.reshape(x.shape)
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:

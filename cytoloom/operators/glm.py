@@ -13,6 +13,9 @@ from cytoloom.functions.special import log_gamma
 GRID_POWERS = range(-10, 11)
 # Below this a gene counts as Poisson.
 POISSON = 1e-9
+# Least mean of a sample in the information matrix, and the tolerance of fits along a profile.
+LEAST_MEAN = 1e-4
+PROFILE_TOLERANCE = 1e-5
 
 
 def chi2_tail(x: np.ndarray, df: int) -> np.ndarray:
@@ -57,31 +60,39 @@ def design(
 
 
 def irls(
-    y: np.ndarray, x: np.ndarray, offset: np.ndarray, phi: np.ndarray, start: np.ndarray | None = None
+    y: np.ndarray, x: np.ndarray, offset: np.ndarray, phi: np.ndarray, start: np.ndarray | None = None, tolerance: float = 1e-8
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Negative-binomial regression of many genes at once: coefficients, information, deviance, means."""
+    """Negative-binomial regression of many genes at once: coefficients, information, deviance, means.
+
+    A gene leaves the iteration when its coefficients or its means stand still; without a count in some cells of the design
+    the means go to zero and stand still there. Means count as LEAST_MEAN at least in the information.
+    """
+    p = x.shape[1]
+    pairs = (x[:, :, None] * x[:, None, :]).reshape(len(x), -1)
+    ridge = 1e-8 * np.eye(p)
     if start is None:
-        mu = np.maximum(y, 0.1) * 0.5 + 0.5 * np.maximum(y.mean(1, keepdims=True), 0.1)
-        eta = np.log(mu)
-        beta = np.zeros((len(y), x.shape[1]))
+        beta = np.zeros((len(y), p))
+        eta = np.log(np.maximum(y, 0.1) * 0.5 + 0.5 * np.maximum(y.mean(1, keepdims=True), 0.1))
     else:
-        beta = start
+        beta = start.copy()
         eta = np.clip(beta @ x.T + offset, -30, 30)
-        mu = np.exp(eta)
-    ridge = 1e-8 * np.eye(x.shape[1])
-    pairs = (x[:, :, None] * x[:, None, :]).reshape(len(x), -1)
+    mu, left = np.exp(eta), np.arange(len(y))
     for _ in range(50):
-        w = mu / (1 + phi[:, None] * mu)
-        z = eta - offset + (y - mu) / mu
-        info = (w @ pairs).reshape(len(y), x.shape[1], x.shape[1]) + ridge
-        # the ridge holds the step back, not the solution
-        new = np.linalg.solve(info, ((w * z) @ x + beta @ ridge)[..., None])[..., 0]
-        step = np.abs(new - beta).max() if len(y) else 0.0
-        beta = new
-        eta = np.clip(beta @ x.T + offset, -30, 30)
-        mu = np.exp(eta)
-        if step < 1e-8:
+        if not len(left):
             break
+        m, e = mu[left], eta[left]
+        w = m / (1 + phi[left, None] * m)
+        info = (w @ pairs).reshape(len(left), p, p) + ridge
+        # the ridge holds the step back, not the solution
+        right = (w * (e - offset + (y[left] - m) / m)) @ x + beta[left] @ ridge
+        new = np.linalg.solve(info, right[..., None])[..., 0]
+        e = np.clip(new @ x.T + offset, -30, 30)
+        after = np.exp(e)
+        still = (np.abs(new - beta[left]).max(1) < tolerance) | ((np.abs(after - m) / (after + 0.1)).max(1) < tolerance)
+        beta[left], eta[left], mu[left] = new, e, after
+        left = left[~still]
+    held = np.maximum(mu, LEAST_MEAN)
+    info = ((held / (1 + phi[:, None] * held)) @ pairs).reshape(len(y), p, p) + ridge
     return beta, info, deviance(y, mu, phi), mu
 
 
@@ -108,12 +119,18 @@ def adjusted_profile(y: np.ndarray, x: np.ndarray, offset: np.ndarray) -> np.nda
     Coefficients are fitted anew at each dispersion, so an effect the design explains does not count as spread.
     """
     out, beta = [], None
+    seen = y > 0
+    counts = y[seen]
+    factorial = log_gamma(counts + 1)
     for power in reversed(GRID_POWERS):
         phi = np.full(len(y), 0.1 * 2.0**power)
-        beta, info, _, mu = irls(y, x, offset, phi, beta)
-        r = 1 / phi[:, None]
-        ll = log_gamma(y + r) - log_gamma(r) - log_gamma(y + 1) + r * np.log(r / (r + mu)) + y * np.log(mu / (r + mu))
-        out.append(ll.sum(1) - 0.5 * np.linalg.slogdet(info)[1])
+        # the likelihood is flat at its top, so the coefficients need not be as close as for a test
+        beta, info, _, mu = irls(y, x, offset, phi, beta, PROFILE_TOLERANCE)
+        r = 1 / phi[0]
+        part = np.zeros_like(y)
+        part[seen] = log_gamma(counts + r) - log_gamma(np.array([r])) - factorial + counts * np.log(mu[seen] / (r + mu[seen]))
+        ll = (part + r * np.log(r / (r + mu))).sum(1)
+        out.append(ll - 0.5 * np.linalg.slogdet(info)[1])
     return np.stack(out[::-1], 1)
 
 
