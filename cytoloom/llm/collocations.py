@@ -43,7 +43,7 @@ BUCKETS_PER_PARTITION = 2
 
 BLANK = pa.scalar(" ", pa.large_string())
 BREAK = [pa.scalar("\n", pa.large_string()), BLANK]
-PHRASES = "lang string, bucket int, phrases array<string>, counts array<int>"
+PHRASES = "lang string, bucket int, phrases string, counts array<int>"
 
 
 def _tokens(block: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
@@ -70,7 +70,7 @@ def _tokens(block: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray, np
 
 
 def _phrase_rows(block: pa.RecordBatch, n: int, buckets: int) -> pa.RecordBatch:
-    """The edges of a block and the flow of every shorter phrase, packed by language and bucket.
+    """The edges of a block and the flow of every shorter phrase, packed by language and bucket: lines of text and their counts.
 
     A bucket holds whole nodes: a phrase of ``n`` words goes with its first ``n - 1``.
     """
@@ -114,7 +114,7 @@ def _phrase_rows(block: pa.RecordBatch, n: int, buckets: int) -> pa.RecordBatch:
     head = place[sort][starts]
     return pa.RecordBatch.from_arrays(
         [langs.take(pa.array(head // buckets)).cast(pa.string()), pa.array((head % buckets).astype(np.int32)),
-         pa.ListArray.from_arrays(offsets, text), pa.ListArray.from_arrays(offsets, pa.array(counts))],
+         pc.binary_join(pa.ListArray.from_arrays(offsets, text), "\n"), pa.ListArray.from_arrays(offsets, pa.array(counts))],
         ["lang", "bucket", "phrases", "counts"],
     )
 
@@ -134,7 +134,7 @@ def phrase_counts(docs: DataFrame, max_words: int, min_count: int) -> DataFrame:
 
     # one shuffle of packed rows; sums are taken inside a bucket
     rows = docs.select("text", "lang").mapInArrow(phrases, PHRASES).repartition("lang", "bucket")
-    each = rows.select("lang", "bucket", F.explode(F.arrays_zip(F.col("phrases").alias("phrase"), F.col("counts").alias("n"))).alias("e"))
+    each = rows.select("lang", "bucket", F.explode(F.arrays_zip(F.split("phrases", "\n", -1).alias("phrase"), F.col("counts").alias("n"))).alias("e"))
     summed = each.groupBy("lang", "bucket", "e.phrase").agg(F.sum("e.n").alias("n")).where((F.col("n") >= min_count) | (F.col("phrase") == ""))
     words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
     return stored(summed.select("lang", "phrase", words.alias("k"), "n"), "phrases")

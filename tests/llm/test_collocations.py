@@ -81,7 +81,7 @@ def test_blocks_of_a_batch_add_up(step):
     have, places = Counter(), defaultdict(set)
     for block in blocks(batch, size=step):
         for r in collocations._phrase_rows(block, 3, 7).to_pylist():
-            for phrase, count in zip(r["phrases"], r["counts"]):
+            for phrase, count in zip(r["phrases"].split("\n"), r["counts"], strict=True):
                 have[r["lang"], phrase] += count
                 places[r["lang"], " ".join(phrase.split(" ")[:2])].add(r["bucket"])
     assert +have == f + Counter({(lang, ""): c for lang, c in n.items()})
