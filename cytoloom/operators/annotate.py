@@ -6,19 +6,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cytoloom.functions.stats import dense_index, fresh
 from cytoloom.schema import CELL
 from cytoloom.session import cut_lineage
 
 # Quantile of a label's profile correlations that scores the label; fine-tuning margin (fixed values).
 SCORE_QUANTILE = 0.8
 TUNE_MARGIN = 0.05
-# Numbers of a reference matrix that may travel to every executor (256 MB).
-MATRIX_LIMIT = 32_000_000
+# Numbers of a block of the reference (32 MB), and entries of cells that meet it in one task.
+MATRIX_LIMIT = 4_000_000
+ENTRIES_PER_TASK = 1_000_000
 
 
 def _dense_ranks(values: DataFrame, keys: list[str], n_genes: int) -> DataFrame:
@@ -56,26 +56,28 @@ def _centred_reference(reference: DataFrame, genes: DataFrame, n_genes: int) ->
     return ranks.select("profile", "feature", (F.col("rank") - centre).alias("centred")), facts
 
 
-def _block_products(matrix, n_profiles: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ref = matrix.value
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            sizes = pdf["genes"].map(len).to_numpy()
-            genes = np.concatenate(pdf["genes"].to_numpy()).astype(int)
-            weights = np.concatenate(pdf["weights"].to_numpy()).astype(float)
-            ends = np.cumsum(sizes)
-            dots = np.empty((len(pdf), n_profiles))
-            lo = 0
-            # a few hundred cells at a time keep the gathered reference rows small
-            while lo < len(pdf):
-                hi = min(len(pdf), lo + max(1, int(4_000_000 // (sizes[lo : lo + 256].max() * n_profiles + 1))))
-                a, b = ends[lo] - sizes[lo], ends[hi - 1]
-                starts = ends[lo:hi] - sizes[lo:hi] - a
-                dots[lo:hi] = np.add.reduceat(ref[genes[a:b]] * weights[a:b, None], starts, axis=0)
-                lo = hi
-            yield pdf[[*CELL, "norm"]].assign(dots=list(dots))
+def _block_products(n_profiles: int):
+    def run(cells: pd.DataFrame, reference: pd.DataFrame) -> pd.DataFrame:
+        if cells.empty:
+            return pd.DataFrame(columns=[*CELL, "squares", "n", "zero_rank", "weight", "dots"], dtype=object)
+        ref = np.zeros((int(reference["gene"].max()) + 1, n_profiles))
+        rows = np.repeat(reference["gene"].to_numpy(int), reference["places"].map(len).to_numpy())
+        ref[rows, np.concatenate(reference["places"].to_numpy()).astype(int)] = np.concatenate(reference["lifts"].to_numpy())
+        sizes = cells["genes"].map(len).to_numpy()
+        genes = np.concatenate(cells["genes"].to_numpy()).astype(int)
+        weights = np.concatenate(cells["weights"].to_numpy()).astype(float)
+        ends = np.cumsum(sizes)
+        dots = np.empty((len(cells), n_profiles))
+        lo = 0
+        # some cells at a time keep the gathered reference rows small
+        while lo < len(cells):
+            start = ends[lo] - sizes[lo]
+            hi = max(lo + 1, int(np.searchsorted(ends, start + 4_000_000 // n_profiles, "right")))
+            a, b = start, ends[hi - 1]
+            starts = ends[lo:hi] - sizes[lo:hi] - a
+            dots[lo:hi] = np.add.reduceat(ref[genes[a:b]] * weights[a:b, None], starts, axis=0)
+            lo = hi
+        return cells[[*CELL, "squares", "n", "zero_rank", "weight"]].assign(dots=list(dots))
 
     return run
 
@@ -89,61 +91,70 @@ def profile_correlations(counts: DataFrame, reference: DataFrame) -> tuple[DataF
     applied. With centred profile ranks the zeros of a cell cancel: the correlation is
     the sum over its expressed genes of (rank - zero rank) * centred profile rank.
 
-    A reference of up to MATRIX_LIMIT numbers goes to the executors as one matrix and a
-    cell's row is formed where its ranks are, without another shuffle. A larger one is
-    joined gene by gene, the ranks of all profiles for one gene in one vector.
+    Genes are dealt by hash to blocks of MATRIX_LIMIT reference numbers. A block of the reference meets
+    the entries of its genes in tasks of about ENTRIES_PER_TASK, and a cell's sums over the
+    blocks are added up. Profile names and two numbers of each are all that the driver sees.
     """
-    spark = counts.sparkSession
     genes = reference.select("feature").distinct()
-    # the names shape the vectors, so they are fetched: one gene list, one list of profiles
+    # the names shape the vectors, so they are fetched: one list of profiles
     profiles = [r[0] for r in reference.select("profile").distinct().orderBy("profile").collect()]
-    names = genes.orderBy("feature").toPandas()["feature"]
-    n_genes = len(names)
+    n_genes = genes.count()
     centre = (n_genes + 1) / 2.0
     centred, facts = _centred_reference(reference, genes, n_genes)
     facts = {r["profile"]: (r["zero"], r["norm"]) for r in facts.collect()}
     zero = [float(facts[p][0]) if p in facts else 0.0 for p in profiles]
     norm = [float(facts[p][1]) if p in facts else 0.0 for p in profiles]
+    n_blocks = max(1, -(-n_genes // max(1, MATRIX_LIMIT // max(1, len(profiles)))))
+    dealt = genes.withColumn("block", F.pmod(F.xxhash64("feature"), F.lit(n_blocks)).cast("int"))
+    numbered = dense_index(dealt, ["block"], ["feature"], "gene").withColumn("gene", (F.col("gene") - 1).cast("int"))
+    numbered = cut_lineage(numbered)
     ranked = _dense_ranks(counts.select(*CELL, "feature", "value").join(genes, "feature", "left_semi"), CELL, n_genes)
-    cell_norm = F.sqrt(
-        F.sum(F.pow(F.col("rank") - centre, 2))
-        + (n_genes - F.count(F.lit(1))) * F.pow(F.first("zero_rank") - centre, 2)
-    ).alias("norm")
-    if n_genes * len(profiles) <= MATRIX_LIMIT:
-        place = {p: i for i, p in enumerate(profiles)}
-        row = pd.Series(np.arange(n_genes), index=names)
-        matrix = np.tile(np.array(zero), (n_genes, 1))
-        entries = centred.toPandas()
-        matrix[row[entries["feature"]].to_numpy(), entries["profile"].map(place).to_numpy()] = entries["centred"]
-        numbered = spark.createDataFrame(pd.DataFrame({"feature": names, "gene": np.arange(n_genes)}))
-        per_cell = (
-            ranked.join(numbered, "feature")
-            .groupBy(*CELL)
-            .agg(
-                cell_norm,
-                F.collect_list("gene").alias("genes"),
-                F.collect_list(F.col("rank") - F.col("zero_rank")).alias("weights"),
-            )
+    weight = F.col("rank") - F.col("zero_rank")
+    entries = (
+        ranked.join(numbered, "feature")
+        .groupBy(*CELL, "block")
+        .agg(
+            F.sum(F.pow(F.col("rank") - centre, 2)).alias("squares"),
+            F.count(F.lit(1)).alias("n"),
+            F.first("zero_rank").alias("zero_rank"),
+            F.sum(weight).alias("weight"),
+            F.collect_list("gene").alias("genes"),
+            F.collect_list(weight).alias("weights"),
         )
-        sums = per_cell.mapInPandas(
-            _block_products(spark.sparkContext.broadcast(matrix), len(profiles)),
-            "sample_id string, cell_id string, norm double, dots array<double>",
+    )
+    entries = cut_lineage(entries)
+    n_salts = max(1, -(-(entries.agg(F.sum("n")).first()[0] or 0) // (n_blocks * ENTRIES_PER_TASK)))
+    salted = entries.withColumn("salt", F.pmod(F.xxhash64(*CELL), F.lit(n_salts)).cast("int"))
+    places = F.create_map(*[F.lit(x) for i, p in enumerate(profiles) for x in (p, i)]) if profiles else F.lit(None).cast("map<string,int>")
+    zeros = F.create_map(*[F.lit(x) for p, z in zip(profiles, zero) for x in (p, z)]) if profiles else F.lit(None).cast("map<string,double>")
+    rows = (
+        centred.join(numbered, "feature")
+        .groupBy("block", "gene")
+        .agg(
+            F.collect_list(places[F.col("profile")]).alias("places"),
+            F.collect_list(F.col("centred") - zeros[F.col("profile")]).alias("lifts"),
         )
-    else:
-        in_order = F.array(*[F.coalesce(F.element_at(F.col("_m"), F.lit(p)), F.lit(z)) for p, z in zip(profiles, zero)])
-        by_gene = genes.join(
-            centred.groupBy("feature").agg(F.map_from_entries(F.collect_list(F.struct("profile", "centred"))).alias("_m")),
-            "feature",
-            "left",
-        ).select("feature", array_to_vector(in_order).alias("ranks"))
-        sums = (
-            ranked.join(by_gene, "feature")
-            .groupBy(*CELL)
-            .agg(cell_norm, Summarizer.sum(F.col("ranks"), F.col("rank") - F.col("zero_rank")).alias("_dot"))
-            .select(*CELL, "norm", vector_to_array("_dot").alias("dots"))
+    )
+    # a gene that no profile expresses has no rank of its own, but holds its place in the block
+    rows = numbered.join(rows, ["block", "gene"], "left").select(
+        "block", "gene",
+        F.coalesce("places", F.array().cast("array<int>")).alias("places"),
+        F.coalesce("lifts", F.array().cast("array<double>")).alias("lifts"),
+        F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1))).alias("salt"),
+    )
+    parts = (
+        salted.groupBy("block", "salt")
+        .cogroup(fresh(rows).groupBy("block", "salt"))
+        .applyInPandas(
+            _block_products(len(profiles)),
+            "sample_id string, cell_id string, squares double, n long, zero_rank double, weight double, dots array<double>",
         )
-    norms = F.array(*[F.lit(n) for n in norm])
-    cors = F.zip_with("dots", norms, lambda d, n: d / (F.col("norm") * n))
+    )
+    cell_norm = F.sqrt(F.sum("squares") + (n_genes - F.sum("n")) * F.pow(F.first("zero_rank") - centre, 2))
+    summed = F.array(*[F.sum(F.col("dots")[i]) for i in range(len(profiles))]).cast("array<double>")
+    sums = parts.groupBy(*CELL).agg(cell_norm.alias("norm"), F.sum("weight").alias("weight"), summed.alias("dots"))
+    fixed = F.array(*[F.struct(F.lit(z).alias("zero"), F.lit(n).alias("norm")) for z, n in zip(zero, norm)])
+    cors = F.zip_with("dots", fixed, lambda d, f: (d + F.col("weight") * f["zero"]) / (F.col("norm") * f["norm"]))
     return sums.select(*CELL, cors.alias("cors")), profiles
 
 

@@ -188,6 +188,21 @@ def test_profile_correlation_is_spearman(spark, monkeypatch, limit):
             assert math.isclose(r.cors[j], a.corr(b), abs_tol=1e-9)
 
 
+def test_reference_stays_off_the_driver(spark, monkeypatch):
+    m, counts, _, _ = poisson_counts(spark, 40, 6, 1)
+    reference = counts.select(F.col("cell_id").alias("profile"), "feature", "value")
+
+    def refused(self):
+        raise AssertionError("a table of genes came to the driver")
+
+    monkeypatch.setattr(type(counts), "toPandas", refused)
+    monkeypatch.setattr(annotate, "ENTRIES_PER_TASK", 7)
+    monkeypatch.setattr(annotate, "MATRIX_LIMIT", 60)
+    df, profiles = annotate.profile_correlations(counts, reference)
+    for r in df.collect():
+        assert math.isclose(r["cors"][profiles.index(r["cell_id"])], 1, abs_tol=1e-9)
+
+
 def test_neighbours_against_brute_force(spark):
     rng = np.random.default_rng(4)
     x = np.vstack([rng.normal(c, 0.3, (80, 3)) for c in (0, 4, 9)])
