@@ -49,10 +49,15 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(np.uint64(b).astype(np.int64))
 
 
-def _repeated(shingles: list[np.ndarray]) -> pa.RecordBatch:
-    """Shingles of more than one of these documents, with the number of documents."""
-    values, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *shingles]), return_counts=True)
-    values, counts = values[counts > 1].astype(np.int64), counts[counts > 1]
+def _repeated(shingles: np.ndarray) -> pa.RecordBatch:
+    """Shingles of more than one of the documents whose sets these are, with the number of documents; sorts in place."""
+    shingles.sort()
+    again = np.zeros(len(shingles) + 1, np.int8)
+    np.equal(shingles[1:], shingles[:-1], out=again[1:-1].view(bool))
+    # a run of equal shingles begins where the comparison turns true and ends where it turns false
+    turns = np.diff(again)
+    starts, ends = np.flatnonzero(turns > 0), np.flatnonzero(turns < 0)
+    values, counts = shingles[starts].astype(np.int64), ends - starts + 1
     zeros = pa.array(np.zeros(len(values), np.int64))
     return pa.RecordBatch.from_arrays(
         [pa.array(np.ones(len(values), np.int32)), pa.array(values), pa.array(counts.astype(np.int64)), zeros, zeros],
@@ -64,23 +69,24 @@ def _signature(docs: DataFrame, k: int) -> DataFrame:
     """Rows of kind 0: (doc_id, set size, digest); of kind 1: (shingle, documents of a part of a task that have it)."""
 
     def run(batches):
-        held, size = [], 0
+        held, size = np.empty(COUNTED, np.uint64), 0
         for batch in batches:
             n, d1, d2 = [], [], []
             for s in shingle_sets(batch, k):
-                held.append(s)
-                size += len(s)
                 a, b = _digest(s)
                 n.append(len(s)), d1.append(a), d2.append(b)
-                if size >= COUNTED:
-                    yield _repeated(held)
-                    held, size = [], 0
+                if size + len(s) > COUNTED:
+                    yield _repeated(held[:size])
+                    size = 0
+                if len(s) <= COUNTED:  # a set alone repeats nothing
+                    held[size : size + len(s)] = s
+                    size += len(s)
             kind = pa.array(np.zeros(len(n), np.int32))
             yield pa.RecordBatch.from_arrays(
                 [kind, batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64())],
                 ["kind", "doc_id", "n", "d1", "d2"],
             )
-        yield _repeated(held)
+        yield _repeated(held[:size])
 
     return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), run, "kind int, doc_id long, n long, d1 long, d2 long")
 

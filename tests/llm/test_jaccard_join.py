@@ -2,8 +2,11 @@
 
 import random
 import re
+import tracemalloc
 from itertools import combinations
 
+import numpy as np
+
 from cytoloom.llm import jaccard_join
 from cytoloom.llm.jaccard_join import drop_near_copies, drop_near_copy_rows, jaccard_components
 from cytoloom.session import stored
@@ -135,3 +138,16 @@ def test_a_passage_of_many_documents_makes_no_candidates(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "stored", counted)
     same(spark, rows, 5, 4, 5)
     assert sum(seen) < 200
+
+
+def test_counting_needs_little_beside_the_shingles():
+    shingles = np.random.default_rng(3).integers(0, 1 << 20, 1 << 20).astype(np.uint64)
+    values, counts = np.unique(shingles, return_counts=True)
+    tracemalloc.start()
+    found = jaccard_join._repeated(shingles)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found["doc_id"].to_numpy().tolist() == values[counts > 1].tolist()
+    assert found["n"].to_numpy().tolist() == counts[counts > 1].tolist()
+    assert peak < 2.5 * shingles.nbytes
+    assert jaccard_join._repeated(shingles[:0]).num_rows == 0
