@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cytoloom.functions.stats import dense_index, fresh
+from cytoloom.functions.stats import dense_index, fresh, spread
 from cytoloom.operators.components import group_components
 from cytoloom.operators.features import top_variance_features
 from cytoloom.operators.merging import nested_clusters
@@ -15,8 +15,9 @@ from cytoloom.operators.normalize import log_normalise
 from cytoloom.schema import CELL
 from cytoloom.session import cut_lineage
 
-# Cells of a group that one task may hold, components and neighbours used (fixed values).
+# Cells of a group whose genes, and whose coordinates, one task may hold; components and neighbours used (fixed values).
 CELLS_PER_BLOCK = 5000
+POINTS_PER_TASK = 50_000
 COMPONENTS = 10
 NEIGHBOURS = 5
 
@@ -63,7 +64,7 @@ def coordinates(values: DataFrame, members: DataFrame, cells_per_block: int = CE
     schema = "group_id string, id string, vec array<double>"
     small = members.join(large, "group_id", "left_anti")
     own = values.join(large, "group_id", "left_anti")
-    found = small.groupBy("group_id").cogroup(fresh(own).groupBy("group_id")).applyInPandas(_small_components, schema)
+    found = spread(small, "group_id").groupBy("group_id").cogroup(spread(fresh(own), "group_id").groupBy("group_id")).applyInPandas(_small_components, schema)
     if large.isEmpty():
         return found
     many = members.join(large, "group_id", "left_semi")
@@ -74,14 +75,15 @@ def coordinates(values: DataFrame, members: DataFrame, cells_per_block: int = CE
 
 
 def membership_rows(
-    counts: DataFrame, cells: DataFrame, kept: DataFrame | None = None, n_features: int = 1000, cells_per_block: int = CELLS_PER_BLOCK
-) -> DataFrame:
+    counts: DataFrame, cells: DataFrame, kept: DataFrame | None = None, n_features: int = 1000,
+    cells_per_block: int = CELLS_PER_BLOCK, points_per_task: int = POINTS_PER_TASK,
+) -> DataFrame:
     """(sample_id, cell_type, cell_id, gamma, metacell) of every quality cell, for 2, 4, 8 … cells a metacell.
 
     Metacells form inside a whole (sample, cell type); a missing cell type is ``NA``. A group of n cells has round(n / gamma)
     metacells while gamma <= n, numbered by their smallest cell; up to two cells are one metacell of gamma 2. Merging goes
-    on from one size to the next, so memberships nest. ``cells_per_block`` is what one task may hold; larger
-    groups are decomposed and merged by several tasks.
+    on from one size to the next, so memberships nest. Groups of more than ``cells_per_block`` cells are decomposed by several
+    tasks; their coordinates are small, so only groups of more than ``points_per_task`` are merged by several tasks.
     """
     if kept is not None:
         cells = cells.join(kept.select(*CELL), CELL, "left_semi")
@@ -93,7 +95,7 @@ def membership_rows(
     values = log_normalise(counts).join(chosen, ["sample_id", "feature"], "left_semi").join(placed, CELL)
     values = cut_lineage(values.select("group_id", F.col("cell_id").alias("id"), "feature", "value"))
     members = placed.select("group_id", F.col("cell_id").alias("id"))
-    nested = cut_lineage(nested_clusters(coordinates(values, members, cells_per_block), NEIGHBOURS, cells_per_block))
+    nested = cut_lineage(nested_clusters(coordinates(values, members, cells_per_block), NEIGHBOURS, points_per_task))
     key = ["group_id", "gamma", "cluster"]
     numbers = dense_index(nested.select(*key).distinct(), key[:2], key[2:], "metacell")
     rows = nested.join(numbers, key).select("group_id", F.col("id").alias("cell_id"), "gamma", "metacell")

@@ -203,6 +203,24 @@ def test_reference_stays_off_the_driver(spark, monkeypatch):
         assert math.isclose(r["cors"][profiles.index(r["cell_id"])], 1, abs_tol=1e-9)
 
 
+def test_many_copies_halve_in_one_step(monkeypatch):
+    nearest, steps = merging.nearest, []
+    monkeypatch.setattr(merging, "nearest", lambda x, k: steps.append(len(x)) or nearest(x, k))
+    label = merging.merge_to(np.zeros((64, 3)), np.ones(64), np.arange(64), 32, 5)
+    assert steps == [64] and np.bincount(label).tolist() == [2] * 32
+
+
+def test_few_rows_are_compared_with_all_others(monkeypatch):
+    exact, rows = merging._exact, []
+    monkeypatch.setattr(merging, "_exact", lambda x, at, k: rows.extend(at) or exact(x, at, k))
+    x = np.random.default_rng(2).normal(size=(300, 10))
+    x[:40] = x[0]
+    near, distance = merging.nearest(x, 5)
+    assert set(range(40)) <= set(rows) and len(rows) < 150
+    want = exact(x, np.arange(300), 5)
+    assert np.array_equal(near, want[0]) and np.array_equal(distance, want[1])
+
+
 def test_neighbours_against_brute_force(spark):
     rng = np.random.default_rng(4)
     x = np.vstack([rng.normal(c, 0.3, (80, 3)) for c in (0, 4, 9)])
