@@ -9,6 +9,9 @@ text averages these numbers, and every distinct word is scored once per task.
 
 from __future__ import annotations
 
+import tempfile
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -78,7 +81,34 @@ def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     return at.astype(np.int32), weights[at].astype(np.float32)
 
 
-def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float]:
+class Bags:
+    """The bags of many texts, in an unnamed temporary file of the task that ends with it."""
+
+    def __init__(self):
+        self.file, self.ends = tempfile.TemporaryFile(), array("q", [0])
+
+    def __enter__(self) -> Bags:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.file.close()
+
+    def __len__(self) -> int:
+        return len(self.ends) - 1
+
+    def add(self, text: str) -> None:
+        at, weights = bag(text)
+        self.file.write(at.tobytes())
+        self.file.write(weights.tobytes())
+        self.ends.append(self.ends[-1] + at.nbytes + weights.nbytes)
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        self.file.seek(self.ends[i])
+        data = self.file.read(self.ends[i + 1] - self.ends[i])
+        return np.frombuffer(data, np.int32, len(data) // 8), np.frombuffer(data, np.float32, offset=len(data) // 2)
+
+
+def fit(bags: Bags, toxic: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float]:
     """One number per subword bucket and the bias, from vectors and softmax trained together."""
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-0.1, 0.1, (1 << BUCKET_BITS, DIMENSIONS))
@@ -86,18 +116,10 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> tuple[np.ndarray,
     share = np.clip((toxic.sum() + 0.5) / (len(toxic) + 1.0), 1e-6, 1 - 1e-6)
     bias = np.log(np.array([1 - share, share]))
     v2, l2, b2 = np.full(len(vectors), 1e-10), np.full(layer.shape, 1e-6), np.full(2, 1e-6)
-    # all bags in two growing buffers: thousands of small arrays would stay in the worker's heap
-    ends, buckets, shares = [0], bytearray(), bytearray()
-    for text in texts:
-        at, weights = bag(text)
-        buckets += at.tobytes()
-        shares += weights.tobytes()
-        ends.append(ends[-1] + len(at))
-    buckets, shares = np.frombuffer(buckets, np.int32), np.frombuffer(shares, np.float32)
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
-        for i in rng.permutation(len(texts)):
-            at, weights = buckets[ends[i] : ends[i + 1]], shares[ends[i] : ends[i + 1]]
+        for i in rng.permutation(len(bags)):
+            at, weights = bags[i]
             hidden = weights @ vectors[at] if len(at) else np.zeros(DIMENSIONS)
             z = hidden @ layer + bias
             p = np.exp(z - z.max())
@@ -120,7 +142,7 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> tuple[np.ndarray,
 def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     """Fit on at most MAX_TRAINING_ROWS labelled documents whose crc32(doc_id) mod 4 is not 2.
 
-    The fit runs in one task over that bounded sample. Rows without id or label are left out; a
+    The fit runs in one task over that bounded sample, whose bags wait in a temporary file. Rows without id or label are left out; a
     doc_id labelled both ways counts as toxic. Without labelled documents every score is 0.
     """
     chosen = stored(
@@ -142,13 +164,15 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     )
 
     def run(batches):
-        texts, toxic = [], []
-        for batch in batches:
-            texts += texts_of(batch)
-            toxic += batch.column("toxic").to_pylist()
-        if not texts:
-            return
-        numbers, bias = fit(texts, np.array(toxic) > 0)
+        toxic = []
+        with Bags() as bags:
+            for batch in batches:
+                toxic += batch.column("toxic").to_pylist()
+                for text in texts_of(batch):
+                    bags.add(text)
+            if not toxic:
+                return
+            numbers, bias = fit(bags, np.array(toxic) > 0)
         yield pa.RecordBatch.from_arrays([pa.array([numbers.astype(np.float32).tobytes()]), pa.array([bias])], ["numbers", "bias"])
 
     model = map_batches(sample, run, "numbers binary, bias double").collect()  # one row of fixed size

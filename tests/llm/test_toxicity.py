@@ -1,8 +1,11 @@
 """Held-out quality, misspellings, odd rows."""
 
 import random
+import tracemalloc
 import zlib
 
+import numpy as np
+
 from cytoloom.llm import toxicity
 from tests.llm.cases import empty_docs, odd_docs
 
@@ -49,3 +52,18 @@ def test_odd_rows(spark):
     assert all(r.predicted == 0 for r in toxicity.score(docs, nothing).collect())
     assert toxicity.drop_toxic(docs, nothing).count() == docs.count()
     assert toxicity.drop_toxic(docs, labels).columns == docs.columns
+
+
+def test_bags_of_the_sample_stay_out_of_memory(monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choice("aeioutrnsl") for _ in range(9)) for _ in range(600)) for _ in range(400)]
+    monkeypatch.setattr(toxicity, "EPOCHS", 1)
+    tracemalloc.start()
+    with toxicity.Bags() as bags:
+        for text in texts:
+            bags.add(text)
+        toxicity.fit(bags, np.arange(400) % 2 > 0)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert bags.ends[-1] > 40e6 and peak < 30e6
+        assert all((a == b).all() for i in (0, 399) for a, b in zip(bags[i], toxicity.bag(texts[i])))
