@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from cytoloom.operators import reshape
 from cytoloom.plans import atlas
+from cytoloom.sources import adapters
 from cytoloom.sources import tables as src
 from cytoloom.streaming import incremental
 from tests.helpers import poisson_counts
@@ -106,3 +107,18 @@ def test_audit_both_ways(spark):
     a, b = spark.range(0, 5).toDF("k"), spark.range(3, 7).toDF("k")
     got = {tuple(r) for r in atlas.audit_cells(a, b, ["k"]).collect()}
     assert got == {(0, "missing"), (1, "missing"), (2, "missing"), (5, "unexpected"), (6, "unexpected")}
+
+
+def test_shuffles_widen_with_the_counts(spark, monkeypatch):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    monkeypatch.setattr(adapters, "ROWS_PER_PARTITION", 100)
+    try:
+        tables = adapters.Tables(spark, "/root/testdata/sf0.001")
+        tables.counts
+        assert int(spark.conf.get(name)) == -(-tables.lineitem.count() // 100) > int(before)
+        spark.conf.set(name, "5000")
+        adapters.Tables(spark, "/root/testdata/sf0.001").counts
+        assert spark.conf.get(name) == "5000"
+    finally:
+        spark.conf.set(name, before)
