@@ -2,8 +2,8 @@
 
 Every point joins the cell of its nearest pivot. A cell of points sends its queries to
 another cell only when the triangle inequality leaves room for a closer neighbour there.
-Distances are formed in numpy blocks of bounded size and only each block's best k leave
-the task, so no pair is ever written out. (Lu et al. 2012, kNN joins by Voronoi cells.)
+Products of numpy blocks of bounded size choose the candidates, whose distances are formed exactly; only
+each block's best k leave the task, so no pair is ever written out. (Lu et al. 2012, kNN joins by Voronoi cells.)
 """
 
 from __future__ import annotations
@@ -15,50 +15,83 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 4000
+from cytoloom.functions.stats import spread
+
+# Rows of a block, and points per pivot: a point travels to every cell it may have a neighbour in.
+BLOCK_ROWS = 16_000
+POINTS_PER_PIVOT = 8_000
 MAX_PIVOTS = 512
+# Candidates beyond k whose distances are formed exactly.
+SPARE_CANDIDATES = 16
 
 
 def _nearest_pivot(pivots: np.ndarray):
+    squares = (pivots**2).sum(1)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if pdf.empty:
                 continue
             x = np.stack(pdf["vec"].to_numpy()).astype(float)
-            own, reach = np.empty(len(x), "int32"), np.empty(len(x))
-            step = max(1, 8_000_000 // pivots.size)
+            own = np.empty(len(x), "int32")
+            step = max(1, 4_000_000 // len(pivots))
             for lo in range(0, len(x), step):
-                d = np.sqrt(((x[lo : lo + step, None, :] - pivots[None]) ** 2).sum(-1))
-                own[lo : lo + step] = d.argmin(1)
-                reach[lo : lo + step] = d.min(1)
-            yield pdf.assign(voronoi=own, reach=reach)
+                own[lo : lo + step] = (squares - 2 * x[lo : lo + step] @ pivots.T).argmin(1)
+            # any pivot close to the nearest will do, but the distance to it must be exact
+            yield pdf.assign(voronoi=own, reach=np.sqrt(((x - pivots[own]) ** 2).sum(1)))
 
     return run
 
 
-def _block_best(k: int, same: bool):
+def _all_best(part: np.ndarray, p: np.ndarray, own: np.ndarray, pid: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and distances of the k nearest points of every query, from all distances."""
+    d = np.sqrt(((part[:, None, :] - p[None]) ** 2).sum(-1))
+    d[own[:, None] == pid[None]] = np.inf
+    # equal distances are settled by id, so results do not depend on the blocks
+    keys = np.lexsort((np.broadcast_to(pid, d.shape), np.round(d, 9)), axis=1)[:, :k]
+    return keys, np.take_along_axis(d, keys, 1)
+
+
+def _block_best(k: int):
     def run(queries: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or points.empty:
             return pd.DataFrame({"id": [], "neighbour": [], "distance": []})
         q = np.stack(queries["vec"].to_numpy()).astype(float)
         p = np.stack(points["other_vec"].to_numpy()).astype(float)
         qid, pid = queries["id"].to_numpy(), points["other_id"].to_numpy()
-        out = []
-        step = max(1, 20_000_000 // (len(p) * max(q.shape[1], 1)))
-        for lo in range(0, len(q), step):
-            part = q[lo : lo + step]
-            d = np.sqrt(((part[:, None, :] - p[None]) ** 2).sum(-1))
-            if same:
-                d[qid[lo : lo + step, None] == pid[None]] = np.inf
-            take = min(k, d.shape[1])
-            # equal distances are settled by id, so results do not depend on the blocks
-            keys = np.lexsort((np.broadcast_to(pid, d.shape), np.round(d, 9)), axis=1)[:, :take]
-            best = np.take_along_axis(d, keys, 1)
-            rows, cols = np.nonzero(np.isfinite(best))
-            out.append(
-                pd.DataFrame({"id": qid[lo + rows], "neighbour": pid[keys[rows, cols]], "distance": best[rows, cols]})
-            )
-        return pd.concat(out)
+        n, few = len(p), k + 1 + SPARE_CANDIDATES
+        take = min(k, n)
+        near, distance = np.empty((len(q), take), int), np.empty((len(q), take))
+        step = max(1, 20_000_000 // max(1, p.size))
+        unsure = np.arange(len(q))
+        if n > 2 * few:
+            # products of matrices choose a few candidates, whose distances are then formed exactly
+            middle = p.mean(0)
+            centred, asked = p - middle, q - middle
+            squares, own = (centred**2).sum(1), (asked**2).sum(1)
+            # far beyond the rounding errors of the products, and of the digits of a distance
+            slack = 1e-10 * (squares.max() + own.max()) + 1e-8 * np.sqrt(squares.max() + own.max()) + 1e-8
+            unsure = []
+            block = max(1, 4_000_000 // n)
+            for lo in range(0, len(q), block):
+                rows = np.arange(lo, min(len(q), lo + block))
+                about = asked[rows] @ (-2 * centred.T)
+                about += squares
+                about += own[rows, None]
+                chosen = np.argpartition(about, few - 1, axis=1)[:, :few]
+                reach = np.take_along_axis(about, chosen, 1).max(1)
+                d = np.sqrt(((q[rows, None] - p[chosen]) ** 2).sum(-1))
+                d[qid[rows, None] == pid[chosen]] = np.inf
+                order = np.lexsort((pid[chosen], np.round(d, 9)), axis=1)[:, :take]
+                near[rows], distance[rows] = np.take_along_axis(chosen, order, 1), np.take_along_axis(d, order, 1)
+                # among many copies the candidates may not tell the k nearest from the others
+                unsure.append(rows[~(reach > distance[rows, -1] ** 2 + slack)])
+            unsure = np.concatenate(unsure)
+        for lo in range(0, len(unsure), step):
+            rows = unsure[lo : lo + step]
+            near[rows], distance[rows] = _all_best(q[rows], p, qid[rows], pid, take)
+        rows, cols = np.nonzero(np.isfinite(distance))
+        return pd.DataFrame({"id": qid[rows], "neighbour": pid[near[rows, cols]], "distance": distance[rows, cols]})
 
     return run
 
@@ -69,11 +102,11 @@ def nearest_neighbours(
     """(id, neighbour, distance, place) of the k nearest other points by euclidean distance.
 
     ``points`` has a unique id and an array column vec. Without ``n_pivots`` there is one
-    pivot per thousand points, at most MAX_PIVOTS.
+    pivot per POINTS_PER_PIVOT points, at most MAX_PIVOTS.
     """
     spark = points.sparkSession
     if n_pivots is None:
-        n_pivots = min(MAX_PIVOTS, 1 + points.count() // 1000)
+        n_pivots = min(MAX_PIVOTS, 1 + points.count() // POINTS_PER_PIVOT)
     # a fixed number of pivots, chosen by hash: small on the driver whatever the table
     chosen = points.orderBy(F.md5(F.col("id").cast("string")), "id").limit(n_pivots).select("vec").collect()
     if not chosen:
@@ -124,9 +157,10 @@ def nearest_neighbours(
         )
     )
     best = (
-        queries.groupBy("qv", "pv", "qb", "pb")
-        .cogroup(others.groupBy("to_qv", "to_pv", "to_qb", "to_pb"))
-        .applyInPandas(_block_best(k, True), f"id {id_type}, neighbour {id_type}, distance double")
+        spread(queries, "qv", "pv", "qb", "pb")
+        .groupBy("qv", "pv", "qb", "pb")
+        .cogroup(spread(others, "to_qv", "to_pv", "to_qb", "to_pb").groupBy("to_qv", "to_pv", "to_qb", "to_pb"))
+        .applyInPandas(_block_best(k), f"id {id_type}, neighbour {id_type}, distance double")
     )
     # a query meets at most k rows per visited block
     w = Window.partitionBy("id").orderBy(F.round("distance", 9), "neighbour")

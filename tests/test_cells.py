@@ -234,6 +234,20 @@ def test_neighbours_against_brute_force(spark):
         assert list(got[got.id == i].sort_values("place").neighbour) == want
 
 
+def test_few_queries_meet_every_point_of_a_block(monkeypatch):
+    exact, rows = neighbours._all_best, []
+    monkeypatch.setattr(neighbours, "_all_best", lambda q, p, own, pid, k: rows.extend(own) or exact(q, p, own, pid, k))
+    x = np.random.default_rng(2).normal(3, 1, size=(300, 10))
+    x[:40] = x[0]
+    ids = np.arange(300) * 7 % 300
+    points = pd.DataFrame({"other_id": ids, "other_vec": list(x)})
+    got = neighbours._block_best(5)(pd.DataFrame({"id": ids, "vec": list(x)}), points)
+    assert set(ids[:40]) <= set(rows) and len(rows) < 150
+    near, distance = exact(x, x, ids, ids, 5)
+    assert got["neighbour"].to_numpy().reshape(300, 5).tolist() == ids[near].tolist()
+    assert np.array_equal(got["distance"].to_numpy().reshape(300, 5), distance)
+
+
 def test_metacells_nest_and_stay_whole(spark):
     _, counts, cells, _ = poisson_counts(spark, 60, 90, 1)
     small = cells.where("cell_id in ('Cell1', 'Cell3')").withColumn("cell_type", F.lit("pair"))
