@@ -221,6 +221,27 @@ def test_few_rows_are_compared_with_all_others(monkeypatch):
     assert np.array_equal(near, want[0]) and np.array_equal(distance, want[1])
 
 
+def test_copies_are_searched_once(monkeypatch):
+    nearest, sizes = merging.nearest, []
+    rng = np.random.default_rng(5)
+    for copies, n in ((250, 300), (3, 40), (60, 60)):
+        x = rng.integers(0, 40, (n, 3)).astype(float)
+        x[rng.permutation(n)[:copies]] = 1.0
+        want = nearest(x, 6)
+        monkeypatch.setattr(merging, "nearest", lambda x, k: sizes.append(len(x)) or nearest(x, k))
+        near, distance = merging.nearest_with_copies(x, 6)
+        assert np.array_equal(near, want[0]) and np.array_equal(distance, want[1])
+        assert sizes[-1] == len(np.unique(x, axis=0))
+
+
+def test_large_groups_meet_in_leaves_only(spark):
+    rows = blobs(1200, groups=("a",))
+    points = cut_lineage(spark.createDataFrame(rows, "group_id string, id string, vec array<double>"))
+    plan = merging.group_neighbours(points, 20, leaf=100)._jdf.queryExecution().optimizedPlan().toString()
+    # no joins of a neighbour with its own neighbours, and a row per point and tree instead of one per pair
+    assert "further" not in plan and "others" in plan
+
+
 def test_neighbours_against_brute_force(spark):
     rng = np.random.default_rng(4)
     x = np.vstack([rng.normal(c, 0.3, (80, 3)) for c in (0, 4, 9)])
