@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cytoloom.operators import alive, differential, pseudobulk
 from cytoloom.plans import study
-from cytoloom.session import scratch_path
+from cytoloom.session import cut_lineage, scratch_path
 from cytoloom.sources.adapters import FEATURE_THRESHOLD
 from cytoloom.streaming import incremental
 from registry import query
@@ -73,7 +73,8 @@ def _(t):
 
 @query("de2_design_dispersions")
 def _(t):
-    bulk, samples = type_bulk(t), differential.with_libraries(type_bulk(t), type_samples(t))
+    bulk = cut_lineage(type_bulk(t))
+    samples = cut_lineage(differential.with_libraries(bulk, type_samples(t)))
     return differential.design_dispersions(bulk, samples, {"*": ("condition", ["batch"])})
 
 
@@ -111,7 +112,7 @@ def _(t):
 )
 def _(t):
     """Without dispersion and shrinkage the two-group model has a closed form: group rates and their deviances."""
-    bulk, samples = type_bulk(t), type_samples(t)
+    bulk, samples = cut_lineage(type_bulk(t)), type_samples(t)
     fits = differential.test_fixed_effects(bulk, samples, "condition", method="quasi_likelihood", dispersion=0.0, shrink=False)
     sums = bulk.join(samples, ["group_id", "sample_id"]).groupBy("group_id", "feature").agg(F.count_distinct("condition").alias("n"))
     kept = fits.where("residual_deviance > 0.01").join(sums.where("n = 2"), ["group_id", "feature"], "left_semi")

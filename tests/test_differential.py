@@ -236,3 +236,57 @@ def test_large_groups_take_the_trend(spark, monkeypatch):
     got = differential.design_dispersions(bulk, differential.with_libraries(bulk, design), {"*": ("condition", [])}).toPandas()
     assert len(got) == 30 and np.allclose(got.trended, got.dispersion)
     assert isinstance(got, pd.DataFrame)
+
+
+def climbed_profile(y, x, offset, phi):
+    """Adjusted log-likelihood of one gene by halved Newton steps, until its slope is nothing."""
+    r = 1 / phi
+    gammas = sum(math.lgamma(a + r) - math.lgamma(r) - math.lgamma(a + 1) for a in y)
+    height = lambda b: gammas + (y * (x @ b + offset) - (y + r) * np.logaddexp(np.log(r), x @ b + offset) + r * np.log(r)).sum()
+    beta = np.linalg.lstsq(x, np.log(np.maximum(y, 0.5)) - offset, rcond=None)[0]
+    for _ in range(500):
+        mu = np.exp(x @ beta + offset)
+        score = x.T @ ((y - mu) / (1 + phi * mu))
+        if np.abs(score).max() < 1e-9:
+            break
+        step = np.linalg.solve(x.T @ (x * (mu * (1 + phi * y) / (1 + phi * mu) ** 2)[:, None]), score)
+        while height(beta + step) < height(beta) - 1e-12:
+            step = step / 2
+        beta = beta + step
+    mu = np.exp(x @ beta + offset)
+    return height(beta) - 0.5 * np.linalg.slogdet(x.T @ (x * (mu / (1 + phi * mu))[:, None]))[1]
+
+
+def test_profiles_of_sparse_genes_reach_their_top():
+    """Steps with the expected information stood still too early at large dispersions."""
+    rng = np.random.default_rng(1)
+    place = np.arange(25)
+    x = np.stack([np.ones(25), place % 3 == 1, place % 3 == 2, place % 2 == 0], 1).astype(float)
+    y = np.where(rng.random((400, 25)) < 0.24, rng.integers(1, 51, (400, 25)), 0).astype(float)
+    # every cell of the design has a count, so the coefficients are finite
+    y = y[[all((row[c > 0] > 0).any() for c in (x[:, 1], x[:, 2], 1 - x[:, 1] - x[:, 2], x[:, 3], 1 - x[:, 3])) for row in y]]
+    offset = np.log(y.sum(0))
+    have = glm.adjusted_profile(y, x, offset)
+    for g, row in enumerate(y[:60]):
+        for at in (0, 12, 16, 20):
+            assert have[g, at] == pytest.approx(climbed_profile(row, x, offset, 0.1 * 2.0 ** glm.GRID_POWERS[at]), abs=5e-5)
+
+
+def test_genes_with_equal_counts_are_fitted_once(spark):
+    y, treated, batch = simulate(12, 1.0)
+    bulk, design = frames(spark, np.concatenate([y, y[:5]]), treated, batch)
+    fitted, members = differential.like_genes(bulk)
+    assert fitted.select("feature").distinct().count() == 12
+    assert {r.feature: r.like for r in members.collect()} == {f"f{g:03d}": f"f{g % 12:03d}" for g in range(17)}
+    got = differential.test_fixed_effects(bulk, design, "condition", ["batch"], method="quasi_likelihood").toPandas().set_index("feature")
+    assert len(got) == 17
+    columns = ["log2_fold_change", "lr", "s2_post", "p_value", "fdr"]
+    for g in range(5):
+        assert got.loc[f"f{g:03d}", columns].tolist() == got.loc[f"f{g + 12:03d}", columns].tolist()
+    # all seventeen count in the law of the variances
+    own = np.log(np.maximum(got["residual_deviance"] / got["df_residual"], 1e-5))
+    law = spark.createDataFrame([(float(own.mean()), float(own.var(ddof=1)), float(got["df_residual"].iloc[0]))], "m double, v double, df double")
+    prior = law.select(differential._prior_law("m", "v", "df").alias("law")).select("law.*").first()
+    df = got["df_residual"]
+    want = prior.s2_prior if math.isinf(prior.df_prior) else (prior.df_prior * prior.s2_prior + got["residual_deviance"]) / (prior.df_prior + df)
+    assert np.allclose(got["s2_post"], want, rtol=1e-9)
