@@ -405,3 +405,20 @@ def test_artificial_doublets_pair_the_whole_sample(spark):
     frame = spark.createDataFrame(spots, "sample_id string, cell_id string, artificial int, pcs array<double>")
     shares = {r.cell_id: r.share for r in doublet.artificial_share(frame, 3).collect()}
     assert all(shares[f"c{i}"] == (0.0 if i % 4 == 0 else 1 / 3) for i in range(40))
+
+
+def test_dispersions_smoothed_over_slices_equal_one_kernel(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    mean, over = 10 ** rng.normal(size=90), 10 ** rng.normal(size=90)
+    mean[60:], over[60:] = mean[:30], over[:30]
+    rows = [("a", f"g{i}", 0.1, float(m), float(o)) for i, (m, o) in enumerate(zip(mean, over))] + [("b", "lone", 0.1, 2.0, 0.5)]
+    models = spark.createDataFrame(rows, "sample_id string, feature string, rate double, mean double, overdispersion double")
+    monkeypatch.setattr(normalize, "GENES_PER_SLICE", 7)
+    got = normalize.smooth_dispersions(models).toPandas().set_index(["sample_id", "feature"])["theta"]
+    x, y = np.log10(mean), np.log10(1 / np.maximum(over, 1e-4))
+    grid = np.linspace(x.min(), x.max(), 512)
+    kernel = np.exp(-0.5 * ((grid[:, None] - x) / (3 * 1.06 * x.std() * len(x) ** -0.2)) ** 2)
+    want = 10 ** np.interp(x, grid, kernel @ y / kernel.sum(1))
+    assert np.allclose([got["a", f"g{i}"] for i in range(90)], want, rtol=1e-9)
+    assert got["b", "lone"] == pytest.approx(2.0)
+    assert len(got) == 91
