@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from cytoloom.functions.stats import dense_index, group_join, group_quantiles, ranked_values, value_counts
+from cytoloom.functions.stats import dense_index, group_join, group_quantiles, ranked_values, spread, value_counts
 from cytoloom.operators.normalize import log_normalise
 from cytoloom.schema import CELL
 from cytoloom.session import cut_lineage
@@ -135,7 +135,8 @@ def relabel(members: DataFrame, permutations: int, seed: int = 1) -> DataFrame:
     upto = F.sum("n").over(Window.partitionBy("sample_id").orderBy("cell_type"))  # a row per type
     ladder = size.select("sample_id", "cell_type", "n", upto.alias("upto")).groupBy("sample_id").agg(
         F.array_sort(F.collect_list(F.struct("upto", "cell_type"))).alias("_ladder"), F.sum("n").alias("_n"))
-    every = placed.join(ladder, "sample_id").withColumn("permutation", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
+    # few bytes a cell, but as many rows as permutations
+    every = spread(placed.join(ladder, "sample_id"), *CELL).withColumn("permutation", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
     key = F.xxhash64(F.lit(seed), "sample_id", "permutation")
     every = every.withColumn("_new", _new_place(F.col("place") - 1, "_n", key))
     return every.select(*CELL, "permutation", F.filter("_ladder", lambda s: s["upto"] > F.col("_new"))[0]["cell_type"].alias("cell_type"))
@@ -178,7 +179,8 @@ def cell_communication(
     observed = cut_lineage(observed)
     if permutations <= 0:
         return observed.withColumn("p_value", F.lit(None).cast("double"))
-    relabelled = relabel(members, permutations, seed)
+    # read for the sizes and for the values of the types
+    relabelled = cut_lineage(relabel(members, permutations, seed))
     shuffled = communication_probabilities(
         type_trimeans(values, relabelled, ["sample_id", "permutation", "cell_type"]), pairs, ["sample_id", "permutation"]
     ).withColumnRenamed("prob", "prob_drawn")

@@ -157,3 +157,13 @@ def test_relabelling_keeps_the_size_of_every_type(spark):
         assert have == want
     old = {(s, c): t for s, c, t in cells}
     assert all(sum(old[r.sample_id, r.cell_id] != r.cell_type for r in rows if r.permutation == p) > 20 for p in range(1, 16))
+
+
+def test_relabelled_cells_are_spread_over_tasks(spark):
+    """They came out of one task, as many times over as there are permutations."""
+    rows = [("a", f"c{i:03d}", "T" if i % 3 else "B") for i in range(200)]
+    members = spark.createDataFrame(rows, "sample_id string, cell_id string, cell_type string")
+    got = communication.relabel(members, 3).withColumn("task", F.spark_partition_id()).toPandas()
+    assert got.task.nunique() > 8
+    assert len(got.drop_duplicates(["cell_id", "permutation"])) == len(got) == 600
+    assert set(got.groupby(["permutation", "cell_type"]).size()[:, "B"]) == {67}
