@@ -122,3 +122,36 @@ def test_shuffles_widen_with_the_counts(spark, monkeypatch):
         assert spark.conf.get(name) == "5000"
     finally:
         spark.conf.set(name, before)
+
+
+def test_many_to_many_is_whole_spread_and_small_on_disk(spark, tmp_path, monkeypatch):
+    # keys come mixed, as nations do in orders; key 30 has no right row, some keys are null on either side
+    left = spark.range(3000).select(F.when(F.col("id") % 31 != 7, F.xxhash64("id") % 15 + 15).cast("int").alias("k"), F.col("id").alias("a"))
+    left = left.unionByName(spark.createDataFrame([(30, -1), (30, -1)], "k int, a long")).coalesce(1)
+    right = spark.range(6000).select(F.when(F.col("id") % 29 != 3, F.xxhash64("id", F.lit(1)) % 15 + 15).cast("int").alias("k"), F.col("id").alias("b"))
+    plain = left.join(right, "k", "left")
+    monkeypatch.setattr(atlas, "ROWS_PER_SLICE", 100)
+    got = atlas.many_to_many(left, right, "k")
+    assert got.columns == plain.columns
+    facts = [F.count(F.lit(1)), F.count("b"), F.count("k"), F.bit_xor(F.xxhash64("k", "a", "b")), F.sum(F.xxhash64("k", "a", "b").cast("decimal(38,0)"))]
+    assert got.agg(*facts).first() == plain.agg(*facts).first()
+    got.write.parquet(str(tmp_path / "pairs"))
+    stored = sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet"))
+    assert stored < 0.5 * got.count()
+    # one key alone: its pairs are still shared by several tasks
+    alone = atlas.many_to_many(left.withColumn("k", F.col("a") % 1), right.where("b < 50").withColumn("k", F.col("b") % 1), "k")
+    assert alone.select(F.spark_partition_id().alias("p")).distinct().count() > 4
+    assert atlas.many_to_many(left.limit(0), right, "k").count() == 0
+
+
+def test_jn5_many_to_many_stores_its_pairs_in_few_bytes(spark, tmp_path):
+    import registry
+
+    registry.load_all()
+    spark.range(3000).select(F.col("id").alias("c_custkey"), (F.xxhash64("id") % 13).cast("int").alias("c_nationkey")).write.parquet(str(tmp_path / "customer.parquet"))
+    spark.range(9000).select(F.col("id").alias("o_orderkey"), (F.col("id") % 3000).alias("o_custkey")).coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(5000).select(F.col("id").alias("s_suppkey"), (F.xxhash64("id") % 13).cast("int").alias("s_nationkey")).write.parquet(str(tmp_path / "supplier.parquet"))
+    pairs = registry.QUERIES["jn5_many_to_many"](spark, str(tmp_path))
+    pairs.write.parquet(str(tmp_path / "pairs"))
+    stored = sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet"))
+    assert stored < 0.6 * pairs.count()
