@@ -290,3 +290,32 @@ def test_genes_with_equal_counts_are_fitted_once(spark):
     df = got["df_residual"]
     want = prior.s2_prior if math.isinf(prior.df_prior) else (prior.df_prior * prior.s2_prior + got["residual_deviance"]) / (prior.df_prior + df)
     assert np.allclose(got["s2_post"], want, rtol=1e-9)
+
+
+def test_many_samples_all_count(spark):
+    """No group is too large for a profile over all its samples, nor for dispersions of its own genes."""
+    n = 2_100
+    y, treated, batch = simulate(4, 0.5, samples=n)
+    # one gene spreads more than the others
+    y[0] = np.random.default_rng(8).negative_binomial(1, 1 / (1 + np.full(n, 100.0)))
+    bulk, design = frames(spark, y, treated, batch)
+    ready = differential.with_libraries(bulk, design)
+    have = differential.design_dispersions(bulk, ready, {"*": ("condition", ["batch"])}).toPandas().set_index("feature")
+    x, _ = designs(treated, batch)
+    profile = glm.adjusted_profile(y, x, np.log(y.sum(0)))
+    bins = np.floor(np.log2((y.sum(1) + 0.5) / y.sum() * 1e6) * 2).astype(int)
+
+    def top(curve):
+        at = int(curve.argmax())
+        left, mid, right = curve[at - 1 : at + 2]
+        return 0.1 * 2 ** (at - 10 + 0.5 * (left - right) / (left - 2 * mid + right))
+
+    for g in range(4):
+        reach = np.abs(bins - bins[g])
+        weight = np.where(reach <= 3, (1 - (reach / 4.0) ** 3) ** 3, 0)
+        shared = (weight[:, None] * profile).sum(0) / weight.sum()
+        row = have.loc[f"f{g:03d}"]
+        assert row.trended == pytest.approx(top(shared), rel=1e-6)
+        assert row.dispersion == pytest.approx(top(profile[g] + shared * 10 / (n - 3)), rel=1e-6)
+    fits = differential.test_fixed_effects(bulk, design, "condition", ["batch"], method="quasi_likelihood").toPandas()
+    assert len(fits) == 4 and fits.df_residual.eq(n - 3).all() and fits.error.isna().all()
