@@ -6,32 +6,37 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cytoloom.functions.stats import dense_index, fresh
+from cytoloom.functions.stats import dense_index, group_join, ranked_values, spread, value_counts
 from cytoloom.schema import CELL
 from cytoloom.session import cut_lineage
 
 # Quantile of a label's profile correlations that scores the label; fine-tuning margin (fixed values).
 SCORE_QUANTILE = 0.8
 TUNE_MARGIN = 0.05
-# Numbers of a block of the reference (32 MB), and entries of cells that meet it in one task.
-MATRIX_LIMIT = 4_000_000
+# Numbers of a block of the reference (128 MB), and least entries of cells that meet it in one task.
+MATRIX_LIMIT = 32_000_000
 ENTRIES_PER_TASK = 1_000_000
+# Numbers of the reference gathered at once for some cells of a task.
+GATHERED = 4_000_000
 
 
-def _dense_ranks(values: DataFrame, keys: list[str], n_genes: int) -> DataFrame:
-    """Mean rank of every stored value in its group when absent genes count as zeros.
+def _cell_ranks(values: DataFrame, n_genes: int) -> DataFrame:
+    """Mean rank of every stored value in its cell when absent genes count as zeros.
 
-    Also the rank the zeros share. A group holds at most one gene list.
+    Also the rank the zeros share. A cell holds at most one gene list.
     """
-    w = Window.partitionBy(*keys)
-    ties = Window.partitionBy(*keys, "value")
+    w = Window.partitionBy(*CELL)
+    ties = Window.partitionBy(*CELL, "value")
     zeros = F.lit(n_genes) - F.count(F.lit(1)).over(w)
     return values.where(F.col("value") > 0).select(
-        *keys,
-        "feature",
+        *CELL,
+        "block",
+        "gene",
         (
             F.rank().over(w.orderBy("value")) + (F.count(F.lit(1)).over(ties) - 1) / 2.0 + zeros
         ).alias("rank"),
@@ -39,45 +44,78 @@ def _dense_ranks(values: DataFrame, keys: list[str], n_genes: int) -> DataFrame:
     )
 
 
-def _centred_reference(reference: DataFrame, genes: DataFrame, n_genes: int) -> tuple[DataFrame, DataFrame]:
-    """(gene, profile, centred rank) of the expressed entries, and per profile its norm and zero rank."""
+def _reference_ranks(reference: DataFrame, n_genes: int) -> tuple[DataFrame, DataFrame]:
+    """(profile, value, twice) for each positive value of a profile, twice its rank above the zeros' one; and per profile its norm and zero rank.
+
+    Equal values share a mean rank, so a profile is ranked over its distinct values, whatever its number of genes.
+    """
     centre = (n_genes + 1) / 2.0
-    ranks = _dense_ranks(reference.select("profile", "feature", "value"), ["profile"], n_genes)
+    ranked = ranked_values(value_counts(reference.where(F.col("value") > 0), ["profile"], "value"), ["profile"], "value")
+    zeros = F.lit(n_genes) - F.col("total")
+    rank = F.col("below") + 1 + (F.col("n") - 1) / 2.0 + zeros
+    ranks = cut_lineage(ranked.select("profile", "value", "n", rank.alias("rank"), ((zeros + 1) / 2.0).alias("zero_rank")))
     facts = ranks.groupBy("profile").agg(
         F.first("zero_rank").alias("zero_rank"),
-        F.sum(F.pow(F.col("rank") - centre, 2)).alias("_ss"),
-        F.count(F.lit(1)).alias("_nnz"),
+        F.sum(F.col("n") * F.pow(F.col("rank") - centre, 2)).alias("_ss"),
+        F.sum("n").alias("_nnz"),
     )
     facts = facts.select(
         "profile",
         (F.col("zero_rank") - centre).alias("zero"),
         F.sqrt(F.col("_ss") + (n_genes - F.col("_nnz")) * F.pow(F.col("zero_rank") - centre, 2)).alias("norm"),
     )
-    return ranks.select("profile", "feature", (F.col("rank") - centre).alias("centred")), facts
-
-
-def _block_products(n_profiles: int):
-    def run(cells: pd.DataFrame, reference: pd.DataFrame) -> pd.DataFrame:
-        if cells.empty:
-            return pd.DataFrame(columns=[*CELL, "squares", "n", "zero_rank", "weight", "dots"], dtype=object)
-        ref = np.zeros((int(reference["gene"].max()) + 1, n_profiles))
-        rows = np.repeat(reference["gene"].to_numpy(int), reference["places"].map(len).to_numpy())
-        ref[rows, np.concatenate(reference["places"].to_numpy()).astype(int)] = np.concatenate(reference["lifts"].to_numpy())
-        sizes = cells["genes"].map(len).to_numpy()
-        genes = np.concatenate(cells["genes"].to_numpy()).astype(int)
-        weights = np.concatenate(cells["weights"].to_numpy()).astype(float)
-        ends = np.cumsum(sizes)
-        dots = np.empty((len(cells), n_profiles))
+    # ranks are whole or half numbers, so twice a rank is exact in four bytes
+    return ranks.select("profile", "value", (2 * (F.col("rank") - F.col("zero_rank"))).cast("int").alias("twice")), facts
+
+
+_PARTS = "sample_id string, cell_id string, squares double, n long, zero_rank double, weight double, dots array<double>"
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and values of the lists of an arrow column."""
+    return pc.list_value_length(column).to_numpy(zero_copy_only=False), column.flatten().to_numpy(zero_copy_only=False)
+
+
+def _block_products(n_profiles: int, sizes: dict[int, int]):
+    """Products of cells with a block of the reference, for rows that come in the order of block, salt and side.
+
+    The block's reference rows come first and fill its matrix; then the cells pass by, a batch at a time.
+    """
+
+    def dots_of(cells: pa.RecordBatch, ref: np.ndarray) -> np.ndarray:
+        lengths, genes = _flat(cells.column("genes"))
+        weights = _flat(cells.column("weights"))[1]
+        ends = np.cumsum(lengths)
+        dots = np.empty((len(lengths), n_profiles))
         lo = 0
         # some cells at a time keep the gathered reference rows small
-        while lo < len(cells):
-            start = ends[lo] - sizes[lo]
-            hi = max(lo + 1, int(np.searchsorted(ends, start + 4_000_000 // n_profiles, "right")))
-            a, b = start, ends[hi - 1]
-            starts = ends[lo:hi] - sizes[lo:hi] - a
-            dots[lo:hi] = np.add.reduceat(ref[genes[a:b]] * weights[a:b, None], starts, axis=0)
+        while lo < len(lengths):
+            a = ends[lo] - lengths[lo]
+            hi = max(lo + 1, int(np.searchsorted(ends, a + GATHERED // max(1, n_profiles), "right")))
+            b = ends[hi - 1]
+            dots[lo:hi] = np.add.reduceat(ref[genes[a:b]] * weights[a:b, None], ends[lo:hi] - lengths[lo:hi] - a, axis=0)
             lo = hi
-        return cells[[*CELL, "squares", "n", "zero_rank", "weight"]].assign(dots=list(dots))
+        return dots / 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, ref = None, None
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy() for c in ("block", "salt", "side")], 1)
+            edges = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+            for lo, hi in zip([0, *edges], [*edges, len(keys)]):
+                if lo == hi:
+                    continue
+                part, block = batch.slice(lo, hi - lo), tuple(keys[lo, :2])
+                if block != at:
+                    at, ref = block, np.zeros((sizes[int(block[0])], n_profiles), np.int32)
+                if keys[lo, 2] == 0:
+                    lengths, places = _flat(part.column("places"))
+                    ref[np.repeat(part.column("gene").to_numpy(), lengths), places] = _flat(part.column("lifts"))[1]
+                    continue
+                dots = dots_of(part, ref)
+                lists = pa.ListArray.from_arrays(np.arange(len(dots) + 1, dtype=np.int32) * n_profiles, dots.ravel())
+                names = [*CELL, "squares", "n", "zero_rank", "weight"]
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], lists], [*names, "dots"])
 
     return run
 
@@ -85,22 +123,22 @@ def _block_products(n_profiles: int):
 def profile_correlations(counts: DataFrame, reference: DataFrame) -> tuple[DataFrame, list[str]]:
     """Spearman correlation of every cell with every reference profile.
 
-    One row per cell with the array ``cors``, and the profiles in the order of the array.
+    One row per cell with the array ``cors``, and the profiles in the order of the array. Both tables are read several times.
 
     Only genes of the reference count; the log transform keeps ranks, so it is not
     applied. With centred profile ranks the zeros of a cell cancel: the correlation is
     the sum over its expressed genes of (rank - zero rank) * centred profile rank.
 
     Genes are dealt by hash to blocks of MATRIX_LIMIT reference numbers. A block of the reference meets
-    the entries of its genes in tasks of about ENTRIES_PER_TASK, and a cell's sums over the
-    blocks are added up. Profile names and two numbers of each are all that the driver sees.
+    the entries of its genes in tasks of at least ENTRIES_PER_TASK, so few that copies of the reference stay smaller
+    than the entries, and a cell's sums over the blocks are added up. Profile names and two numbers of each are all that the driver sees.
     """
     genes = reference.select("feature").distinct()
     # the names shape the vectors, so they are fetched: one list of profiles
     profiles = [r[0] for r in reference.select("profile").distinct().orderBy("profile").collect()]
     n_genes = genes.count()
     centre = (n_genes + 1) / 2.0
-    centred, facts = _centred_reference(reference, genes, n_genes)
+    ranks, facts = _reference_ranks(reference.select("profile", "feature", "value"), n_genes)
     facts = {r["profile"]: (r["zero"], r["norm"]) for r in facts.collect()}
     zero = [float(facts[p][0]) if p in facts else 0.0 for p in profiles]
     norm = [float(facts[p][1]) if p in facts else 0.0 for p in profiles]
@@ -108,10 +146,11 @@ def profile_correlations(counts: DataFrame, reference: DataFrame) -> tuple[DataF
     dealt = genes.withColumn("block", F.pmod(F.xxhash64("feature"), F.lit(n_blocks)).cast("int"))
     numbered = dense_index(dealt, ["block"], ["feature"], "gene").withColumn("gene", (F.col("gene") - 1).cast("int"))
     numbered = cut_lineage(numbered)
-    ranked = _dense_ranks(counts.select(*CELL, "feature", "value").join(genes, "feature", "left_semi"), CELL, n_genes)
+    sizes = {r["block"]: r["count"] for r in numbered.groupBy("block").count().collect()}
+    ranked = _cell_ranks(counts.select(*CELL, "feature", "value").join(numbered, "feature"), n_genes)
     weight = F.col("rank") - F.col("zero_rank")
     entries = (
-        ranked.join(numbered, "feature")
+        ranked
         .groupBy(*CELL, "block")
         .agg(
             F.sum(F.pow(F.col("rank") - centre, 2)).alias("squares"),
@@ -122,40 +161,31 @@ def profile_correlations(counts: DataFrame, reference: DataFrame) -> tuple[DataF
             F.collect_list(weight).alias("weights"),
         )
     )
+    # stored, so that the shuffles by gene and by cell go before those by block
     entries = cut_lineage(entries)
-    n_salts = max(1, -(-(entries.agg(F.sum("n")).first()[0] or 0) // (n_blocks * ENTRIES_PER_TASK)))
-    salted = entries.withColumn("salt", F.pmod(F.xxhash64(*CELL), F.lit(n_salts)).cast("int"))
+    most = max(n_blocks * ENTRIES_PER_TASK, reference.count())
+    n_salts = max(1, -(-counts.count() // most))
     places = F.create_map(*[F.lit(x) for i, p in enumerate(profiles) for x in (p, i)]) if profiles else F.lit(None).cast("map<string,int>")
-    zeros = F.create_map(*[F.lit(x) for p, z in zip(profiles, zero) for x in (p, z)]) if profiles else F.lit(None).cast("map<string,double>")
     rows = (
-        centred.join(numbered, "feature")
-        .groupBy("block", "gene")
-        .agg(
-            F.collect_list(places[F.col("profile")]).alias("places"),
-            F.collect_list(F.col("centred") - zeros[F.col("profile")]).alias("lifts"),
+        group_join(reference.select("profile", "feature", "value"), ranks, ["profile", "value"])
+        .groupBy("feature")
+        .agg(F.collect_list(F.struct(places[F.col("profile")].alias("place"), "twice")).alias("_lifts"))
+        .join(numbered, "feature")
+        .select(
+            "block", F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1))).alias("salt"), F.lit(0).alias("side"), "gene",
+            F.col("_lifts.place").alias("places"), F.col("_lifts.twice").alias("lifts"),
         )
-    )
-    # a gene that no profile expresses has no rank of its own, but holds its place in the block
-    rows = numbered.join(rows, ["block", "gene"], "left").select(
-        "block", "gene",
-        F.coalesce("places", F.array().cast("array<int>")).alias("places"),
-        F.coalesce("lifts", F.array().cast("array<double>")).alias("lifts"),
-        F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1))).alias("salt"),
     )
-    parts = (
-        salted.groupBy("block", "salt")
-        .cogroup(fresh(rows).groupBy("block", "salt"))
-        .applyInPandas(
-            _block_products(len(profiles)),
-            "sample_id string, cell_id string, squares double, n long, zero_rank double, weight double, dots array<double>",
-        )
-    )
+    salted = entries.withColumn("salt", F.pmod(F.xxhash64(*CELL), F.lit(n_salts)).cast("int")).withColumn("side", F.lit(1))
+    both = spread(salted.unionByName(rows, allowMissingColumns=True), "block", "salt").sortWithinPartitions("block", "salt", "side")
+    parts = both.mapInArrow(_block_products(len(profiles), sizes), _PARTS)
     cell_norm = F.sqrt(F.sum("squares") + (n_genes - F.sum("n")) * F.pow(F.first("zero_rank") - centre, 2))
     summed = F.array(*[F.sum(F.col("dots")[i]) for i in range(len(profiles))]).cast("array<double>")
     sums = parts.groupBy(*CELL).agg(cell_norm.alias("norm"), F.sum("weight").alias("weight"), summed.alias("dots"))
     fixed = F.array(*[F.struct(F.lit(z).alias("zero"), F.lit(n).alias("norm")) for z, n in zip(zero, norm)])
     cors = F.zip_with("dots", fixed, lambda d, f: (d + F.col("weight") * f["zero"]) / (F.col("norm") * f["norm"]))
-    return sums.select(*CELL, cors.alias("cors")), profiles
+    # stored, so that the shuffles of the entries go before the next step
+    return cut_lineage(sums.select(*CELL, cors.alias("cors"))), profiles
 
 
 def _labels_of(reference: DataFrame, column: str, profiles: list[str]) -> dict[str, list[int]]:
