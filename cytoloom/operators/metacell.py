@@ -88,11 +88,13 @@ def membership_rows(
     if kept is not None:
         cells = cells.join(kept.select(*CELL), CELL, "left_semi")
         counts = counts.join(kept.select(*CELL), CELL, "left_semi")
+    # read by the variances, the totals and the values
+    counts = cut_lineage(counts.select(*CELL, "feature", "assay", "value"))
     group_id = F.concat_ws("\u001f", "sample_id", "cell_type").alias("group_id")
     placed = cells.select(*CELL, F.coalesce("cell_type", F.lit("NA")).alias("cell_type")).select("*", group_id)
     placed = cut_lineage(placed)
     chosen = top_variance_features(counts, cells, n_features).select("sample_id", "feature")
-    values = log_normalise(counts).join(chosen, ["sample_id", "feature"], "left_semi").join(placed, CELL)
+    values = log_normalise(counts, chosen=cut_lineage(chosen)).join(placed, CELL)
     values = cut_lineage(values.select("group_id", F.col("cell_id").alias("id"), "feature", "value"))
     members = placed.select("group_id", F.col("cell_id").alias("id"))
     nested = cut_lineage(nested_clusters(coordinates(values, members, cells_per_block), NEIGHBOURS, points_per_task))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cytoloom.operators import alive, metacell, reshape
 from cytoloom.plans import assemble, atlas
-from cytoloom.session import scratch_path
+from cytoloom.session import cut_lineage, scratch_path
 from cytoloom.sources import tables as src
 from registry import query
 from registry.relational import CHUNK_SQL, FILES_SQL
@@ -247,8 +247,9 @@ def _(t):
 @query("at15_computed_metacell_tables")
 def _(t):
     kept = alive.quality_cells(t.empty_tbl, t.alive_tbl, t.doublet_tbl)
-    members = metacell.membership_rows(t.counts, t.cells, kept, n_features=200)
-    return atlas.metacell_table(t.counts, members, kept)
+    counts = cut_lineage(t.counts)
+    members = metacell.membership_rows(counts, t.cells, kept, n_features=200)
+    return atlas.metacell_table(counts, members, kept)
 
 
 @query(
