@@ -130,8 +130,8 @@ def profile_correlations(counts: DataFrame, reference: DataFrame) -> tuple[DataF
     the sum over its expressed genes of (rank - zero rank) * centred profile rank.
 
     Genes are dealt by hash to blocks of MATRIX_LIMIT reference numbers. A block of the reference meets
-    the entries of its genes in tasks of at least ENTRIES_PER_TASK, so few that copies of the reference stay smaller
-    than the entries, and a cell's sums over the blocks are added up. Profile names and two numbers of each are all that the driver sees.
+    the entries of its genes in tasks of at least ENTRIES_PER_TASK, so few that copies of the reference have no more
+    than twice the numbers of the entries, and a cell's sums over the blocks are added up. Profile names and two numbers of each are all that the driver sees.
     """
     genes = reference.select("feature").distinct()
     # the names shape the vectors, so they are fetched: one list of profiles
@@ -163,7 +163,7 @@ def profile_correlations(counts: DataFrame, reference: DataFrame) -> tuple[DataF
     )
     # stored, so that the shuffles by gene and by cell go before those by block
     entries = cut_lineage(entries)
-    most = max(n_blocks * ENTRIES_PER_TASK, reference.count())
+    most = max(n_blocks * ENTRIES_PER_TASK, reference.count() // 2)
     n_salts = max(1, -(-counts.count() // most))
     places = F.create_map(*[F.lit(x) for i, p in enumerate(profiles) for x in (p, i)]) if profiles else F.lit(None).cast("map<string,int>")
     rows = (
